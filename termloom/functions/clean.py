@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .tokens import as_col
+from .tokens import as_col, strip_blanks
 
 # What a quoted line and the line announcing a quote look like.
 QUOTED_LINE = r"(?m)^[>]{1,} .*"
@@ -14,12 +14,12 @@ QUOTE_HEADER_LENIENT = r"(?m)^>* ?On ..., .+, .+wrote:"
 
 
 def normalize_email(c) -> Column:
-    return F.lower(F.trim(as_col(c)))
+    return F.lower(strip_blanks(c))
 
 
 def escape_content(c) -> Column:
     """Line ends and tabs as the two-character codes of the one-line format."""
-    one_line = F.regexp_replace(as_col(c), "\r\n|\r|\n", r"\\\\n")
+    one_line = F.regexp_replace(as_col(c), "\r\n|\r|\n", r"\\n")
     return F.replace(one_line, F.lit("\t"), F.lit("\\t"))
 
 

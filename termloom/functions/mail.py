@@ -9,7 +9,7 @@ from . import shipping  # noqa: F401  (helpers travel with the UDFs)
 from .html import html_paragraph_text
 from .let import let
 from .mime import decode_words, text_parts
-from .tokens import as_col
+from .tokens import as_col, strip_blanks
 
 MAX_LINE_LEN = 100_000
 
@@ -46,13 +46,13 @@ def _header_pattern(name: str) -> str:
 
 def header_value(block, name: str) -> Column:
     """First value of a header, trimmed; empty if absent."""
-    return F.trim(F.regexp_extract(as_col(block), _header_pattern(name), 1))
+    return strip_blanks(F.regexp_extract(as_col(block), _header_pattern(name), 1))
 
 
 def last_header_value(block, name: str) -> Column:
     """Last value of a header, trimmed; empty if absent."""
     values = F.regexp_extract_all(as_col(block), F.lit(_header_pattern(name)), F.lit(1))
-    return F.trim(F.coalesce(F.try_element_at(values, F.lit(-1)), F.lit("")))
+    return strip_blanks(F.coalesce(F.try_element_at(values, F.lit(-1)), F.lit("")))
 
 
 def decoded(value) -> Column:

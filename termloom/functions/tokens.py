@@ -34,6 +34,14 @@ def as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# every character up to the blank counts as white space at the ends of a field
+_BLANKS = "".join(chr(c) for c in range(1, 33))
+
+
+def strip_blanks(c) -> Column:
+    return F.trim(as_col(c), F.lit(_BLANKS))
+
+
 def split_words(text) -> Column:
     """Raw split of a text; may hold empty strings (use when rows are filtered later)."""
 
