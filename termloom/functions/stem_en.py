@@ -9,6 +9,7 @@ keeps them across batches.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -35,79 +36,86 @@ STEP4 = [
 ]
 
 
-def _shape(stem: str) -> str:
-    """The stem as a string of c(onsonant) and v(owel); y is a vowel after a consonant."""
-    out = []
-    for ch in stem:
-        if ch in "aeiou" or (ch == "y" and out and out[-1] == "c"):
-            out.append("v")
-        else:
-            out.append("c")
-    return "".join(out)
-
+def _by_ending(rules: Iterable[tuple[str, str]]) -> dict[str, list[tuple[str, str]]]:
+    """Rules grouped by the last two letters of their suffix, longest suffix first."""
+    out: dict[str, list[tuple[str, str]]] = {}
+    for rule in sorted(rules, key=lambda r: -len(r[0])):
+        out.setdefault(rule[0][-2:], []).append(rule)
+    return out
 
-def _measure(stem: str) -> int:
-    """Number of vowel-to-consonant transitions."""
-    return _shape(stem).count("vc")
 
+_RULES2, _RULES3 = _by_ending(STEP2), _by_ending(STEP3)
+_RULES4 = _by_ending((suffix, "") for suffix in STEP4)
 
-def _double_consonant(w: str) -> bool:
-    return len(w) > 1 and w[-1] == w[-2] and _shape(w)[-1] == "c"
+# A y behind a consonant is a vowel. Whether one is depends on what precedes it, so
+# all are replaced by a mark at the start and removed suffixes change nothing.
+_Y = "\x01"
+_VOWEL, _CONSONANT = f"[aeiou{_Y}]", f"[^aeiou{_Y}]"
+_HAS_VOWEL = re.compile(_VOWEL).search
+_ONE_GROUP = re.compile(f"{_CONSONANT}*{_VOWEL}+{_CONSONANT}").match
+_TWO_GROUPS = re.compile(f"{_CONSONANT}*{_VOWEL}+{_CONSONANT}+{_VOWEL}+{_CONSONANT}").match
+_SHORT_END = re.compile(f"{_CONSONANT}{_VOWEL}[^aeiouwxy{_Y}]$").search
+_DOUBLE_END = re.compile(rf"({_CONSONANT})\1$|{_Y}y$").search
 
 
-def _short_ending(w: str) -> bool:
-    """Consonant, vowel, consonant other than w, x, y at the end."""
-    return _shape(w)[-3:] == "cvc" and w[-1] not in "wxy"
+def _mark_vowel_y(word: str) -> str:
+    out = []
+    for ch in word:
+        is_vowel = ch == "y" and out and out[-1] not in "aeiou" + _Y
+        out.append(_Y if is_vowel else ch)
+    return "".join(out)
 
 
-def _longest(word: str, suffixes: Iterable[str]) -> str | None:
-    return max((s for s in suffixes if word.endswith(s)), key=len, default=None)
+def _split_suffix(word: str, rules: dict[str, list[tuple[str, str]]]) -> tuple[str, str, str] | None:
+    """(stem, suffix, replacement) for the longest suffix of the word in the rules."""
+    for suffix, replacement in rules.get(word[-2:], ()):
+        if word.endswith(suffix):
+            return word[: -len(suffix)], suffix, replacement
+    return None
 
 
 def porter_stem(word: str) -> str:
     if len(word) < 3:
         return word
-    w = word
+    w = _mark_vowel_y(word) if "y" in word else word
     # plurals
-    if w.endswith(("sses", "ies")):
-        w = w[:-2]
-    elif w.endswith("s") and not w.endswith("ss"):
-        w = w[:-1]
+    if w[-1] == "s":
+        if w.endswith(("sses", "ies")):
+            w = w[:-2]
+        elif w[-2] != "s":
+            w = w[:-1]
     # -eed, -ed, -ing
     if w.endswith("eed"):
-        if _measure(w[:-3]) > 0:
+        if _ONE_GROUP(w[:-3]):
             w = w[:-1]
-    else:
-        cut = _longest(w, ("ed", "ing"))
-        if cut and "v" in _shape(w[: -len(cut)]):
-            w = w[: -len(cut)]
+    elif w.endswith(("ed", "ing")):
+        stem = w[:-2] if w[-1] == "d" else w[:-3]
+        if _HAS_VOWEL(stem):
+            w = stem
             if w.endswith(("at", "bl", "iz")):
                 w += "e"
-            elif _double_consonant(w) and w[-1] not in "lsz":
+            elif _DOUBLE_END(w) and w[-1] not in "lsz":
                 w = w[:-1]
-            elif _measure(w) == 1 and _short_ending(w):
+            elif _SHORT_END(w) and _ONE_GROUP(w) and not _TWO_GROUPS(w):
                 w += "e"
-    if w.endswith("y") and "v" in _shape(w[:-1]):
+    if w[-1:] in ("y", _Y) and _HAS_VOWEL(w[:-1]):
         w = w[:-1] + "i"
     # derivational suffixes, longest match only
-    for table in (STEP2, STEP3):
-        rules = dict(table)
-        cut = _longest(w, rules)
-        if cut and _measure(w[: -len(cut)]) > 0:
-            w = w[: -len(cut)] + rules[cut]
-    cut = _longest(w, STEP4)
-    if cut:
-        stem = w[: -len(cut)]
-        if _measure(stem) > 1 and (cut != "ion" or stem.endswith(("s", "t"))):
-            w = stem
+    for rules in (_RULES2, _RULES3):
+        found = _split_suffix(w, rules)
+        if found and _ONE_GROUP(found[0]):
+            w = found[0] + found[2]
+    found = _split_suffix(w, _RULES4)
+    if found and _TWO_GROUPS(found[0]) and (found[1] != "ion" or found[0][-1] in "st"):
+        w = found[0]
     # final e and double l
-    if w.endswith("e"):
-        m = _measure(w[:-1])
-        if m > 1 or (m == 1 and not _short_ending(w[:-1])):
-            w = w[:-1]
-    if w.endswith("ll") and _measure(w[:-1]) > 1:
+    if w[-1:] == "e":
+        stem = w[:-1]
+        if _TWO_GROUPS(stem) or (_ONE_GROUP(stem) and not _SHORT_END(stem)):
+            w = stem
+    if w.endswith("ll") and _TWO_GROUPS(w[:-1]):
         w = w[:-1]
-    return w
+    return w.replace(_Y, "y")
 
 
 def _normal_form(word: str, protected: frozenset[str]) -> str:
