@@ -59,7 +59,9 @@ def tokenize(text, max_token_len: int = MAX_TOKEN_LEN) -> Column:
 
 def possessive_base(token) -> Column:
     """One token without a trailing 's."""
-    return F.regexp_replace(as_col(token), "['’＇][sS]$", "")
+    token = as_col(token)
+    owned = F.lower(F.substr(token, F.lit(-2))).isin("'s", "’s", "＇s")
+    return F.when(owned, F.substr(token, F.lit(1), F.length(token) - 2)).otherwise(token)
 
 
 def strip_possessive(tokens) -> Column:
@@ -79,7 +81,7 @@ def filter_words(tokens, stopwords: Iterable[str] | None = None, min_len: int =
     return F.transform(as_col(tokens), lambda t: F.when(~is_noise_word(t, stopwords, min_len), t))
 
 
-def _ngrams_by_end(words: Column, size: int) -> list[Column]:
+def ngrams_by_end(words: Column, size: int) -> list[Column]:
     """One array per n-gram length; entry i is the n-gram ending at word i or null.
 
     ``concat`` with a null operand is null, which is exactly the "a dropped word
@@ -92,13 +94,6 @@ def _ngrams_by_end(words: Column, size: int) -> list[Column]:
     return grams
 
 
-def all_ngrams(words, size: int) -> Column:
-    """All n-grams of 1..size words with nulls left in; order by length."""
-    if size == 1:
-        return as_col(words)
-    return let(as_col(words), lambda w: F.concat(*_ngrams_by_end(w, size)))
-
-
 def shingles(words, size: int) -> Column:
     """N-grams of 1..size words, by end position and short first, nulls removed."""
     if size < 1:
@@ -108,7 +103,7 @@ def shingles(words, size: int) -> Column:
 
     def in_order(w: Column) -> Column:
         per_word = F.transform(w, lambda x: F.array(x))
-        for gram in _ngrams_by_end(w, size)[1:]:
+        for gram in ngrams_by_end(w, size)[1:]:
             per_word = F.zip_with(per_word, gram, lambda seen, g: F.concat(seen, F.array(g)))
         # the shifted arrays are longer than the text by their pad: those entries are null
         return F.array_compact(F.flatten(F.filter(per_word, lambda a: a.isNotNull())))

@@ -21,8 +21,10 @@ from .rank import top_n_per_group
 MIN_SCORE = 1.0
 MAX_TERMS = 20
 
-# a key with more than 1/share of all rows is cut into pieces of at most that size
-MIN_HOT_SHARE = 500
+# A key is cut into pieces if it has more than 1/share of all rows and enough rows
+# to keep one task busy.
+MIN_SHARE = 500
+MIN_PIECE_ROWS = 1_000_000
 
 
 def term_counts(terms: DataFrame) -> DataFrame:
@@ -38,22 +40,24 @@ def key_totals(counts: DataFrame, keys: list[str], name: str) -> DataFrame:
 def attach_totals(counts: DataFrame, totals: DataFrame, keys: list[str], name: str, spread_by: str) -> DataFrame:
     """Join a per-key total to every row without gathering a hot key in one task.
 
-    A key is hot if it has more than ``1/share`` of all rows, so there are fewer
-    than ``share`` hot keys, and the list of them that is broadcast is bounded
-    however large the data. Rows of a hot key get a piece number from a hash of
-    ``spread_by``, with as many pieces as keep each below ``1/share`` of the rows,
-    and the key's total is repeated once per piece. All other keys have piece 0.
+    ``totals`` is a stored table, so its largest key can be looked up now. Usually
+    no key is hot and this is a plain join without any hint: Spark broadcasts the
+    totals if they turn out to be small, and shuffles otherwise.
 
-    The join with ``totals`` carries no hint: Spark broadcasts it only if it turns
-    out to be small.
+    A key is hot if it has more than ``1/share`` of all rows. There are fewer than
+    ``share`` such keys, so the list of them that is broadcast is bounded however
+    large the data. Rows of a hot key get a piece number from a hash of
+    ``spread_by`` and the key's total is repeated once per piece; all other keys
+    are one piece.
     """
     partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = max(MIN_HOT_SHARE, 4 * partitions)
-    everything = totals.agg(F.sum("n_rows").alias("_all"))
-    sized = totals.crossJoin(F.broadcast(everything)).withColumn(
-        "_pieces", F.ceil(F.col("n_rows") * F.lit(share) / F.col("_all")).cast("int")
-    )
-    hot = sized.filter(F.col("_pieces") > 1).select(*keys, "_pieces")
+    share = max(MIN_SHARE, 4 * partitions)
+    all_rows, largest = totals.agg(F.sum("n_rows"), F.max("n_rows")).first()
+    piece_rows = max(MIN_PIECE_ROWS, -(-(all_rows or 0) // share))
+    if (largest or 0) <= piece_rows:
+        return counts.join(totals.drop("n_rows"), keys)
+    sized = totals.withColumn("_pieces", F.ceil(F.col("n_rows") / F.lit(piece_rows)).cast("int"))
+    hot = sized.filter(F.col("n_rows") > piece_rows).select(*keys, "_pieces")
     in_pieces = counts.join(F.broadcast(hot), keys, "left").withColumn(
         "_piece", F.coalesce(F.pmod(F.hash(spread_by), F.col("_pieces")), F.lit(0))
     )

@@ -7,9 +7,21 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.analysis import require_language, stem_words, words_of
+from ..functions.analysis import require_language, stem_words
+from ..functions.cjk import cjk_bigrams
 from ..functions.folding import fold
-from ..functions.tokens import MIN_WORD_LEN, all_ngrams, filter_words, is_noise_word, tokenize
+from ..functions.let import let
+from ..functions.tokens import (
+    MIN_WORD_LEN,
+    filter_words,
+    is_noise_word,
+    ngrams_by_end,
+    possessive_base,
+    tokenize,
+)
+
+# words handled as one row: bounds the memory of a batch whatever the length of a text
+PIECE_WORDS = 1000
 
 
 def explode_terms(df: DataFrame, terms: Column, keep: list[str]) -> DataFrame:
@@ -17,6 +29,33 @@ def explode_terms(df: DataFrame, terms: Column, keep: list[str]) -> DataFrame:
     return df.select(*keep, F.explode(terms).alias("term")).filter(F.col("term").isNotNull())
 
 
+def _pieces(words: Column, overlap: int, mark: bool) -> Column:
+    """The words of a text in pieces: array of (words, context, mark).
+
+    A piece starts with the last ``overlap`` words of the piece before it, counted
+    by ``context``, so that terms across the border can be formed. With ``mark``
+    there is one more piece that holds a single null.
+    """
+
+    def cut(w: Column) -> Column:
+        def piece(start: Column) -> Column:
+            context = F.when(start > 0, F.lit(overlap)).otherwise(F.lit(0))
+            return F.struct(
+                F.slice(w, start - context + 1, context + PIECE_WORDS).alias("words"),
+                context.alias("context"),
+                F.lit(False).alias("mark"),
+            )
+
+        starts = F.sequence(F.lit(0), F.greatest(F.size(w) - 1, F.lit(0)), F.lit(PIECE_WORDS))
+        return F.transform(starts, piece)
+
+    pieces = let(F.coalesce(words, F.array().cast("array<string>")), cut)
+    if not mark:
+        return pieces
+    null_word = F.array(F.lit(None).cast("string")).alias("words")
+    return F.concat(pieces, F.array(F.struct(null_word, F.lit(0).alias("context"), F.lit(True).alias("mark"))))
+
+
 def user_terms(
     docs: DataFrame,
     content: str = "content",
@@ -33,7 +72,8 @@ def user_terms(
     """One row per term occurrence of every document: ``keep`` columns and ``term``.
 
     Single words are exploded first and filtered as rows, in generated code. Only
-    longer terms need arrays with the gaps left in.
+    longer terms need arrays with the gaps left in. Long texts are cut into pieces
+    of words that overlap as far as the longest term needs.
 
     ``once=True`` drops repetitions within a document early, for callers that only
     ask which users have a term. ``mark_docs=True`` adds one row with a null term
@@ -43,27 +83,38 @@ def user_terms(
     require_language(lang)
     keep = ["email"] if keep is None else keep
     text = F.col(content)
-    rows_are_raw = False
     if analyzer is not None:
-        terms = analyzer(text)
-    elif shingle_size == 1 and lang != "zh-cn":
-        rows_are_raw = True
-        words = tokenize(fold(text))
-        terms = stem_words(F.array_distinct(words) if once else words, lang, stem)
+        words, shingle_size, lang, stem, stopwords, min_len = analyzer(text), 1, "zh-cn", False, None, 1
+    else:
+        words = cjk_bigrams(text) if lang == "zh-cn" else tokenize(fold(text))
+    if once and shingle_size == 1:
+        words = F.array_distinct(words)
+    pieces = docs.select(*keep, F.inline(_pieces(words, shingle_size - 1, mark_docs)))
+
+    by_row = shingle_size == 1 and lang == "en" and not stem
+    plain = by_row or lang == "zh-cn"
+    normal = F.col("words") if plain else stem_words(F.col("words"), lang, stem)
+    if shingle_size == 1:
+        rows = pieces.select(*keep, "mark", F.explode(normal).alias("term"))
+        if by_row:
+            rows = rows.withColumn("term", possessive_base("term"))
+        wanted = F.col("term").isNotNull()
+        if analyzer is None:
+            wanted = wanted & ~is_noise_word("term", stopwords, min_len)
     else:
-        terms = all_ngrams(filter_words(words_of(text, lang, stem), stopwords, min_len), shingle_size)
-    if once and not rows_are_raw:
-        terms = F.array_distinct(terms)
-    if not mark_docs:
-        rows = explode_terms(docs, terms, keep)
-        return rows.filter(~is_noise_word("term", stopwords, min_len)) if rows_are_raw else rows
-    # the one null that stays is the document's mark
-    found = F.coalesce(F.array_compact(terms), F.array().cast("array<string>"))
-    marked = F.concat(found, F.array(F.lit(None).cast("string")))
-    rows = docs.select(*keep, F.explode(marked).alias("term"))
-    if rows_are_raw:
-        rows = rows.filter(F.col("term").isNull() | ~is_noise_word("term", stopwords, min_len))
-    return rows
+        # a projection of its own, so that the stemmer runs once however often it is used
+        stemmed = pieces.select(*keep, "mark", "context", normal.alias("words"))
+        kept = filter_words("words", stopwords, min_len)
+        grams = let(
+            kept,
+            lambda w: F.concat(
+                *[F.slice(g, F.col("context") + 1, F.size(w)) for g in ngrams_by_end(w, shingle_size)]
+            ),
+        )
+        terms = F.when(F.col("mark"), F.col("words")).otherwise(F.array_distinct(grams) if once else grams)
+        rows = stemmed.select(*keep, "mark", F.explode(terms).alias("term"))
+        wanted = F.col("term").isNotNull()
+    return rows.filter(wanted | F.col("mark") if mark_docs else wanted).drop("mark")
 
 
 def drop_stopwords(terms: DataFrame, stopwords: DataFrame) -> DataFrame:

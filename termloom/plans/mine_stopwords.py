@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.frequency import bad_words, document_frequency, top_df, unique_count
 from ..operators.terms import user_terms
 from ..sources.emails_tsv import read_emails_tsv
+from ..sources.spread import spread
 from ..sources.wordlists import TERMS_BY_DF_DIR, write_terms
 from ..staging import stage
 
@@ -23,7 +24,7 @@ def term_frequencies(docs: DataFrame, lang: str = "en", stem: bool = True, float
     gives the number of users, those without terms included, so the total needs no
     second pass over the texts.
     """
-    terms = user_terms(docs, lang=lang, stem=stem, once=True, mark_docs=True)
+    terms = user_terms(spread(docs), lang=lang, stem=stem, once=True, mark_docs=True)
     counts = stage(unique_count(terms), "doc-counts")
     total = counts.filter(F.col("term").isNull()).select(F.col("doc_count").alias("total_docs"))
     return document_frequency(counts.filter(F.col("term").isNotNull()), total, float32)

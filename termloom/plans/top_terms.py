@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.clean import strip_quote_header, strip_quoted_text
 from ..operators.llr import MAX_TERMS, MIN_SCORE, term_counts, top_terms_by_llr
 from ..operators.rank import sort_terms
 from ..operators.terms import user_terms
 from ..sources.emails_tsv import read_emails_tsv
+from ..sources.spread import spread
 from ..sources.wordlists import TERMS_DIR, literal_words, read_stopwords, write_terms
 
 
@@ -28,7 +30,8 @@ def top_terms_of(
     **llr_options,
 ) -> DataFrame:
     """Top terms of (email, content) rows, sorted: email, term, score."""
-    content = strip_quoted_text("content") if drop_quotes else docs["content"]
+    docs = spread(docs.select("email", "content"))
+    content = strip_quoted_text("content") if drop_quotes else F.col("content")
     cleaned = docs.select("email", strip_quote_header(content).alias("content"))
     terms = user_terms(
         cleaned, lang=lang, shingle_size=shingle_size, stopwords=stopwords, stem=stem, analyzer=analyzer
