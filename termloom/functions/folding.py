@@ -107,7 +107,8 @@ def fold(c: Column) -> Column:
     frm = "".join(ascii_up) + "".join(common) + "".join(common_del)
     to = "".join(ascii_up.values()) + "".join(common.values())
     seldom = [x for x in expand if x not in "ßẞ"]
-    lookup = F.map_from_arrays(F.lit(seldom), F.lit([expand[x] for x in seldom]))
+    # one string literal that the optimizer turns into a map, not a thousand literals
+    lookup = F.str_to_map(F.lit(";".join(f"{x}={expand[x]}" for x in seldom)), F.lit(";"), F.lit("="))
 
     def expanded(t: Column) -> Column:
         chars = F.transform(
