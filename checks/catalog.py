@@ -26,7 +26,6 @@ from termloom.plans.mine_stopwords import mine_stopwords_of, term_frequencies
 from termloom.plans.parse_archives import parse_archives
 from termloom.plans.top_terms import top_terms_of
 from termloom.sources import emails_tsv, mbox, wordlists
-from termloom.sources.spread import spread
 from termloom.staging import new_path
 
 from . import fixtures as fx
@@ -59,12 +58,12 @@ STOPWORDS = ["der", "die", "und", "the", "and", "que", "les"]
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(fx.table(spark, sf_dir, "documents"))
+    return fx.documents(spark, sf_dir)
 
 
 def user_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(email, content) as the jobs get them."""
-    return spread(fx.emails(spark, sf_dir).select(clean.normalize_email("email").alias("email"), "content"))
+    return fx.emails(spark, sf_dir).select(clean.normalize_email("email").alias("email"), "content")
 
 
 USER_DOCS = f"select {USER} as email, content from ({fx.emails_sql()})"

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from termloom.sources.spread import spread
+
 NL, TAB = "chr(10)", "chr(9)"
 
 EMAIL_COLUMNS = {
@@ -72,9 +74,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def emails(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return docs.selectExpr(*[f"{sql} as {name}" for name, sql in EMAIL_COLUMNS.items()])
+    return documents(spark, sf_dir).selectExpr(*[f"{sql} as {name}" for name, sql in EMAIL_COLUMNS.items()])
 
 
 def emails_sql() -> str:
@@ -84,7 +89,7 @@ def emails_sql() -> str:
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole mbox messages, one per document."""
-    return table(spark, sf_dir, "documents").selectExpr("doc_id", "source as path", f"{MESSAGE} as message")
+    return documents(spark, sf_dir).selectExpr("doc_id", "source as path", f"{MESSAGE} as message")
 
 
 def parsed_sql(*names: str) -> str:

@@ -17,15 +17,16 @@ MAX_TOKEN_LEN = 255
 MIN_WORD_LEN = 3
 
 # A mark that joins two letters (it's, gmail.com) or two digits (1,324; 1.456)
-# belongs to the word; anywhere else it separates. Tokens are found by splitting
-# at separators, not by matching words: a split pattern needs no repetition of
-# groups, so "1,1,1,..." lines of any length cannot exhaust the regex stack.
-_SEPARATOR = (
-    r"[^\p{L}\p{M}\p{N}_'’.:·,;]+"
-    r"|['’.](?:(?<![\p{L}\p{M}]['’.])|(?!\p{L}))(?:(?<!\p{N}['’.])|(?!\p{N}))"
-    r"|[:·](?:(?<![\p{L}\p{M}][:·])|(?!\p{L}))"
-    r"|[,;](?:(?<!\p{N}[,;])|(?!\p{N}))"
+# belongs to the word; anywhere else it separates. Words are found by replacing
+# separators, not by matching words: that needs no repetition of groups, so
+# "1,1,1,..." lines of any length cannot exhaust the regex stack. Letters fail the
+# first class, all other conditions are only tried on the few marks between words.
+_JOINED = (
+    r"['’.](?=\p{L})(?<=[\p{L}\p{M}].)"
+    r"|['’.,;](?=\p{N})(?<=\p{N}.)"
+    r"|[:·](?=\p{L})(?<=[\p{L}\p{M}].)"
 )
+_SEPARATOR = rf"[^\p{{L}}\p{{M}}\p{{N}}_](?<!{_JOINED})[^\p{{L}}\p{{M}}\p{{N}}_'’.:·,;]*"
 # Scripts written without blanks: every ideograph / hiragana sign is a word.
 _SINGLE_SIGN = r"([\p{IsHan}\p{IsHiragana}])"
 
@@ -49,7 +50,8 @@ def split_words(text) -> Column:
         apart = F.regexp_replace(t, _SINGLE_SIGN, " $1 ")
         return F.when(is_ascii(t) | ~t.rlike(_SINGLE_SIGN), t).otherwise(apart)
 
-    return F.split(let(as_col(text), spaced), _SEPARATOR)
+    # the split at a single blank needs no regular expression
+    return F.split(F.regexp_replace(let(as_col(text), spaced), _SEPARATOR, " "), " ")
 
 
 def tokenize(text, max_token_len: int = MAX_TOKEN_LEN) -> Column:

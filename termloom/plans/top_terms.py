@@ -12,7 +12,6 @@ from ..operators.llr import MAX_TERMS, MIN_SCORE, term_counts, top_terms_by_llr
 from ..operators.rank import sort_terms
 from ..operators.terms import user_terms
 from ..sources.emails_tsv import read_emails_tsv
-from ..sources.spread import spread
 from ..sources.wordlists import TERMS_DIR, literal_words, read_stopwords, write_terms
 
 
@@ -30,7 +29,6 @@ def top_terms_of(
     **llr_options,
 ) -> DataFrame:
     """Top terms of (email, content) rows, sorted: email, term, score."""
-    docs = spread(docs.select("email", "content"))
     content = strip_quoted_text("content") if drop_quotes else F.col("content")
     cleaned = docs.select("email", strip_quote_header(content).alias("content"))
     terms = user_terms(

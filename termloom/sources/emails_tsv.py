@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.clean import escape_content, normalize_email, unescape_content
 from ..functions.tokens import as_col
 from ..schemas import EMAIL_FIELDS
+from .spread import spread
 
 _DATE_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
@@ -62,7 +63,7 @@ def rejected_lines(lines: DataFrame, col: str = "value") -> DataFrame:
 
 def read_emails_tsv(spark: SparkSession, path: str | list[str], mode: str = "strict", unescape_tabs: bool = True) -> DataFrame:
     """(email, content) of e-mail files or folders; a missing path fails at once."""
-    return parse_email_lines(spark.read.text(path), "value", mode, unescape_tabs)
+    return parse_email_lines(spread(spark.read.text(path)), "value", mode, unescape_tabs)
 
 
 def write_emails_tsv(emails: DataFrame, path: str) -> None:

@@ -10,7 +10,8 @@ def spread(df: DataFrame) -> DataFrame:
 
     Analysing text costs far more than moving it, so a few unsplittable files must
     not keep the other cores idle. Input with at least one split per core is
-    returned as it is: large data is never shuffled here.
+    returned as it is: large data is never shuffled here. For plain scans only: asking
+    a plan with a shuffle for its partitions would run it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
