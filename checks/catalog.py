@@ -100,9 +100,10 @@ def escape_roundtrip(spark, sf_dir):
 
 
 FIELDS = ["id", "author", "email", "subject", "date", "replyid", "content"]
-# every 97th line lacks its first field
+# e-mails of a single line lack their first field
+ONE_LINE = f"instr(content, {NL}) = 0"
 LINE_SQL = (
-    f"select doc_id, case when doc_id % 97 = 0 then '' else id || {fx.TAB} end || "
+    f"select doc_id, case when {ONE_LINE} then '' else id || {fx.TAB} end || "
     + f" || {fx.TAB} || ".join(ESCAPED % f for f in FIELDS[1:])
     + f" as value from ({fx.emails_sql()})"
 )
@@ -112,7 +113,7 @@ def email_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     emails = fx.emails(spark, sf_dir)
     whole = emails_tsv.email_line(emails)
     cut = F.regexp_replace(whole, r"^[^\t]*\t", "")
-    return emails.select("doc_id", F.when(F.col("doc_id") % 97 == 0, cut).otherwise(whole).alias("value"))
+    return emails.select("doc_id", F.when(F.expr(ONE_LINE), cut).otherwise(whole).alias("value"))
 
 
 @query("email_line", LINE_SQL)
@@ -120,12 +121,15 @@ def email_line(spark, sf_dir):
     return email_lines(spark, sf_dir)
 
 
-@query("parse_email_line", f"select {USER} as email, content from ({fx.emails_sql()}) where doc_id % 97 <> 0")
+@query("parse_email_line", f"select {USER} as email, content from ({fx.emails_sql()}) where not {ONE_LINE}")
 def parse_email_line(spark, sf_dir):
     return emails_tsv.parse_email_lines(email_lines(spark, sf_dir), "value", mode="permissive")
 
 
-@query("rejected_lines", f"select value, 6 as n_fields from ({LINE_SQL}) where doc_id % 97 = 0")
+@query(
+    "rejected_lines",
+    f"select value, 6 as n_fields from ({LINE_SQL}) join ({fx.emails_sql()}) using (doc_id) where {ONE_LINE}",
+)
 def rejected_lines(spark, sf_dir):
     return emails_tsv.rejected_lines(email_lines(spark, sf_dir), "value")
 
@@ -537,12 +541,16 @@ def scan_mbox_list(spark, sf_dir):
     return found.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("message")).alias("chars"))
 
 
-@query("split_mbox", f"select source, doc_id, {MESSAGE_SQL} as message from documents")
+@query(
+    "split_mbox",
+    f"""select source, doc_id, 1 as seq, {MESSAGE_SQL} as message from documents
+        union all select source, doc_id, 0 as seq, 'Subject: head' || {NL} || {NL} || 'body' || {NL} from documents""",
+)
 def split_mbox(spark, sf_dir):
     # an archive per row: a message that does not start with a divider, then one that does
     text = fx.messages(spark, sf_dir).select("doc_id", "path", "message").withColumnRenamed("path", "source")
     doubled = text.select("source", "doc_id", F.concat(F.lit("Subject: head\n\nbody\n"), F.col("message")).alias("archive"))
-    return mbox.split_mbox(doubled, "archive").filter(F.col("seq") > 0).drop("seq")
+    return mbox.split_mbox(doubled, "archive")
 
 
 def parsed_messages(spark: SparkSession, sf_dir: str, **options) -> DataFrame:

@@ -29,26 +29,31 @@ def parse_messages(raw: DataFrame, max_line_len: int = mail.MAX_LINE_LEN, trim_a
     parts = split.select(
         *carried, "_long", "_mail", mail.header_block("_mail").alias("_head")
     )
-    fields = parts.select(
+    headers = parts.select(
         *carried,
         "_long",
+        "_mail",
         "_head",
         (mail.needs_mime("_head") & ~F.col("_long")).alias("_mime"),
-        "_mail",
-        mail.header_value("_head", "Message-ID").alias("id"),
-        mail.decoded(mail.header_value("_head", "From")).alias("_from"),
-        mail.decoded(mail.header_value("_head", "Subject")).alias("subject"),
+        *[mail.header_value("_head", name).alias(f"_{name}") for name in ("Message-ID", "In-Reply-To", "From", "Subject")],
+    )
+    # the only projection that calls Python, for all three values at once
+    decoded = headers.select(
+        "*",
+        mail.decoded("_From").alias("_sender"),
+        mail.decoded("_Subject").alias("subject"),
+        mail.mime_body(F.when(F.col("_mime"), F.col("_mail"))).alias("_decoded"),
+    )
+    bodies = decoded.select(
+        "*",
+        F.col("_Message-ID").alias("id"),
+        mail.from_display("_sender").alias("_creator"),
         mail.mail_date(mail.last_header_value("_head", "Date")).alias("date"),
-        mail.header_value("_head", "In-Reply-To").alias("replyid"),
+        F.col("_In-Reply-To").alias("replyid"),
         mail.recipients(mail.header_value("_head", "To")).alias("to"),
         mail.recipients(mail.header_value("_head", "Cc")).alias("cc"),
         mail.recipients(mail.header_value("_head", "Bcc")).alias("bcc"),
     )
-    bodies = fields.select(
-        "*",
-        mail.from_display("_from").alias("_creator"),
-        mail.mime_body(F.when(F.col("_mime"), F.col("_mail"))).alias("_decoded"),
-    )
     error = F.when(F.col("_long"), F.lit("line too long")).when(
         F.col("_mime") & F.col("_decoded").isNull(), F.lit("undecodable body")
     )

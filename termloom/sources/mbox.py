@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.tokens import as_col
+from .spread import spread
 
 DIVIDER = "From "
 
@@ -44,9 +45,10 @@ def scan_mbox(spark: SparkSession, paths: str | list[str], strict: bool = False)
         (F.col("block_start") == 0) & F.col("value").rlike(r"^[!-9;-~]+:(?:[ \t]|\n)")
     )
     whole = F.when(is_first, F.col("value")).otherwise(F.concat(F.lit(DIVIDER), F.col("value")))
-    return raw.filter(F.length(F.trim(F.col("value"))) > 0).select(
+    messages = raw.filter(F.length(F.trim(F.col("value"))) > 0).select(
         "path", "block_start", "seq", _one_final_newline(whole).alias("message")
     )
+    return spread(messages)
 
 
 def scan_mbox_list(spark: SparkSession, file_list: str, strict: bool = False) -> DataFrame:
