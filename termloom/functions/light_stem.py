@@ -11,6 +11,7 @@ letters before the suffix. They use only syntax shared by common regex dialects.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -186,17 +187,41 @@ LIGHT_STEMMERS: dict[str, list[Step]] = {
 }
 
 
+def _body(pattern: str) -> str:
+    """The pattern as something that covers the whole word."""
+    start = pattern[1:] if pattern.startswith("^") else f".*{pattern}"
+    return start.removesuffix("$")
+
+
+def _in_one(step: list[Rule]) -> tuple[str, str] | None:
+    """The step as a single replacement, if its rules only cut and add nothing.
+
+    The rules become alternatives in their order. Only the groups of the one that
+    matches are set, so "all groups" is what its own replacement says.
+    """
+    if any(r is not KEEP and r.replace("$1", "").replace("$2", "") for _, r in step):
+        return None
+    alternatives = [f"({_body(p)})" if r is KEEP else _body(p) for p, r in step]
+    pattern = f"^(?:{'|'.join(alternatives)})$"
+    groups = re.compile(pattern).groups
+    return pattern, "".join(f"${n}" for n in range(1, groups + 1))
+
+
 def _apply(word: Column, step: Step) -> Column:
     if step is DOUBLED:
         return F.when(F.length(word) > 4, F.regexp_replace(word, DOUBLED[0], DOUBLED[1])).otherwise(word)
     if isinstance(step, tuple):
         return F.regexp_replace(word, *step)
-    out = None
+    single = _in_one(step)
+    if single is not None:
+        return F.regexp_replace(word, *single)
+    chain = F
     for pattern, replacement in step:
         result = word if replacement is KEEP else F.regexp_replace(word, pattern, replacement)
-        matches = word.rlike(pattern)
-        out = F.when(matches, result) if out is None else out.when(matches, result)
-    return out.otherwise(word)
+        chain = chain.when(word.rlike(pattern), result)
+    # one test tells most words that none of the rules is for them
+    any_rule = f"^(?:{'|'.join(_body(p) for p, _ in step)})$"
+    return F.when(word.rlike(any_rule), chain.otherwise(word)).otherwise(word)
 
 
 def stem_tokens_light(tokens, lang: str) -> Column:
