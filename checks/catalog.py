@@ -22,8 +22,9 @@ from termloom.functions.tokens import (
 )
 from termloom.operators import frequency, llr, oversize, parse, rank
 from termloom.operators.terms import drop_stopwords, user_terms
-from termloom.plans.mine_stopwords import mine_stopwords_of, term_frequencies
+from termloom.plans.mine_stopwords import mine_stopwords, mine_stopwords_of, term_frequencies
 from termloom.plans.parse_archives import parse_archives
+from termloom.plans.top_terms import top_terms as run_top_terms
 from termloom.plans.top_terms import top_terms_of
 from termloom.sources import emails_tsv, mbox, wordlists
 from termloom.staging import new_path
@@ -710,6 +711,40 @@ def skip_oversized_running(spark, sf_dir):
     return kept.select("doc_id", F.length("text").cast("bigint").alias("n"))
 
 
+# --- whole jobs, from file to file ------------------------------------------------------------
+
+
+def email_files(spark: SparkSession, sf_dir: str) -> str:
+    path = new_path(spark, "emails")
+    emails_tsv.write_emails_tsv(fx.emails(spark, sf_dir), path)
+    return path
+
+
+@query("top_terms_job", rounded_sql(sql.top(sql_terms(CLEAN_DOCS, stopwords=STOPWORDS)), "email", "term"))
+def top_terms_job(spark, sf_dir):
+    words = new_path(spark, "stop")
+    spark.createDataFrame([(w,) for w in STOPWORDS], "value string").write.text(words)
+    out = run_top_terms(spark, email_files(spark, sf_dir), new_path(spark, "work"), words, stem=False)
+    return rounded(spark.read.parquet(out))
+
+
+@query("mine_stopwords_job", f"select term, df from ({DF}) where df > 0.2")
+def mine_stopwords_job(spark, sf_dir):
+    out = mine_stopwords(spark, email_files(spark, sf_dir), new_path(spark, "work"), max_df=0.2, stem=False)
+    return spark.read.parquet(out)
+
+
+# bodies keep their quote headers, which the job removes
+ARCHIVE_DOCS = f"select lower(trim(email)) as email, {QUOTE_HEADER} as content from ({PARSED_DOCS})"
+
+
+@query("archive_to_top_terms", rounded_sql(sql.top(porter_sql.stemmed_terms(ARCHIVE_DOCS)), "email", "term"))
+def archive_to_top_terms(spark, sf_dir):
+    emails = new_path(spark, "emails")
+    parse_archives(spark, emails, paths=archive(spark, sf_dir), oversize=None)
+    return rounded(spark.read.parquet(run_top_terms(spark, emails, new_path(spark, "work"))))
+
+
 # --- word lists ---------------------------------------------------------------------------------
 
 @query("read_stopwords", f"select term, df from ({DF}) where df > 0.2")

@@ -20,14 +20,11 @@ def parse_messages(raw: DataFrame, max_line_len: int = mail.MAX_LINE_LEN, trim_a
     """
     carried = [c for c in raw.columns if c != "message"]
     # one projection per stage: each value is computed once and used by name
-    split = raw.select(
-        *carried,
-        "message",
-        mail.over_long("message", max_line_len).alias("_long"),
-        mail.without_divider("message").alias("_mail"),
-    )
+    whole = raw.select(*carried, mail.without_divider("message").alias("_mail"))
+    split = whole.select("*", mail.header_block("_mail").alias("_head"))
+    # the limit is for lines, and for headers after they are unfolded
     parts = split.select(
-        *carried, "_long", "_mail", mail.header_block("_mail").alias("_head")
+        "*", (mail.over_long("_mail", max_line_len) | mail.over_long("_head", max_line_len)).alias("_long")
     )
     headers = parts.select(
         *carried,

@@ -45,8 +45,9 @@ def mine_stopwords(
     max_df: float = NO_MAX_DF,
     mode: str = "strict",
     fmt: str = "parquet",
+    drop_blank: bool = False,
     **options,
 ) -> str:
     """E-mail files to ``<working_dir>/terms-by-df``; returns that path."""
-    docs = read_emails_tsv(spark, input_path, mode)
+    docs = read_emails_tsv(spark, input_path, mode, drop_blank=drop_blank)
     return write_terms(mine_stopwords_of(docs, max_df, **options), working_dir, TERMS_BY_DF_DIR, fmt)

@@ -45,7 +45,7 @@ def parse_archives(
     raw = scan_mbox(spark, paths, strict_dividers) if paths else scan_mbox_list(spark, file_list, strict_dividers)
     messages, seen = with_parse_metrics(parse_messages(raw))
     messages = stage(messages, "messages")
-    emails = email_table(drop_oversized(parsed(messages), oversize))
+    emails = email_table(parsed(drop_oversized(messages, oversize)))
     if fmt == "tsv":
         write_emails_tsv(emails, output_dir)
     else:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.clean import strip_quote_header, strip_quoted_text
 from ..operators.llr import MAX_TERMS, MIN_SCORE, term_counts, top_terms_by_llr
 from ..operators.rank import sort_terms
-from ..operators.terms import user_terms
+from ..operators.terms import drop_stopwords, user_terms
 from ..sources.emails_tsv import read_emails_tsv
 from ..sources.wordlists import TERMS_DIR, literal_words, read_stopwords, write_terms
 
@@ -19,7 +19,7 @@ def top_terms_of(
     docs: DataFrame,
     max_terms: int = MAX_TERMS,
     shingle_size: int = 1,
-    stopwords: Iterable[str] | None = None,
+    stopwords: Iterable[str] | DataFrame | None = None,
     min_score: float = MIN_SCORE,
     predicate: Column | None = None,
     drop_quotes: bool = False,
@@ -28,13 +28,27 @@ def top_terms_of(
     analyzer: Callable[[Column], Column] | None = None,
     **llr_options,
 ) -> DataFrame:
-    """Top terms of (email, content) rows, sorted: email, term, score."""
+    """Top terms of (email, content) rows, sorted: email, term, score.
+
+    Stop words in a table may be any number for single words, which they are removed
+    from by a join with the counts. N-grams need them as a literal set, because a
+    stop word must leave a gap.
+    """
+    listed = None
+    if isinstance(stopwords, DataFrame):
+        if shingle_size == 1:
+            listed, stopwords = stopwords, None
+        else:
+            stopwords = literal_words(stopwords)
     content = strip_quoted_text("content") if drop_quotes else F.col("content")
     cleaned = docs.select("email", strip_quote_header(content).alias("content"))
     terms = user_terms(
         cleaned, lang=lang, shingle_size=shingle_size, stopwords=stopwords, stem=stem, analyzer=analyzer
     )
-    return sort_terms(top_terms_by_llr(term_counts(terms), max_terms, min_score, predicate, **llr_options))
+    counts = term_counts(terms)
+    if listed is not None:
+        counts = drop_stopwords(counts, listed)
+    return sort_terms(top_terms_by_llr(counts, max_terms, min_score, predicate, **llr_options))
 
 
 def top_terms(
@@ -46,13 +60,14 @@ def top_terms(
     shingle_size: int = 1,
     mode: str = "strict",
     fmt: str = "parquet",
+    drop_blank: bool = False,
     **options,
 ) -> str:
     """E-mail files to ``<working_dir>/terms``; returns that path.
 
     ``stopwords`` names a file of stemmed words, one per line.
     """
-    docs = read_emails_tsv(spark, input_path, mode)
-    words = literal_words(read_stopwords(spark, stopwords))
+    docs = read_emails_tsv(spark, input_path, mode, drop_blank=drop_blank)
+    words = None if stopwords is None else read_stopwords(spark, stopwords)
     result = top_terms_of(docs, max_terms, shingle_size, words, **options)
     return write_terms(result, working_dir, TERMS_DIR, fmt)

@@ -36,11 +36,14 @@ def is_email_line(line) -> Column:
     return F.size(email_fields(line)) == len(EMAIL_FIELDS)
 
 
-def parse_email_lines(lines: DataFrame, col: str = "value", mode: str = "strict", unescape_tabs: bool = True) -> DataFrame:
+def parse_email_lines(
+    lines: DataFrame, col: str = "value", mode: str = "strict", unescape_tabs: bool = True, drop_blank: bool = False
+) -> DataFrame:
     """(email, content) of e-mail lines.
 
     A line without exactly seven fields fails the job (``strict``) or is left out
-    (``permissive``; see :func:`rejected_lines`).
+    (``permissive``; see :func:`rejected_lines`). Messages without an address form
+    a user of their own unless ``drop_blank`` is set.
     """
     if mode not in ("strict", "permissive"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -50,10 +53,11 @@ def parse_email_lines(lines: DataFrame, col: str = "value", mode: str = "strict"
     checked = F.when(F.size(fields) == len(EMAIL_FIELDS), fields).otherwise(
         F.raise_error(F.concat(F.lit("Invalid input line: "), F.col(col)))
     )
-    return lines.select(checked.alias("fields")).select(
+    docs = lines.select(checked.alias("fields")).select(
         normalize_email(F.get("fields", F.lit(EMAIL_FIELDS.index("email")))).alias("email"),
         unescape_content(F.get("fields", F.lit(EMAIL_FIELDS.index("content"))), unescape_tabs).alias("content"),
     )
+    return docs.filter(F.col("email") != "") if drop_blank else docs
 
 
 def rejected_lines(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -61,9 +65,15 @@ def rejected_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     return lines.filter(~is_email_line(col)).select(F.col(col), F.size(email_fields(col)).alias("n_fields"))
 
 
-def read_emails_tsv(spark: SparkSession, path: str | list[str], mode: str = "strict", unescape_tabs: bool = True) -> DataFrame:
+def read_emails_tsv(
+    spark: SparkSession,
+    path: str | list[str],
+    mode: str = "strict",
+    unescape_tabs: bool = True,
+    drop_blank: bool = False,
+) -> DataFrame:
     """(email, content) of e-mail files or folders; a missing path fails at once."""
-    return parse_email_lines(spread(spark.read.text(path)), "value", mode, unescape_tabs)
+    return parse_email_lines(spread(spark.read.text(path)), "value", mode, unescape_tabs, drop_blank)
 
 
 def write_emails_tsv(emails: DataFrame, path: str) -> None:

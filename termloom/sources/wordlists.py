@@ -9,7 +9,7 @@ TERMS_DIR = "terms"
 TERMS_BY_DF_DIR = "terms-by-df"
 
 # lists up to this size become a literal set inside the analysis chain
-MAX_LITERAL_WORDS = 20_000
+MAX_LITERAL_WORDS = 5_000
 
 
 def read_stopwords(spark: SparkSession, path: str | None) -> DataFrame:
@@ -29,7 +29,7 @@ def literal_words(words: DataFrame) -> list[str]:
     """The list as Python strings, after checking that it is small."""
     rows = words.limit(MAX_LITERAL_WORDS + 1).collect()
     if len(rows) > MAX_LITERAL_WORDS:
-        raise ValueError(f"more than {MAX_LITERAL_WORDS} words; pass them as a DataFrame instead")
+        raise ValueError(f"more than {MAX_LITERAL_WORDS} words are too many for a literal set")
     return sorted(r[0] for r in rows)
 
 

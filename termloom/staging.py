@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
 
+# folders made for local sessions without that setting, by application
+_local_dirs: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder for staged tables: the session's checkpoint directory.
@@ -27,9 +30,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {_CONF} to a folder all executors can reach")
-    made = tempfile.mkdtemp(prefix="termloom-")
-    spark.conf.set(_CONF, made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="termloom-")
+    return _local_dirs[app]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

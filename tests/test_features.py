@@ -196,6 +196,15 @@ def test_exclusion_by_table(spark, occurrences):
     assert left.count() == occurrences.filter("term <> 'common'").count()
 
 
+def test_stop_words_as_a_table(spark):
+    docs = spark.createDataFrame([("a", "red apples fall"), ("b", "red pears")], "email string, content string")
+    listed = spark.createDataFrame([("red",)], "term string")
+    for size in (1, 2):
+        by_table = top_terms_of(docs, stopwords=listed, shingle_size=size, min_score=0.0).collect()
+        by_list = top_terms_of(docs, stopwords=["red"], shingle_size=size, min_score=0.0).collect()
+        assert by_table == by_list and "red" not in {r.term for r in by_table}
+
+
 def test_staged_tables_live_in_the_shared_folder(spark, occurrences):
     assert new_path(spark, "x") != new_path(spark, "x")
     staged = stage(occurrences, "pairs")

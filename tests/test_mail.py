@@ -121,6 +121,11 @@ def test_long_lines_are_rejected_and_counted(spark):
     assert messages.count() == 2 and seen.get["n_messages"] >= 1
 
 
+def test_long_folded_headers_are_rejected(spark):
+    raw = spark.createDataFrame([("Subject: a\n" + " more and more\n" * 20 + "\nbody",)], "message string")
+    assert [r.parse_error for r in parse.parse_messages(raw, max_line_len=100).collect()] == ["line too long"]
+
+
 def archive_text(n):
     return "".join(
         f"From u{i}@x.org Fri May 31 16:00:00 2013\nMessage-ID: <{i}>\n\nbody {i}\nFromage\n From here\n\n" for i in range(n)
@@ -182,6 +187,9 @@ def test_lines_need_seven_fields(spark):
     ok = emails_tsv.parse_email_lines(lines, mode="permissive").collect()
     assert [tuple(r) for r in ok] == [("a@x", "one\ntwo")]
     assert [r.n_fields for r in emails_tsv.rejected_lines(lines).collect()] == [2]
+    blank = spark.createDataFrame([("1\ta\t \ts\td\tr\ttext",)], "value string")
+    assert emails_tsv.parse_email_lines(blank).count() == 1
+    assert emails_tsv.parse_email_lines(blank, drop_blank=True).count() == 0
     with pytest.raises(Exception, match="Invalid input line"):
         emails_tsv.parse_email_lines(lines).collect()
 
