@@ -264,3 +264,19 @@ def test_arriving_files(spark, tmp_path):
     )
     run.awaitTermination(120)
     assert sorted(map(tuple, spark.table("arriving").collect())) == [("a@x", "appl"), ("a@x", "red")]
+
+
+class _Session:
+    """Just what the choice of the shared folder looks at."""
+
+    def __init__(self, master, settings):
+        self.conf = settings
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": f"app-{id(self)}"})
+
+
+def test_choice_of_the_shared_folder():
+    assert shared_dir(_Session("spark://x", {"spark.checkpoint.dir": "hdfs:///cp/"})) == "hdfs:///cp"
+    local = _Session("local[2]", {})
+    assert shared_dir(local) == shared_dir(local)
+    with pytest.raises(ValueError):
+        shared_dir(_Session("spark://x", {}))
