@@ -418,7 +418,7 @@ def df_bad_words_float32(spark, sf_dir):
 )
 def stopword_exclusion(spark, sf_dir):
     listed = mine_stopwords_of(user_docs(spark, sf_dir), stem=False)
-    return frequency.count_by(drop_stopwords(plain_terms(spark, sf_dir), listed), "term")
+    return drop_stopwords(frequency.count_by(plain_terms(spark, sf_dir), "term"), listed)
 
 
 # --- log-likelihood ratio -----------------------------------------------------------------
@@ -533,7 +533,7 @@ def scan_mbox(spark, sf_dir):
     return mbox.scan_mbox(spark, archive(spark, sf_dir)).select("message")
 
 
-@query("scan_mbox_list", f"select count(*) as n, sum(length({MESSAGE_SQL})) as chars from documents")
+@query("scan_mbox_list", f"select count(*) as n, cast(sum(length({MESSAGE_SQL})) as bigint) as chars from documents")
 def scan_mbox_list(spark, sf_dir):
     # a list with the one folder the messages are in
     listing = new_path(spark, "mbox-list")
@@ -694,7 +694,7 @@ RUNNING = """select doc_id, lang, length(text) as len,
              from documents window w as (partition by lang order by doc_id)"""
 
 
-@query("running_sizes", f"select doc_id, seen, chars from ({RUNNING})")
+@query("running_sizes", f"select doc_id, seen, cast(chars as bigint) as chars from ({RUNNING})")
 def running_sizes(spark, sf_dir):
     chunked = docs(spark, sf_dir).withColumn("chunk", F.floor(F.col("doc_id") / 64))
     sizes = oversize.running_sizes(chunked, F.length("text"), ["lang"], ["chunk"], ["doc_id"])

@@ -84,39 +84,43 @@ def user_terms(
     keep = ["email"] if keep is None else keep
     text = F.col(content)
     if analyzer is not None:
-        words, shingle_size, lang, stem, stopwords, min_len = analyzer(text), 1, "zh-cn", False, None, 1
+        words, shingle_size = analyzer(text), 1
+    elif lang == "zh-cn":
+        words = cjk_bigrams(text)
     else:
-        words = cjk_bigrams(text) if lang == "zh-cn" else tokenize(fold(text))
+        words = tokenize(fold(text))
+    has_stems = analyzer is None and lang != "zh-cn"
+    # possessives of unstemmed single words are cheaper to remove row by row
+    bare_rows = has_stems and lang == "en" and not stem and shingle_size == 1
     if once and shingle_size == 1:
         words = F.array_distinct(words)
     pieces = docs.select(*keep, F.inline(_pieces(words, shingle_size - 1, mark_docs)))
+    normal = stem_words(F.col("words"), lang, stem) if has_stems and not bare_rows else F.col("words")
 
-    by_row = shingle_size == 1 and lang == "en" and not stem
-    plain = by_row or lang == "zh-cn"
-    normal = F.col("words") if plain else stem_words(F.col("words"), lang, stem)
+    wanted = F.col("term").isNotNull()
     if shingle_size == 1:
         rows = pieces.select(*keep, "mark", F.explode(normal).alias("term"))
-        if by_row:
+        if bare_rows:
             rows = rows.withColumn("term", possessive_base("term"))
-        wanted = F.col("term").isNotNull()
         if analyzer is None:
             wanted = wanted & ~is_noise_word("term", stopwords, min_len)
     else:
         # a projection of its own, so that the stemmer runs once however often it is used
         stemmed = pieces.select(*keep, "mark", "context", normal.alias("words"))
-        kept = filter_words("words", stopwords, min_len)
         grams = let(
-            kept,
+            filter_words("words", stopwords, min_len),
             lambda w: F.concat(
                 *[F.slice(g, F.col("context") + 1, F.size(w)) for g in ngrams_by_end(w, shingle_size)]
             ),
         )
         terms = F.when(F.col("mark"), F.col("words")).otherwise(F.array_distinct(grams) if once else grams)
         rows = stemmed.select(*keep, "mark", F.explode(terms).alias("term"))
-        wanted = F.col("term").isNotNull()
     return rows.filter(wanted | F.col("mark") if mark_docs else wanted).drop("mark")
 
 
 def drop_stopwords(terms: DataFrame, stopwords: DataFrame) -> DataFrame:
-    """Rows whose single-word term is not in a stop-word table of any size."""
+    """Rows whose single-word term is not in a stop-word table of any size.
+
+    Meant for counts: there a common term has few rows to move.
+    """
     return terms.join(stopwords.select("term"), "term", "left_anti").select(*terms.columns)
