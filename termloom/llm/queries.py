@@ -7,7 +7,10 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .licenses import scan_licenses
 from .near_dup import near_duplicates
+from .quality import quality
+from .sharding import shard_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,11 +19,26 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, similarity=Fraction(85, 100))
 
 
+def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_rows(_table(spark, sf_dir, "documents"), weights=[1.0] * 24)
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op3_licenses": op3_licenses,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_shards": op6_shards,
+    "op10_quality": op10_quality,
 }
 ORACLES: dict[str, str] = {}
