@@ -24,8 +24,9 @@ PRIOR_GOOD = 0.9
 AGAINST_GOOD, AGAINST_OWN, AGAINST_OTHER = 0.01, 0.8, 0.05
 #: documents of a class that this belief weighs as much as
 PRIOR_DOCUMENTS = 20.0
-#: bounds of the estimated shares, so that no vote decides alone for ever
-LEAST, MOST = 0.001, 0.999
+#: bounds of the estimated shares; a rule may be wrong about few good documents only, or a
+#: way of being bad that one rule sees could as well pass for good
+LEAST, MOST, MOST_GOOD = 0.001, 0.999, 0.02
 
 _BLANKS = " \t\n\u000b\f\r"
 _GAP, _NOT_GAP = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]"
@@ -100,6 +101,7 @@ def with_counts(docs: DataFrame, text_col: str) -> DataFrame:
             F.filter("_q_words", lambda w, i: F.coalesce(w == F.get(F.col("_q_words"), i - 1), F.lit(False)))
         ),
         "_q_upper": F.regexp_count("_q_text", F.lit(r"\p{Lu}")),
+        "_q_signs": F.regexp_count("_q_text", F.lit(r"[^\p{L}\p{N}\s]")),
         "_q_shouts": F.length("_q_text") - F.length(F.replace(F.col("_q_text"), F.lit("!"), F.lit(""))),
         "_q_n_lines": F.size("_q_lines"),
         "_q_ended": F.size(F.filter("_q_lines", lambda x: F.rlike(x, F.lit(r'[.!?:"»”…]\s*$')))),
@@ -121,6 +123,7 @@ def votes(q: Column) -> Column:
     words, lines = q["n_words"] > 0, q["_q_n_lines"] >= 3
     rules = {
         "marks": (share("n_symbols", "n_words"), lambda x: x <= 0.02, lambda x: x > 0.1, words),
+        "signs": (share("_q_signs", "word_chars"), lambda x: x <= 0.1, lambda x: x > 0.15, words),
         "capitals": (share("_q_upper", "word_chars"), lambda x: x <= 0.15, lambda x: x > 0.4, words),
         "shouts": (share("_q_shouts", "n_words"), lambda x: x <= 0.1, lambda x: x > 0.3, words),
         "windows": (share("n_repeat_words", "n_words"), lambda x: x <= 0.1, lambda x: x > 0.25, words),
@@ -135,7 +138,7 @@ def votes(q: Column) -> Column:
 
 #: rules by the way of being bad that they look for; the first class is the good one
 WAYS = {
-    "marks": ["marks"],
+    "marks": ["marks", "signs"],
     "shouting": ["capitals", "shouts"],
     "repetition": ["windows", "lines", "variety", "stutter"],
     "shape": ["length", "ends"],
@@ -202,7 +205,7 @@ def fit(patterns: DataFrame) -> DataFrame:
                 cast(-1),
                 lambda x: F.greatest(
                     F.lit(LEAST),
-                    F.least(F.lit(MOST), (x + believed * PRIOR_DOCUMENTS) / (x + cast(1) + PRIOR_DOCUMENTS)),
+                    F.least(F.when(c == 0, MOST_GOOD).otherwise(MOST), (x + believed * PRIOR_DOCUMENTS) / (x + cast(1) + PRIOR_DOCUMENTS)),
                 ),
             )
 
