@@ -32,6 +32,7 @@ from pyspark.sql.window import Window
 
 from ..staging import stage
 from .graph import components
+from .grouping import sorted_groups
 from .hashing import WordHasher, shingles
 
 COORDS = 48
@@ -109,34 +110,6 @@ def _posts(coords: int):
     return run
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
-    """Sorted rows as tables of whole groups, with the bounds of the groups."""
-    held: list[pa.RecordBatch] = []
-
-    def cut(rows: list[pa.RecordBatch], last: bool):
-        table = pa.Table.from_batches(rows)
-        n = table.num_rows
-        change = np.zeros(n - 1, bool)
-        for k in keys:
-            col = table.column(k).to_numpy()
-            change |= col[1:] != col[:-1]
-        bounds = np.concatenate([[0], np.flatnonzero(change) + 1, [n]])
-        if last:
-            return table, bounds, []
-        return table.slice(0, bounds[-2]), bounds[:-1], table.slice(bounds[-2]).combine_chunks().to_batches()
-
-    for batch in batches:
-        if batch.num_rows:
-            held.append(batch)
-            first, end = held[0], held[-1]
-            if any(first.column(k)[0] != end.column(k)[end.num_rows - 1] for k in keys):
-                table, bounds, held = cut(held, False)
-                yield table, bounds
-    if held:
-        table, bounds, _ = cut(held, True)
-        yield table, bounds
-
-
 def _parts(n: int, near) -> Iterator[np.ndarray]:
     """Connected parts of n members; ``near(i, rest)`` says which of the rest are linked with i.
 
@@ -170,7 +143,7 @@ def _edges(found: list[np.ndarray]) -> pa.RecordBatch:
 
 def _match_lists(coords: int, match_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, bounds in _groups(batches, ["key", "i", "j"]):
+        for table, bounds in sorted_groups(batches, ["key", "i", "j"]):
             ids = table.column("id").to_numpy()
             sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(-1, coords)
             sizes = np.diff(bounds)
@@ -227,7 +200,7 @@ def _confirm(num: int, den: int):
         return _parts(len(sets), near)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, bounds in _groups(batches, ["family", "i", "j"]):
+        for table, bounds in sorted_groups(batches, ["family", "i", "j"]):
             ids, found = table.column("id").to_numpy(), []
             for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
                 if hi - lo > 1:

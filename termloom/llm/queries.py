@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from fractions import Fraction
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from . import langid
+from .encoders import WORD_PIECES
 from .licenses import scan_licenses
 from .near_dup import near_duplicates
+from .packing import pack
 from .quality import quality
 from .sharding import shard_rows
 
@@ -31,6 +35,17 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(_table(spark, sf_dir, "documents"), weights=[1.0] * 24)
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), WORD_PIECES, end_id=2
+    )
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(_table(spark, sf_dir, "documents"))
 
@@ -39,6 +54,8 @@ QUERIES: dict[str, Query] = {
     "op3_licenses": op3_licenses,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_shards": op6_shards,
+    "op7_packing": op7_packing,
+    "op9_language": op9_language,
     "op10_quality": op10_quality,
 }
 ORACLES: dict[str, str] = {}
