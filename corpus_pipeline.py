@@ -16,7 +16,7 @@ from termloom.llm.quality import drop_low_quality
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known stay: those with a letter and a score of one half or more."""
+    """Documents whose language is known stay: those with a letter and a score that no guess among many reaches."""
     return langid.drop_unidentified(docs, langid.fit(docs))
 
 

@@ -279,7 +279,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     return out.withColumnRenamed("id", id_col)
 
 
-def drop_unidentified(docs: DataFrame, model: Model | None, text_col: str = "text", least_score: float = 0.5) -> DataFrame:
+def drop_unidentified(docs: DataFrame, model: Model | None, text_col: str = "text", least_score: float = 0.35) -> DataFrame:
     """The rows of ``docs`` whose language is known with at least that probability, all columns."""
     place = docs.columns.index(text_col)
 

@@ -13,6 +13,7 @@ from .encoders import WORD_PIECES
 from .licenses import scan_licenses
 from .near_dup import near_duplicates
 from .packing import pack
+from .pieces import encode_and_decode
 from .quality import quality
 from .sharding import shard_rows
 
@@ -23,6 +24,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_and_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents"))
 
@@ -51,6 +56,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_pieces": op1_pieces,
     "op3_licenses": op3_licenses,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_shards": op6_shards,
