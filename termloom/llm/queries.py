@@ -8,14 +8,16 @@ from fractions import Fraction
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from ..staging import new_path
 from . import langid
-from .encoders import WORD_PIECES
+from .encoders import BYTE_LEVEL_PIECES, WORD_PIECES
 from .licenses import scan_licenses
 from .near_dup import near_duplicates
 from .packing import pack
 from .pieces import encode_and_decode
 from .quality import quality
 from .sharding import shard_rows
+from .token_files import token_digest, write_token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +34,13 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "token-files")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    write_token_files(_table(spark, sf_dir, "documents"), path, tokenizer, BYTE_LEVEL_PIECES, end_id=2)
+    return token_digest(spark, path)
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, similarity=Fraction(85, 100))
 
@@ -58,6 +67,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_pieces": op1_pieces,
     "op3_licenses": op3_licenses,
+    "op4_token_files": op4_token_files,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_shards": op6_shards,
     "op7_packing": op7_packing,
