@@ -7,6 +7,7 @@ from fractions import Fraction
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..staging import new_path
 from . import langid
@@ -18,6 +19,7 @@ from .pieces import encode_and_decode
 from .quality import quality
 from .sharding import shard_rows
 from .token_files import token_digest, write_token_files
+from .top_products import top_products
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +57,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20, scale=64)
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.fit(docs))
@@ -71,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op5_near_duplicates": op5_near_duplicates,
     "op6_shards": op6_shards,
     "op7_packing": op7_packing,
+    "op8_top_products": op8_top_products,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
 }
