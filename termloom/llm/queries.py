@@ -15,6 +15,7 @@ from .encoders import BYTE_LEVEL_PIECES, WORD_PIECES
 from .licenses import scan_licenses
 from .near_dup import near_duplicates
 from .packing import pack
+from .page_text import extract_pages
 from .pieces import encode_and_decode
 from .quality import quality
 from .sharding import shard_rows
@@ -32,6 +33,10 @@ def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op2_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents"))
 
@@ -72,6 +77,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_pieces": op1_pieces,
+    "op2_pages": op2_pages,
     "op3_licenses": op3_licenses,
     "op4_token_files": op4_token_files,
     "op5_near_duplicates": op5_near_duplicates,
