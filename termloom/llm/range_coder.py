@@ -4,10 +4,10 @@ Every block is coded from a fresh model, so blocks can be read alone. One step c
 each block (a lane), with numpy over the lanes:
 
 * order 2 and order 1: tables from hashed contexts to the id that followed last, with a
-  confidence; order 0: how often ids of each bit length have occurred;
+  confidence; order 0: how often ids of each size class have occurred;
 * mixing: by both confidences, and whether the predictions are equal, an adaptive share of
   the range goes to each order's id, and the rest to order 0;
-* a carry-less range coder of 64 bits, which puts out 16 bits at a time.
+* a carry-less range coder of 64 bits, which puts out 32 bits at a time.
 """
 
 from __future__ import annotations
@@ -15,17 +15,20 @@ from __future__ import annotations
 import numpy as np
 
 U = np.uint64
-TOP, BOT = U(1 << 48), U(1 << 40)
+WORD = U(32)
+#: one id takes less than 32 bits of the range; below that, a word is put out
+BOT = U(1 << 32)
+REST = BOT - U(1)
 SLOT_BITS = 10
-MIX_BITS, CLASS_BITS = 12, 13
-CLASSES = 17  # bit lengths of ids, 0 to 16
+MIX_BITS, CLASS_BITS, SHARE_BITS = 10, 10, 12
+LEAST_MISS = 8  # of 2**MIX_BITS, kept for ids that no context predicts
 REBUILD = 32  # steps after which the order-0 shares follow their counts
 
-_LENGTH = np.zeros(1 << 16, np.int8)
-for _b in range(16):
-    _LENGTH[1 << _b : 2 << _b] = _b + 1
-_FIRST = np.array([0] + [1 << b for b in range(16)])  # smallest id of a class
-_BITS = np.array([0] + list(range(16)), np.uint64)  # bits that tell its ids apart
+# classes: ids below 4096 by bit length, others by their upper 4 of 16 bits
+_CLASS = np.array([i.bit_length() if i < 4096 else 12 + (i >> 12) for i in range(1 << 16)], np.int64)
+CLASSES = 28
+_FIRST = np.array([0, *[1 << b for b in range(12)], *[k << 12 for k in range(1, 16)]])  # smallest id of a class
+_BITS = np.array([0, *range(12), *[12] * 15], np.uint64)  # bits that tell its ids apart
 
 
 class _Model:
@@ -39,7 +42,7 @@ class _Model:
             first[s] = (64 + 900 * (s >> 3), 64 + 900 * (s >> 1 & 3))
         self.mix = np.tile(first, (lanes, 1)).reshape(-1, 2)
         self.two_share, self.one_share = self.mix[:, 0].copy(), self.mix[:, 1].copy()
-        self.counts = np.tile(np.maximum(1, (1 << np.maximum(0, np.arange(CLASSES) - 1)) >> 8).astype(np.int64), (lanes, 1))
+        self.counts = np.tile(np.maximum(1, 1 << np.maximum(0, _BITS.astype(np.int64) - 8)), (lanes, 1))
         self.table = np.arange(lanes, dtype=np.int64) << SLOT_BITS
         self.state = np.arange(lanes, dtype=np.int64) << 5
         self.class_row = np.arange(lanes, dtype=np.int64) * CLASSES
@@ -65,8 +68,9 @@ class _Model:
         self.c1, self.c2 = self.e1 & 3, self.e2 & 3
         self.at = self.state[:m] + (self.c2 << 3 | self.c1 << 1 | (self.p1 == self.p2))
         self.s2, self.s1 = self.two_share[self.at], self.one_share[self.at]
-        self.end2 = self.s2
-        self.end1 = self.s2 + (((1 << MIX_BITS) - self.s2) * self.s1 >> MIX_BITS)
+        self.end2 = self.s2 >> (SHARE_BITS - MIX_BITS)
+        left = (1 << MIX_BITS) - LEAST_MISS - 1 - self.end2
+        self.end1 = self.end2 + 1 + (left * self.s1 >> SHARE_BITS)
 
     def update(self, m: int, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, missed: np.ndarray, classes: np.ndarray) -> None:
         """``hit1``: only order 1 was right; classes: those of the missed lanes."""
@@ -89,6 +93,12 @@ def _by_length(lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(-n[order], -np.arange(int(n.max(initial=0))), side="left")
 
 
+def _cut(low: np.ndarray, rng: np.ndarray) -> np.ndarray:
+    """The range after its highest word has been put out, less what lies beyond that word."""
+    settled = (low ^ (low + rng)) <= REST
+    return np.where(settled, rng, (~low + U(1)) & REST) << WORD
+
+
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
     """The code of each block of ids below 65536; ids as int32."""
     if not blocks:
@@ -99,7 +109,7 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
         ids[: len(blocks[b]), lane] = blocks[b]
     lanes = len(blocks)
     model, low, rng = _Model(lanes), np.zeros(lanes, U), np.full(lanes, 2**64 - 1, U)
-    out, end = np.zeros((lanes, 256), np.uint16), np.zeros(lanes, np.int64)
+    out, end = np.zeros((lanes, 256), np.uint32), np.zeros(lanes, np.int64)
     for t, m in enumerate(active):
         x = ids[t, :m]
         model.predict(m)
@@ -112,7 +122,7 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
         r = r * size.astype(U)
         missed = np.flatnonzero(~(hit2 | hit1))
         y = x[missed]
-        c = _LENGTH[y].astype(np.int64)
+        c = _CLASS[y]
         cell = model.cum_row[missed] + c
         cum = model.cum.reshape(-1)
         lo = cum[cell]
@@ -121,25 +131,21 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
         rm = (rm * (cum[cell + 1] - lo).astype(U)) >> _BITS[c]
         l[missed] = lm + rm * (y - _FIRST[c]).astype(U)
         r[missed] = rm
-        while True:
-            settled = (l ^ (l + r)) < TOP
-            short = np.flatnonzero(settled | (r < BOT))
-            if not len(short):
-                break
-            ls = l[short]
-            rs = np.where(settled[short], r[short], (~ls + U(1)) & (BOT - U(1)))
+        short = np.flatnonzero(r < BOT)
+        if len(short):
+            ls, r[short] = l[short], _cut(l[short], r[short])
             e = end[short]
             if e.max() >= out.shape[1]:
                 out = np.concatenate([out, np.zeros_like(out)], 1)
-            out[short, e] = (ls >> U(48)).astype(np.uint16)
+            out[short, e] = ls >> WORD
             end[short] = e + 1
-            l[short], r[short] = ls << U(16), rs << U(16)
+            l[short] = ls << WORD
         low[:m], rng[:m] = l, r
         model.update(m, x, hit2, hit1, missed, c)
-    tail = np.stack([(low >> U(s)).astype(np.uint16) for s in (48, 32, 16, 0)], 1)
+    tail = np.stack([low >> WORD, low & REST], 1).astype(np.uint32)
     found = [b""] * lanes
     for lane, b in enumerate(order):
-        found[b] = np.concatenate([out[lane, : end[lane]], tail[lane]]).astype("<u2").tobytes()
+        found[b] = np.concatenate([out[lane, : end[lane]], tail[lane]]).astype("<u4").tobytes()
     return found
 
 
@@ -149,15 +155,13 @@ def decode(codes: list[bytes], lengths: list[int]) -> list[np.ndarray]:
         return []
     order, active = _by_length(lengths)
     lanes = len(codes)
-    words = [np.frombuffer(codes[b], "<u2") for b in order]
-    held = np.zeros((lanes, max(map(len, words)) + 8), np.uint16)
+    words = [np.frombuffer(codes[b], "<u4") for b in order]
+    held = np.zeros((lanes, max(map(len, words)) + 8), np.uint32)
     for lane, w in enumerate(words):
         held[lane, : len(w)] = w
     ids = np.zeros((len(active), lanes), np.int32)
     model, low, rng = _Model(lanes), np.zeros(lanes, U), np.full(lanes, 2**64 - 1, U)
-    code, place = np.zeros(lanes, U), np.full(lanes, 4)
-    for k in range(4):
-        code = code << U(16) | held[:, k]
+    code, place = held[:, 0].astype(U) << WORD | held[:, 1], np.full(lanes, 2)
     last = held.shape[1] - 1
     for t, m in enumerate(active):
         model.predict(m)
@@ -181,17 +185,13 @@ def decode(codes: list[bytes], lengths: list[int]) -> list[np.ndarray]:
         off = np.minimum((vm - lm) // rm, (U(1) << _BITS[c]) - U(1))
         x[missed] = _FIRST[c] + off.astype(np.int64)
         l[missed], r[missed] = lm + rm * off, rm
-        while True:
-            settled = (l ^ (l + r)) < TOP
-            short = np.flatnonzero(settled | (r < BOT))
-            if not len(short):
-                break
-            ls = l[short]
-            rs = np.where(settled[short], r[short], (~ls + U(1)) & (BOT - U(1)))
-            p = np.minimum(place[short], last)
-            code[short] = code[short] << U(16) | held[short, p]
+        short = np.flatnonzero(r < BOT)
+        if len(short):
+            ls, r[short] = l[short], _cut(l[short], r[short])
+            p = place[short]
+            code[short] = code[short] << WORD | held[short, np.minimum(p, last)]
             place[short] = p + 1
-            l[short], r[short] = ls << U(16), rs << U(16)
+            l[short] = ls << WORD
         low[:m], rng[:m] = l, r
         ids[t, :m] = x
         model.update(m, x, hit2, hit1, missed, c)
