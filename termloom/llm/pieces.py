@@ -13,7 +13,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import ahocorasick
 import numpy as np
@@ -22,10 +22,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import small_batches
+from .cache import PieceCache
+
 SPACE = "▁"
-CACHE_WORDS = 300_000
 CACHE_PAIRS = 500_000
-LONG_WORD = 64  # longer ones are not kept
+TOGETHER = 1 << 20  # characters whose new words are encoded together
 
 
 class MergeEncoder:
@@ -53,13 +55,27 @@ class MergeEncoder:
         for p, i in self.ids.items():
             self.automaton.add_word(p, (len(p), i))
         self.automaton.make_automaton()
+        # the longest token that a token begins with, other than itself; -1 if there is none
+        self.shorter = {
+            i: next((self.ids[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in self.ids), -1)
+            for p, i in self.ids.items()
+        }
+        self.lengths = {i: len(p) for p, i in self.ids.items()}
         self.known = {p for p in self.ids if len(p) == 1}
-        # no token spans the end of a word if none has a space after another sign
-        inner = any(SPACE in p.lstrip(SPACE) for p in self.ids)
-        self.word = re.compile("(?s).+" if inner else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-        self.words: dict[str, bytes] = {}
+        self.word = re.compile(self._words())
+        self.cache = PieceCache(lambda words: map(self._word, words))
         self.pairs: dict[int, bool] = {}
 
+    def _words(self) -> str:
+        """A pattern that cuts only between signs that stand side by side in no token."""
+        sides = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
+        if any(s[1] == SPACE != s[0] for s in sides):
+            return "(?s).+"
+        letters = {s for s in self.known if s.isalpha() and s < "\u0250"}
+        marks = {m for m in self.known if not m.isalnum() and m != SPACE and not any(s + m in sides for s in letters)}
+        cut = f"{SPACE}*[{''.join(map(re.escape, sorted(letters)))}]++(?=[{''.join(map(re.escape, sorted(marks)))}])|"
+        return (cut if marks else "") + f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+"
+
     def merge(self, text: str) -> list[str]:
         """Tokens of a short text by merging: the best-scored pair first, the left one of equals."""
         symbols = list(text)
@@ -76,42 +92,41 @@ class MergeEncoder:
 
     def agree(self, left: int, right: int) -> bool:
         """Whether two tokens stay as they are side by side; ``left`` -1 is the start of the text."""
-        key = left << 32 | right
-        found = self.pairs.get(key)
-        if found is None:
-            if len(self.pairs) >= CACHE_PAIRS:
-                self.pairs.clear()
-            tokens = [self.pieces[right]] if left < 0 else [self.pieces[left], self.pieces[right]]
-            found = self.pairs[key] = self.merge("".join(tokens)) == tokens
+        if len(self.pairs) >= CACHE_PAIRS:
+            self.pairs.clear()
+        tokens = [self.pieces[right]] if left < 0 else [self.pieces[left], self.pieces[right]]
+        found = self.pairs[left << 32 | right] = self.merge("".join(tokens)) == tokens
         return found
 
     def _run(self, text: str) -> list[int]:
         """Ids of a text of known signs."""
         n = len(text)
-        here: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        for end, match in self.automaton.iter(text):
-            here[end + 1 - match[0]].append(match)  # shorter ones come first
+        longest = [0] * n
+        for end, (length, token) in self.automaton.iter(text):
+            longest[end + 1 - length] = token  # what ends later is longer
+        lengths, shorter, pairs = self.lengths, self.shorter, self.pairs
         failed = bytearray((n >> 3) + 1)
         out: list[int] = []
-        tried: list[int] = []
-        at, k = 0, len(here[0]) - 1
-        while at < n:
-            options, left = here[at], out[-1] if out else -1
-            while k >= 0:
-                length, token = options[k]
-                to = at + length
-                if not failed[to >> 3] >> (to & 7) & 1 and self.agree(left, token):
-                    break
-                k -= 1
-            if k >= 0:
+        at, token = 0, longest[0]
+        while True:
+            left = out[-1] if out else -1
+            while token >= 0:
+                to = at + lengths[token]
+                if not failed[to >> 3] >> (to & 7) & 1:
+                    fits = pairs.get(left << 32 | token)
+                    if self.agree(left, token) if fits is None else fits:
+                        break
+                token = shorter[token]
+            if token >= 0:
                 out.append(token)
-                tried.append(k)
-                at, k = to, len(here[to]) - 1 if to < n else 0
+                if to == n:
+                    return out
+                at, token = to, longest[to]
             else:
                 failed[at >> 3] |= 1 << (at & 7)
-                at -= len(self.pieces[out.pop()])
-                k = tried.pop() - 1
-        return out
+                last = out.pop()
+                at -= lengths[last]
+                token = shorter[last]
 
     def _word(self, word: str) -> bytes:
         ids: list[int] = []
@@ -129,25 +144,33 @@ class MergeEncoder:
                 ids += [self.bytes[b] for b in sign.encode()]
         return np.array(ids, "<u4").tobytes()
 
-    def _join(self, words: list[str]) -> bytes:
-        new = set(words).difference(self.words)
-        if new:
-            if len(self.words) + len(new) > CACHE_WORDS:
-                self.words.clear()
-                new = set(words)
-            more = {w: self._word(w) for w in new}
-            self.words.update((w, ids) for w, ids in more.items() if len(w) <= LONG_WORD)
-            if any(len(w) > LONG_WORD for w in new):
-                return b"".join([more[w] if w in more else self.words[w] for w in words])
-        return b"".join(map(self.words.__getitem__, words))
-
-    def encode(self, text: str | None) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers, without begin and end; null is empty."""
-        normal = self.library.normalize(text or "")
+    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers, without begin and end; null is empty."""
+        held: list[list[str]] = []
+        size = 0
+        for text in texts:
+            text = text or ""
+            if size + len(text) > TOGETHER:
+                yield from self._flush(held)
+                held, size = [], 0
+            normal = self.library.normalize(text)
+            if len(text) > TOGETHER:
+                yield self._long(normal)
+            else:
+                held.append(self.word.findall(normal))
+                size += len(text)
+        yield from self._flush(held)
+
+    def _flush(self, held: list[list[str]]) -> Iterator[bytes]:
+        self.cache.learn(chain.from_iterable(held))
+        yield from map(self.cache.join, held)
+
+    def _long(self, normal: str) -> bytes:
         words = (m.group() for m in self.word.finditer(normal))
         out = []
-        while part := list(islice(words, 50_000)):
-            out.append(self._join(part))
+        while part := list(islice(words, 100_000)):
+            self.cache.learn(part)
+            out.append(self.cache.join(part))
         return b"".join(out)
 
     def decode(self, ids: list[int]) -> str:
@@ -160,8 +183,8 @@ def _digests(path: str):
         begin, end = (np.array([i], "<u4").tobytes() for i in (encoder.bos, encoder.eos))
         for batch in batches:
             rows = []
-            for text in batch.column(1):
-                ids = begin + encoder.encode(text.as_py()) + end
+            for ids in encoder.encode(batch.column(1).to_pylist()):
+                ids = begin + ids + end
                 decoded = encoder.decode(np.frombuffer(ids, "<u4").tolist())
                 rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
             n, coded, decoded = list(zip(*rows, strict=True)) or [[]] * 3
@@ -180,6 +203,7 @@ def encode_and_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id",
     makes of them again. A null text is empty. Equal texts get equal results; repeated and
     null ids change nothing. An empty table gives an empty table; other columns are not read.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     out = rows.mapInArrow(_digests(model_path), "id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
     return out.withColumnRenamed("id", id_col)
