@@ -71,9 +71,13 @@ def read_emails_tsv(
     mode: str = "strict",
     unescape_tabs: bool = True,
     drop_blank: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """(email, content) of e-mail files or folders; a missing path fails at once."""
-    return parse_email_lines(spread(spark.read.text(path)), "value", mode, unescape_tabs, drop_blank)
+    """(email, content) of e-mail files or folders; a missing path fails at once.
+
+    ``partitions`` deals the lines over that many tasks.
+    """
+    return parse_email_lines(spread(spark.read.text(path), partitions), "value", mode, unescape_tabs, drop_blank)
 
 
 def write_emails_tsv(emails: DataFrame, path: str) -> None:

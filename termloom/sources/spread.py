@@ -1,17 +1,15 @@
-"""Input that comes in fewer pieces than there are cores."""
+"""Input in more pieces than its files have."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Redistribute rows if the input has fewer splits than the cluster has cores.
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """The rows dealt evenly over that many partitions; ``None`` leaves them where they are.
 
-    Analysing text costs far more than moving it, so a few unsplittable files must
-    not keep the other cores idle. Input with at least one split per core is
-    returned as it is: large data is never shuffled here. For plain scans only: asking
-    a plan with a shuffle for its partitions would run it.
+    For few files that can't be split, or whose row groups are few: analysing text costs far
+    more than moving it. How many splits a scan has says nothing about where its rows are, so
+    this is the caller's choice alone.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if partitions is None else df.repartition(partitions)

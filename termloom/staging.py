@@ -8,38 +8,58 @@ scan only the columns they need. Nothing is kept in executor memory.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
 
-# folders made for local sessions without that setting, by application
-_local_dirs: dict[str, str] = {}
+# folder of the job that is running, if one has been begun
+_job: ContextVar[str | None] = ContextVar("termloom_job", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for staged tables: the session's checkpoint directory.
+    """Folder for staged tables: the session's checkpoint directory, which must be set.
 
-    Only a local-mode session without that setting gets a temporary folder;
-    on a cluster a machine-local folder would not be readable by others.
+    A machine-local folder would not be readable by other machines, so none is made here.
     """
     configured = spark.conf.get(_CONF, "")
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured:
         raise ValueError(f"set {_CONF} to a folder all executors can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="termloom-")
-    return _local_dirs[app]
+    return configured.rstrip("/")
+
+
+def _unique(name: str) -> str:
+    return f"{name}-{uuid.uuid4().hex[:12]}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; never reused, so never overwritten."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/termloom/{app}/{name}-{uuid.uuid4().hex[:12]}"
+    folder = _job.get() or f"{shared_dir(spark)}/termloom/{spark.sparkContext.applicationId}"
+    return f"{folder}/{_unique(name)}"
+
+
+@contextmanager
+def job_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """What is staged inside goes to one folder, which is deleted at the end.
+
+    For jobs that write their result to a file: nothing lazy may outlive the folder. A job
+    within a job uses the outer one's folder.
+    """
+    if _job.get():
+        yield _job.get()
+        return
+    path = new_path(spark, name)
+    token = _job.set(path)
+    try:
+        yield path
+    finally:
+        _job.reset(token)
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
