@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from .folding import is_ascii
 from .let import let
 
-MAX_TOKEN_LEN = 255
 MIN_WORD_LEN = 3
 
 # A mark that joins two letters (it's, gmail.com) or two digits (1,324; 1.456)
@@ -54,8 +53,10 @@ def split_words(text) -> Column:
     return F.split(F.regexp_replace(let(as_col(text), spaced), _SEPARATOR, " "), " ")
 
 
-def tokenize(text, max_token_len: int = MAX_TOKEN_LEN) -> Column:
-    """Words of a text in order; over-long runs are discarded."""
+def tokenize(text, max_token_len: int | None = None) -> Column:
+    """Words of a text in order; with ``max_token_len``, longer ones are left out."""
+    if max_token_len is None:
+        return F.filter(split_words(text), lambda t: t != "")
     return F.filter(split_words(text), lambda t: F.length(t).between(1, max_token_len))
 
 

@@ -7,12 +7,11 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.analysis import require_language, stem_words
+from ..functions.analysis import min_length, require_language, stem_words
 from ..functions.cjk import cjk_bigrams
 from ..functions.folding import fold
 from ..functions.let import let
 from ..functions.tokens import (
-    MIN_WORD_LEN,
     filter_words,
     is_noise_word,
     ngrams_by_end,
@@ -63,11 +62,12 @@ def user_terms(
     lang: str = "en",
     shingle_size: int = 1,
     stopwords: Iterable[str] | None = None,
-    min_len: int = MIN_WORD_LEN,
+    min_len: int | None = None,
     stem: bool = True,
     once: bool = False,
     mark_docs: bool = False,
     analyzer: Callable[[Column], Column] | None = None,
+    max_token_len: int | None = None,
 ) -> DataFrame:
     """One row per term occurrence of every document: ``keep`` columns and ``term``.
 
@@ -78,9 +78,12 @@ def user_terms(
     ``once=True`` drops repetitions within a document early, for callers that only
     ask which users have a term. ``mark_docs=True`` adds one row with a null term
     per document, so that a count of documents or users can be taken in the same
-    pass. ``analyzer`` replaces the whole chain.
+    pass. ``analyzer`` replaces the whole chain except ``stopwords``: its terms are
+    left out if one of their words is listed. Words of any length are kept unless
+    ``max_token_len`` is given.
     """
     require_language(lang)
+    min_len = min_length(lang, min_len)
     keep = ["email"] if keep is None else keep
     text = F.col(content)
     if analyzer is not None:
@@ -88,7 +91,7 @@ def user_terms(
     elif lang == "zh-cn":
         words = cjk_bigrams(text)
     else:
-        words = tokenize(fold(text))
+        words = tokenize(fold(text), max_token_len)
     has_stems = analyzer is None and lang != "zh-cn"
     # possessives of unstemmed single words are cheaper to remove row by row
     bare_rows = has_stems and lang == "en" and not stem and shingle_size == 1
@@ -104,6 +107,8 @@ def user_terms(
             rows = rows.withColumn("term", possessive_base("term"))
         if analyzer is None:
             wanted = wanted & ~is_noise_word("term", stopwords, min_len)
+        elif listed := sorted(set(stopwords or ())):
+            wanted = wanted & ~F.exists(F.split("term", " "), lambda w: w.isin(listed))
     else:
         # a projection of its own, so that the stemmer runs once however often it is used
         stemmed = pieces.select(*keep, "mark", "context", normal.alias("words"))
@@ -119,8 +124,13 @@ def user_terms(
 
 
 def drop_stopwords(terms: DataFrame, stopwords: DataFrame) -> DataFrame:
-    """Rows whose single-word term is not in a stop-word table of any size.
+    """Rows whose term holds no word of a stop-word table of any size.
 
-    Meant for counts: there a common term has few rows to move.
+    A dropped word takes along exactly the n-grams that contain it, so n-grams made
+    without the list lack nothing but these. Meant for counts: there a common term has few
+    rows to move. ``terms`` is read twice and should be a stored table.
     """
-    return terms.join(stopwords.select("term"), "term", "left_anti").select(*terms.columns)
+    words = terms.select("term").distinct().select("term", F.explode(F.split("term", " ")).alias("_word"))
+    listed = stopwords.select(F.col("term").alias("_word"))
+    holding = words.join(listed, "_word", "left_semi").select("term").distinct()
+    return terms.join(holding, "term", "left_anti").select(*terms.columns)

@@ -9,10 +9,9 @@ from ..operators.frequency import bad_words, document_frequency, top_df, unique_
 from ..operators.terms import user_terms
 from ..sources.emails_tsv import read_emails_tsv
 from ..sources.wordlists import TERMS_BY_DF_DIR, write_terms
-from ..staging import stage
+from ..staging import job_folder, stage
 
-# Fixed values of the job: the threshold that means "no threshold", the list size.
-NO_MAX_DF = 1.0
+# Fixed values of the job: the size of the list without a threshold.
 TOP_TERMS = 2000
 
 
@@ -30,11 +29,14 @@ def term_frequencies(docs: DataFrame, lang: str = "en", stem: bool = True, float
 
 
 def mine_stopwords_of(
-    docs: DataFrame, max_df: float = NO_MAX_DF, limit: int | None = None, **options
+    docs: DataFrame, max_df: float | None = None, limit: int | None = None, **options
 ) -> DataFrame:
-    """(term, df) of the commonest terms: the top 2000, or all above ``max_df``."""
+    """(term, df) of the commonest terms: the top ``limit``, 2000 unless given, or all above ``max_df``."""
     df = term_frequencies(docs, **options)
-    listed = top_df(df, limit or TOP_TERMS) if max_df == NO_MAX_DF else bad_words(df, max_df, limit)
+    if max_df is None:
+        listed = top_df(df, TOP_TERMS if limit is None else limit)
+    else:
+        listed = bad_words(df, max_df, limit)
     return listed.select("term", "df")
 
 
@@ -42,12 +44,17 @@ def mine_stopwords(
     spark: SparkSession,
     input_path: str,
     working_dir: str,
-    max_df: float = NO_MAX_DF,
+    max_df: float | None = None,
     mode: str = "strict",
     fmt: str = "parquet",
     drop_blank: bool = False,
+    partitions: int | None = None,
     **options,
 ) -> str:
-    """E-mail files to ``<working_dir>/terms-by-df``; returns that path."""
-    docs = read_emails_tsv(spark, input_path, mode, drop_blank=drop_blank)
-    return write_terms(mine_stopwords_of(docs, max_df, **options), working_dir, TERMS_BY_DF_DIR, fmt)
+    """E-mail files to ``<working_dir>/terms-by-df``; returns that path.
+
+    ``partitions`` deals the input over that many tasks first.
+    """
+    docs = read_emails_tsv(spark, input_path, mode, drop_blank=drop_blank, partitions=partitions)
+    with job_folder(spark, "mine-stopwords"):
+        return write_terms(mine_stopwords_of(docs, max_df, **options), working_dir, TERMS_BY_DF_DIR, fmt)

@@ -12,7 +12,8 @@ from ..operators.llr import MAX_TERMS, MIN_SCORE, term_counts, top_terms_by_llr
 from ..operators.rank import sort_terms
 from ..operators.terms import drop_stopwords, user_terms
 from ..sources.emails_tsv import read_emails_tsv
-from ..sources.wordlists import TERMS_DIR, literal_words, read_stopwords, write_terms
+from ..sources.wordlists import TERMS_DIR, read_stopwords, write_terms
+from ..staging import job_folder, stage
 
 
 def top_terms_of(
@@ -26,28 +27,31 @@ def top_terms_of(
     lang: str = "en",
     stem: bool = True,
     analyzer: Callable[[Column], Column] | None = None,
+    max_token_len: int | None = None,
     **llr_options,
 ) -> DataFrame:
     """Top terms of (email, content) rows, sorted: email, term, score.
 
-    Stop words in a table may be any number for single words, which they are removed
-    from by a join with the counts. N-grams need them as a literal set, because a
-    stop word must leave a gap.
+    Stop words are a list, which becomes part of the analysis, or a table of any size,
+    which is joined with the counts. Both leave the same terms.
     """
     listed = None
     if isinstance(stopwords, DataFrame):
-        if shingle_size == 1:
-            listed, stopwords = stopwords, None
-        else:
-            stopwords = literal_words(stopwords)
+        listed, stopwords = stopwords, None
     content = strip_quoted_text("content") if drop_quotes else F.col("content")
     cleaned = docs.select("email", strip_quote_header(content).alias("content"))
     terms = user_terms(
-        cleaned, lang=lang, shingle_size=shingle_size, stopwords=stopwords, stem=stem, analyzer=analyzer
+        cleaned,
+        lang=lang,
+        shingle_size=shingle_size,
+        stopwords=stopwords,
+        stem=stem,
+        analyzer=analyzer,
+        max_token_len=max_token_len,
     )
     counts = term_counts(terms)
     if listed is not None:
-        counts = drop_stopwords(counts, listed)
+        counts = drop_stopwords(stage(counts, "all-counts"), listed)
     return sort_terms(top_terms_by_llr(counts, max_terms, min_score, predicate, **llr_options))
 
 
@@ -61,13 +65,16 @@ def top_terms(
     mode: str = "strict",
     fmt: str = "parquet",
     drop_blank: bool = False,
+    partitions: int | None = None,
     **options,
 ) -> str:
     """E-mail files to ``<working_dir>/terms``; returns that path.
 
-    ``stopwords`` names a file of stemmed words, one per line.
+    ``stopwords`` names a file of stemmed words, one per line. ``partitions`` deals the
+    input over that many tasks first; see :func:`spread`.
     """
-    docs = read_emails_tsv(spark, input_path, mode, drop_blank=drop_blank)
+    docs = read_emails_tsv(spark, input_path, mode, drop_blank=drop_blank, partitions=partitions)
     words = None if stopwords is None else read_stopwords(spark, stopwords)
-    result = top_terms_of(docs, max_terms, shingle_size, words, **options)
-    return write_terms(result, working_dir, TERMS_DIR, fmt)
+    with job_folder(spark, "top-terms"):
+        result = top_terms_of(docs, max_terms, shingle_size, words, **options)
+        return write_terms(result, working_dir, TERMS_DIR, fmt)

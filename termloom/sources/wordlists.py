@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 TERMS_DIR = "terms"
 TERMS_BY_DF_DIR = "terms-by-df"
 
-# lists up to this size become a literal set inside the analysis chain
-MAX_LITERAL_WORDS = 5_000
-
 
 def read_stopwords(spark: SparkSession, path: str | None) -> DataFrame:
     """One word per line, taken verbatim; no path, no words."""
@@ -25,14 +22,6 @@ def read_wordlist(spark: SparkSession, path: str) -> DataFrame:
     return words.filter((F.col("term") != "") & ~F.startswith("term", F.lit("#"))).distinct()
 
 
-def literal_words(words: DataFrame) -> list[str]:
-    """The list as Python strings, after checking that it is small."""
-    rows = words.limit(MAX_LITERAL_WORDS + 1).collect()
-    if len(rows) > MAX_LITERAL_WORDS:
-        raise ValueError(f"more than {MAX_LITERAL_WORDS} words are too many for a literal set")
-    return sorted(r[0] for r in rows)
-
-
 def write_terms(df: DataFrame, working_dir: str, folder: str = TERMS_DIR, fmt: str = "parquet") -> str:
     """Replace ``<working_dir>/<folder>`` with these rows."""
     path = f"{working_dir.rstrip('/')}/{folder}"
