@@ -2,30 +2,108 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .let import let
 from .tokens import as_col
 
-PARAGRAPH = r"(?is)<p(?:\s[^>]*)?>(.*?)</p\s*>"
 HIDDEN = r"(?is)<(script|style)(?:\s[^>]*)?>.*?</(script|style)\s*>|<!--.*?-->"
 QUOTE = r"(?is)<q(?:\s[^>]*)?>.*?</q\s*>"
 BREAK = r"(?i)<br\s*/?>"
 TAG = r"<[^>]*>"
-# The named character references every HTML text uses; &amp; is last.
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+# paragraphs begin and end at these; a paragraph cannot outlive what it stands in
+OPEN = r"(?i)<p(?:\s[^>]*)?>"
+CONTAINERS = (
+    "p|div|article|section|main|aside|header|footer|nav|form|fieldset|blockquote|figure|center"
+    "|ul|ol|li|dl|dd|dt|table|tbody|thead|tfoot|tr|td|th|body|html"
+)
+CLOSE = rf"(?i)</(?:{CONTAINERS})\s*>"
+PARAGRAPH_END = r"(?i)</p\s*>"
+_OPENED, _CLOSED = "\x01", "\x02"
+
+# What numbers from 128 to 159 stand for in HTML; 0 keeps the number.
+_WINDOWS = [0x20AC, 0, 0x201A, 0x0192, 0x201E, 0x2026, 0x2020, 0x2021, 0x02C6, 0x2030, 0x0160, 0x2039, 0x0152, 0, 0x017D, 0]
+_WINDOWS += [0, 0x2018, 0x2019, 0x201C, 0x201D, 0x2022, 0x2013, 0x2014, 0x02DC, 0x2122, 0x0161, 0x203A, 0x0153, 0, 0x017E, 0x0178]
+
+_REFERENCE = r"^(#[xX][0-9a-fA-F]{1,8};?|#[0-9]{1,9};?|[A-Za-z][A-Za-z0-9]*;?)"
+
+
+def _names() -> Column:
+    """All named references as one constant, with the semicolon where it is needed."""
+    return F.map_from_arrays(F.lit(list(html5)), F.lit(list(html5.values())))
+
+
+def _numbered(digits: Column) -> Column:
+    """The sign with a decimal or x-hexadecimal number; U+FFFD if there is none."""
+    code = F.when(
+        F.lower(F.substr(digits, F.lit(1), F.lit(1))) == "x", F.conv(F.substr(digits, F.lit(2)), 16, 10)
+    ).otherwise(digits)
+
+    def sign(c: Column) -> Column:
+        mapped = F.when(
+            c.between(128, 159), F.get(F.lit(_WINDOWS), (c - 128).cast("int")).cast("bigint")
+        )
+        c = F.when(mapped > 0, mapped).otherwise(c)
+        none = (c == 0) | c.between(0xD800, 0xDFFF) | (c > 0x10FFFF)
+        hexed = F.lpad(F.hex(F.when(none, 0xFFFD).otherwise(c)), 8, "0")
+        return F.decode(F.unhex(hexed), "UTF-32")
+
+    return let(code.cast("bigint"), sign)
+
 
+def unescape(text) -> Column:
+    """Character references decoded, each once: ``&amp;lt;`` becomes ``&lt;``.
 
-def html_paragraph_text(html) -> Column:
+    Named references end in a semicolon, or are of those that need none and are not
+    followed by a letter or digit.
+    """
+    names = _names()
+
+    def piece(p: Column, i: Column) -> Column:
+        name = F.regexp_extract(p, _REFERENCE, 1)
+        number = F.when(name.startswith("#"), _numbered(F.rtrim(F.substr(name, F.lit(2)), F.lit(";"))))
+        found = F.coalesce(number, F.when(name != "", F.try_element_at(names, name)))
+        rest = F.substr(p, F.length(name) + 1)
+        return F.when(i == 0, p).when(found.isNull(), F.concat(F.lit("&"), p)).otherwise(F.concat(found, rest))
+
+    return let(
+        as_col(text),
+        lambda t: F.when(
+            F.contains(t, F.lit("&")), F.array_join(F.transform(F.split(t, "&"), piece), "")
+        ).otherwise(t),
+    )
+
+
+def _plain(markup: Column) -> Column:
+    return unescape(F.regexp_replace(F.regexp_replace(markup, BREAK, "\n"), TAG, ""))
+
+
+def html_paragraph_text(html, part: bool = False) -> Column:
     """Text inside ``<p>``: breaks become newlines, ``<q>`` content is skipped.
 
-    Every paragraph ends with a blank and a newline; text outside paragraphs is
-    navigation and is left out.
+    A paragraph ends at its end tag, at the next paragraph, with the element that it stands
+    in, or with the text, and is followed by a blank and a newline. Text outside paragraphs
+    is navigation and is left out. In a message ``part`` a paragraph is open from the start:
+    what stands before the first paragraph or end of one is text, too.
     """
+
+    def paragraphs(visible: Column) -> Column:
+        opened = F.regexp_replace(visible, OPEN, _OPENED)
+        closed = F.regexp_replace(opened, CLOSE, _CLOSED)
+        inside = F.transform(
+            F.filter(F.split(closed, _OPENED), lambda _, i: i > 0), lambda p: F.substring_index(p, _CLOSED, 1)
+        )
+        if not part:
+            return inside
+        # containers do not end the paragraph that the part has opened, but part its words
+        head = F.substring_index(F.regexp_replace(opened, PARAGRAPH_END, _OPENED), _OPENED, 1)
+        head = F.regexp_replace(head, CLOSE, " ")
+        shown = F.filter(F.array(head), lambda h: F.rlike(F.regexp_replace(h, TAG, ""), F.lit(r"\S")))
+        return F.concat(shown, inside)
+
     visible = F.regexp_replace(F.regexp_replace(as_col(html), HIDDEN, ""), QUOTE, "")
-    paragraphs = F.regexp_extract_all(visible, F.lit(PARAGRAPH), F.lit(1))
-    joined = F.array_join(F.transform(paragraphs, lambda p: F.concat(p, F.lit(" \n"))), "")
-    text = F.regexp_replace(F.regexp_replace(joined, BREAK, "\n"), TAG, "")
-    for name, char in ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return text
+    texts = F.transform(let(visible, paragraphs), lambda p: F.concat(p, F.lit(" \n")))
+    return _plain(F.array_join(texts, ""))

@@ -8,11 +8,9 @@ from pyspark.sql import functions as F
 from . import shipping  # noqa: F401  (helpers travel with the UDFs)
 from .html import html_paragraph_text
 from .let import let
-from .mime import decode_words, text_parts
+from .mime import decode_words, decoded_text, text_parts
 from .tokens import as_col, strip_blanks
 
-MAX_LINE_LEN = 100_000
-
 # The two address forms that are taken apart.
 NAME_AND_ADDRESS = r"^(.*)<(.+@.+)>$"
 BARE_ADDRESS = r"^(.+@.+)$"
@@ -41,7 +39,7 @@ def body_block(mail) -> Column:
 
 
 def _header_pattern(name: str) -> str:
-    return rf"(?im)^{name}[ \t]*:[ \t]*([^\n]*)$"
+    return rf"(?imd)^{name}[ \t]*:[ \t]*([^\n]*)$"
 
 
 def header_value(block, name: str) -> Column:
@@ -149,8 +147,8 @@ def mail_date(header) -> Column:
     )
 
 
-def over_long(message, max_line_len: int = MAX_LINE_LEN) -> Column:
-    """True if a line of the message passes the parser's limit."""
+def over_long(message, max_line_len: int) -> Column:
+    """True if a line of the message passes the limit."""
     return let(
         as_col(message),
         lambda m: F.when(F.length(m) <= max_line_len, F.lit(False)).otherwise(
@@ -167,19 +165,68 @@ def needs_mime(block) -> Column:
 
 
 def part_text(ctype: Column, text: Column) -> Column:
-    return F.when(ctype == "text/html", html_paragraph_text(text)).otherwise(text)
+    return F.when(ctype == "text/html", html_paragraph_text(text, part=True)).otherwise(text)
+
+
+# Bytes as text, one sign for each byte: patterns work on it, and nothing is lost.
+BYTE_VIEW = "iso-8859-1"
+
+# Names of the charsets that need no Python, and the signs in which the
+# second differs from the bytes' own numbers.
+_UTF8 = ("", "utf-8", "utf8", "us-ascii", "ascii")
+_LATIN1 = ("iso-8859-1", "iso8859-1", "latin1", "latin-1")
+_WINDOWS_1252 = ("windows-1252", "cp1252")
+_WINDOWS_BYTES = "".join(chr(b) for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D))
+_WINDOWS_SIGNS = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+
+
+def byte_view(raw) -> Column:
+    """Bytes as text, one sign each."""
+    return F.decode(as_col(raw), BYTE_VIEW)
+
+
+def view_bytes(view) -> Column:
+    return F.encode(as_col(view), BYTE_VIEW)
+
+
+def utf8_text(view) -> Column:
+    """The text of bytes in UTF-8; wrong bytes become U+FFFD."""
+    return F.make_valid_utf8(view_bytes(view).cast("string"))
+
+
+def charset_of(block) -> Column:
+    """Charset that the Content-Type of a message names, in lower case; empty if none."""
+    kind = header_value(block, "Content-Type")
+    return F.lower(F.regexp_extract(kind, r"(?i)charset\s*=\s*[\"']?([^\s;\"']+)", 1))
+
+
+def charset_text(view, charset) -> Column:
+    """The text of a body by its declared charset; UTF-8 if none is declared."""
+    charset = as_col(charset)
+    common = charset.isin(*_UTF8, *_LATIN1, *_WINDOWS_1252)
+    other = decoded_text(F.when(~common, view_bytes(view)), charset)
+    return (
+        F.when(charset.isin(*_UTF8), utf8_text(view))
+        .when(charset.isin(*_LATIN1), as_col(view))
+        .when(charset.isin(*_WINDOWS_1252), F.translate(as_col(view), _WINDOWS_BYTES, _WINDOWS_SIGNS))
+        .otherwise(other)
+    )
+
+
+def is_text_body(block) -> Column:
+    kind = body_type(block)
+    return kind.startswith("text/") | (kind == "")
 
 
-def plain_body(block, body) -> Column:
-    """Text of a body that needs no decoding; other media types have none."""
-    kind = F.lower(F.regexp_extract(header_value(block, "Content-Type"), r"^([^;\s]*)", 1))
-    return F.when(kind.startswith("text/") | (kind == ""), part_text(kind, as_col(body))).otherwise(F.lit(""))
+def body_type(block) -> Column:
+    return F.lower(F.regexp_extract(header_value(block, "Content-Type"), r"^([^;\s]*)", 1))
 
 
-def mime_body(message) -> Column:
+def mime_body(message, coding: str = "utf-8") -> Column:
     """Text of all text parts of a MIME message, one after the other.
 
-    Null in, null out; null also where the message cannot be decoded.
+    Null in, null out; null also where the message cannot be decoded. ``coding`` is what
+    the message's bytes have been read as.
     """
-    parts = text_parts(message)
+    parts = text_parts(message, coding)
     return F.array_join(F.transform(parts, lambda p: part_text(p.ctype, p.text)), "\n")

@@ -20,12 +20,15 @@ def _decoded_header(value: str) -> str:
         return value
 
 
-def _text_parts(message: str) -> list[dict[str, str]] | None:
-    """Text parts of a message in order, transfer encoding and charset undone."""
+def _text_parts(message: str, coding: str) -> list[dict[str, str]] | None:
+    """Text parts of a message in order, transfer encoding and charset undone.
+
+    ``coding`` gives back the bytes that the message was read from.
+    """
     from email import message_from_bytes, policy
 
     try:
-        parsed = message_from_bytes(message.encode("utf-8", "surrogateescape"), policy=policy.compat32)
+        parsed = message_from_bytes(message.encode(coding, "surrogateescape"), policy=policy.compat32)
         parts = []
         for part in parsed.walk():
             if part.is_multipart() or part.get_content_maintype() != "text":
@@ -53,12 +56,34 @@ def decode_words(header) -> Column:
     return decode(header)
 
 
-def text_parts(message) -> Column:
-    """array<struct<ctype,text>> of a MIME message; null if it cannot be decoded."""
+def text_parts(message, coding: str = "utf-8") -> Column:
+    """array<struct<ctype,text>> of a MIME message; null if it cannot be decoded.
+
+    ``coding`` is what the message's bytes have been read as.
+    """
 
     @F.arrow_udf("array<struct<ctype:string,text:string>>")
     def decode(arr: pa.Array) -> pa.Array:
         kind = pa.list_(pa.struct([("ctype", pa.string()), ("text", pa.string())]))
-        return pa.array([None if v is None else _text_parts(v) for v in arr.to_pylist()], kind)
+        return pa.array([None if v is None else _text_parts(v, coding) for v in arr.to_pylist()], kind)
 
     return decode(message)
+
+
+def decoded_text(raw, charset) -> Column:
+    """Bytes to text by the name of any charset that Python knows; UTF-8 for others."""
+
+    @F.arrow_udf("string")
+    def decode(data: pa.Array, names: pa.Array) -> pa.Array:
+        out = []
+        for v, name in zip(data.to_pylist(), names.to_pylist(), strict=True):
+            if v is None:
+                out.append(None)
+                continue
+            try:
+                out.append(v.decode(name, "replace"))
+            except LookupError:
+                out.append(v.decode("utf-8", "replace"))
+        return pa.array(out, pa.string())
+
+    return decode(raw, charset)

@@ -16,21 +16,27 @@ def _too_long(length: Column, total: Column, count: Column) -> Column:
     return (count > WARM_UP) & (length > limit)
 
 
-def skip_oversized_global(df: DataFrame, length: Column) -> DataFrame:
-    """Drop rows longer than four times the mean of the whole table.
+def mark_oversized_global(df: DataFrame, length: Column) -> DataFrame:
+    """Adds ``oversized``: whether a row is longer than four times the mean of the whole table.
 
-    One pass for the mean (a one-row result, broadcast), one to filter.
+    One pass for the mean (a one-row result, broadcast), one to mark. Rows of null length
+    count as rows, add no length, and are never too long.
     """
     mean = df.agg(
         F.coalesce(F.sum(length), F.lit(0)).alias("_total"), F.count(F.lit(1)).alias("_count")
     )
     return (
         df.crossJoin(F.broadcast(mean))
-        .filter(~F.coalesce(_too_long(length, F.col("_total"), F.col("_count")), F.lit(False)))
+        .withColumn("oversized", F.coalesce(_too_long(length, F.col("_total"), F.col("_count")), F.lit(False)))
         .drop("_total", "_count")
     )
 
 
+def skip_oversized_global(df: DataFrame, length: Column) -> DataFrame:
+    """Drop rows longer than four times the mean of the whole table."""
+    return mark_oversized_global(df, length).filter(~F.col("oversized")).drop("oversized")
+
+
 def running_sizes(
     df: DataFrame, length: Column, group: list[str], chunk: list[str], order: list[str]
 ) -> DataFrame:
@@ -66,17 +72,27 @@ def running_sizes(
     )
 
 
-def skip_oversized_running(
+def oversized_running(
     df: DataFrame, length: Column, group: list[str], chunk: list[str], order: list[str]
-) -> DataFrame:
-    """Drop a row longer than four times the mean of the rows up to and including it.
+) -> tuple[DataFrame, list[str]]:
+    """Keys of the rows longer than four times the mean of the rows up to and including them.
 
-    The mean also covers rows that were dropped before. The running sums are made
-    from the keys and the length alone, so the texts themselves are shuffled only
-    for the anti join, which Spark turns into a broadcast when few rows are dropped.
+    The mean also covers rows that were dropped before; a null length adds nothing to it and
+    is never too long. The running sums are made from the keys and the length alone.
     """
     keys = list(dict.fromkeys([*group, *chunk, *order]))
     slim = df.select(*keys, length.cast("bigint").alias("_len"))
     sizes = running_sizes(slim, F.col("_len"), group, chunk, order)
-    dropped = sizes.filter(_too_long(F.col("_length"), F.col("_total"), F.col("_count"))).select(*keys)
+    return sizes.filter(_too_long(F.col("_length"), F.col("_total"), F.col("_count"))).select(*keys), keys
+
+
+def skip_oversized_running(
+    df: DataFrame, length: Column, group: list[str], chunk: list[str], order: list[str]
+) -> DataFrame:
+    """Drop a row longer than four times the mean of the rows up to and including it.
+
+    The texts themselves are shuffled only for the anti join, which Spark turns into a
+    broadcast when few rows are dropped.
+    """
+    dropped, keys = oversized_running(df, length, group, chunk, order)
     return df.join(dropped, keys, "left_anti")

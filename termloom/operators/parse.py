@@ -11,45 +11,69 @@ from ..schemas import EMAIL_FIELDS
 PLACE = ["path", "block_start", "seq"]
 
 
-def parse_messages(raw: DataFrame, max_line_len: int = mail.MAX_LINE_LEN, trim_author: bool = True) -> DataFrame:
+def parse_messages(raw: DataFrame, max_line_len: int | None = None, trim_author: bool = True) -> DataFrame:
     """One row per message: the e-mail fields, recipients and ``parse_error``.
 
     Columns of ``raw`` other than ``message`` are carried along. Headers are read
     by built-in expressions. Python only sees bodies that are multipart or
-    transfer-encoded and header values with encoded words.
+    transfer-encoded, header values with encoded words and rare charsets.
+
+    ``message`` is text, or binary: then bodies are decoded by the charset that they
+    declare, and headers as UTF-8. A message with a line or header beyond
+    ``max_line_len`` signs, bytes if binary, is rejected; without a limit none is.
     """
+    binary = dict(raw.dtypes)["message"] == "binary"
+    if binary:
+        raw = raw.withColumn("message", mail.byte_view("message"))
+    coding = mail.BYTE_VIEW if binary else "utf-8"
+    header_text = mail.utf8_text if binary else F.col
     carried = [c for c in raw.columns if c != "message"]
     # one projection per stage: each value is computed once and used by name
     whole = raw.select(*carried, mail.without_divider("message").alias("_mail"))
     split = whole.select("*", mail.header_block("_mail").alias("_head"))
     # the limit is for lines, and for headers after they are unfolded
-    parts = split.select(
-        "*", (mail.over_long("_mail", max_line_len) | mail.over_long("_head", max_line_len)).alias("_long")
-    )
+    if max_line_len is None:
+        long = F.lit(False)
+    else:
+        long = mail.over_long("_mail", max_line_len) | mail.over_long("_head", max_line_len)
+    parts = split.select("*", long.alias("_long"))
     headers = parts.select(
         *carried,
         "_long",
         "_mail",
         "_head",
         (mail.needs_mime("_head") & ~F.col("_long")).alias("_mime"),
-        *[mail.header_value("_head", name).alias(f"_{name}") for name in ("Message-ID", "In-Reply-To", "From", "Subject")],
+        header_text("_head").alias("_text_head"),
+    )
+    headers = headers.select(
+        "*",
+        *[
+            mail.header_value("_text_head", name).alias(f"_{name}")
+            for name in ("Message-ID", "In-Reply-To", "From", "Subject")
+        ],
+        (~F.col("_mime") & ~F.col("_long") & mail.is_text_body("_text_head")).alias("_plain"),
     )
-    # the only projection that calls Python, for all three values at once
+    # the only projection that calls Python, for all values at once
     decoded = headers.select(
         "*",
         mail.decoded("_From").alias("_sender"),
         mail.decoded("_Subject").alias("subject"),
-        mail.mime_body(F.when(F.col("_mime"), F.col("_mail"))).alias("_decoded"),
+        mail.mime_body(F.when(F.col("_mime"), F.col("_mail")), coding).alias("_decoded"),
+        (
+            mail.charset_text(F.when(F.col("_plain"), mail.body_block("_mail")), mail.charset_of("_text_head"))
+            if binary
+            else F.when(F.col("_plain"), mail.body_block("_mail"))
+        ).alias("_body"),
     )
     bodies = decoded.select(
         "*",
         F.col("_Message-ID").alias("id"),
         mail.from_display("_sender").alias("_creator"),
-        mail.mail_date(mail.last_header_value("_head", "Date")).alias("date"),
+        mail.mail_date(mail.last_header_value("_text_head", "Date")).alias("date"),
         F.col("_In-Reply-To").alias("replyid"),
-        mail.recipients(mail.header_value("_head", "To")).alias("to"),
-        mail.recipients(mail.header_value("_head", "Cc")).alias("cc"),
-        mail.recipients(mail.header_value("_head", "Bcc")).alias("bcc"),
+        mail.recipients(mail.header_value("_text_head", "To")).alias("to"),
+        mail.recipients(mail.header_value("_text_head", "Cc")).alias("cc"),
+        mail.recipients(mail.header_value("_text_head", "Bcc")).alias("bcc"),
     )
     error = F.when(F.col("_long"), F.lit("line too long")).when(
         F.col("_mime") & F.col("_decoded").isNull(), F.lit("undecodable body")
@@ -63,7 +87,8 @@ def parse_messages(raw: DataFrame, max_line_len: int = mail.MAX_LINE_LEN, trim_a
         "date",
         "replyid",
         F.when(F.col("_mime"), F.col("_decoded"))
-        .otherwise(mail.plain_body("_head", mail.body_block("_mail")))
+        .when(F.col("_plain"), mail.part_text(mail.body_type("_text_head"), F.col("_body")))
+        .otherwise(F.lit(""))
         .alias("content"),
         "to",
         "cc",

@@ -6,7 +6,8 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from .mine_stopwords import NO_MAX_DF, mine_stopwords
+from ..functions.analysis import LANGUAGES
+from .mine_stopwords import mine_stopwords
 from .parse_archives import parse_archives
 from .top_terms import top_terms
 
@@ -18,7 +19,10 @@ def main() -> None:
     archives = jobs.add_parser("parse-archives")
     archives.add_argument("--filelist", required=True)
     archives.add_argument("--outputdir", required=True)
-    archives.add_argument("--oversize", choices=["global", "running", "none"], default="global")
+    archives.add_argument("--oversize", choices=["global", "running", "none"], default="none")
+    archives.add_argument("--rejectsdir", help="where to write what is not in the output, and why")
+    archives.add_argument("--maxlinelen", type=int, help="messages with a longer line are rejected")
+    archives.add_argument("--strictdividers", action="store_true", help="a message begins behind a blank line only")
 
     terms = jobs.add_parser("top-terms")
     terms.add_argument("--input", required=True)
@@ -30,17 +34,33 @@ def main() -> None:
     words = jobs.add_parser("mine-stopwords")
     words.add_argument("--input", required=True)
     words.add_argument("--workingdir", required=True)
-    words.add_argument("--maxdf", type=float, default=NO_MAX_DF)
+    words.add_argument("--maxdf", type=float, help="share of users; without it the commonest 2000 terms are listed")
+
+    for job in (archives, terms, words):
+        job.add_argument("--partitions", type=int, help="deal the input over that many tasks first")
+    for job in (terms, words):
+        job.add_argument("--lang", default="en", choices=LANGUAGES)
 
     args = parser.parse_args()
     spark = SparkSession.builder.appName(f"termloom {args.job}").getOrCreate()
     if args.job == "parse-archives":
         oversize = None if args.oversize == "none" else args.oversize
-        print(parse_archives(spark, args.outputdir, args.filelist, oversize=oversize))
+        print(
+            parse_archives(
+                spark,
+                args.outputdir,
+                args.filelist,
+                oversize=oversize,
+                strict_dividers=args.strictdividers,
+                rejects_dir=args.rejectsdir,
+                max_line_len=args.maxlinelen,
+                partitions=args.partitions,
+            )
+        )
     elif args.job == "top-terms":
-        print(top_terms(spark, args.input, args.workingdir, args.stopwords, args.maxterms, args.shinglesize))
+        print(top_terms(spark, args.input, args.workingdir, args.stopwords, args.maxterms, args.shinglesize, lang=args.lang, partitions=args.partitions))
     else:
-        print(mine_stopwords(spark, args.input, args.workingdir, args.maxdf))
+        print(mine_stopwords(spark, args.input, args.workingdir, args.maxdf, lang=args.lang, partitions=args.partitions))
     spark.stop()
 
 

@@ -6,13 +6,23 @@ archive is read by many tasks, and a record is one whole message.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import sys
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.mail import byte_view, view_bytes
 from ..functions.tokens import as_col
 from .spread import spread
 
+# helpers travel with the job, so executors need no extra files
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 DIVIDER = "From "
+_BLOCK = ["path", "block_start"]
 
 
 def _normal_lines(c: Column) -> Column:
@@ -23,39 +33,103 @@ def _one_final_newline(c: Column) -> Column:
     return F.concat(F.regexp_replace(c, r"\n+$", ""), F.lit("\n"))
 
 
-def scan_mbox(spark: SparkSession, paths: str | list[str], strict: bool = False) -> DataFrame:
+def _mark_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds whether a row is the first record of its file: the first of a task with block 0 of that file."""
+    before = None
+    for batch in batches:
+        first = []
+        for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            first.append(start == 0 and path != before)
+            before = path
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(first, pa.bool_())], [*batch.schema.names, "first"])
+
+
+def _joined_at_blank_lines(records: DataFrame) -> DataFrame:
+    """Records whose predecessor does not end in a blank line, joined with it.
+
+    ``records`` are (path, block_start, seq, value), where a value lacks the line end before
+    the next divider. A block passes on two things only: how its last record ends, and in
+    which block the message that reaches its end began, so no file is gathered in one task.
+    """
+    ends_blank = F.col("value").rlike(r"\n\z") | (F.col("value") == "")
+    lean = records.select(*_BLOCK, "seq", ends_blank.alias("blank"))
+    in_block = Window.partitionBy(*_BLOCK).orderBy("seq")
+    lean = lean.withColumn("starts", F.lag("blank").over(in_block))
+    # what comes before a block's first record is the last record of the block before
+    blocks = Window.partitionBy("path").orderBy("block_start")
+    last = lean.groupBy(*_BLOCK).agg(F.max_by("blank", "seq").alias("blank"), F.min("seq").alias("first_seq"))
+    last = last.withColumn("blank_before", F.coalesce(F.lag("blank").over(blocks), F.lit(True)))
+    lean = lean.join(last.select(*_BLOCK, "blank_before"), _BLOCK).select(
+        *_BLOCK, "seq", F.coalesce("starts", "blank_before").alias("starts")
+    )
+    # the message a record belongs to: the last start up to it, in its block or an earlier one
+    here = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lean = lean.withColumn("own", F.last(F.when(F.col("starts"), F.col("seq")), ignorenulls=True).over(here))
+    ended = lean.groupBy(*_BLOCK).agg(F.max_by("own", "seq").alias("open"))
+    earlier = blocks.rowsBetween(Window.unboundedPreceding, -1)
+    ended = ended.select(*_BLOCK, F.last("open", ignorenulls=True).over(earlier).alias("open_before"))
+    owner = lean.join(ended, _BLOCK).select(*_BLOCK, "seq", F.coalesce("own", "open_before", "seq").alias("message_seq"))
+    joined = records.join(owner, [*_BLOCK, "seq"])
+    parts = F.array_sort(F.collect_list(F.struct("block_start", "seq", "value")))
+    return (
+        joined.groupBy("path", "message_seq")
+        .agg(parts.alias("parts"), F.max("first").alias("first"))
+        .select(
+            "path",
+            F.get("parts", F.lit(0))["block_start"].alias("block_start"),
+            F.col("message_seq").alias("seq"),
+            F.array_join(F.col("parts.value"), "\n" + DIVIDER).alias("value"),
+            "first",
+        )
+    )
+
+
+def scan_mbox(
+    spark: SparkSession,
+    paths: str | list[str],
+    strict: bool = False,
+    raw: bool = False,
+    partitions: int | None = None,
+) -> DataFrame:
     """Messages of mbox files (files, folders or globs), each with its divider line.
 
     A message's place in its file is ``(path, block_start, seq)``. Every line that
     starts with ``From `` begins a message; ``strict=True`` also wants a blank line
     before it. Text before the first divider is a message of its own. Trailing
-    blank lines are reduced to one line end.
+    blank lines are reduced to one line end. ``raw=True`` leaves ``message`` as the
+    bytes of the file, else it is their text in UTF-8. ``partitions`` deals the
+    messages over that many tasks.
     """
-    separator = "\n\n" + DIVIDER if strict else "\n" + DIVIDER
-    raw = spark.read.text(paths, lineSep=separator).select(
+    scanned = spark.read.text(paths, lineSep="\n" + DIVIDER).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("seq"),
-        _normal_lines(F.col("value")).alias("value"),
-    )
-    # The separator is gone from every record but a file's first. Only the first
-    # block of a file can hold a first record, which has its divider or, if the
-    # file begins without one, starts like a header line.
-    is_first = F.startswith(F.col("value"), F.lit(DIVIDER)) | (
-        (F.col("block_start") == 0) & F.col("value").rlike(r"^[!-9;-~]+:(?:[ \t]|\n)")
+        F.col("value").cast("binary").alias("value"),
     )
-    whole = F.when(is_first, F.col("value")).otherwise(F.concat(F.lit(DIVIDER), F.col("value")))
-    messages = raw.filter(F.length(F.trim(F.col("value"))) > 0).select(
-        "path", "block_start", "seq", _one_final_newline(whole).alias("message")
+    # only a file's first record can have its divider, or none at all; all others lost theirs to the separator
+    marked = scanned.mapInArrow(
+        _mark_first, "path string, block_start long, seq long, value binary, first boolean"
+    ).withColumn("value", _normal_lines(F.regexp_replace(byte_view("value"), r"\r\z", "")))
+    records = _joined_at_blank_lines(marked) if strict else marked
+    whole = F.when(F.col("first"), F.col("value")).otherwise(F.concat(F.lit(DIVIDER), F.col("value")))
+    messages = records.filter(F.length(F.trim(F.col("value"))) > 0).select(
+        *_BLOCK, "seq", view_bytes(_one_final_newline(whole)).alias("message")
     )
-    return spread(messages)
+    if not raw:
+        messages = messages.withColumn("message", F.col("message").cast("string"))
+    return spread(messages, partitions)
 
 
-def scan_mbox_list(spark: SparkSession, file_list: str, strict: bool = False) -> DataFrame:
-    """Messages of all mbox files named in a text file, one path per line."""
-    # a list of names, not data: the file index of any scan holds it on the driver too
+def scan_mbox_list(
+    spark: SparkSession, file_list: str, strict: bool = False, raw: bool = False, partitions: int | None = None
+) -> DataFrame:
+    """Messages of all mbox files named in a text file, one path per line.
+
+    The names, not the data, pass through the driver, as they do for any scan; for very
+    many files give a folder or a glob to :func:`scan_mbox` instead.
+    """
     names = [r.value.strip() for r in spark.read.text(file_list).collect()]
-    return scan_mbox(spark, [n for n in names if n], strict)
+    return scan_mbox(spark, [n for n in names if n], strict, raw, partitions)
 
 
 def split_mbox(df: DataFrame, col: str) -> DataFrame:

@@ -1,14 +1,16 @@
 import datetime as dt
+import html
 
 import pytest
 from pyspark.sql import functions as F
 
 from termloom.functions import clean, mail
+from termloom.functions.html import html_paragraph_text, unescape
 from termloom.operators import parse
 from termloom.sources import emails_tsv, mbox
 
 QUOTED = "word1\n> word2\n>> word3\nword4\n>tight"
-HEADER = "line1\r On Fri, May 31, 2013 at 4:00 PM, Ann Oth er <ann@example.com> wrote:"
+HEADER = "line1\r On Wed, Jan 17, 2018 at 9:30 AM, Ann Oth er <ann@example.com> wrote:"
 
 
 def test_quoted_lines(one):
@@ -18,7 +20,7 @@ def test_quoted_lines(one):
 def test_quote_header(one):
     out = one(clean.strip_quote_header("t"), t=HEADER)
     assert "line1" in out and "example.com" not in out
-    no_blank = "On Tue, Jun 25, 2013 at 5:31 PM, B <b@c.d>wrote:\nrest"
+    no_blank = "On Thu, Feb 08, 2018 at 7:45 PM, B <b@c.d>wrote:\nrest"
     assert one(clean.strip_quote_header("t"), t=no_blank) == no_blank
     assert one(clean.strip_quote_header("t", lenient=True), t=no_blank) == "\nrest"
 
@@ -108,7 +110,7 @@ def test_parse_messages(spark):
     assert first.date == dt.datetime(2013, 5, 31, 16, 0, 0)
     assert first.content == "Subject: in body\n\nbye\n"
     # headers of parts are not headers of the message
-    assert rows[2].subject == "" and rows[2].content == "naïve\none\ntwo & three \n"
+    assert rows[2].subject == "" and rows[2].content == "naïve\nnav  \none\ntwo & three \n"
     assert (rows[3].subject, rows[3].content) == ("", "only body")
     assert (rows[4].subject, rows[4].content) == ("x", "")
 
@@ -163,6 +165,73 @@ def test_scan_of_odd_files(spark, tmp_path):
     }
 
 
+def test_records_do_not_depend_on_the_block_size(spark, tmp_path):
+    head = "hello first line\nsecond line\n"
+    body = "From a{i}\nSubject: x\n\nbody {i}\nFrom Subject: y{i}\nrest\n\n"
+    text = head + "\n" + "".join(body.format(i=i) for i in range(300))
+    (tmp_path / "lf.mbox").write_text(text)
+    (tmp_path / "crlf.mbox").write_bytes(text.replace("\n", "\r\n").encode())
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        for size in ("134217728", "5000", "61"):
+            spark.conf.set(key, size)
+            for name in ("lf", "crlf"):
+                path = f"{tmp_path}/{name}.mbox"
+                plain = [r.message for r in mbox.scan_mbox(spark, path).orderBy("block_start", "seq").collect()]
+                assert plain[0] == head and len(plain) == 601
+                assert plain[1:3] == ["From a0\nSubject: x\n\nbody 0\n", "From Subject: y0\nrest\n"]
+                strict = [r.message for r in mbox.scan_mbox(spark, path, strict=True).orderBy("block_start", "seq").collect()]
+                assert strict == [head] + [body.format(i=i).rstrip("\n") + "\n" for i in range(300)]
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_charsets(spark):
+    def message(charset, raw, coding="8bit"):
+        head = f"From x\nSubject: é\nContent-Type: text/plain; charset={charset}\nContent-Transfer-Encoding: {coding}\n\n"
+        return head.encode() + raw
+
+    cases = [
+        (message("utf-8", "café €".encode()), "café €"),
+        (message('"ISO-8859-1"', "café".encode("latin-1")), "café"),
+        (message("windows-1252", "café €".encode("cp1252")), "café €"),
+        (message("koi8-r", "мир".encode("koi8-r")), "мир"),
+        (message("nonsense", "café".encode()), "café"),
+        (message("utf-8", b"caf\xe9"), "caf\ufffd"),
+        (message("iso-8859-1", b"caf=E9", "quoted-printable"), "café"),
+        (message("windows-1252", b"Y2Fm6YA=", "base64"), "café€"),
+        (b"From x\nSubject: \xc3\xa9\n\ncaf\xc3\xa9", "café"),
+    ]
+    raw = spark.createDataFrame([(i, bytearray(m)) for i, (m, _) in enumerate(cases)], "n int, message binary")
+    rows = {r.n: r for r in parse.parse_messages(raw).collect()}
+    assert {n: r.content for n, r in rows.items()} == {i: want for i, (_, want) in enumerate(cases)}
+    assert {r.subject for r in rows.values()} == {"é"}
+
+
+@pytest.mark.parametrize(
+    ("markup", "page", "part"),
+    [
+        ("<p>one<p>two", "one \ntwo \n", "one \ntwo \n"),
+        ("<div><p>in</div>out<p>x</p>y", "in \nx \n", "in \nx \n"),
+        ("<div>a</div><div>b</div>", "", "a b  \n"),
+        ("before<p>one</p>after<p>two", "one \ntwo \n", "before \none \ntwo \n"),
+        ("up to</p>after", "", "up to \n"),
+        ("<p>a<br>b<q>c</q><b>d</b>", "a\nbd \n", "a\nbd \n"),
+        ("  <P class='x'>caf&eacute; &#8217;&#x41; &amp;lt;</P >", "café ’A &lt; \n", "café ’A &lt; \n"),
+    ],
+)
+def test_paragraphs(one, markup, page, part):
+    assert one(html_paragraph_text(F.col("h")), h=markup) == page
+    assert one(html_paragraph_text(F.col("h"), part=True), h=markup) == part
+
+
+def test_character_references(one):
+    for text in ("&amp;amp;", "&copy &copy;x &copy", "&#0; &#128; &#xD800; &#x110000; &#x1F600;", "a & b && &;"):
+        assert one(unescape(F.col("t")), t=text) == html.unescape(text)
+    assert one(unescape(F.col("t")), t="&nosuch;") == "&nosuch;"
+
+
 def test_divider_inside_a_body(spark, tmp_path):
     (tmp_path / "a.mbox").write_text("From a\n\nx\nFrom here on\ny\n\nFrom b\n\nz\n")
     assert mbox.scan_mbox(spark, str(tmp_path)).count() == 3
