@@ -27,7 +27,7 @@ from termloom.plans.parse_archives import parse_archives
 from termloom.plans.top_terms import top_terms as run_top_terms
 from termloom.plans.top_terms import top_terms_of
 from termloom.sources import emails_tsv, mbox, wordlists
-from termloom.staging import new_path
+from termloom.staging import new_path, stage
 
 from . import fixtures as fx
 from . import porter_sql, sql
@@ -180,6 +180,21 @@ def fold_texts(spark, sf_dir):
     )
 
 
+# all but line ends and quotes become letters: words as long as a line
+LONG_WORDS = "replace(replace(replace(text, '. ', 'y'), ', ', 'z'), ' ', 'x')"
+
+
+@query(
+    "tokenize_long_words",
+    f"""select doc_id, len(w) as n_tokens, list_max({sql.each('w', 'length(x)')}) as longest
+        from (select doc_id, {sql.tokens(LONG_WORDS)} as w from documents)""",
+)
+def tokenize_long_words(spark, sf_dir):
+    words = docs(spark, sf_dir).select("doc_id", tokenize(F.expr(LONG_WORDS)).alias("w"))
+    longest = F.array_max(F.transform("w", lambda x: F.length(x))).cast("bigint")
+    return words.select("doc_id", F.size("w").cast("bigint").alias("n_tokens"), longest.alias("longest"))
+
+
 @query(
     "strip_possessive",
     f"""select doc_id, array_to_string({sql.each(sql.tokens("replace(text, 'e ', 'e''s ')"), sql.base('x'))}, ' ')
@@ -270,10 +285,14 @@ HAN_TEXT = f"translate(lower(text), '{HAN[0]}', '{HAN[1]}')"
 
 @query(
     "cjk_width",
-    "select doc_id, lower(text) as text from documents",
+    "select doc_id, replace(replace(replace(lower(text), 'a', 'ガ'), 'e', 'パ'), 'o', 'ア') as text from documents",
 )
 def cjk_width_texts(spark, sf_dir):
-    wide = F.translate(F.lower("text"), *WIDE)
+    # half-width katakana, with voiced marks of their own, and full-width letters
+    narrow = F.lower("text")
+    for letter, signs in (("a", "ｶﾞ"), ("e", "ﾊﾟ"), ("o", "ｱ")):
+        narrow = F.replace(narrow, F.lit(letter), F.lit(signs))
+    wide = F.translate(narrow, "npqrstuvwxyz", "ｎｐｑｒｓｔｕｖｗｘｙｚ")
     return docs(spark, sf_dir).select("doc_id", cjk_width(wide).alias("text"))
 
 
@@ -293,6 +312,32 @@ def cjk_bigrams_texts(spark, sf_dir):
     return frequency.count_by(terms, "term")
 
 
+def sql_zh_terms(source: str) -> str:
+    """(email, term) occurrences of the Chinese chain."""
+    run = f"unnest(regexp_extract_all(content, '\\p{{Han}}+'))"
+    rest = sql.tokens("regexp_replace(content, '\\p{Han}+', ' ', 'g')")
+    return f"""
+      select email, term from (
+        select email, unnest(case when length(run) < 2 then [run] else
+               list_transform(range(1, length(run)), lambda i: run[i:i+1]) end) as term
+        from (select email, {run} as run from ({source}))
+        union all select email, unnest({rest}) from ({source}))
+      where not regexp_full_match(term, '[\\p{{Nd}},.]+')"""
+
+
+ZH_DOCS = f"select email, {HAN_TEXT.replace('text', 'content')} as content from ({USER_DOCS})"
+
+
+def zh_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return user_docs(spark, sf_dir).withColumn("content", F.translate(F.lower("content"), *HAN))
+
+
+@query("analyze_zh", f"select term, count(*) as n from ({sql_zh_terms(ZH_DOCS)}) group by term")
+def analyze_zh(spark, sf_dir):
+    terms = zh_docs(spark, sf_dir).select(F.explode(analysis.analyze("content", lang="zh-cn")).alias("term"))
+    return frequency.count_by(terms, "term")
+
+
 # --- analysis chains -----------------------------------------------------------------
 
 @query("analyze_unstemmed", f"select term, count(*) as n from ({sql_terms(USER_DOCS)}) group by term")
@@ -421,6 +466,18 @@ def stopword_exclusion(spark, sf_dir):
     return drop_stopwords(frequency.count_by(plain_terms(spark, sf_dir), "term"), listed)
 
 
+@query(
+    "own_analyzer_stopwords",
+    f"""select term, count(*) as n from (select unnest(string_split(lower(content), ' ')) as term from ({USER_DOCS}))
+        where term not in ({', '.join(map(sql.quote, STOPWORDS))}) group by term""",
+)
+def own_analyzer_stopwords(spark, sf_dir):
+    terms = user_terms(
+        user_docs(spark, sf_dir), stopwords=STOPWORDS, analyzer=lambda text: F.split(F.lower(text), " ")
+    )
+    return frequency.count_by(terms, "term")
+
+
 # --- log-likelihood ratio -----------------------------------------------------------------
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -439,6 +496,33 @@ def llr_scores(spark, sf_dir):
     return rounded(llr.llr_scores(llr.term_counts(plain_terms(spark, sf_dir))))
 
 
+@query("llr_hot_keys", rounded_sql(sql.scores(TERMS), "email", "term", "k as k11"))
+def llr_hot_keys(spark, sf_dir):
+    # keys of more than 50 rows, or a fiftieth of all, are cut into pieces
+    return rounded(llr.llr_scores(llr.term_counts(plain_terms(spark, sf_dir)), share=50, piece_rows=50))
+
+
+# totals as if the corpus were a million times larger, where the plain formula loses its digits
+SCALE = 1_000_000
+SCALED = f"""
+  with t as (select email, term, cast(k as hugeint) as k11, cast(r as hugeint) * {SCALE} as r,
+                    cast(c as hugeint) * {SCALE} as c, cast(n as hugeint) * {SCALE} * {SCALE} as n
+             from ({sql.scores(TERMS)})),
+  u as (select *, cast(k11 * n - r * c as double) as d from t)
+  select email, term, round({sql.g2('d')}, 6) as score from u"""
+
+
+@query("llr_scaled", SCALED)
+def llr_scaled(spark, sf_dir):
+    counts = stage(llr.term_counts(plain_terms(spark, sf_dir)), "counts")
+    by_term = llr.key_totals(counts, ["term"], "r").drop("n_rows")
+    by_user = llr.key_totals(counts, ["email"], "c").drop("n_rows")
+    total = by_user.agg(F.sum("c").alias("n"))
+    rows = counts.join(by_term, "term").join(by_user, "email").crossJoin(F.broadcast(total))
+    score = llr.g2(F.col("k11"), F.col("r") * SCALE, F.col("c") * SCALE, F.col("n") * SCALE * SCALE)
+    return rows.select("email", "term", F.round(score, 6).alias("score"))
+
+
 @query("llr_over", rounded_sql(f"select * from ({sql.scores(TERMS)}) where k11 * n > r * c", "email", "term", "k as k11"))
 def llr_over(spark, sf_dir):
     return rounded(llr.llr_scores(llr.term_counts(plain_terms(spark, sf_dir)), direction="over"))
@@ -468,6 +552,36 @@ def top_terms_stopwords(spark, sf_dir):
     return rounded(top_terms_of(user_docs(spark, sf_dir), shingle_size=3, stopwords=STOPWORDS, stem=False))
 
 
+# every short word of the corpus: more than fit in a literal set
+SHORT_WORDS = f"select distinct term from ({TERMS}) where length(term) <= 6"
+
+
+@query(
+    "top_terms_bigrams_stopword_table",
+    rounded_sql(
+        sql.top(
+            f"""select email, term from (select *, string_split(term, ' ') as w from ({sql_terms(CLEAN_DOCS, 2)}))
+                where w[1] not in ({SHORT_WORDS}) and coalesce(w[2], '') not in ({SHORT_WORDS})"""
+        ),
+        "email",
+        "term",
+    ),
+)
+def top_terms_bigrams_stopword_table(spark, sf_dir):
+    words = plain_terms(spark, sf_dir).select("term").distinct().filter(F.length("term") <= 6)
+    return rounded(top_terms_of(user_docs(spark, sf_dir), shingle_size=2, stopwords=words, stem=False))
+
+
+@query("top_terms_zh", rounded_sql(sql.top(sql_zh_terms(ZH_DOCS)), "email", "term"))
+def top_terms_zh(spark, sf_dir):
+    return rounded(top_terms_of(zh_docs(spark, sf_dir), lang="zh-cn"))
+
+
+@query("top_terms_two_rounds", rounded_sql(sql.top(CLEAN_TERMS), "email", "term"))
+def top_terms_two_rounds(spark, sf_dir):
+    return rounded(top_terms_of(user_docs(spark, sf_dir), stem=False, limit_in_tasks=5))
+
+
 @query("top_terms_stemmed", rounded_sql(sql.top(porter_sql.stemmed_terms(CLEAN_DOCS)), "email", "term"))
 def top_terms_stemmed(spark, sf_dir):
     return rounded(top_terms_of(user_docs(spark, sf_dir)))
@@ -554,6 +668,63 @@ def split_mbox(spark, sf_dir):
     return mbox.split_mbox(doubled, "archive")
 
 
+def archive_by_source(spark: SparkSession, rows: DataFrame, line_end: str = "\n") -> str:
+    """One file per source, its (source, nth, value) rows in order."""
+    path = new_path(spark, "mbox")
+    ordered = rows.repartition("source").sortWithinPartitions("source", "nth")
+    ordered.select("source", "value").write.partitionBy("source").option("lineSep", line_end).text(path)
+    return path
+
+
+def scanned_by_source(spark: SparkSession, path: str, **options) -> DataFrame:
+    found = mbox.scan_mbox(spark, path, **options)
+    return found.select(F.regexp_extract("path", "source=([^/]+)/", 1).alias("source"), "message")
+
+
+def message_rows(spark: SparkSession, sf_dir: str, value: str) -> DataFrame:
+    return docs(spark, sf_dir).selectExpr("source", "doc_id as nth", f"{value} as value")
+
+
+HEAD = f"'hello ' || source || {NL} || 'second line'"
+
+
+@query(
+    "scan_mbox_head",
+    f"""select source, {MESSAGE_SQL} as message from documents
+        union all select distinct source, {HEAD} || {NL} as message from documents""",
+)
+def scan_mbox_head(spark, sf_dir):
+    """Text before the first divider of a file is a message of its own, all of it."""
+    heads = docs(spark, sf_dir).select("source").distinct().selectExpr("source", "-1L as nth", f"{HEAD} as value")
+    rows = message_rows(spark, sf_dir, fx.MESSAGE).unionByName(heads)
+    return scanned_by_source(spark, archive_by_source(spark, rows))
+
+
+LIKE_HEADER = f"{fx.DIVIDER} || {fx.HEADERS} || {NL} || 'before' || {NL}"
+FROM_LINE = f"'From Subject: x' || {NL} || {fx.STUFFED}"
+
+
+@query(
+    "scan_mbox_header_like_body",
+    f"""select source, {LIKE_HEADER} as message from documents
+        union all select source, rtrim({FROM_LINE}, {NL}) || {NL} as message from documents""",
+)
+def scan_mbox_header_like_body(spark, sf_dir):
+    """A line that begins with the divider begins a message, whatever follows in it."""
+    rows = message_rows(spark, sf_dir, f"{LIKE_HEADER} || {FROM_LINE}")
+    return scanned_by_source(spark, archive_by_source(spark, rows))
+
+
+IN_BODY = f"{fx.DIVIDER} || {fx.HEADERS} || {NL} || 'line' || {NL} || 'From the start' || {NL} || {fx.STUFFED}"
+
+
+@query("scan_mbox_strict_crlf", f"select source, rtrim({IN_BODY}, {NL}) || {NL} as message from documents")
+def scan_mbox_strict_crlf(spark, sf_dir):
+    """With strict dividers a body line that begins like one stays, also between CRLF line ends."""
+    rows = message_rows(spark, sf_dir, f"replace(trim(trailing {NL} from {IN_BODY}) || {NL}, {NL}, chr(13) || {NL})")
+    return scanned_by_source(spark, archive_by_source(spark, rows, "\r\n"), strict=True)
+
+
 def parsed_messages(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     return parse.parse_messages(fx.messages(spark, sf_dir).drop("path"), **options)
 
@@ -581,7 +752,7 @@ def from_fallback(spark, sf_dir):
 
 @query(
     "recipients",
-    "select doc_id, unnest(['B, C <b@x.org>', 'd@x.org']) as recipient from documents",
+    "select doc_id, unnest(['B, C <b' || cast(doc_id as varchar) || '@x.org>', 'd@x.org']) as recipient from documents",
 )
 def recipients(spark, sf_dir):
     return parsed_messages(spark, sf_dir).select("doc_id", F.explode("to").alias("recipient"))
@@ -617,29 +788,51 @@ def mime_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "mime_body",
     f"""select doc_id, 'é ' || source as subject,
-               text || {NL} || source || {NL} || '& more ' || {NL} as content from documents""",
+               text || {NL} || 'no ' || {NL} || source || {NL} || '& more ' || {NL} as content from documents""",
 )
 def mime_body(spark, sf_dir):
     return parse.parse_messages(mime_messages(spark, sf_dir)).select("doc_id", "subject", "content")
 
 
+# Paragraphs of HTML by the events of its tags: texts are cut at every "<", and what holds at a
+# piece is what the last tag before it that matters has said.
+P_ENDS = [
+    "p", "div", "article", "section", "main", "aside", "header", "footer", "nav", "form", "fieldset", "blockquote",
+    "figure", "center", "ul", "ol", "li", "dl", "dd", "dt", "table", "tbody", "thead", "tfoot", "tr", "td", "th",
+    "body", "html",
+]
+REFERENCES = {"lt": "<", "gt": ">", "quot": '"', "nbsp": "\u00a0", "copy": "\u00a9", "middot": "\u00b7", "amp": "&"}
+DECODED = "string_agg(t, '' order by i)"
+for _name, _sign in REFERENCES.items():
+    DECODED = f"replace({DECODED}, '&{_name};', {sql.quote(_sign)})"
+
+
 @query(
     "html_paragraphs",
-    r"""
-    with p as (
-      select page_id,
-             regexp_replace(regexp_replace(html,
-               '(?is)<(script|style)(?:\s[^>]*)?>.*?</(script|style)\s*>|<!--.*?-->', '', 'g'),
-               '(?is)<q(?:\s[^>]*)?>.*?</q\s*>', '', 'g') as html
-      from pages),
-    t as (
-      select page_id, array_to_string(list_transform(
-               regexp_extract_all(html, '(?is)<p(?:\s[^>]*)?>(.*?)</p\s*>', 1), lambda x: x || ' ' || chr(10)), '') as text
-      from p)
-    select page_id, replace(replace(replace(replace(replace(replace(
-             regexp_replace(regexp_replace(text, '(?i)<br\s*/?>', chr(10), 'g'), '<[^>]*>', '', 'g'),
-             '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&') as text
-    from t""",
+    f"""
+    with cut as (select page_id, unnest(string_split(html, '<')) as piece,
+                        generate_subscripts(string_split(html, '<'), 1) as i from pages),
+    tagged as (
+      select page_id, i, substr(piece, instr(piece, '>') + 1) as t,
+             lower(string_split(string_split(string_split(piece, '>')[1], ' ')[1], chr(10))[1]) as tag
+      from cut where i > 1),
+    hidden as (
+      select *, coalesce(last_value(case when tag in ('script', 'style') then true
+                                         when tag in ('/script', '/style') then false end ignore nulls)
+                         over (partition by page_id order by i rows unbounded preceding), false) as hid
+      from tagged),
+    events as (
+      select *, case when tag = 'p' then true
+                     when tag in ({', '.join(f"'/{t}'" for t in P_ENDS)}) then false end as opens
+      from hidden where not hid),
+    states as (
+      select page_id, i, case when tag = 'br' then chr(10) || t else t end as t,
+             coalesce(last_value(opens ignore nulls) over w, false) as inside,
+             count(*) filter (tag = 'p') over w as p
+      from events window w as (partition by page_id order by i rows unbounded preceding)),
+    paragraphs as (select page_id, p, {DECODED} || ' ' || chr(10) as t from states where inside group by page_id, p)
+    select page_id, coalesce(string_agg(t, '' order by p), '') as text
+    from pages left join paragraphs using (page_id) group by page_id""",
 )
 def html_paragraphs(spark, sf_dir):
     return fx.table(spark, sf_dir, "pages").select("page_id", html_paragraph_text("html").alias("text"))
@@ -662,15 +855,13 @@ ISO_DATE = "strftime(to_timestamp(epoch) at time zone 'UTC', '%Y-%m-%dT%H:%M:%SZ
 PARSED_DOCS = f"select doc_id, {fx.parsed_sql(*fx.PARSED)} from documents"
 
 
+TSV_LINE = f"""id || {fx.TAB} || author || {fx.TAB} || email || {fx.TAB} || subject || {fx.TAB} || {ISO_DATE}
+               || {fx.TAB} || replyid || {fx.TAB} || {ESCAPED % 'content'}"""
+
+
 @query(
     "parse_archives",
-    f"""with m as ({PARSED_DOCS}),
-        kept as (select * from m where not (
-          (select count(*) from m) > 100 and
-          length(content) > (select (4 * sum(length(content))) // count(*) from m)))
-        select id || {fx.TAB} || author || {fx.TAB} || email || {fx.TAB} || subject || {fx.TAB} || {ISO_DATE}
-               || {fx.TAB} || replyid || {fx.TAB} || {ESCAPED % 'content'} as value
-        from kept""",
+    f"select {TSV_LINE} as value from ({PARSED_DOCS})",
 )
 def parse_archive_files(spark, sf_dir):
     out = new_path(spark, "emails")
@@ -678,6 +869,99 @@ def parse_archive_files(spark, sf_dir):
     return spark.read.text(out)
 
 
+# lines of files are measured in bytes; the length rule counts all messages, but only the length of those that could be parsed
+JUDGED = f"""select m.*, too_wide, not too_wide and (select count(*) from documents) > 100 and length(content) >
+               (select (4 * sum(case when too_wide then 0 else length(content) end)) // count(*) from judged_base)
+               as oversized
+             from judged_base m"""
+JUDGED_BASE = f"""judged_base as (select p.*, w.too_wide from ({PARSED_DOCS}) p join (
+                    select doc_id, list_max({sql.each(f"string_split({fx.MESSAGE}, {NL})", 'strlen(x)')}) > {LINE_CAP}
+                           as too_wide from documents) w using (doc_id))"""
+
+
+@query(
+    "parse_archives_oversize",
+    f"""with {JUDGED_BASE}, j as ({JUDGED.replace('m.*, too_wide', 'm.*')})
+        select '' as parse_error, {TSV_LINE} as value from j where not too_wide and not oversized
+        union all
+        select case when oversized then 'longer than four times the mean' else 'line too long' end, id from j
+        where too_wide or oversized""",
+)
+def parse_archives_oversize(spark, sf_dir):
+    """What is in the output, and what is not and why."""
+    out, rejects = new_path(spark, "emails"), new_path(spark, "rejects")
+    parse_archives(
+        spark, out, paths=archive(spark, sf_dir), oversize="global", max_line_len=LINE_CAP, rejects_dir=rejects
+    )
+    kept = spark.read.text(out).select(F.lit("").alias("parse_error"), "value")
+    return kept.union(spark.read.parquet(rejects).select("parse_error", "id"))
+
+
+@query(
+    "parse_metrics",
+    f"""with {JUDGED_BASE}, j as ({JUDGED.replace('m.*, too_wide', 'm.*')})
+        select count(*) as n_messages, count(*) filter (too_wide) as n_rejected,
+               count(*) filter (oversized) as n_skipped from j""",
+)
+def parse_metrics(spark, sf_dir):
+    counts = parse_archives(
+        spark, new_path(spark, "emails"), paths=archive(spark, sf_dir), oversize="global", max_line_len=LINE_CAP
+    )
+    names = ["n_messages", "n_rejected", "n_skipped"]
+    return spark.createDataFrame([tuple(counts[n] for n in names)], ", ".join(f"{n} long" for n in names))
+
+
+# every fiftieth message is one line of many times its text
+LONG_LINE = f"case when doc_id % 50 = 0 then repeat(replace(text, {NL}, ' ') || ' ', 50) else {fx.STUFFED} end"
+
+
+@query("parse_long_lines", f"select doc_id, length({LONG_LINE}) as n, '' as parse_error from documents")
+def parse_long_lines(spark, sf_dir):
+    raw = docs(spark, sf_dir).selectExpr("doc_id", f"{fx.DIVIDER} || {fx.HEADERS} || {NL} || {LONG_LINE} as message")
+    found = parse.parse_messages(raw)
+    return found.select(
+        "doc_id", F.length("content").cast("bigint").alias("n"), F.coalesce("parse_error", F.lit("")).alias("parse_error")
+    )
+
+
+# texts that a charset of one byte cannot hold stay in UTF-8
+NARROW = "regexp_matches(text, '^[\\x00-\\x7F\\x{A0}-\\x{FF}]*$')"
+
+
+@query(
+    "mime_charsets",
+    f"select doc_id, text || case when {NARROW} and doc_id % 3 = 1 then '€' else '' end as content from documents",
+)
+def mime_charsets(spark, sf_dir):
+    """Texts in three charsets and three transfer encodings come back as they were."""
+    d = docs(spark, sf_dir).withColumn("narrow", F.rlike("text", F.lit(r"(?s)^[\x00-\x7F\xA0-\xFF]*$")))
+    kind = F.when(~F.col("narrow") | (F.col("doc_id") % 3 == 2), 2).otherwise((F.col("doc_id") % 3).cast("int"))
+    d = d.withColumn("kind", kind)
+    names = F.lit(["ISO-8859-1", '"windows-1252"', "utf-8"])
+    one_byte = F.encode(F.when(F.col("kind") < 2, F.col("text")), "ISO-8859-1")
+    euro = F.when(F.col("kind") == 1, F.unhex(F.lit("80"))).otherwise(F.unhex(F.lit("")))
+    d = d.withColumn(
+        "bytes", F.when(F.col("kind") < 2, F.concat(one_byte, euro)).otherwise(F.encode("text", "UTF-8"))
+    )
+    coding = F.floor(F.col("doc_id") / 3) % 3
+    body = (
+        F.when(coding == 0, F.col("bytes"))
+        .when(coding == 1, F.regexp_replace(F.hex("bytes"), "(..)", "=$1").cast("binary"))
+        .otherwise(F.base64("bytes").cast("binary"))
+    )
+    codings = F.lit(["8bit", "quoted-printable", "base64"])
+    head = F.concat(
+        F.lit("From x\nContent-Type: text/plain; charset="),
+        F.get(names, F.col("kind")),
+        F.lit("\nContent-Transfer-Encoding: "),
+        F.get(codings, coding.cast("int")),
+        F.lit("\n\n"),
+    )
+    return parse.parse_messages(d.select("doc_id", F.concat(head.cast("binary"), body).alias("message"))).select(
+        "doc_id", "content"
+    )
+
+
 @query(
     "skip_oversized_global",
     """select doc_id, length(text) as n from documents where not (
@@ -685,7 +969,7 @@ def parse_archive_files(spark, sf_dir):
          length(text) > (select (4 * sum(length(text))) // count(*) from documents))""",
 )
 def skip_oversized_global(spark, sf_dir):
-    kept = oversize.skip_oversized_global(docs(spark, sf_dir), F.length("text"))
+    kept = oversize.skip_oversized_global(fx.table(spark, sf_dir, "documents"), F.length("text"))
     return kept.select("doc_id", F.length("text").cast("bigint").alias("n"))
 
 
@@ -696,7 +980,8 @@ RUNNING = """select doc_id, lang, length(text) as len,
 
 @query("running_sizes", f"select doc_id, seen, cast(chars as bigint) as chars from ({RUNNING})")
 def running_sizes(spark, sf_dir):
-    chunked = docs(spark, sf_dir).withColumn("chunk", F.floor(F.col("doc_id") / 64))
+    # the length is taken before anything moves
+    chunked = fx.table(spark, sf_dir, "documents").withColumn("chunk", F.floor(F.col("doc_id") / 64))
     sizes = oversize.running_sizes(chunked, F.length("text"), ["lang"], ["chunk"], ["doc_id"])
     return sizes.select("doc_id", F.col("_count").alias("seen"), F.col("_total").alias("chars"))
 
@@ -706,7 +991,8 @@ def running_sizes(spark, sf_dir):
     f"select doc_id, len as n from ({RUNNING}) where not (seen > 100 and len > (4 * chars) // seen)",
 )
 def skip_oversized_running(spark, sf_dir):
-    chunked = docs(spark, sf_dir).withColumn("chunk", F.floor(F.col("doc_id") / 64))
+    # the length is taken before anything moves
+    chunked = fx.table(spark, sf_dir, "documents").withColumn("chunk", F.floor(F.col("doc_id") / 64))
     kept = oversize.skip_oversized_running(chunked, F.length("text"), ["lang"], ["chunk"], ["doc_id"])
     return kept.select("doc_id", F.length("text").cast("bigint").alias("n"))
 

@@ -22,10 +22,10 @@ EMAIL_COLUMNS = {
     "replyid": "case when doc_id % 3 = 0 then '' else '<' || cast(doc_id - 1 as varchar(20)) || '@fixture>' end",
     "content": (
         "case doc_id % 5"
-        f" when 1 then ' On Fri, May 31, 2013 at 4:00 PM, A <a@b.c> wrote:' || {NL} || text"
+        f" when 1 then ' On Wed, Jan 17, 2018 at 9:30 AM, A <a@b.c> wrote:' || {NL} || text"
         f" when 2 then '> quoted line' || {NL} || '>> deeper line' || {NL} || text"
         f" when 3 then '>tight line' || {NL} || text || {TAB} || 'column'"
-        f" when 4 then '> On Tue, Jun 25, 2013 at 5:31 PM, B <b@c.d>wrote:' || {NL} || text"
+        f" when 4 then '> On Thu, Feb 08, 2018 at 7:45 PM, B <b@c.d>wrote:' || {NL} || text"
         " else text end"
     ),
 }
@@ -50,7 +50,7 @@ HEADERS = (
     f" || lpad(cast({HOUR} as varchar(20)), 2, '0') || ':05:30 ' || {ZONE} || {NL}"
     f" || case when doc_id % 3 = 0 then '' else 'In-Reply-To: <' || cast(doc_id - 1 as varchar(20))"
     f" || '@fixture>' || {NL} end"
-    f" || 'To: \"B, C\" <b@x.org>, d@x.org' || {NL}"
+    f" || 'To: \"B, C\" <b' || cast(doc_id as varchar(20)) || '@x.org>, d@x.org' || {NL}"
 )
 DIVIDER = f"'From ' || source || '@example.com Fri May 31 16:00:00 2013' || {NL}"
 MESSAGE = f"{DIVIDER} || {HEADERS} || {NL} || {STUFFED}"
@@ -75,7 +75,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"))
+    # test files have one row group each: as many pieces as there are cores
+    return spread(table(spark, sf_dir, "documents"), spark.sparkContext.defaultParallelism)
 
 
 def emails(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ def quote(s: str) -> str:
 
 def tokens(text: str) -> str:
     apart = f"regexp_replace({text}, '([\\p{{Han}}\\p{{Hiragana}}])', ' \\1 ', 'g')"
-    return f"list_filter(regexp_extract_all({apart}, {quote(WORD)}), lambda x: length(x) <= 255)"
+    return f"regexp_extract_all({apart}, {quote(WORD)})"
 
 
 def fold(text: str) -> str:
@@ -87,12 +87,28 @@ def light_stem(items: str, lang: str) -> str:
     return items
 
 
-G2 = """2.0 * (
-      case when k11 > 0 then k11 * ln(k11 * n / (r * c)) else 0.0 end
-    + case when r - k11 > 0 then (r - k11) * ln((r - k11) * n / (r * (n - c))) else 0.0 end
-    + case when c - k11 > 0 then (c - k11) * ln((c - k11) * n / ((n - r) * c)) else 0.0 end
-    + case when n - r - c + k11 > 0
-           then (n - r - c + k11) * ln((n - r - c + k11) * n / ((n - r) * (n - c))) else 0.0 end)"""
+def ln1p(x: str) -> str:
+    """ln(1 + x) without loss of digits for small x."""
+    return f"case when abs({x}) < 0.5 then 2 * atanh(({x}) / (2 + ({x}))) else ln(1 + ({x})) end"
+
+
+def _cell(k: str, deviation: str, row: str, col: str) -> str:
+    x = f"{deviation} / (cast({row} as double) * cast({col} as double))"
+    return f"case when {k} > 0 then cast({k} as double) * {ln1p(x)} else 0.0 end"
+
+
+def g2(d: str) -> str:
+    """Score from k11, the totals r, c and n, and ``d``, which is k11 * n - r * c."""
+    cells = [
+        _cell("(k11)", d, "r", "c"),
+        _cell("(r - k11)", f"-{d}", "r", "(n - c)"),
+        _cell("(c - k11)", f"-{d}", "(n - r)", "c"),
+        _cell("(n - r - c + k11)", d, "(n - r)", "(n - c)"),
+    ]
+    return f"2.0 * ({' + '.join(cells)})"
+
+
+G2 = g2("(k11 * n - r * c)")
 
 
 def scores(terms: str, universe: str = "") -> str:

@@ -21,10 +21,10 @@ from .rank import top_n_per_group
 MIN_SCORE = 1.0
 MAX_TERMS = 20
 
-# A key is cut into pieces if it has more than 1/share of all rows and enough rows
+# A key is cut into pieces if it has more than 1/SHARE of all rows and enough rows
 # to keep one task busy.
-MIN_SHARE = 500
-MIN_PIECE_ROWS = 1_000_000
+SHARE = 500
+PIECE_ROWS = 1_000_000
 
 
 def term_counts(terms: DataFrame) -> DataFrame:
@@ -37,7 +37,9 @@ def key_totals(counts: DataFrame, keys: list[str], name: str) -> DataFrame:
     return counts.groupBy(*keys).agg(F.sum("k11").alias(name), F.count(F.lit(1)).alias("n_rows"))
 
 
-def attach_totals(counts: DataFrame, totals: DataFrame, keys: list[str], name: str, spread_by: str) -> DataFrame:
+def attach_totals(
+    counts: DataFrame, totals: DataFrame, keys: list[str], name: str, spread_by: str, share: int = SHARE, piece_rows: int = PIECE_ROWS
+) -> DataFrame:
     """Join a per-key total to every row without gathering a hot key in one task.
 
     ``totals`` is a stored table, so its largest key can be looked up now. Usually
@@ -46,14 +48,12 @@ def attach_totals(counts: DataFrame, totals: DataFrame, keys: list[str], name: s
 
     A key is hot if it has more than ``1/share`` of all rows. There are fewer than
     ``share`` such keys, so the list of them that is broadcast is bounded however
-    large the data. Rows of a hot key get a piece number from a hash of
+    large the data. Keys of up to ``piece_rows`` rows are never cut. Rows of a hot key get a piece number from a hash of
     ``spread_by`` and the key's total is repeated once per piece; all other keys
     are one piece.
     """
-    partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = max(MIN_SHARE, 4 * partitions)
     all_rows, largest = totals.agg(F.sum("n_rows"), F.max("n_rows")).first()
-    piece_rows = max(MIN_PIECE_ROWS, -(-(all_rows or 0) // share))
+    piece_rows = max(piece_rows, -(-(all_rows or 0) // share))
     if (largest or 0) <= piece_rows:
         return counts.join(totals.drop("n_rows"), keys)
     sized = totals.withColumn("_pieces", F.ceil(F.col("n_rows") / F.lit(piece_rows)).cast("int"))
@@ -68,24 +68,35 @@ def attach_totals(counts: DataFrame, totals: DataFrame, keys: list[str], name: s
 
 
 def g2(k11: Column, term_total: Column, user_total: Column, grand_total: Column) -> Column:
-    """G2 of the 2x2 table of one term and one user; all operands as doubles."""
+    """G2 of the 2x2 table of one term and one user; operands are whole numbers below 10**18.
+
+    Each cell's ``k * ln(k * n / (row * column))`` is ``k * log1p(+-d / (row * column))`` with
+    the same ``d = k11 * n - row * column``, which is made exactly. The plain form subtracts
+    numbers that agree in most digits once the table is large.
+    """
+    whole = [c.cast("decimal(18,0)") for c in (k11, term_total, user_total, grand_total)]
+    d = (whole[0] * whole[3] - whole[1] * whole[2]).cast("double")
     k11, row, col, n = (c.cast("double") for c in (k11, term_total, user_total, grand_total))
-    k12, k21 = row - k11, col - k11
-    k22 = n - row - col + k11
 
-    def part(k: Column, row_sum: Column, col_sum: Column) -> Column:
-        return F.when(k > 0, k * F.log(k * n / (row_sum * col_sum))).otherwise(F.lit(0.0))
+    def part(k: Column, deviation: Column, row_sum: Column, col_sum: Column) -> Column:
+        return F.when(k > 0, k * F.log1p(deviation / (row_sum * col_sum))).otherwise(F.lit(0.0))
 
     return F.lit(2.0) * (
-        part(k11, row, col) + part(k12, row, n - col) + part(k21, n - row, col) + part(k22, n - row, n - col)
+        part(k11, d, row, col)
+        + part(row - k11, -d, row, n - col)
+        + part(col - k11, -d, n - row, col)
+        + part(n - row - col + k11, d, n - row, n - col)
     )
 
 
-def llr_scores(counts: DataFrame, per_length: bool = False, direction: str = "both", staged: bool = False) -> DataFrame:
+def llr_scores(
+    counts: DataFrame, per_length: bool = False, direction: str = "both", staged: bool = False, share: int = SHARE, piece_rows: int = PIECE_ROWS
+) -> DataFrame:
     """Score of every (user, term): columns email, term, k11, score.
 
     ``counts`` is read several times; unless the caller says that it is a stored
     table already (``staged=True``) it is written to the shared folder first.
+    ``share`` and ``piece_rows`` say which keys are cut; see :func:`attach_totals`.
     """
     if direction not in ("both", "over"):
         raise ValueError(f"unknown direction {direction!r}")
@@ -99,8 +110,8 @@ def llr_scores(counts: DataFrame, per_length: bool = False, direction: str = "bo
     user_totals = stage(key_totals(counts, ["email", *universe], "user_total"), "user-totals")
     # broadcast: one row, or one per term length
     grand = user_totals.groupBy(*universe).agg(F.sum("user_total").alias("grand_total"))
-    rows = attach_totals(counts, term_totals, ["term"], "term_total", "email")
-    rows = attach_totals(rows, user_totals, ["email", *universe], "user_total", "term")
+    rows = attach_totals(counts, term_totals, ["term"], "term_total", "email", share, piece_rows)
+    rows = attach_totals(rows, user_totals, ["email", *universe], "user_total", "term", share, piece_rows)
     rows = rows.join(F.broadcast(grand), universe) if universe else rows.crossJoin(F.broadcast(grand))
     if direction == "over":
         expected = F.col("term_total").cast("double") * F.col("user_total").cast("double")
@@ -114,14 +125,16 @@ def top_terms_by_llr(
     max_terms: int = MAX_TERMS,
     min_score: float = MIN_SCORE,
     predicate: Column | None = None,
+    limit_in_tasks: int | None = None,
     **options,
 ) -> DataFrame:
     """The best terms of every user: email, term, score.
 
-    ``predicate`` is an extra condition on ``term`` and ``score``.
+    ``predicate`` is an extra condition on ``term`` and ``score``. ``limit_in_tasks`` is for
+    long lists; see :func:`top_n_per_group`.
     """
     scores = llr_scores(counts, **options).filter(F.col("score") >= min_score)
     if predicate is not None:
         scores = scores.filter(predicate)
     best_first = [F.desc("score"), F.asc("term")]
-    return top_n_per_group(scores.select("email", "term", "score"), ["email"], best_first, max_terms, "term")
+    return top_n_per_group(scores.select("email", "term", "score"), ["email"], best_first, max_terms, "term", limit_in_tasks)

@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 SALTS = 64
 
 
-def top_n_per_group(df: DataFrame, group: list[str], order: list[Column], n: int, spread_by: str) -> DataFrame:
+def top_n_per_group(
+    df: DataFrame, group: list[str], order: list[Column], n: int, spread_by: str, limit_in_tasks: int | None = None
+) -> DataFrame:
     """First ``n`` rows of every group.
 
-    Spark keeps only ``n`` rows per group and task before it shuffles. It does so
-    up to a configured ``n``; beyond it, the same is done here in two explicit
-    rounds, the first over parts of each group.
+    Spark keeps only ``n`` rows per group and task before it shuffles, up to an ``n`` of
+    ``limit_in_tasks`` (by default Spark's own setting for this); beyond it, the same is done
+    here in two explicit rounds, the first over parts of each group.
     """
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if n > threshold:
+    if limit_in_tasks is None:
+        limit_in_tasks = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if n > limit_in_tasks:
         part = F.pmod(F.hash(spread_by), F.lit(SALTS))
         first = Window.partitionBy(*group, "_part").orderBy(*order)
         df = (

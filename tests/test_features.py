@@ -1,4 +1,5 @@
 import math
+import os
 import random
 from collections import Counter
 
@@ -52,16 +53,23 @@ def test_scores(occurrences, pairs):
     assert all(v > -1e-9 for v in got.values())
 
 
-def test_hot_keys_in_pieces_give_the_same_scores(occurrences, pairs, monkeypatch):
-    monkeypatch.setattr(llr, "MIN_PIECE_ROWS", 2)
-    monkeypatch.setattr(llr, "MIN_SHARE", 50)
-    scored = llr.llr_scores(llr.term_counts(occurrences))
+def test_hot_keys_in_pieces_give_the_same_scores(occurrences, pairs):
+    scored = llr.llr_scores(llr.term_counts(occurrences), share=50, piece_rows=2)
     assert "_piece" in scored._jdf.queryExecution().optimizedPlan().toString()
     got, want = as_dict(scored), brute_scores(pairs)
     assert got.keys() == want.keys()
     assert all(math.isclose(got[k], want[k], rel_tol=1e-9, abs_tol=1e-9) for k in want)
 
 
+@pytest.mark.parametrize(
+    ("table", "score"),
+    [((12, 10**7, 10**7, 2 * 10**13), 7.0113), ((3, 2 * 10**6, 2 * 10**7, 2 * 10**13), 0.4328)],
+)
+def test_scores_of_large_tables_keep_their_digits(one, table, score):
+    got = one(llr.g2(*[F.lit(x).cast("bigint") for x in table]))
+    assert round(got, 4) == score
+
+
 def test_score_is_symmetric():
     assert math.isclose(g2(3, 10, 20, 100), g2(3, 20, 10, 100))
 
@@ -184,9 +192,10 @@ def test_global_length_rule(spark):
 def test_stopword_lists(spark, tmp_path):
     (tmp_path / "stop.txt").write_text("the\n# kept\n  padded\nthe\n")
     got = wordlists.read_stopwords(spark, str(tmp_path / "stop.txt"))
-    assert wordlists.literal_words(got) == ["  padded", "# kept", "the"]
+    assert sorted(r.term for r in got.collect()) == ["  padded", "# kept", "the"]
     assert wordlists.read_stopwords(spark, None).count() == 0
-    assert wordlists.literal_words(wordlists.read_wordlist(spark, str(tmp_path / "stop.txt"))) == ["padded", "the"]
+    listed = wordlists.read_wordlist(spark, str(tmp_path / "stop.txt"))
+    assert sorted(r.term for r in listed.collect()) == ["padded", "the"]
 
 
 def test_exclusion_by_table(spark, occurrences):
@@ -225,8 +234,14 @@ def test_jobs_from_archive_to_terms(spark, tmp_path):
     text = "".join(message(f"{u}{i}", u, b) for i in range(40) for u, b in bodies.items())
     (tmp_path / "mail.mbox").write_text(text + message("big", "ann", "apples " * 2000))
     (tmp_path / "files.txt").write_text(f"{tmp_path}/mail.mbox\n")
-    counts = parse_archives(spark, f"{tmp_path}/emails", f"{tmp_path}/files.txt", rejects_dir=f"{tmp_path}/rejects")
-    assert counts == {"n_messages": 121, "n_rejected": 0}
+    staged = os.path.join(shared_dir(spark), "termloom", spark.sparkContext.applicationId)
+    before = set(os.listdir(staged)) if os.path.exists(staged) else set()
+    counts = parse_archives(
+        spark, f"{tmp_path}/emails", f"{tmp_path}/files.txt", oversize="global", rejects_dir=f"{tmp_path}/rejects"
+    )
+    assert counts == {"n_messages": 121, "n_rejected": 0, "n_skipped": 1}
+    skipped = spark.read.parquet(f"{tmp_path}/rejects").collect()
+    assert [(r.id, r.parse_error) for r in skipped] == [("<annbig@x>".replace("ann", ""), "longer than four times the mean")]
     lines = [r.value.split("\t") for r in spark.read.text(f"{tmp_path}/emails").collect()]
     assert len(lines) == 120 and all(len(f) == 7 for f in lines)
     assert ["<ann0@x>", "Ann", "ann@X.org", "sann0", "2013-05-31T16:00:00Z", ""] in [f[:6] for f in lines]
@@ -249,6 +264,10 @@ def test_jobs_from_archive_to_terms(spark, tmp_path):
 
     kept = parse_archives(spark, f"{tmp_path}/all", paths=f"{tmp_path}/mail.mbox", oversize="running", fmt="parquet")
     assert kept["n_messages"] == 121 and spark.read.parquet(f"{tmp_path}/all").count() == 120
+    assert parse_archives(spark, f"{tmp_path}/every", paths=f"{tmp_path}/mail.mbox")["n_skipped"] == 0
+    assert spark.read.text(f"{tmp_path}/every").count() == 121
+    # jobs leave nothing in the shared folder
+    assert (set(os.listdir(staged)) if os.path.exists(staged) else set()) == before
     with pytest.raises(ValueError):
         parse_archives(spark, f"{tmp_path}/none")
 
@@ -276,7 +295,31 @@ class _Session:
 
 def test_choice_of_the_shared_folder():
     assert shared_dir(_Session("spark://x", {"spark.checkpoint.dir": "hdfs:///cp/"})) == "hdfs:///cp"
-    local = _Session("local[2]", {})
-    assert shared_dir(local) == shared_dir(local)
-    with pytest.raises(ValueError):
-        shared_dir(_Session("spark://x", {}))
+    for master in ("local[2]", "spark://x"):
+        with pytest.raises(ValueError):
+            shared_dir(_Session(master, {}))
+
+
+def test_rejected_messages_do_not_move_the_mean(spark, tmp_path):
+    """A message is too long by the length of those that could be parsed, in both modes."""
+    short = "".join(message(f"{i}", "ann", "a b c d e f") for i in range(150))
+    for position, name in ((short + message("big", "ann", "x y " * 16), "end"), (message("w", "ann", "z" * 200_000), "wide")):
+        (tmp_path / name).write_text(position)
+    text = (tmp_path / "wide").read_text() + (tmp_path / "end").read_text()
+    (tmp_path / "mail.mbox").write_text(text)
+    for mode in ("global", "running"):
+        counts = parse_archives(
+            spark, f"{tmp_path}/{mode}", paths=f"{tmp_path}/mail.mbox", oversize=mode, max_line_len=100_000,
+            rejects_dir=f"{tmp_path}/{mode}-rejects",
+        )
+        assert counts == {"n_messages": 152, "n_rejected": 1, "n_skipped": 1}
+        assert spark.read.parquet(f"{tmp_path}/{mode}-rejects").count() == 2
+
+
+def test_stop_words_with_an_own_analyzer(spark):
+    docs = spark.createDataFrame([("a", "Red apples fall"), ("b", "red pears")], "email string, content string")
+    listed = spark.createDataFrame([("red",)], "term string")
+    own = lambda text: F.split(F.lower(text), " ")
+    by_table = top_terms_of(docs, stopwords=listed, analyzer=own, min_score=0.0).collect()
+    by_list = top_terms_of(docs, stopwords=["red"], analyzer=own, min_score=0.0).collect()
+    assert by_table == by_list and {r.term for r in by_table} == {"apples", "fall", "pears"}
