@@ -30,7 +30,7 @@ from termloom.sources import emails_tsv, mbox, wordlists
 from termloom.staging import new_path, stage
 
 from . import fixtures as fx
-from . import porter_sql, sql
+from . import porter_sql, sql, stems_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -258,7 +258,7 @@ ELIDED_TEXT = "regexp_replace(text, '(^| )([aeiou])', '%s', 'g')"
 @query(
     "elision_fr",
     f"""select doc_id, array_to_string({sql.each(sql.tokens(ELIDED_TEXT % "\\1Qu''\\2"),
-        sql.elided('x', analysis.FRENCH_ARTICLES))}, ' ') as tokens from documents""",
+        stems_sql.unelided('x', 'fr'))}, ' ') as tokens from documents""",
 )
 def elision_fr(spark, sf_dir):
     text = F.regexp_replace("text", "(^| )([aeiou])", "$1Qu'$2")
@@ -269,7 +269,7 @@ def elision_fr(spark, sf_dir):
 @query(
     "elision_it",
     f"""select doc_id, array_to_string({sql.each(sql.tokens(ELIDED_TEXT % "\\1dell’\\2"),
-        sql.elided('x', analysis.ITALIAN_ARTICLES))}, ' ') as tokens from documents""",
+        stems_sql.unelided('x', 'it'))}, ' ') as tokens from documents""",
 )
 def elision_it(spark, sf_dir):
     text = F.regexp_replace("text", "(^| )([aeiou])", "$1dell’$2")
@@ -368,15 +368,10 @@ CYRILLIC = ("abcdefghijklmnopqrstuvwxyz", "абцдефгхийклмнопяр
 def _language_query(lang: str) -> None:
     text = f"translate(lower(text), '{CYRILLIC[0]}', '{CYRILLIC[1]}')" if lang == "ru" else "text"
     words = sql.folded_tokens(text)
-    if lang in analysis.ARTICLES:
-        words = sql.each(words, sql.elided("x", analysis.ARTICLES[lang]))
+    if lang in stems_sql.ARTICLES:
+        words = sql.each(words, stems_sql.unelided("x", lang))
 
-    @query(
-        f"analyze_{lang}",
-        f"""select term, count(*) as n from (
-              select unnest({sql.light_stem(words, lang)}) as term from documents)
-            where not {sql.is_noise('term')} group by term""",
-    )
+    @query(f"analyze_{lang}", stems_sql.stemmed_counts(words, lang))
     def analyze_language(spark, sf_dir):
         content = F.translate(F.lower("text"), *CYRILLIC) if lang == "ru" else F.col("text")
         terms = docs(spark, sf_dir).select(F.explode(analysis.analyze(content, lang=lang)).alias("term"))

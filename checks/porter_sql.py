@@ -8,10 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from termloom.functions.stem_en import STEP2, STEP3, STEP4
-
 from . import sql
 
+# fixed values: the suffixes of the second to fourth step, with what replaces them
+STEP2 = (
+    "ational>ate tional>tion enci>ence anci>ance izer>ize bli>ble alli>al entli>ent eli>e ousli>ous ization>ize"
+    " ation>ate ator>ate alism>al iveness>ive fulness>ful ousness>ous aliti>al iviti>ive biliti>ble logi>log"
+)
+STEP3 = "icate>ic ative> alize>al iciti>ic ical>ic ful> ness>"
+STEP4 = "al ance ence er ic able ible ant ement ment ent ion ou ism ate iti ous ive ize"
+
 V, C = "[aeiouY]", "[^aeiouY]"
 
 
@@ -51,7 +57,8 @@ def ends(suffix: str, w: str = "w") -> str:
     return f"ends_with({w}, '{suffix}')"
 
 
-def _table(rules: list[tuple[str, str]]) -> str:
+def _table(table: str) -> str:
+    rules = [tuple(r.split(">")) for r in table.split()]
     cases = " ".join(
         f"when {ends(s)} then case when {m_over_0(head(len(s)))} then {head(len(s))} || '{r}' else w end"
         for s, r in sorted(rules, key=lambda rule: -len(rule[0]))
@@ -61,7 +68,7 @@ def _table(rules: list[tuple[str, str]]) -> str:
 
 def _step4() -> str:
     cases = []
-    for s in sorted(STEP4, key=len, reverse=True):
+    for s in sorted(STEP4.split(), key=len, reverse=True):
         stem = head(len(s))
         extra = f" and (ends_with({stem}, 's') or ends_with({stem}, 't'))" if s == "ion" else ""
         cases.append(f"when {ends(s)} then case when {m_over_1(stem)}{extra} then {stem} else w end")

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from termloom.functions.light_stem import DOUBLED, KEEP, LIGHT_STEMMERS
-
 # one letter with its marks and joined letters, or one digit likewise, or a connector
 WORD = (
     r"(?:\p{L}\p{M}*(?:['’.:·]\p{L}\p{M}*)*|\p{N}\p{M}*(?:[.,;'’]\p{N}\p{M}*)*|[_\p{M}])+"
@@ -57,36 +55,6 @@ def ngrams(w: str, size: int) -> str:
     return lists[0] if size == 1 else " || ".join(lists)
 
 
-def elided(word: str, articles: Iterable[str]) -> str:
-    return f"regexp_replace({word}, '(?i)^(?:{'|'.join(articles)})[''’]', '')"
-
-
-def light_stem(items: str, lang: str) -> str:
-    """The language's suffix steps over a list of words."""
-
-    def replace(pattern: str, replacement: str, everywhere: bool = False) -> str:
-        for n in "12":
-            replacement = replacement.replace(f"${n}", f"\\{n}")
-        flag = ", 'g'" if everywhere else ""
-        return f"regexp_replace(x, {quote(pattern)}, {quote(replacement)}{flag})"
-
-    for step in LIGHT_STEMMERS[lang]:
-        if step is DOUBLED:
-            body = "x"
-            for letter in "abcdefghijklmnopqrstuvwxyz":
-                body = f"regexp_replace({body}, '{letter}{letter}+', '{letter}', 'g')"
-            body = f"case when length(x) > 4 then {body} else x end"
-        elif isinstance(step, tuple):
-            body = replace(*step, everywhere=True)
-        else:
-            cases = " ".join(
-                f"when regexp_matches(x, {quote(p)}) then {'x' if r is KEEP else replace(p, r)}" for p, r in step
-            )
-            body = f"case {cases} else x end"
-        items = each(items, body)
-    return items
-
-
 def ln1p(x: str) -> str:
     """ln(1 + x) without loss of digits for small x."""
     return f"case when abs({x}) < 0.5 then 2 * atanh(({x}) / (2 + ({x}))) else ln(1 + ({x})) end"
