@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 GENERATION = 200_000
 LONG = 64  # signs; longer pieces are not kept
@@ -20,25 +20,30 @@ class PieceCache:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def learn(self, pieces: Iterable[str]) -> None:
-        """Makes all but the long ones of these pieces young."""
-        asked = set(pieces)
-        new = asked.difference(self.young)
-        if len(self.young) + len(new) > self.generation:
-            new = asked
+    def _found(self, asked: set[str]) -> dict[str, bytes]:
+        """Bytes of pieces that are not young; all but the long ones are young from now on."""
+        if len(self.young) + len(asked) > self.generation:
             self.old, self.young = self.young, {}
         old = self.old
-        again = new.intersection(old)
-        if again:
-            self.young.update((p, old[p]) for p in again)
-            new -= again
-        new = [p for p in new if len(p) <= LONG]
+        found = {p: old[p] for p in asked.intersection(old)}
+        new = list(asked.difference(found))
         if new:
-            self.young.update(zip(new, self.make(new), strict=True))
-
-    def join(self, pieces: list[str]) -> bytes:
-        """The bytes of learnt pieces one after the other; long ones are made anew."""
-        try:
-            return b"".join(map(self.young.__getitem__, pieces))
-        except KeyError:
-            return b"".join([self.young[p] if p in self.young else next(iter(self.make([p]))) for p in pieces])
+            found.update(zip(new, self.make(new), strict=True))
+        self.young.update((p, ids) for p, ids in found.items() if len(p) <= LONG)
+        return found
+
+    def joined(self, texts: Iterable[list[str]]) -> Iterator[bytes]:
+        """The bytes of each text's pieces one after the other; new pieces of all texts are made in one call."""
+        get = self.young.get
+        held, gaps, asked = [], [], set()
+        for pieces in texts:
+            ids = list(map(get, pieces))
+            missing = [i for i, x in enumerate(ids) if x is None]
+            asked.update([pieces[i] for i in missing])
+            held.append(ids)
+            gaps.append((pieces, missing))
+        found = self._found(asked)
+        for ids, (pieces, missing) in zip(held, gaps, strict=True):
+            for i in missing:
+                ids[i] = found[pieces[i]]
+            yield b"".join(ids)

@@ -3,65 +3,81 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import islice
 
 import numpy as np
 
+from .cache import PieceCache
+
 #: white space of the library's patterns; letters, and marks that no token shares with a letter before them
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _LETTERS = "A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff"
 _MARKS = r"!-&(-/:-@\[-`{-~"
-#: where a byte-level pattern surely cuts: before the space that leads a run of other signs, and between letters and marks
-BYTE_LEVEL_PIECES = f" ?[{_LETTERS}]++(?=[{_MARKS}])| ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+"
-#: a tokenizer that drops white space never joins what stands around it
-WORD_PIECES = rf"[{_LETTERS}]++(?=[{_MARKS}])|[^\t-\r ]+"
 
-CACHE_PIECES = 400_000
+
+@dataclass(frozen=True)
+class Pieces:
+    """Where a tokenizer surely cuts, and what it makes of letters before it merges."""
+
+    pattern: str
+    lower: bool
+
+
+#: byte-level patterns cut before the space that leads a run of other signs, and between letters and marks
+BYTE_LEVEL_PIECES = Pieces(f" ?[{_LETTERS}]++(?=[{_MARKS}])| ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+", lower=False)
+#: a tokenizer that drops white space and case never joins what stands around white space
+WORD_PIECES = Pieces(rf"[{_LETTERS}]++(?=[{_MARKS}])|[^\t-\r ]+", lower=True)
+
 TOGETHER = 1 << 20  # characters whose new pieces are encoded in one call
-LONG_PIECE = 64  # longer ones are not kept
+
+
+def _byte_signs() -> dict[int, str]:
+    """The letters that stand for bytes in byte-level vocabularies: printable ones for themselves, then from 256 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 class PieceEncoder:
     """Encodes texts piece by piece; the results are those for whole texts.
 
     Special tokens' strings in a text are ordinary text. Ids are little-endian unsigned
-    32-bit integers.
+    32-bit integers. New pieces that are letters alone are one word, and go straight to the
+    tokenizer's merges; all others take its whole way.
     """
 
-    def __init__(self, path: str, pieces: str) -> None:
+    def __init__(self, path: str, pieces: Pieces) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.pieces = re.compile(pieces)
-        self.cache: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.lower = pieces.lower
+        self.pieces = re.compile(pieces.pattern)
+        self.one_word = re.compile(f" ?[{_LETTERS}]+")
+        self.signs = _byte_signs()
+        self.cache = PieceCache(self._encoded)
+
+    def _merged(self, word: str) -> bytes:
+        if self.lower:
+            word = word.lower()
+        signs = word.encode().decode("latin-1").translate(self.signs)
+        return array("I", [t.id for t in self.model.tokenize(signs)]).tobytes()
 
     def _encoded(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Encodes what is new in one call; the cache starts anew when it is full."""
-        new = [p for p in set(pieces).difference(self.cache) if len(p) <= LONG_PIECE]
-        if len(self.cache) + len(new) > CACHE_PIECES:
-            self.cache.clear()
-            new = [p for p in set(pieces) if len(p) <= LONG_PIECE]
-        if new:
-            self.cache.update(zip(new, self._encoded(new), strict=True))
-
-    def _join(self, pieces: list[str]) -> bytes:
-        try:
-            return b"".join(map(self.cache.__getitem__, pieces))
-        except KeyError:
-            return b"".join([self.cache[p] if p in self.cache else self._encoded([p])[0] for p in pieces])
+        out = [self._merged(p) if self.one_word.fullmatch(p) else None for p in pieces]
+        rest = [p for p, ids in zip(pieces, out, strict=True) if ids is None]
+        whole = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else [])
+        return [np.array(next(whole).ids, "<u4").tobytes() if ids is None else ids for ids in out]
 
     def _long(self, text: str) -> bytes:
         pieces = (m.group() for m in self.pieces.finditer(text))
         out = []
         while part := list(islice(pieces, 100_000)):
-            self._learn(part)
-            out.append(self._join(part))
+            out += self.cache.joined([part])
         return b"".join(out)
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
@@ -71,15 +87,11 @@ class PieceEncoder:
         for text in texts:
             text = text or ""
             if len(text) > TOGETHER or size + len(text) > TOGETHER:
-                yield from self._flush(held)
+                yield from self.cache.joined(held)
                 held, size = [], 0
             if len(text) > TOGETHER:
                 yield self._long(text)
             else:
                 held.append(self.pieces.findall(text))
                 size += len(text)
-        yield from self._flush(held)
-
-    def _flush(self, held: list[list[str]]) -> Iterator[bytes]:
-        self._learn([p for pieces in held for p in pieces])
-        yield from map(self._join, held)
+        yield from self.cache.joined(held)

@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .batches import small_batches
+
 ORDERS = (1, 2, 3)
 BITS = 17
 FEATURES = 1 << BITS
@@ -194,6 +196,7 @@ def fit(
 
     Learns from rows that are not held out and have a text and a language.
     """
+    small_batches(docs.sparkSession)
     rows = docs.filter(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(text_col).alias("text"),
         F.col(lang_col).alias("lang"),
@@ -206,9 +209,14 @@ def fit(
         df[r.feature] = r.df
     idf = np.log((1 + df[FEATURES]) / (1 + df[:FEATURES])) + 1
 
+    # places are hashes, hence even: those below a share of them hold the first few of each language
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    bound = F.lit(-(2.0**63)) + F.least(F.lit(1.0), 4.0 * sample_per_language / F.col("n")) * F.lit(2.0**64)
+    # one row for each language, of which the model has a column of weights each
+    first = rows.select("lang", "place").join(F.broadcast(sizes), "lang").filter(F.col("place").cast("double") <= bound)
     by_place = Window.partitionBy("lang").orderBy("place")
     chosen = (
-        rows.select("lang", "place")
+        first.select("lang", "place")
         .withColumn("nth", F.row_number().over(by_place).cast("long"))
         .filter(F.col("nth") <= sample_per_language)
     )
@@ -272,6 +280,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
                 ["id", "held_out", "lang_pred", "score"],
             )
 
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text")
     )
@@ -281,6 +290,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
 
 def drop_unidentified(docs: DataFrame, model: Model | None, text_col: str = "text", least_score: float = 0.35) -> DataFrame:
     """The rows of ``docs`` whose language is known with at least that probability, all columns."""
+    small_batches(docs.sparkSession)
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

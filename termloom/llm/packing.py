@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import stage
-from .encoders import PieceEncoder
+from .batches import small_batches
+from .encoders import PieceEncoder, Pieces
 from .grouping import sorted_groups
 from .offsets import shifts
 
@@ -74,9 +75,9 @@ def windows(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, int]:
         k += max(1, k // 200)
 
 
-def _pieces(path: str, pattern: str, end_id: int, capacity: int):
+def _pieces(path: str, pieces: Pieces, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = PieceEncoder(path, pattern), np.array([end_id], "<u4").tobytes()
+        encoder, end = PieceEncoder(path, pieces), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows = []
             for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
@@ -125,7 +126,7 @@ def _pack(capacity: int, group_rows: int):
 def pack(
     docs: DataFrame,
     tokenizer_path: str,
-    pieces: str,
+    pieces: Pieces,
     end_id: int,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -141,6 +142,7 @@ def pack(
     own, as are rows without an id. An empty table gives an empty table; other columns are
     not read. Equal lengths are told apart by id and start, so results don't change.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     found = stage(
         rows.mapInArrow(

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import small_batches
+
 RADIUS = 2
 SIGMA = 1.0
 
@@ -227,6 +229,7 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     judged by its own page: repeated and null ids and urls change nothing. An empty table
     gives an empty table; other columns are not read.
     """
+    small_batches(pages.sparkSession)
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     out = rows.mapInArrow(_extracted, "id long, url string, text string, n_chars long")
     return out.withColumnRenamed("id", id_col)

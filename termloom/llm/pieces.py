@@ -13,7 +13,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import islice
 
 import ahocorasick
 import numpy as np
@@ -151,7 +151,7 @@ class MergeEncoder:
         for text in texts:
             text = text or ""
             if size + len(text) > TOGETHER:
-                yield from self._flush(held)
+                yield from self.cache.joined(held)
                 held, size = [], 0
             normal = self.library.normalize(text)
             if len(text) > TOGETHER:
@@ -159,18 +159,13 @@ class MergeEncoder:
             else:
                 held.append(self.word.findall(normal))
                 size += len(text)
-        yield from self._flush(held)
-
-    def _flush(self, held: list[list[str]]) -> Iterator[bytes]:
-        self.cache.learn(chain.from_iterable(held))
-        yield from map(self.cache.join, held)
+        yield from self.cache.joined(held)
 
     def _long(self, normal: str) -> bytes:
         words = (m.group() for m in self.word.finditer(normal))
         out = []
         while part := list(islice(words, 100_000)):
-            self.cache.learn(part)
-            out.append(self.cache.join(part))
+            out += self.cache.joined([part])
         return b"".join(out)
 
     def decode(self, ids: list[int]) -> str:

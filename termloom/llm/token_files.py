@@ -21,12 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import range_coder
-from .encoders import PieceEncoder
+from .batches import small_batches
+from .encoders import PieceEncoder, Pieces
 from .offsets import shifts
 
-BLOCK_IDS = 8_192
+BLOCK_IDS = 4_096
 #: blocks coded together
-LANES = 1_024
+LANES = 2_048
 
 FORMAT = (
     "segment long, block long, n_ids long, crc32 long, payload binary, "
@@ -41,7 +42,7 @@ _ARROW = pa.schema(
 )
 
 
-def _coded(path: str, pieces: str, end_id: int, block_ids: int, lanes: int):
+def _coded(path: str, pieces: Pieces, end_id: int, block_ids: int, lanes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segment = TaskContext.get().partitionId()
         encoder, end = PieceEncoder(path, pieces), np.array([end_id], "<u4").tobytes()
@@ -103,7 +104,7 @@ def write_token_files(
     docs: DataFrame,
     path: str,
     tokenizer_path: str,
-    pieces: str,
+    pieces: Pieces,
     end_id: int,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -115,35 +116,51 @@ def write_token_files(
     Null ids come first, and rows of one id in the order of their texts; a null text is
     empty. Tokenizers of up to 65,536 ids. An empty table makes a folder without blocks.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     ordered = rows.repartitionByRange("id").sortWithinPartitions("id", F.xxhash64("text"), "text")
     ordered.mapInArrow(_coded(tokenizer_path, pieces, end_id, block_ids, lanes), FORMAT).write.parquet(path)
 
 
+def _in_lanes(batches: Iterator[pa.RecordBatch], lanes: int) -> Iterator[pa.Table]:
+    """The rows in tables of ``lanes`` rows, the last one smaller."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        while sum(b.num_rows for b in held) >= lanes:
+            table = pa.Table.from_batches(held)
+            yield table.slice(0, lanes)
+            held = table.slice(lanes).to_batches()
+    if sum(b.num_rows for b in held):
+        yield pa.Table.from_batches(held)
+
+
 def _decoded(lanes: int):
+    kinds = [pa.int64()] * 6 + [pa.binary()]
+    columns = ["segment", "block", "doc_id", "nth", "start", "length", "ids"]
+
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        values = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], columns)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in (batch.slice(at, lanes) for at in range(0, batch.num_rows, lanes)):
-                n = part.column("n_ids").to_pylist()
-                blocks = range_coder.decode(part.column("payload").to_pylist(), n)
-                segment, block = part.column("segment").to_pylist(), part.column("block").to_pylist()
-                crc, names = part.column("crc32").to_pylist(), [part.column(c).to_pylist() for c in ("doc_id", "nth", "start", "length")]
-                rows = []
-                for i, ids in enumerate(blocks):
-                    raw = ids.astype("<u4").tobytes()
-                    if zlib.crc32(raw) != crc[i]:
-                        raise ValueError(f"block {block[i]} of segment {segment[i]} is damaged")
-                    at = 0
-                    for doc, nth, start, length in zip(*[x[i] for x in names], strict=True):
-                        rows.append((segment[i], block[i], doc, nth, start, length, raw[4 * at : 4 * (at + length)]))
-                        at += length
-                kinds = [pa.int64()] * 6 + [pa.binary()]
-                for lo in range(0, len(rows), 2_000):
-                    columns = zip(*rows[lo : lo + 2_000], strict=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                        ["segment", "block", "doc_id", "nth", "start", "length", "ids"],
-                    )
+        for table in _in_lanes(batches, lanes):
+            stored = {c: table.column(c).to_pylist() for c in table.column_names}
+            rows = []
+            for i, ids in enumerate(range_coder.decode(stored["payload"], stored["n_ids"])):
+                raw = ids.astype("<u4").tobytes()
+                segment, block = stored["segment"][i], stored["block"][i]
+                if zlib.crc32(raw) != stored["crc32"][i]:
+                    raise ValueError(f"block {block} of segment {segment} is damaged")
+                at = 0
+                for doc, nth, start, length in zip(*[stored[c][i] for c in ("doc_id", "nth", "start", "length")], strict=True):
+                    rows.append((segment, block, doc, nth, start, length, raw[4 * at : 4 * (at + length)]))
+                    at += length
+                if len(rows) >= 1_000:
+                    yield out(rows)
+                    rows = []
+            if rows:
+                yield out(rows)
 
     return run
 
