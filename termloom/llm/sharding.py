@@ -44,8 +44,8 @@ def shard_rows(
     ``shard`` depends on the key and the weights alone. ``grown_shard`` is the key's shard
     after one more shard of ``grown_weight`` has joined: the old shard or the new one.
     ``size`` is 8 more than the text's UTF-8 bytes. ``slot`` numbers a shard's rows from 0
-    without gaps: rows are dealt over pieces of a shard by a hash, numbered within each
-    piece, and shifted by the rows of the pieces before.
+    without gaps in the order of key, checksum and size: rows are dealt over ranges of that
+    order, numbered within each range, and shifted by the rows of the ranges before.
 
     A null text has no bytes and the checksum 0. Rows of one key, null included, share a
     shard and get slots of their own. An empty table gives an empty table; other columns
@@ -60,17 +60,21 @@ def shard_rows(
         rendezvous(key, [*weights, grown_weight]).alias("grown_shard"),
     )
     rows = stage(rows, "shards")
+    order = ["id", "text_crc32", "size"]
     pieces = max(1, -(-rows.count() // (len(weights) * rows_per_piece)))
-    # repeated keys are told apart by their text, so that one key's rows need not meet
-    piece = F.pmod(F.xxhash64("id", "text_crc32", "size"), F.lit(pieces))
-    rows = rows.withColumn("piece", piece)
+    if pieces > 1:
+        # ranges of keys in order; equal keys are told apart by their texts, so they need not meet
+        ranged = rows.repartitionByRange(pieces, *order).withColumn("piece", F.spark_partition_id())
+        rows = stage(ranged, "shard-pieces")
+    else:
+        rows = rows.withColumn("piece", F.lit(0))
     before = Window.partitionBy("shard").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
         rows.groupBy("shard", "piece")
         .agg(F.count("*").alias("n"))
         .select("shard", "piece", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
     )
-    within = Window.partitionBy("shard", "piece").orderBy("id", "text_crc32", "size")
+    within = Window.partitionBy("shard", "piece").orderBy(*order)
     return rows.join(shifts, ["shard", "piece"]).select(
         F.col("id").alias(id_col),
         "size",
