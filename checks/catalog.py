@@ -54,6 +54,7 @@ NL = fx.NL
 UNESCAPED = f"replace(replace(%s, '\\n', {NL}), '\\t', {fx.TAB})"
 ESCAPED = f"replace(replace(%s, {NL}, '\\n'), {fx.TAB}, '\\t')"
 USER = "lower(trim(email))"
+# fixed value: the quote header of the original job
 QUOTE_HEADER = "regexp_replace(content, '(?m)^>* On ..., .+, .+wrote:', '', 'g')"
 STOPWORDS = ["der", "die", "und", "the", "and", "que", "les"]
 
@@ -100,6 +101,7 @@ def escape_roundtrip(spark, sf_dir):
     return escaped.withColumn("restored", clean.unescape_content("escaped"))
 
 
+# fixed values: the fields of the line format, in its order
 FIELDS = ["id", "author", "email", "subject", "date", "replyid", "content"]
 # e-mails of a single line lack their first field
 ONE_LINE = f"instr(content, {NL}) = 0"

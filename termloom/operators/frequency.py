@@ -37,8 +37,8 @@ def df_ratio(doc_count: Column, total: Column, float32: bool = False) -> Column:
 
 
 def document_frequency(doc_counts: DataFrame, total: DataFrame, float32: bool = False) -> DataFrame:
-    """Attach the one-row total to every term and divide."""
-    joined = doc_counts.crossJoin(F.broadcast(total))
+    """Attach the total, one row of ``total_docs``, to every term and divide."""
+    joined = doc_counts.crossJoin(F.broadcast(total.agg(F.max("total_docs").alias("total_docs"))))
     return joined.select(
         "term",
         df_ratio(F.col("doc_count"), F.col("total_docs"), float32).alias("df"),

@@ -38,7 +38,13 @@ def key_totals(counts: DataFrame, keys: list[str], name: str) -> DataFrame:
 
 
 def attach_totals(
-    counts: DataFrame, totals: DataFrame, keys: list[str], name: str, spread_by: str, share: int = SHARE, piece_rows: int = PIECE_ROWS
+    counts: DataFrame,
+    totals: DataFrame,
+    keys: list[str],
+    name: str,
+    spread_by: str,
+    share: int = SHARE,
+    piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """Join a per-key total to every row without gathering a hot key in one task.
 
@@ -48,7 +54,8 @@ def attach_totals(
 
     A key is hot if it has more than ``1/share`` of all rows. There are fewer than
     ``share`` such keys, so the list of them that is broadcast is bounded however
-    large the data. Keys of up to ``piece_rows`` rows are never cut. Rows of a hot key get a piece number from a hash of
+    large the data. Keys of up to ``piece_rows`` rows are never cut. Rows of a hot key get
+    a piece number from a hash of
     ``spread_by`` and the key's total is repeated once per piece; all other keys
     are one piece.
     """
@@ -90,7 +97,12 @@ def g2(k11: Column, term_total: Column, user_total: Column, grand_total: Column)
 
 
 def llr_scores(
-    counts: DataFrame, per_length: bool = False, direction: str = "both", staged: bool = False, share: int = SHARE, piece_rows: int = PIECE_ROWS
+    counts: DataFrame,
+    per_length: bool = False,
+    direction: str = "both",
+    staged: bool = False,
+    share: int = SHARE,
+    piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """Score of every (user, term): columns email, term, k11, score.
 
@@ -137,4 +149,5 @@ def top_terms_by_llr(
     if predicate is not None:
         scores = scores.filter(predicate)
     best_first = [F.desc("score"), F.asc("term")]
-    return top_n_per_group(scores.select("email", "term", "score"), ["email"], best_first, max_terms, "term", limit_in_tasks)
+    scores = scores.select("email", "term", "score")
+    return top_n_per_group(scores, ["email"], best_first, max_terms, "term", limit_in_tasks)

@@ -58,9 +58,15 @@ def main() -> None:
             )
         )
     elif args.job == "top-terms":
-        print(top_terms(spark, args.input, args.workingdir, args.stopwords, args.maxterms, args.shinglesize, lang=args.lang, partitions=args.partitions))
+        options = {"lang": args.lang, "partitions": args.partitions}
+        print(
+            top_terms(
+                spark, args.input, args.workingdir, args.stopwords, args.maxterms, args.shinglesize, **options
+            )
+        )
     else:
-        print(mine_stopwords(spark, args.input, args.workingdir, args.maxdf, lang=args.lang, partitions=args.partitions))
+        options = {"lang": args.lang, "partitions": args.partitions}
+        print(mine_stopwords(spark, args.input, args.workingdir, args.maxdf, **options))
     spark.stop()
 
 
