@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.let import let
 from ..staging import stage
 
-WINDOW = 8
+WINDOW = 8  # a power of two
 ROUNDS = 40
 #: what the model believes before it has seen any document: the share of good documents,
 #: and how often a rule votes against good ones, ones that are bad in its way, other bad ones
@@ -40,16 +40,16 @@ def _words(text: Column) -> Column:
 
 
 def _windows(words: Column) -> Column:
-    """A hash of every run of WINDOW words."""
-    return F.when(
-        F.size(words) >= WINDOW,
-        let(
-            F.transform(words, lambda w: F.xxhash64(w)),
-            lambda h: F.transform(
-                F.sequence(F.lit(1), F.size(h) - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(h, i, WINDOW))
-            ),
-        ),
-    ).otherwise(F.array().cast("array<bigint>"))
+    """A hash of every run of WINDOW words, from those of runs half as long."""
+
+    def doubled(runs: Column, length: int) -> Column:
+        return let(runs, lambda a: F.transform(a, lambda x, i: F.xxhash64(x, F.get(a, i + length))))
+
+    runs, length = F.transform(words, lambda w: F.xxhash64(w)), 1
+    while length < WINDOW:
+        runs, length = doubled(runs, length), 2 * length
+    # the last runs lack words
+    return F.slice(runs, F.lit(1), F.greatest(F.size(words) - (WINDOW - 1), F.lit(0)))
 
 
 def _covered(windows: Column) -> Column:
@@ -93,15 +93,16 @@ def with_counts(docs: DataFrame, text_col: str) -> DataFrame:
     long = {
         "n_words": F.size("_q_words"),
         "word_chars": F.length(F.array_join("_q_words", "")),
-        "n_symbols": F.regexp_count("_q_text", F.lit("[#*$%&|<>]")),
+        "n_symbols": F.length(F.regexp_replace("_q_text", "[^#*$%&|<>]+", "")),
         "n_dup_lines": F.size("_q_lines") - F.size(F.array_distinct("_q_lines")),
         "n_repeat_words": _covered(F.col("_q_windows")),
         "_q_distinct": F.size(F.array_distinct("_q_words")),
         "_q_stutter": F.size(
             F.filter("_q_words", lambda w, i: F.coalesce(w == F.get(F.col("_q_words"), i - 1), F.lit(False)))
         ),
-        "_q_upper": F.regexp_count("_q_text", F.lit(r"\p{Lu}")),
-        "_q_signs": F.regexp_count("_q_text", F.lit(r"[^\p{L}\p{N}\s]")),
+        # what is left when long runs of all else are taken out
+        "_q_upper": F.length(F.regexp_replace("_q_text", r"\P{Lu}+", "")),
+        "_q_signs": F.length(F.regexp_replace("_q_text", r"[\p{L}\p{N}\s]+", "")),
         "_q_shouts": F.length("_q_text") - F.length(F.replace(F.col("_q_text"), F.lit("!"), F.lit(""))),
         "_q_n_lines": F.size("_q_lines"),
         "_q_ended": F.size(F.filter("_q_lines", lambda x: F.rlike(x, F.lit(r'[.!?:"»”…]\s*$')))),
@@ -130,7 +131,12 @@ def votes(q: Column) -> Column:
         "lines": (share("n_dup_lines", "_q_n_lines"), lambda x: x <= 0.3, lambda x: x > 0.5, lines),
         "variety": (share("_q_distinct", "n_words"), lambda x: x >= 0.4, lambda x: x < 0.2, q["n_words"] >= 50),
         "stutter": (share("_q_stutter", "n_words"), lambda x: x <= 0.05, lambda x: x > 0.3, words),
-        "length": (share("word_chars", "n_words"), lambda x: (x >= 3.5) & (x <= 8), lambda x: (x < 2) | (x > 15), words),
+        "length": (
+            share("word_chars", "n_words"),
+            lambda x: (x >= 3.5) & (x <= 8),
+            lambda x: (x < 2) | (x > 15),
+            words,
+        ),
         "ends": (share("_q_ended", "_q_n_lines"), lambda x: x >= 0.7, lambda x: x < 0.1, lines),
     }
     return F.array(*[_vote(x, good(x), bad(x), has) for x, good, bad, has in (rules[r] for r in RULES)])
@@ -272,4 +278,6 @@ def drop_low_quality(docs: DataFrame, text_col: str = "text") -> DataFrame:
     Counts are made twice, once for the patterns and once for the rows, so that no text is shuffled.
     """
     judged = _verdicts(with_counts(docs, text_col))
-    return judged.filter(~_base_failed(F.col("_q")) & (F.col("_q_posterior") >= 0.5)).select(*docs.columns)
+    # one condition over both sides of the join: a part of its own would be pushed below it, and count once more
+    kept = F.when(_base_failed(F.col("_q")), F.lit(False)).otherwise(F.col("_q_posterior") >= 0.5)
+    return judged.filter(kept).select(*docs.columns)
