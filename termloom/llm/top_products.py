@@ -34,7 +34,14 @@ FOCUS = 4
 SLACK = 1e-9  # of sums of doubles, so that no bound cuts off a tie
 
 _CHUNKS = pa.schema(
-    [("part", pa.int64()), ("nth", pa.int64()), ("longest", pa.float64()), ("dim", pa.int64()), ("ids", pa.binary()), ("rows", pa.binary())]
+    [
+        ("part", pa.int64()),
+        ("nth", pa.int64()),
+        ("longest", pa.float64()),
+        ("dim", pa.int64()),
+        ("ids", pa.binary()),
+        ("rows", pa.binary()),
+    ]
 )
 
 
@@ -78,7 +85,8 @@ def _chunks(size: int):
             ids = table.column("id").to_numpy().astype("<i8")
             longest = float(np.sqrt((rows.astype(float) ** 2).sum(1)).max(initial=0))
             values = [part, nth, longest, rows.shape[1], ids.tobytes(), rows.tobytes()]
-            return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(values, _CHUNKS, strict=True)], schema=_CHUNKS)
+            arrays = [pa.array([x], f.type) for x, f in zip(values, _CHUNKS, strict=True)]
+            return pa.RecordBatch.from_arrays(arrays, schema=_CHUNKS)
 
         for batch in batches:
             held.append(batch)
@@ -149,8 +157,13 @@ class _Chunk:
             found &= (c >= low - SLACK) & (c <= high + SLACK)
         return np.flatnonzero(found)
 
-    def search(self, q_ids: np.ndarray, q: np.ndarray, thresholds: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(query's place, ids, scores): up to k of the best for each query, none below its threshold."""
+    def search(
+        self, q_ids: np.ndarray, q: np.ndarray, thresholds: np.ndarray, ties: np.ndarray, k: int
+    ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(query's place, ids, scores): up to k of the best for each query.
+
+        None is below the query's threshold; what equals it has an id below the query's tie.
+        """
         q, rows = _same_width(q, self.rows)
         lengths = np.sqrt((q.astype(float) ** 2).sum(1))
         units = self.units
@@ -164,7 +177,8 @@ class _Chunk:
             if not len(s):
                 continue
             scores = whole[i][s] if i in whole else _products(q[i : i + 1], rows[s])[0]
-            keep = (scores >= thresholds[i]) & (self.ids[s] != q_ids[i])
+            keep = (scores > thresholds[i]) | (scores == thresholds[i]) & (self.ids[s] < ties[i])
+            keep &= self.ids[s] != q_ids[i]
             ids, scores = self.ids[s][keep], scores[keep]
             best = _best(ids, scores, k)
             if len(best):
@@ -172,7 +186,7 @@ class _Chunk:
 
 
 def _seeded(seeds: list[dict], k: int):
-    """Blocks of queries with what the longest chunks give: thresholds, the length they need, best ids and scores."""
+    """Blocks of queries with what the longest chunks give: thresholds and ties, the length they need, best ids and scores."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks = [_Chunk(*_unpacked(s)) for s in seeds]
@@ -180,25 +194,26 @@ def _seeded(seeds: list[dict], k: int):
             for row in batch.to_pylist():
                 q_ids, q = _unpacked(row)
                 ids, scores = [np.zeros(0, np.int64)] * len(q), [np.zeros(0, np.int64)] * len(q)
-                thresholds = np.full(len(q), -np.inf)
+                thresholds, ties = np.full(len(q), -np.inf), np.full(len(q), 2**63 - 1)
                 for chunk in chunks:
-                    for i, more, s in chunk.search(q_ids, q, thresholds, k):
+                    for i, more, s in chunk.search(q_ids, q, thresholds, ties, k):
                         ids[i], scores[i] = np.append(ids[i], more), np.append(scores[i], s)
                         best = _best(ids[i], scores[i], k)
                         ids[i], scores[i] = ids[i][best], scores[i][best]
                         if len(best) == k:
-                            thresholds[i] = scores[i][-1]
+                            thresholds[i], ties[i] = scores[i][-1], ids[i][-1]
                 lengths = np.sqrt((q.astype(float) ** 2).sum(1))
                 need = np.where((thresholds > 0) & (lengths > 0), thresholds / np.maximum(lengths, 1e-300), 0.0)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *[pa.array([row[c]]) for c in ("block", "dim", "ids", "rows")],
                         pa.array([thresholds.tobytes()]),
+                        pa.array([ties.astype("<i8").tobytes()]),
                         pa.array([float(need.min(initial=np.inf))]),
                         pa.array([[x.tolist() for x in ids]], pa.list_(pa.list_(pa.int64()))),
                         pa.array([[x.tolist() for x in scores]], pa.list_(pa.list_(pa.int64()))),
                     ],
-                    ["block", "dim", "ids", "rows", "thresholds", "need", "best_ids", "best_scores"],
+                    ["block", "dim", "ids", "rows", "thresholds", "ties", "need", "best_ids", "best_scores"],
                 )
 
     return run
@@ -210,7 +225,8 @@ def _searched(k: int):
             for row in batch.to_pylist():
                 q_ids, q = _unpacked(row)
                 chunk = _Chunk(*_unpacked({"ids": row["x_ids"], "rows": row["x_rows"], "dim": row["x_dim"]}))
-                found = list(chunk.search(q_ids, q, np.frombuffer(row["thresholds"]), k))
+                thresholds, ties = np.frombuffer(row["thresholds"]), np.frombuffer(row["ties"], "<i8")
+                found = list(chunk.search(q_ids, q, thresholds, ties, k))
                 queries = np.concatenate([np.zeros(0, np.int64), *[np.full(len(x), q_ids[i]) for i, x, _ in found]])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -267,7 +283,7 @@ def top_products(
     blocks = stage(
         blocks.select("block", "dim", "ids", "rows").mapInArrow(
             _seeded(seeds, k),
-            "block long, dim long, ids binary, rows binary, thresholds binary, need double, "
+            "block long, dim long, ids binary, rows binary, thresholds binary, ties binary, need double, "
             "best_ids array<array<long>>, best_scores array<array<long>>",
         ),
         "queries",
@@ -278,7 +294,7 @@ def top_products(
     lengths = chunks.select(F.col("number").cast("int").alias("number"), "longest")
     grid = grid.filter(F.col("number") >= SEED_CHUNKS).join(lengths, "number")
     grid = grid.filter(F.col("longest") >= F.col("need") * (1 - SLACK)).select("number", "block")
-    asked = grid.join(blocks.select("block", "dim", "ids", "rows", "thresholds"), "block")
+    asked = grid.join(blocks.select("block", "dim", "ids", "rows", "thresholds", "ties"), "block")
     stored = chunks.select(
         F.col("number").cast("int").alias("number"),
         F.col("dim").alias("x_dim"),
