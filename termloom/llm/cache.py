@@ -3,47 +3,44 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 GENERATION = 200_000
 LONG = 64  # signs; longer pieces are not kept
+AT_ONCE = 200_000  # pieces of a text that are looked up together
 
 
-class PieceCache:
-    """Bytes of pieces; ``make`` gives those of a list of new pieces.
+class PieceCache(dict):
+    """Bytes of pieces; ``make`` gives those of a new piece.
 
-    Pieces live in two generations. When the young one is full it becomes the old one, and
-    an old piece that is asked for again becomes young, so frequent pieces stay.
+    Pieces live in two generations. When the young one, which is this dictionary, is full, it
+    becomes the old one, and an old piece that is asked for again becomes young, so frequent
+    pieces stay.
     """
 
-    def __init__(self, make: Callable[[list[str]], Iterable[bytes]], generation: int = GENERATION) -> None:
+    def __init__(self, make: Callable[[str], bytes], generation: int = GENERATION) -> None:
+        super().__init__()
         self.make, self.generation = make, generation
-        self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _found(self, asked: set[str]) -> dict[str, bytes]:
-        """Bytes of pieces that are not young; all but the long ones are young from now on."""
-        if len(self.young) + len(asked) > self.generation:
-            self.old, self.young = self.young, {}
-        old = self.old
-        found = {p: old[p] for p in asked.intersection(old)}
-        new = list(asked.difference(found))
-        if new:
-            found.update(zip(new, self.make(new), strict=True))
-        self.young.update((p, ids) for p, ids in found.items() if len(p) <= LONG)
+    def __missing__(self, piece: str) -> bytes:
+        found = self.old.get(piece)
+        if found is None:
+            found = self.make(piece)
+        if len(piece) <= LONG:
+            if len(self) >= self.generation:
+                self.old = dict(self)
+                self.clear()
+            self[piece] = found
         return found
 
-    def joined(self, texts: Iterable[list[str]]) -> Iterator[bytes]:
-        """The bytes of each text's pieces one after the other; new pieces of all texts are made in one call."""
-        get = self.young.get
-        held, gaps, asked = [], [], set()
-        for pieces in texts:
-            ids = list(map(get, pieces))
-            missing = [i for i, x in enumerate(ids) if x is None]
-            asked.update([pieces[i] for i in missing])
-            held.append(ids)
-            gaps.append((pieces, missing))
-        found = self._found(asked)
-        for ids, (pieces, missing) in zip(held, gaps, strict=True):
-            for i in missing:
-                ids[i] = found[pieces[i]]
-            yield b"".join(ids)
+    def joined(self, pieces: Iterable[str]) -> bytes:
+        """The bytes of the pieces one after the other."""
+        return b"".join(map(self.__getitem__, pieces))
+
+    def joined_in_parts(self, pieces: Iterator[str]) -> bytes:
+        """The same for a text of very many pieces, without a list of them all."""
+        out = []
+        while part := list(islice(pieces, AT_ONCE)):
+            out.append(self.joined(part))
+        return b"".join(out)

@@ -4,11 +4,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
-
-import numpy as np
 
 from .cache import PieceCache
 
@@ -31,7 +27,7 @@ BYTE_LEVEL_PIECES = Pieces(f" ?[{_LETTERS}]++(?=[{_MARKS}])| ?[^{_WS}]+|[{_WS}]+
 #: a tokenizer that drops white space and case never joins what stands around white space
 WORD_PIECES = Pieces(rf"[{_LETTERS}]++(?=[{_MARKS}])|[^\t-\r ]+", lower=True)
 
-TOGETHER = 1 << 20  # characters whose new pieces are encoded in one call
+LONG_TEXT = 1 << 20  # signs
 
 
 def _byte_signs() -> dict[int, str]:
@@ -59,7 +55,7 @@ class PieceEncoder:
         self.pieces = re.compile(pieces.pattern)
         self.one_word = re.compile(f" ?[{_LETTERS}]+")
         self.signs = _byte_signs()
-        self.cache = PieceCache(self._encoded)
+        self.cache = PieceCache(self._new)
 
     def _merged(self, word: str) -> bytes:
         if self.lower:
@@ -67,31 +63,14 @@ class PieceEncoder:
         signs = word.encode().decode("latin-1").translate(self.signs)
         return array("I", [t.id for t in self.model.tokenize(signs)]).tobytes()
 
-    def _encoded(self, pieces: list[str]) -> list[bytes]:
-        out = [self._merged(p) if self.one_word.fullmatch(p) else None for p in pieces]
-        rest = [p for p, ids in zip(pieces, out, strict=True) if ids is None]
-        whole = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else [])
-        return [np.array(next(whole).ids, "<u4").tobytes() if ids is None else ids for ids in out]
-
-    def _long(self, text: str) -> bytes:
-        pieces = (m.group() for m in self.pieces.finditer(text))
-        out = []
-        while part := list(islice(pieces, 100_000)):
-            out += self.cache.joined([part])
-        return b"".join(out)
-
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        """The ids of each text as bytes; null is the empty text."""
-        held: list[list[str]] = []
-        size = 0
-        for text in texts:
-            text = text or ""
-            if len(text) > TOGETHER or size + len(text) > TOGETHER:
-                yield from self.cache.joined(held)
-                held, size = [], 0
-            if len(text) > TOGETHER:
-                yield self._long(text)
-            else:
-                held.append(self.pieces.findall(text))
-                size += len(text)
-        yield from self.cache.joined(held)
+    def _new(self, piece: str) -> bytes:
+        if self.one_word.fullmatch(piece):
+            return self._merged(piece)
+        return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+
+    def encode(self, text: str | None) -> bytes:
+        """The ids of a text; null is empty."""
+        text = text or ""
+        if len(text) <= LONG_TEXT:
+            return self.cache.joined(self.pieces.findall(text))
+        return self.cache.joined_in_parts(m.group() for m in self.pieces.finditer(text))

@@ -80,8 +80,8 @@ def _pieces(path: str, pieces: Pieces, end_id: int, capacity: int):
         encoder, end = PieceEncoder(path, pieces), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows = []
-            for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
-                ids += end
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ids = encoder.encode(text) + end
                 n = len(ids) // 4
                 for at in range(0, n, capacity):
                     part = ids[4 * at : 4 * (at + capacity)]

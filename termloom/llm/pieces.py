@@ -13,7 +13,6 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from itertools import islice
 
 import ahocorasick
 import numpy as np
@@ -27,7 +26,7 @@ from .cache import PieceCache
 
 SPACE = "▁"
 CACHE_PAIRS = 500_000
-TOGETHER = 1 << 20  # characters whose new words are encoded together
+LONG_TEXT = 1 << 20  # signs
 
 
 class MergeEncoder:
@@ -63,7 +62,7 @@ class MergeEncoder:
         self.lengths = {i: len(p) for p, i in self.ids.items()}
         self.known = {p for p in self.ids if len(p) == 1}
         self.word = re.compile(self._words())
-        self.cache = PieceCache(lambda words: map(self._word, words))
+        self.cache = PieceCache(self._word)
         self.pairs: dict[int, bool] = {}
 
     def _words(self) -> str:
@@ -144,29 +143,12 @@ class MergeEncoder:
                 ids += [self.bytes[b] for b in sign.encode()]
         return np.array(ids, "<u4").tobytes()
 
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers, without begin and end; null is empty."""
-        held: list[list[str]] = []
-        size = 0
-        for text in texts:
-            text = text or ""
-            if size + len(text) > TOGETHER:
-                yield from self.cache.joined(held)
-                held, size = [], 0
-            normal = self.library.normalize(text)
-            if len(text) > TOGETHER:
-                yield self._long(normal)
-            else:
-                held.append(self.word.findall(normal))
-                size += len(text)
-        yield from self.cache.joined(held)
-
-    def _long(self, normal: str) -> bytes:
-        words = (m.group() for m in self.word.finditer(normal))
-        out = []
-        while part := list(islice(words, 100_000)):
-            out += self.cache.joined([part])
-        return b"".join(out)
+    def encode(self, text: str | None) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers, without begin and end; null is empty."""
+        normal = self.library.normalize(text or "")
+        if len(normal) <= LONG_TEXT:
+            return self.cache.joined(self.word.findall(normal))
+        return self.cache.joined_in_parts(m.group() for m in self.word.finditer(normal))
 
     def decode(self, ids: list[int]) -> str:
         return self.library.decode(ids)
@@ -178,8 +160,8 @@ def _digests(path: str):
         begin, end = (np.array([i], "<u4").tobytes() for i in (encoder.bos, encoder.eos))
         for batch in batches:
             rows = []
-            for ids in encoder.encode(batch.column(1).to_pylist()):
-                ids = begin + ids + end
+            for text in batch.column(1):
+                ids = begin + encoder.encode(text.as_py()) + end
                 decoded = encoder.decode(np.frombuffer(ids, "<u4").tolist())
                 rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
             n, coded, decoded = list(zip(*rows, strict=True)) or [[]] * 3

@@ -35,17 +35,17 @@ class _Model:
     """Predictions for ``lanes`` blocks; lanes beyond the first ``m`` have ended."""
 
     def __init__(self, lanes: int) -> None:
-        self.one = np.full(lanes << SLOT_BITS, -4, np.int32)  # id and confidence 0 to 3 in the low bits
-        self.two = np.full(lanes << SLOT_BITS, -4, np.int32)
-        first = np.empty((32, 2), np.int32)
+        self.one = np.full(lanes << SLOT_BITS, -4, np.int64)  # id and confidence 0 to 3 in the low bits
+        self.two = np.full(lanes << SLOT_BITS, -4, np.int64)
+        first = np.empty((32, 2), np.int64)
         for s in range(32):
             first[s] = (64 + 900 * (s >> 3), 64 + 900 * (s >> 1 & 3))
-        self.mix = np.tile(first, (lanes, 1)).reshape(-1, 2)
-        self.two_share, self.one_share = self.mix[:, 0].copy(), self.mix[:, 1].copy()
+        self.two_share, self.one_share = np.tile(first[:, 0], lanes), np.tile(first[:, 1], lanes)
         self.counts = np.tile(np.maximum(1, 1 << np.maximum(0, _BITS.astype(np.int64) - 8)), (lanes, 1))
         self.table = np.arange(lanes, dtype=np.int64) << SLOT_BITS
         self.state = np.arange(lanes, dtype=np.int64) << 5
         self.class_row = np.arange(lanes, dtype=np.int64) * CLASSES
+        self.seen: list[np.ndarray] = []  # places in the counts since they were last added up
         self.last = np.zeros(lanes, np.int64)
         self.before = np.zeros(lanes, np.int64)
         self.steps = 0
@@ -53,26 +53,33 @@ class _Model:
     def predict(self, m: int) -> None:
         """Sets both predictions and the upper ends of their shares of the range."""
         if self.steps % REBUILD == 0:
+            if self.seen:
+                found = np.bincount(np.concatenate(self.seen), minlength=self.counts.size)
+                self.counts += 4 * found.reshape(self.counts.shape)
+                self.seen.clear()
             c = self.counts[:m]
             f = c * ((1 << CLASS_BITS) - CLASSES) // c.sum(1, keepdims=True) + 1
             self.cum = np.zeros((m, CLASSES + 1), np.int64)
             np.cumsum(f, 1, out=self.cum[:, 1:])
             self.cum[:, CLASSES] = 1 << CLASS_BITS
+            self.ends = self.cum[:, 1:].astype(np.int16)
             self.cum_row = np.arange(m, dtype=np.int64) * (CLASSES + 1)
         self.steps += 1
         last, before = self.last[:m], self.before[:m]
         self.slot1 = self.table[:m] + ((last * 40_503 >> 4) & ((1 << SLOT_BITS) - 1))
         self.slot2 = self.table[:m] + (((last * 2_654_435 + before * 40_503) >> 5) & ((1 << SLOT_BITS) - 1))
-        self.e1, self.e2 = self.one[self.slot1], self.two[self.slot2]
+        self.e1, self.e2 = self.one.take(self.slot1), self.two.take(self.slot2)
         self.p1, self.p2 = self.e1 >> 2, self.e2 >> 2
         self.c1, self.c2 = self.e1 & 3, self.e2 & 3
         self.at = self.state[:m] + (self.c2 << 3 | self.c1 << 1 | (self.p1 == self.p2))
-        self.s2, self.s1 = self.two_share[self.at], self.one_share[self.at]
+        self.s2, self.s1 = self.two_share.take(self.at), self.one_share.take(self.at)
         self.end2 = self.s2 >> (SHARE_BITS - MIX_BITS)
         left = (1 << MIX_BITS) - LEAST_MISS - 1 - self.end2
         self.end1 = self.end2 + 1 + (left * self.s1 >> SHARE_BITS)
 
-    def update(self, m: int, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, missed: np.ndarray, classes: np.ndarray) -> None:
+    def update(
+        self, m: int, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, missed: np.ndarray, classes: np.ndarray
+    ) -> None:
         """``hit1``: only order 1 was right; classes: those of the missed lanes."""
         self.two_share[self.at] = self.s2 + ((np.where(hit2, 3968, 32) - self.s2) >> 5)
         self.one_share[self.at] = self.s1 + ((np.where(hit1, 3968, 32) - self.s1) * ~hit2 >> 5)
@@ -80,8 +87,7 @@ class _Model:
         self.two[self.slot2] = np.where(hit2, self.e2 + (self.c2 < 3), np.where(self.c2 > 0, self.e2 - 1, new))
         right1 = self.p1 == x
         self.one[self.slot1] = np.where(right1, self.e1 + (self.c1 < 3), np.where(self.c1 > 0, self.e1 - 1, new))
-        flat = self.counts.reshape(-1)
-        flat[self.class_row[missed] + classes] += 4
+        self.seen.append(self.class_row.take(missed) + classes)
         self.before[:m] = self.last[:m]
         self.last[:m] = x
 
@@ -104,7 +110,7 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
     if not blocks:
         return []
     order, active = _by_length([len(b) for b in blocks])
-    ids = np.zeros((len(active), len(blocks)), np.int32)
+    ids = np.zeros((len(active), len(blocks)), np.int64)
     for lane, b in enumerate(order):
         ids[: len(blocks[b]), lane] = blocks[b]
     lanes = len(blocks)
@@ -118,22 +124,23 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
         start = np.where(hit2, 0, np.where(hit1, model.end2, model.end1))
         size = np.where(hit2, model.end2, np.where(hit1, model.end1, 1 << MIX_BITS)) - start
         l, r = low[:m], rng[:m] >> U(MIX_BITS)
-        l = l + r * start.astype(U)
-        r = r * size.astype(U)
+        l = l + r * start.view(U)
+        r = r * size.view(U)
         missed = np.flatnonzero(~(hit2 | hit1))
-        y = x[missed]
-        c = _CLASS[y]
-        cell = model.cum_row[missed] + c
+        y = x.take(missed)
+        c = _CLASS.take(y)
+        cell = model.cum_row.take(missed) + c
         cum = model.cum.reshape(-1)
-        lo = cum[cell]
-        rm = r[missed] >> U(CLASS_BITS)
-        lm = l[missed] + rm * lo.astype(U)
-        rm = (rm * (cum[cell + 1] - lo).astype(U)) >> _BITS[c]
-        l[missed] = lm + rm * (y - _FIRST[c]).astype(U)
+        lo = cum.take(cell)
+        rm = r.take(missed) >> U(CLASS_BITS)
+        lm = l.take(missed) + rm * lo.view(U)
+        rm = (rm * (cum.take(cell + 1) - lo).view(U)) >> _BITS.take(c)
+        l[missed] = lm + rm * (y - _FIRST.take(c)).view(U)
         r[missed] = rm
         short = np.flatnonzero(r < BOT)
         if len(short):
-            ls, r[short] = l[short], _cut(l[short], r[short])
+            ls = l.take(short)
+            r[short] = _cut(ls, r.take(short))
             e = end[short]
             if e.max() >= out.shape[1]:
                 out = np.concatenate([out, np.zeros_like(out)], 1)
@@ -166,28 +173,31 @@ def decode(codes: list[bytes], lengths: list[int]) -> list[np.ndarray]:
     for t, m in enumerate(active):
         model.predict(m)
         l, r, v = low[:m], rng[:m] >> U(MIX_BITS), code[:m]
-        share = np.minimum((v - l) // r, U((1 << MIX_BITS) - 1)).astype(np.int32)
+        share = np.minimum((v - l) // r, U((1 << MIX_BITS) - 1)).view(np.int64)
         hit2 = share < model.end2
         hit1 = ~hit2 & (share < model.end1)
         start = np.where(hit2, 0, np.where(hit1, model.end2, model.end1))
         size = np.where(hit2, model.end2, np.where(hit1, model.end1, 1 << MIX_BITS)) - start
-        l = l + r * start.astype(U)
-        r = r * size.astype(U)
+        l = l + r * start.view(U)
+        r = r * size.view(U)
         x = np.where(hit2, model.p2, model.p1)
         missed = np.flatnonzero(~(hit2 | hit1))
-        rm, lm, vm = r[missed] >> U(CLASS_BITS), l[missed], v[missed]
-        share = np.minimum((vm - lm) // rm, U((1 << CLASS_BITS) - 1)).astype(np.int64)
-        cum = model.cum[:m]
-        c = (cum[missed, 1:] <= share[:, None]).sum(1)
-        lo = cum[missed, c]
-        lm = lm + rm * lo.astype(U)
-        rm = (rm * (cum[missed, c + 1] - lo).astype(U)) >> _BITS[c]
-        off = np.minimum((vm - lm) // rm, (U(1) << _BITS[c]) - U(1))
-        x[missed] = _FIRST[c] + off.astype(np.int64)
+        rm, lm, vm = r.take(missed) >> U(CLASS_BITS), l.take(missed), v.take(missed)
+        share = np.minimum((vm - lm) // rm, U((1 << CLASS_BITS) - 1)).astype(np.int16)
+        c = np.add.reduce(model.ends.take(missed, 0) <= share[:, None], 1, dtype=np.int64)
+        cell = model.cum_row.take(missed) + c
+        cum = model.cum.reshape(-1)
+        lo = cum.take(cell)
+        lm = lm + rm * lo.view(U)
+        bits = _BITS.take(c)
+        rm = (rm * (cum.take(cell + 1) - lo).view(U)) >> bits
+        off = np.minimum((vm - lm) // rm, (U(1) << bits) - U(1))
+        x[missed] = _FIRST.take(c) + off.view(np.int64)
         l[missed], r[missed] = lm + rm * off, rm
         short = np.flatnonzero(r < BOT)
         if len(short):
-            ls, r[short] = l[short], _cut(l[short], r[short])
+            ls = l.take(short)
+            r[short] = _cut(ls, r.take(short))
             p = place[short]
             code[short] = code[short] << WORD | held[short, np.minimum(p, last)]
             place[short] = p + 1

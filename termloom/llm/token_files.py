@@ -83,8 +83,8 @@ def _coded(path: str, pieces: Pieces, end_id: int, block_ids: int, lanes: int):
             )
 
         for batch in batches:
-            for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
-                ids += end
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ids = encoder.encode(text) + end
                 held += ids
                 docs.append((doc, nth, total, len(ids) // 4))
                 nth, total = nth + 1, total + len(ids) // 4
@@ -217,7 +217,9 @@ def _join_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for p in parts[1:]:
                 total = joined_crc32(total, p["crc"], 4 * p["length"])
             crc.append(total)
-        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(crc, pa.int64())], ["segment", "doc_id", "start", "n_tokens", "crc"])
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:4], pa.array(crc, pa.int64())], ["segment", "doc_id", "start", "n_tokens", "crc"]
+        )
 
 
 def token_digest(spark: SparkSession, path: str) -> DataFrame:
