@@ -866,7 +866,8 @@ def parse_archive_files(spark, sf_dir):
     return spark.read.text(out)
 
 
-# lines of files are measured in bytes; the length rule counts all messages, but only the length of those that could be parsed
+# lines of files are measured in bytes; the length rule counts all messages, but only the length of those that
+# could be parsed
 JUDGED = f"""select m.*, too_wide, not too_wide and (select count(*) from documents) > 100 and length(content) >
                (select (4 * sum(case when too_wide then 0 else length(content) end)) // count(*) from judged_base)
                as oversized

@@ -24,9 +24,8 @@ CLOSE = rf"(?i)</(?:{CONTAINERS})\s*>"
 PARAGRAPH_END = r"(?i)</p\s*>"
 _OPENED, _CLOSED = "\x01", "\x02"
 
-# What numbers from 128 to 159 stand for in HTML; 0 keeps the number.
-_WINDOWS = [0x20AC, 0, 0x201A, 0x0192, 0x201E, 0x2026, 0x2020, 0x2021, 0x02C6, 0x2030, 0x0160, 0x2039, 0x0152, 0, 0x017D, 0]
-_WINDOWS += [0, 0x2018, 0x2019, 0x201C, 0x201D, 0x2022, 0x2013, 0x2014, 0x02DC, 0x2122, 0x0161, 0x203A, 0x0153, 0, 0x017E, 0x0178]
+# numbers from 128 to 159 stand for the signs of windows-1252; those that it lacks, for themselves
+_WINDOWS = [ord(bytes([b]).decode("cp1252", "ignore") or chr(b)) for b in range(128, 160)]
 
 _REFERENCE = r"^(#[xX][0-9a-fA-F]{1,8};?|#[0-9]{1,9};?|[A-Za-z][A-Za-z0-9]*;?)"
 
@@ -43,10 +42,7 @@ def _numbered(digits: Column) -> Column:
     ).otherwise(digits)
 
     def sign(c: Column) -> Column:
-        mapped = F.when(
-            c.between(128, 159), F.get(F.lit(_WINDOWS), (c - 128).cast("int")).cast("bigint")
-        )
-        c = F.when(mapped > 0, mapped).otherwise(c)
+        c = F.when(c.between(128, 159), F.get(F.lit(_WINDOWS), (c - 128).cast("int")).cast("bigint")).otherwise(c)
         none = (c == 0) | c.between(0xD800, 0xDFFF) | (c > 0x10FFFF)
         hexed = F.lpad(F.hex(F.when(none, 0xFFFD).otherwise(c)), 8, "0")
         return F.decode(F.unhex(hexed), "UTF-32")
