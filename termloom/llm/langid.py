@@ -47,7 +47,7 @@ class Ftrl:
 @dataclass
 class Model:
     languages: list[str]
-    weights: np.ndarray  # (FEATURES + 1, languages): IDF times weight; the last row is for no feature
+    weights: np.ndarray  # (FEATURES, languages): weight times IDF and scale
     bias: np.ndarray
     temperature: float
 
@@ -288,7 +288,9 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     return out.withColumnRenamed("id", id_col)
 
 
-def drop_unidentified(docs: DataFrame, model: Model | None, text_col: str = "text", least_score: float = 0.35) -> DataFrame:
+def drop_unidentified(
+    docs: DataFrame, model: Model | None, text_col: str = "text", least_score: float = 0.35
+) -> DataFrame:
     """The rows of ``docs`` whose language is known with at least that probability, all columns."""
     small_batches(docs.sparkSession)
     place = docs.columns.index(text_col)
@@ -297,6 +299,7 @@ def drop_unidentified(docs: DataFrame, model: Model | None, text_col: str = "tex
         predictor = Predictor(model)
         for batch in batches:
             found = [predictor.of(t.as_py()) for t in batch.column(place)]
-            yield batch.filter(pa.array([lang != UNKNOWN and score >= least_score for lang, score in found], pa.bool_()))
+            keep = [lang != UNKNOWN and score >= least_score for lang, score in found]
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -86,7 +86,9 @@ def bigrams(words: Column) -> Column:
         F.size(words) > 1,
         F.array_distinct(
             F.zip_with(
-                F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words) - 1), lambda a, b: F.concat(a, F.lit(" "), b)
+                F.slice(words, 1, F.size(words) - 1),
+                F.slice(words, 2, F.size(words) - 1),
+                lambda a, b: F.concat(a, F.lit(" "), b),
             )
         ),
     ).otherwise(words)

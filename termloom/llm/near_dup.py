@@ -312,7 +312,10 @@ def near_duplicates(
     out = prints.select("id", "n_shingles", "set_key").join(found, "set_key", "left")
     component = F.coalesce("component_id", "id")
     return out.select(
-        F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
+        F.col("id").alias(id_col),
+        "n_shingles",
+        component.alias("component_id"),
+        F.col("id").eqNullSafe(component).alias("kept"),
     )
 
 

@@ -154,7 +154,8 @@ def pack(
     parts = max(1, -(-found.filter(F.col("start") + F.col("length") == F.col("doc_tokens")).count() // group_rows))
     # the rest alone tells repeated ids apart: whole sequences follow their document
     part = F.pmod(F.xxhash64("id", "doc_tokens"), F.lit(parts))
-    grouped = found.withColumn("part", part).repartition("part").sortWithinPartitions("part", "id", "start", "ids_crc32")
+    order = ["part", "id", "start", "ids_crc32"]
+    grouped = found.withColumn("part", part).repartition("part").sortWithinPartitions(*order)
     schema = "id long, start long, length long, ids_crc32 long, doc_tokens long, part long, window long, offset long"
     packed = stage(grouped.mapInArrow(_pack(capacity, group_rows), schema), "packed")
     used = packed.groupBy("part").agg((F.max("window") + 1).alias("n"))

@@ -36,7 +36,9 @@ NEVER = set(
     " canvas audio video menu dialog".split()
 )
 CONTAINERS = set("article main section div body td th blockquote center".split())
-BOILERPLATE_ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
+BOILERPLATE_ROLES = set(
+    "navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split()
+)
 HEADER_NAMES = set("header masthead".split())
 COMMENT_NAMES = set("comment comments commentlist respond disqus replies discussion".split())
 BOILERPLATE_NAMES = COMMENT_NAMES | set(
@@ -230,6 +232,8 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     gives an empty table; other columns are not read.
     """
     small_batches(pages.sparkSession)
-    rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    rows = pages.select(
+        F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")
+    )
     out = rows.mapInArrow(_extracted, "id long, url string, text string, n_chars long")
     return out.withColumnRenamed("id", id_col)

@@ -163,7 +163,8 @@ def _digests(path: str):
             for text in batch.column(1):
                 ids = begin + encoder.encode(text.as_py()) + end
                 decoded = encoder.decode(np.frombuffer(ids, "<u4").tolist())
-                rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
+                digests = [hashlib.sha256(x).hexdigest() for x in (ids, decoded.encode())]
+                rows.append((len(ids) // 4, *digests))
             n, coded, decoded = list(zip(*rows, strict=True)) or [[]] * 3
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())],

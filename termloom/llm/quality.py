@@ -211,7 +211,10 @@ def fit(patterns: DataFrame) -> DataFrame:
                 cast(-1),
                 lambda x: F.greatest(
                     F.lit(LEAST),
-                    F.least(F.when(c == 0, MOST_GOOD).otherwise(MOST), (x + believed * PRIOR_DOCUMENTS) / (x + cast(1) + PRIOR_DOCUMENTS)),
+                    F.least(
+                        F.when(c == 0, MOST_GOOD).otherwise(MOST),
+                        (x + believed * PRIOR_DOCUMENTS) / (x + cast(1) + PRIOR_DOCUMENTS),
+                    ),
                 ),
             )
 
@@ -233,7 +236,8 @@ def fit(patterns: DataFrame) -> DataFrame:
     rounds = F.sequence(F.lit(1), F.lit(ROUNDS))
     fitted = one_row.select("rows", F.aggregate(rounds, start, lambda m, _: step(m, F.col("rows"))).alias("model"))
     return fitted.select("model", F.explode("rows").alias("r")).select(
-        F.col("r.votes").alias("votes"), F.get(_posteriors(F.col("model"), F.col("r.votes")), F.lit(0)).alias("posterior")
+        F.col("r.votes").alias("votes"),
+        F.get(_posteriors(F.col("model"), F.col("r.votes")), F.lit(0)).alias("posterior"),
     )
 
 

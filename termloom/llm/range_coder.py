@@ -106,18 +106,18 @@ def _cut(low: np.ndarray, rng: np.ndarray) -> np.ndarray:
 
 
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
-    """The code of each block of ids below 65536; ids as int32."""
+    """The code of each block of ids below 65536."""
     if not blocks:
         return []
     order, active = _by_length([len(b) for b in blocks])
-    ids = np.zeros((len(active), len(blocks)), np.int64)
+    ids = np.zeros((len(active), len(blocks)), np.int32)
     for lane, b in enumerate(order):
         ids[: len(blocks[b]), lane] = blocks[b]
     lanes = len(blocks)
     model, low, rng = _Model(lanes), np.zeros(lanes, U), np.full(lanes, 2**64 - 1, U)
     out, end = np.zeros((lanes, 256), np.uint32), np.zeros(lanes, np.int64)
     for t, m in enumerate(active):
-        x = ids[t, :m]
+        x = ids[t, :m].astype(np.int64)
         model.predict(m)
         hit2 = model.p2 == x
         hit1 = (model.p1 == x) & ~hit2

@@ -46,7 +46,8 @@ def _coded(path: str, pieces: Pieces, end_id: int, block_ids: int, lanes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segment = TaskContext.get().partitionId()
         encoder, end = PieceEncoder(path, pieces), np.array([end_id], "<u4").tobytes()
-        held, docs, entries = bytearray(), deque(), []  # ids not yet in a block; (id, nth, start, length) of their documents
+        # ids not yet in a block; (id, nth, start, length) of their documents; blocks not yet coded
+        held, docs, entries = bytearray(), deque(), []
         block = nth = total = 0
 
         def cut(n: int) -> tuple[bytes, list]:
@@ -66,7 +67,7 @@ def _coded(path: str, pieces: Pieces, end_id: int, block_ids: int, lanes: int):
         def out() -> pa.RecordBatch:
             nonlocal block
             raw = [ids for ids, _ in entries]
-            codes = range_coder.encode([np.frombuffer(ids, "<u4").astype(np.int32) for ids in raw])
+            codes = range_coder.encode([np.frombuffer(ids, "<u4") for ids in raw])
             names = [list(zip(*own, strict=True)) for _, own in entries]
             columns = [
                 [segment] * len(raw),
@@ -153,7 +154,8 @@ def _decoded(lanes: int):
                 if zlib.crc32(raw) != stored["crc32"][i]:
                     raise ValueError(f"block {block} of segment {segment} is damaged")
                 at = 0
-                for doc, nth, start, length in zip(*[stored[c][i] for c in ("doc_id", "nth", "start", "length")], strict=True):
+                names = [stored[c][i] for c in ("doc_id", "nth", "start", "length")]
+                for doc, nth, start, length in zip(*names, strict=True):
                     rows.append((segment, block, doc, nth, start, length, raw[4 * at : 4 * (at + length)]))
                     at += length
                 if len(rows) >= 1_000:
