@@ -110,7 +110,7 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
     if not blocks:
         return []
     order, active = _by_length([len(b) for b in blocks])
-    ids = np.zeros((len(active), len(blocks)), np.int32)
+    ids = np.zeros((len(active), len(blocks)), np.uint16)
     for lane, b in enumerate(order):
         ids[: len(blocks[b]), lane] = blocks[b]
     lanes = len(blocks)
@@ -157,7 +157,7 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
 
 
 def decode(codes: list[bytes], lengths: list[int]) -> list[np.ndarray]:
-    """The blocks of these codes and lengths."""
+    """The blocks of these codes and lengths, as unsigned 16-bit integers."""
     if not codes:
         return []
     order, active = _by_length(lengths)
@@ -166,7 +166,7 @@ def decode(codes: list[bytes], lengths: list[int]) -> list[np.ndarray]:
     held = np.zeros((lanes, max(map(len, words)) + 8), np.uint32)
     for lane, w in enumerate(words):
         held[lane, : len(w)] = w
-    ids = np.zeros((len(active), lanes), np.int32)
+    ids = np.zeros((len(active), lanes), np.uint16)
     model, low, rng = _Model(lanes), np.zeros(lanes, U), np.full(lanes, 2**64 - 1, U)
     code, place = held[:, 0].astype(U) << WORD | held[:, 1], np.full(lanes, 2)
     last = held.shape[1] - 1
@@ -205,7 +205,7 @@ def decode(codes: list[bytes], lengths: list[int]) -> list[np.ndarray]:
         low[:m], rng[:m] = l, r
         ids[t, :m] = x
         model.update(m, x, hit2, hit1, missed, c)
-    found: list[np.ndarray] = [np.zeros(0, np.int32)] * lanes
+    found: list[np.ndarray] = [np.zeros(0, np.uint16)] * lanes
     for lane, b in enumerate(order):
         found[b] = ids[: lengths[b], lane].copy()
     return found

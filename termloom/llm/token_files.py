@@ -27,7 +27,7 @@ from .offsets import shifts
 
 BLOCK_IDS = 4_096
 #: blocks coded together
-LANES = 2_048
+LANES = 1_024
 
 FORMAT = (
     "segment long, block long, n_ids long, crc32 long, payload binary, "
@@ -50,8 +50,8 @@ def _coded(path: str, pieces: Pieces, end_id: int, block_ids: int, lanes: int):
         held, docs, entries = bytearray(), deque(), []
         block = nth = total = 0
 
-        def cut(n: int) -> tuple[bytes, list]:
-            """The first n ids of those held, with their documents."""
+        def cut(n: int) -> tuple[int, np.ndarray, list]:
+            """Checksum of the first n ids of those held, the ids, and their documents."""
             ids, own, left = bytes(held[: 4 * n]), [], n
             del held[: 4 * n]
             while left:
@@ -62,22 +62,20 @@ def _coded(path: str, pieces: Pieces, end_id: int, block_ids: int, lanes: int):
                 else:
                     docs[0] = (doc, k, start, length - left)
                 left -= own[-1][3]
-            return ids, own
+            return zlib.crc32(ids), np.frombuffer(ids, "<u4").astype(np.uint16), own
 
         def out() -> pa.RecordBatch:
             nonlocal block
-            raw = [ids for ids, _ in entries]
-            codes = range_coder.encode([np.frombuffer(ids, "<u4") for ids in raw])
-            names = [list(zip(*own, strict=True)) for _, own in entries]
+            names = [list(zip(*own, strict=True)) for _, _, own in entries]
             columns = [
-                [segment] * len(raw),
-                list(range(block, block + len(raw))),
-                [len(ids) // 4 for ids in raw],
-                [zlib.crc32(ids) for ids in raw],
-                codes,
+                [segment] * len(entries),
+                list(range(block, block + len(entries))),
+                [len(ids) for _, ids, _ in entries],
+                [crc for crc, _, _ in entries],
+                range_coder.encode([ids for _, ids, _ in entries]),
                 *[[list(n[k]) for n in names] for k in range(4)],
             ]
-            block += len(raw)
+            block += len(entries)
             entries.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(columns, _ARROW, strict=True)], schema=_ARROW
