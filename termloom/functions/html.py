@@ -32,7 +32,9 @@ _REFERENCE = r"^(#[xX][0-9a-fA-F]{1,8};?|#[0-9]{1,9};?|[A-Za-z][A-Za-z0-9]*;?)"
 
 def _names() -> Column:
     """All named references as one constant, with the semicolon where it is needed."""
-    return F.map_from_arrays(F.lit(list(html5)), F.lit(list(html5.values())))
+    # one literal: an array of thousands of literals takes longer to build than many a query to run
+    text = _CLOSED.join(f"{name}{_OPENED}{sign}" for name, sign in html5.items())
+    return F.str_to_map(F.lit(text), F.lit(_CLOSED), F.lit(_OPENED))
 
 
 def _numbered(digits: Column) -> Column:
