@@ -3,12 +3,13 @@
 import hashlib
 import math
 import re
+import textwrap
 import zlib
 from collections import Counter
 
 from pyspark.sql import functions as F
 
-from termloom.llm.licenses import TEMPLATES, scan_licenses
+from termloom.llm.licenses import TEMPLATES, scan_licenses, whole_texts
 from termloom.llm.quality import COUNTS, drop_low_quality, quality
 from termloom.llm.sharding import shard_rows
 
@@ -134,3 +135,33 @@ def test_licenses_of_odd_rows(odd, none):
     assert {r.n_lines for r in rows if r.doc_id in (1, 2, 3)} == {0}
     assert scan_licenses(none).collect() == []
     assert all(r.n_hits == 0 for r in scan_licenses(odd, templates={}).collect())
+
+
+def test_wrapped_and_whole_licenses(spark):
+    whole = whole_texts()
+    prose = "Some words of a readme, of the usual kind, that say nothing of the terms under which it may be used.\n" * 3
+    one_line = lambda t: " ".join(t.split())
+    wrapped = lambda t, n=72, **k: "\n".join(textwrap.wrap(one_line(t), n, **k))
+    apache_header = next(t for t in whole["Apache-2.0"] if len(t) < 1000)
+    dual = prose + wrapped(whole["MIT"][0]) + "\n\n" + prose + wrapped(apache_header) + "\n" + prose
+    texts = {
+        1: (wrapped(whole["MIT"][0]), "MIT", 1),
+        2: (prose + wrapped(apache_header, initial_indent=" * ", subsequent_indent=" * ") + "\n" + prose, "Apache-2.0", 1),
+        3: (max(whole["GPL-3.0"], key=len), "GPL-3.0", 1),
+        4: (prose + max(whole["GPL-2.0"], key=len) + prose, "GPL-2.0", 1),
+        5: (wrapped(whole["BSD-3-Clause"][0], 60), "BSD-3-Clause", 1),
+        6: (one_line(whole["BSD-3-Clause"][0]), "BSD-3-Clause", 1),
+        7: ("\n".join(map(one_line, whole["BSD-3-Clause"][0].split("\n\n"))), "BSD-3-Clause", 1),
+        8: (whole["BSD-2-Clause"][0], "BSD-2-Clause", 1),
+        9: (wrapped(TEMPLATES["GPL-2.0"][1]), "GPL-2.0", 1),
+        10: (wrapped(TEMPLATES["CC-BY-4.0"][1], 40), "CC-BY-4.0", 1),
+        11: (dual, "Apache-2.0", 2),
+        12: (prose, None, 0),
+        13: (wrapped(whole["ISC"][0].replace("THE AUTHOR", "SOME PEOPLE WHO WROTE IT")), "ISC", 1),
+        14: ((prose + wrapped(whole["MIT"][0]) + "\n") * 2, "MIT", 2),
+    }
+    df = scan_licenses(spark.createDataFrame([(k, t[0]) for k, t in texts.items()], "doc_id long, text string"))
+    assert no_python(df)
+    rows = {r.doc_id: r for r in df.collect()}
+    assert {k: (r.license, r.n_hits) for k, r in rows.items()} == {k: t[1:] for k, t in texts.items()}
+    assert rows[2].line == 3 and rows[1].dice == rows[3].dice == rows[5].dice == 1.0 > rows[13].dice
