@@ -40,16 +40,24 @@ def _byte_signs() -> dict[int, str]:
 class PieceEncoder:
     """Encodes texts piece by piece; the results are those for whole texts.
 
-    Special tokens' strings in a text are ordinary text. Ids are little-endian unsigned
-    32-bit integers. New pieces that are letters alone are one word, and go straight to the
+    With ``added_tokens``, the strings of the tokenizer's added tokens become their ids, as in the
+    library's plain call; else they are ordinary text. Ids are little-endian unsigned 32-bit
+    integers. New pieces that are letters alone are one word, and go straight to the
     tokenizer's merges; all others take its whole way.
     """
 
-    def __init__(self, path: str, pieces: Pieces) -> None:
+    def __init__(self, path: str, pieces: Pieces, added_tokens: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # added tokens are cut out before there are pieces
         self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder() if added_tokens else {}
+        if any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added.values()):
+            raise ValueError("added tokens that depend on the signs around them, or on normalised text, are not known")
+        self.added = {t.content: array("I", [i]).tobytes() for i, t in added.items()}
+        # the first one counts, and of those that begin there the longest
+        self.at_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.model = self.tokenizer.model
         self.lower = pieces.lower
         self.pieces = re.compile(pieces.pattern)
@@ -71,6 +79,11 @@ class PieceEncoder:
     def encode(self, text: str | None) -> bytes:
         """The ids of a text; null is empty."""
         text = text or ""
+        if not any(token in text for token in self.added):
+            return self._ordinary(text)
+        return b"".join(self.added.get(part) or self._ordinary(part) for part in self.at_added.split(text))
+
+    def _ordinary(self, text: str) -> bytes:
         if len(text) <= LONG_TEXT:
             return self.cache.joined(self.pieces.findall(text))
         return self.cache.joined_in_parts(m.group() for m in self.pieces.finditer(text))

@@ -77,7 +77,7 @@ def windows(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, int]:
 
 def _pieces(path: str, pieces: Pieces, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = PieceEncoder(path, pieces), np.array([end_id], "<u4").tobytes()
+        encoder, end = PieceEncoder(path, pieces, added_tokens=True), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):

@@ -45,7 +45,7 @@ _ARROW = pa.schema(
 def _coded(path: str, pieces: Pieces, end_id: int, block_ids: int, lanes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segment = TaskContext.get().partitionId()
-        encoder, end = PieceEncoder(path, pieces), np.array([end_id], "<u4").tobytes()
+        encoder, end = PieceEncoder(path, pieces, added_tokens=True), np.array([end_id], "<u4").tobytes()
         # ids not yet in a block; (id, nth, start, length) of their documents; blocks not yet coded
         held, docs, entries = bytearray(), deque(), []
         block = nth = total = 0

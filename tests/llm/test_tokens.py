@@ -197,3 +197,32 @@ def test_packing_of_odd_rows(odd, none):
     packed_right(rows, [(r.doc_id or -1, r.text) for r in odd.collect()], 64)
     assert [r.doc_tokens for r in rows if r.doc_id in (1, 2, 3)] == [1, 1, 1]
     assert pack(none, WORDS, WORD_PIECES, 2).collect() == []
+
+
+@pytest.mark.parametrize(("path", "pieces"), [(BYTES, BYTE_LEVEL_PIECES), (WORDS, WORD_PIECES)])
+def test_added_tokens_as_in_the_plain_call(path, pieces):
+    library, encoder = Tokenizer.from_file(path), PieceEncoder(path, pieces, added_tokens=True)
+    same = lambda t: encoder.encode(t) == np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    assert same("one <|endoftext|> two") and same("<|endoftext|>" * 3) and same("a b <|endoftext|>" * 100_000)
+    signs = [*SIGNS, "<|startoftext|>", "<|endoftext|>", "<|EndOfText|>", "<|endof"]
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.lists(st.sampled_from(signs), max_size=40).map("".join))
+    def random_texts(text):
+        assert same(text)
+
+    random_texts()
+
+
+def test_operators_take_added_tokens(spark):
+    texts = ["one <|endoftext|> two", "three", "<|startoftext|>four<|endoftext|>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def crcs(path):
+        library = Tokenizer.from_file(path)
+        return [zlib.crc32(np.array([*library.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes()) for t in texts]
+
+    path = os.path.join(tempfile.mkdtemp(), "files")
+    write_token_files(docs, path, BYTES, BYTE_LEVEL_PIECES, 2)
+    assert [r.ids_crc32 for r in token_digest(spark, path).orderBy("doc_id").collect()] == crcs(BYTES)
+    assert [r.ids_crc32 for r in pack(docs, WORDS, WORD_PIECES, 2).orderBy("doc_id").collect()] == crcs(WORDS)
