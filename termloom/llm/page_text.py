@@ -35,6 +35,7 @@ NEVER = set(
     "script style noscript template head title nav footer aside form button select textarea iframe object svg math"
     " canvas audio video menu dialog".split()
 )
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 CONTAINERS = set("article main section div body td th blockquote center".split())
 BOILERPLATE_ROLES = set(
     "navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split()
@@ -106,6 +107,21 @@ class _Lines(HTMLParser):
         self.line = _Line(top.region, bool(top.dropped), top.article)
         self.lines.append(self.line)
 
+    def _id_names(self, tag: str, values: dict[str, str | None]) -> set[str]:
+        """Names in an id, without ids that are made of titles: those of headings, sections and what is in an article."""
+        names, inside = _names(values.get("id")), self.stack[-1].article
+        if tag in HEADINGS or tag in INLINE and (inside or any(e.tag in HEADINGS for e in self.stack)):
+            return set()
+        if tag == "article" or tag == "section" and not inside:
+            return names if names <= BOILERPLATE_NAMES else set()
+        if tag == "section":
+            # around articles comments may have a section
+            return names if names <= COMMENT_NAMES and all(e.tag != "article" for e in self.stack) else set()
+        if inside:
+            named = tag == "div" and "section" not in _names(values.get("class")) and len(names) == 1
+            return names & BOILERPLATE_NAMES if named else set()
+        return names
+
     def _why_dropped(self, tag: str, attrs: list[tuple[str, str | None]], inside: _Element) -> str:
         if inside.dropped:
             return inside.dropped
@@ -119,7 +135,11 @@ class _Lines(HTMLParser):
             return "role"
         if tag in ("html", "body", "main"):
             return ""
-        names = _names(values.get("class")) | _names(values.get("id"))
+        names = _names(values.get("class")) | self._id_names(tag, values)
+        if inside.article and tag != "article":
+            # a name of several words, as of a topic, decides only if all of them say no content
+            whole = [_names(c) for c in (values.get("class") or "").split()]
+            names = set().union(*(n for n in whole if n <= BOILERPLATE_NAMES)) | self._id_names(tag, values)
         if names & COMMENT_NAMES:
             return "comment"
         if tag == "article":

@@ -78,6 +78,23 @@ def test_page_texts():
     assert main_text("plain &eacute;&#8217;&#x41; text") == "plain é’A text"
 
 
+def test_names_of_topics_are_content():
+    ids = ["legal-history", "search-algorithms", "comments-in-code", "Social_structure", "legal", "Comments"]
+    for i in ids:
+        assert main_text(page(f"<article><section id='{i}'>{ARTICLE}</section></article>")) == TEXT
+        assert main_text(page(f"<main><div class=section id='{i}'>{ARTICLE}</div></main>")) == TEXT
+        assert main_text(page("<article>" + ARTICLE.replace("<h1>", f"<h1 id='{i}'>") + "</article>")) == TEXT
+        assert main_text(page("<article>" + ARTICLE.replace("Title", f"<span id='{i}'>Title</span>") + "</article>")) == TEXT
+        assert main_text(page("<article>" + ARTICLE.replace("<h1>", "<h1 class='search-heading'>") + "</article>")) == TEXT
+    for i in ids[:4]:
+        assert main_text(page(f"<article id='{i}'>{ARTICLE}</article>")) == TEXT
+        assert main_text(page(f"<section id='{i}'>{ARTICLE}</section>")) == TEXT
+    other = "<p>Something that is not of the article, but of some length and many words.</p></"
+    for start, end in [("div class=ad", "div"), ("div class='x social-share'", "div"), ("div id=comments", "div"), ("ul class=related", "ul")]:
+        assert main_text(page(f"<article>{ARTICLE}<{start}>{other}{end}></article>")) == TEXT
+    assert main_text(page(f"<main><article>{ARTICLE}</article><section id=comments>{other}section></main>")) == TEXT
+
+
 def test_pages_table(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     rows = {r.page_id: r for r in extract_pages(pages).collect()}
