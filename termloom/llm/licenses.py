@@ -278,6 +278,7 @@ def scan_licenses(
     id_col: str = "doc_id",
     text_col: str = "text",
     whole: dict[str, list[str]] | None = None,
+    all_hits: bool = False,
 ) -> DataFrame:
     """(id_col, n_lines, n_hits, license, dice, line) for every row of ``docs``.
 
@@ -292,6 +293,8 @@ def scan_licenses(
     earlier line, counted from 0; a window has the line it begins in), and are null if there
     is none.
 
+    With ``all_hits``, the last column ``hits`` has every hit as (license, dice, line), by line.
+
     A null or empty text has no lines. Repeated rows, ids and null ids are judged by their
     own text. An empty table gives an empty table; other columns are not read. No templates:
     no hits.
@@ -353,7 +356,13 @@ def scan_licenses(
     hits = F.when(F.col("some"), _apart(F.concat(of_lines, of_windows))).otherwise(none)
     rows = rows.select("id", F.size(F.filter("lines", lambda x: x != "")).alias("n_lines"), hits.alias("hits"))
     best = F.array_min(F.transform("hits", lambda h: F.struct(h["less"], h["name"], h["line"])))
-    rows = rows.select("id", "n_lines", F.size("hits").alias("n_hits"), best.alias("best"))
+    every = F.transform(
+        F.array_sort(F.transform("hits", lambda h: F.struct(h["line"], h["first"], h["name"], h["less"]))),
+        lambda h: F.struct(
+            h["name"].alias("license"), F.round(-h["less"], 6).alias("dice"), h["line"].cast("long").alias("line")
+        ),
+    )
+    rows = rows.select("id", "n_lines", F.size("hits").alias("n_hits"), best.alias("best"), every.alias("hits"))
     return rows.select(
         F.col("id").alias(id_col),
         F.col("n_lines").cast("long").alias("n_lines"),
@@ -361,4 +370,5 @@ def scan_licenses(
         F.col("best.name").alias("license"),
         F.round(-F.col("best.less"), 6).alias("dice"),
         F.col("best.line").cast("long").alias("line"),
+        *(["hits"] if all_hits else []),
     )

@@ -165,3 +165,9 @@ def test_wrapped_and_whole_licenses(spark):
     rows = {r.doc_id: r for r in df.collect()}
     assert {k: (r.license, r.n_hits) for k, r in rows.items()} == {k: t[1:] for k, t in texts.items()}
     assert rows[2].line == 3 and rows[1].dice == rows[3].dice == rows[5].dice == 1.0 > rows[13].dice
+
+
+def test_all_licenses_of_a_text(spark):
+    text = "x\nReleased under the MIT License.\ny\n" + whole_texts()["ISC"][0]
+    row = scan_licenses(spark.createDataFrame([(1, text), (2, "x")], "doc_id long, text string"), all_hits=True).collect()
+    assert [tuple(h) for h in row[0].hits] == [("MIT", 1.0, 1), ("ISC", 1.0, 3)] and row[1].hits == []
