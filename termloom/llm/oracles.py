@@ -192,10 +192,44 @@ QUALITY = f"""
   select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
          not base_failed and posterior >= 0.5 as kept, round(posterior, 6) as posterior from done"""
 
+DIVERGENCE = r"""
+  with docs as (
+    select row_number() over () as d, coalesce(lang, '') as lang, coalesce(source, '') as source,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+    from documents),
+  words as (
+    select d, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from docs),
+  kept as (select lang, term, count(*) as lang_n from words group by all having count(distinct d) >= 3),
+  sizes as (select lang, count(*) as v, sum(lang_n) as lang_total from kept group by lang),
+  own as (select lang, source, term, count(*) as n from words group by all),
+  groups as (select distinct lang, source from docs),
+  cells as (
+    select g.lang, g.source, k.term, coalesce(o.n, 0) as n, k.lang_n, s.v, s.lang_total,
+           sum(coalesce(o.n, 0)) over (partition by g.lang, g.source) as total
+    from groups g join kept k using (lang) join sizes s using (lang) left join own o using (lang, source, term)),
+  priced as (
+    select lang, source, term, n,
+           cast(1 + (1000000000 * cast(n + 1 as hugeint)) // (total + v) as bigint) as p,
+           cast(1 + (1000000000 * cast(lang_n + 1 as hugeint)) // (lang_total + v) as bigint) as q
+    from cells),
+  pairs as (
+    select a.lang, a.source, b.source as item, sum(cast((a.p - b.p) * (a.p - b.p) // b.p as hugeint)) as value
+    from priced a join priced b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+  ranked as (
+    select g.lang, g.source, 'pair' as part, h.source as item, cast(coalesce(value, 0) as bigint) as value
+    from groups g join groups h on g.lang = h.lang and g.source <> h.source
+    left join pairs p on p.lang = g.lang and p.source = g.source and p.item = h.source
+    union all
+    select lang, source, 'term', term, (p - q) * (p - q) // q from priced where n > 0 and p > q)
+  select lang, source, part, item, value, cast(place as integer) as rank
+  from (select *, row_number() over (partition by lang, source, part order by value desc, item) as place from ranked)
+  where part = 'pair' or place <= 200"""
+
 ORACLES = {
     "op3_licenses": LICENSES,
     "op5_near_duplicates": NEAR_DUPLICATES,
     "op6_shards": SHARDS,
     "op8_top_products": TOP_PRODUCTS,
     "op10_quality": QUALITY,
+    "op13_divergence": DIVERGENCE,
 }

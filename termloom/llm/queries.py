@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..staging import new_path
 from . import langid, oracles
+from .divergence import divergence
 from .encoders import BYTE_LEVEL_PIECES, WORD_PIECES
 from .licenses import scan_licenses
 from .near_dup import near_duplicates
@@ -77,6 +78,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("posterior", F.round("posterior", 6))
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pieces": op1_pieces,
     "op2_pages": op2_pages,
@@ -88,5 +93,6 @@ QUERIES: dict[str, Query] = {
     "op8_top_products": op8_top_products,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
+    "op13_divergence": op13_divergence,
 }
 ORACLES: dict[str, str] = dict(oracles.ORACLES)
