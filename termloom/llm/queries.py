@@ -22,6 +22,7 @@ from .quality import quality
 from .sharding import shard_rows
 from .token_files import token_digest, write_token_files
 from .top_products import top_products
+from .whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +79,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("posterior", F.round("posterior", 6))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(_table(spark, sf_dir, "documents"))
 
@@ -93,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op8_top_products": op8_top_products,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
+    "op11_whitening": op11_whitening,
     "op13_divergence": op13_divergence,
 }
 ORACLES: dict[str, str] = dict(oracles.ORACLES)
