@@ -192,6 +192,28 @@ QUALITY = f"""
   select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
          not base_failed and posterior >= 0.5 as kept, round(posterior, 6) as posterior from done"""
 
+REPEATS = """
+  with docs as (select doc_id, hex(encode(coalesce(text, ''))) as x from documents),
+  sized as (select doc_id, x, length(x) // 2 as n from docs),
+  windows as (
+    select doc_id, place, substr(x, 2 * place + 1, 100) as w
+    from (select doc_id, x, unnest(range(0, n - 49)) as place from sized)),
+  firsts as (select w, min(doc_id) as least from windows group by w),
+  starts as (select doc_id, place from windows join firsts using (w) where doc_id > least),
+  marked as (
+    select doc_id, place, place > coalesce(lag(place) over (partition by doc_id order by place), -99) + 50 as opens from starts),
+  numbered as (select doc_id, place, sum(cast(opens as int)) over (partition by doc_id order by place) as span from marked),
+  spans as (select doc_id, min(place) as lo, max(place) + 50 as hi from numbered group by doc_id, span),
+  gaps as (
+    select doc_id, lo, coalesce(lag(hi) over (partition by doc_id order by lo), 0) as begun, hi from spans),
+  kept as (
+    select doc_id, string_agg(substr(x, 2 * begun + 1, 2 * (lo - begun)), '' order by lo) as head, max(hi) as last,
+           count(*) as n_spans, cast(sum(hi - lo) as bigint) as n_removed
+    from gaps join sized using (doc_id) group by doc_id)
+  select doc_id, n as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+         sha256(unhex(coalesce(head, '') || substr(x, 2 * coalesce(last, 0) + 1))) as kept_sha256
+  from sized left join kept using (doc_id)"""
+
 DIVERGENCE = r"""
   with docs as (
     select row_number() over () as d, coalesce(lang, '') as lang, coalesce(source, '') as source,
@@ -231,5 +253,6 @@ ORACLES = {
     "op6_shards": SHARDS,
     "op8_top_products": TOP_PRODUCTS,
     "op10_quality": QUALITY,
+    "op12_repeats": REPEATS,
     "op13_divergence": DIVERGENCE,
 }

@@ -19,6 +19,7 @@ from .packing import pack
 from .page_text import extract_pages
 from .pieces import encode_and_decode
 from .quality import quality
+from .repeats import drop_repeats
 from .sharding import shard_rows
 from .token_files import token_digest, write_token_files
 from .top_products import top_products
@@ -83,6 +84,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(_table(spark, sf_dir, "documents"))
 
@@ -99,6 +104,7 @@ QUERIES: dict[str, Query] = {
     "op9_language": op9_language,
     "op10_quality": op10_quality,
     "op11_whitening": op11_whitening,
+    "op12_repeats": op12_repeats,
     "op13_divergence": op13_divergence,
 }
 ORACLES: dict[str, str] = dict(oracles.ORACLES)
