@@ -6,7 +6,9 @@ import re
 from array import array
 from dataclasses import dataclass
 
-from .cache import PieceCache
+import numpy as np
+
+from .cache import PieceCache, kept
 
 #: white space of the library's patterns; letters, and marks that no token shares with a letter before them
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -27,7 +29,14 @@ BYTE_LEVEL_PIECES = Pieces(f" ?[{_LETTERS}]++(?=[{_MARKS}])| ?[^{_WS}]+|[{_WS}]+
 #: a tokenizer that drops white space and case never joins what stands around white space
 WORD_PIECES = Pieces(rf"[{_LETTERS}]++(?=[{_MARKS}])|[^\t-\r ]+", lower=True)
 
-LONG_TEXT = 1 << 20  # signs
+#: bytes of a text that are cut up together
+LONG_TEXT = 1 << 20
+#: chunks in a generation of the cache
+CHUNKS = 400_000
+
+_SPACE = re.compile(rb"[\t-\r ]")
+#: a space before white space: there a run of white space is more than the space that leads a word
+_RUN = re.compile(rb" (?:[\t-\r ]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80)")
 
 
 def _byte_signs() -> dict[int, str]:
@@ -41,9 +50,10 @@ class PieceEncoder:
     """Encodes texts piece by piece; the results are those for whole texts.
 
     With ``added_tokens``, the strings of the tokenizer's added tokens become their ids, as in the
-    library's plain call; else they are ordinary text. Ids are little-endian unsigned 32-bit
-    integers. New pieces that are letters alone are one word, and go straight to the
-    tokenizer's merges; all others take its whole way.
+    library's plain call; else they are ordinary text. Texts are cut at single spaces first;
+    such chunks are looked up, and new ones are cut further. New pieces that are letters alone
+    are one word, and go straight to the tokenizer's merges; all others take its whole way. Ids are
+    kept in 16 bits if the vocabulary allows.
     """
 
     def __init__(self, path: str, pieces: Pieces, added_tokens: bool = False) -> None:
@@ -52,38 +62,76 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         # added tokens are cut out before there are pieces
         self.tokenizer.encode_special_tokens = True
+        self.kind = "H" if max(self.tokenizer.get_vocab().values()) < 1 << 16 else "I"
         added = self.tokenizer.get_added_tokens_decoder() if added_tokens else {}
         if any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added.values()):
             raise ValueError("added tokens that depend on the signs around them, or on normalised text, are not known")
-        self.added = {t.content: array("I", [i]).tobytes() for i, t in added.items()}
+        self.added = {t.content.encode(): array(self.kind, [i]).tobytes() for i, t in added.items()}
         # the first one counts, and of those that begin there the longest
-        self.at_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
+        self.at_added = re.compile(b"(" + b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + b")")
         self.model = self.tokenizer.model
         self.lower = pieces.lower
         self.pieces = re.compile(pieces.pattern)
         self.one_word = re.compile(f" ?[{_LETTERS}]+")
         self.signs = _byte_signs()
-        self.cache = PieceCache(self._new)
+        # chunks as they are, and those that a space leads (which is no part of the key)
+        self.plain = PieceCache(lambda c: self._chunk(c.decode("utf-8", "replace")), CHUNKS)
+        self.led = PieceCache(lambda c: self._chunk(" " + c.decode("utf-8", "replace")), CHUNKS)
 
     def _merged(self, word: str) -> bytes:
         if self.lower:
             word = word.lower()
         signs = word.encode().decode("latin-1").translate(self.signs)
-        return array("I", [t.id for t in self.model.tokenize(signs)]).tobytes()
+        return array(self.kind, [t.id for t in self.model.tokenize(signs)]).tobytes()
 
     def _new(self, piece: str) -> bytes:
         if self.one_word.fullmatch(piece):
             return self._merged(piece)
-        return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+        return array(self.kind, self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        if piece[0] == " " and len(piece) > 1:
+            return self.led[piece[1:].encode()]
+        return self.plain[piece.encode()]
+
+    def _chunk(self, text: str) -> bytes:
+        pieces = self.pieces.findall(text)
+        return self._new(text) if len(pieces) == 1 else b"".join(map(self._piece, pieces))
+
+    def ids(self, text: bytes | None) -> np.ndarray:
+        """The ids of a text in UTF-8, in 16 or 32 bits; null is empty."""
+        text = text or b""
+        if any(token in text for token in self.added):
+            out = b"".join(self.added.get(part) or self._ordinary(part) for part in self.at_added.split(text))
+        else:
+            out = self._ordinary(text)
+        return np.frombuffer(out, "=u2" if self.kind == "H" else "=u4")
 
     def encode(self, text: str | None) -> bytes:
-        """The ids of a text; null is empty."""
-        text = text or ""
-        if not any(token in text for token in self.added):
-            return self._ordinary(text)
-        return b"".join(self.added.get(part) or self._ordinary(part) for part in self.at_added.split(text))
+        """The ids of a text as little-endian unsigned 32-bit integers."""
+        return self.ids((text or "").encode()).astype("<u4").tobytes()
 
-    def _ordinary(self, text: str) -> bytes:
+    def _ordinary(self, text: bytes) -> bytes:
         if len(text) <= LONG_TEXT:
-            return self.cache.joined(self.pieces.findall(text))
-        return self.cache.joined_in_parts(m.group() for m in self.pieces.finditer(text))
+            return self._slice(text)
+        out, at = [], 0
+        cut = _SPACE if self.lower else re.compile(rb"(?<![\t-\r ]) (?![\t-\r ])")
+        while at < len(text):
+            found = cut.search(text, at + LONG_TEXT)
+            end = found.start() if found else len(text)
+            out.append(self._slice(text[at:end]))
+            at = end
+        return b"".join(out)
+
+    def _slice(self, text: bytes) -> bytes:
+        if self.lower:
+            return self.plain.joined(text.split())
+        if _RUN.search(text):
+            return b"".join(map(self._piece, self.pieces.findall(text.decode("utf-8", "replace"))))
+        first, *rest = text.split(b" ")
+        return self.plain[first] + self.led.joined(rest)
+
+
+def kept_encoder(path: str, pieces: Pieces) -> PieceEncoder:
+    """The worker's encoder for the library's plain call; its cache outlives a task."""
+    return kept(("pieces", path, pieces.pattern, pieces.lower), lambda: PieceEncoder(path, pieces, added_tokens=True))

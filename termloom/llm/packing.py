@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..staging import stage
 from .batches import small_batches
-from .encoders import PieceEncoder, Pieces
+from .encoders import Pieces, kept_encoder
 from .grouping import sorted_groups
 from .offsets import shifts
 
@@ -77,15 +77,14 @@ def windows(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, int]:
 
 def _pieces(path: str, pieces: Pieces, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = PieceEncoder(path, pieces, added_tokens=True), np.array([end_id], "<u4").tobytes()
+        encoder, end = kept_encoder(path, pieces), np.array([end_id], "<u4")
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = encoder.encode(text) + end
-                n = len(ids) // 4
-                for at in range(0, n, capacity):
-                    part = ids[4 * at : 4 * (at + capacity)]
-                    rows.append((doc, at, len(part) // 4, zlib.crc32(part), n))
+                ids = np.concatenate([encoder.ids(text), end], dtype="<u4")
+                for at in range(0, len(ids), capacity):
+                    part = ids[at : at + capacity]
+                    rows.append((doc, at, len(part), zlib.crc32(part), len(ids)))
             columns = list(zip(*rows, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in columns], ["id", "start", "length", "ids_crc32", "doc_tokens"]
@@ -143,7 +142,7 @@ def pack(
     not read. Equal lengths are told apart by id and start, so results don't change.
     """
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
     found = stage(
         rows.mapInArrow(
             _pieces(tokenizer_path, pieces, end_id, capacity),

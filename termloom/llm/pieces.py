@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import small_batches
-from .cache import PieceCache
+from .cache import PieceCache, kept
 
 SPACE = "▁"
 CACHE_PAIRS = 500_000
@@ -156,7 +156,7 @@ class MergeEncoder:
 
 def _digests(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = MergeEncoder(path)
+        encoder = kept(("merges", path), lambda: MergeEncoder(path))
         begin, end = (np.array([i], "<u4").tobytes() for i in (encoder.bos, encoder.eos))
         for batch in batches:
             rows = []
