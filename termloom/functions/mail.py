@@ -11,10 +11,6 @@ from .let import let
 from .mime import decode_words, decoded_text, text_parts
 from .tokens import as_col, strip_blanks
 
-# The two address forms that are taken apart.
-NAME_AND_ADDRESS = r"^(.*)<(.+@.+)>$"
-BARE_ADDRESS = r"^(.+@.+)$"
-
 
 def without_divider(message) -> Column:
     """The message behind its mbox divider line."""
@@ -59,10 +55,158 @@ def decoded(value) -> Column:
     return F.coalesce(decode_words(F.when(value.contains("=?"), value)), value)
 
 
-_ADDR = r"[^\s<>,;()\"]+@[^\s<>,;()\"]+"
-_QUOTED_NAME = rf'^"((?:[^"\\]|\\.)*)"\s*<({_ADDR})>'
-_PLAIN_NAME = rf'^([^"<>,@()]*?)\s*<({_ADDR})>'
-_ADDRESS_ONLY = rf"^({_ADDR})(?:$|[\s,(].*$)"
+# Marks of an address list that has been taken apart; noncharacters, which no text may hold.
+_ENTRY, _MEMBER, _OPEN, _SHUT, _GROUP, _END, _TEXT = (chr(c) for c in range(0xFDD0, 0xFDD7))
+_MARKS = _ENTRY + _MEMBER + _OPEN + _SHUT + _GROUP + _END + _TEXT
+
+# signs in runs, quoted pairs, and single signs that may mean something; nothing here recurses
+_ADDRESS_TOKEN = r"(?s)\\.|[^\"()\\,:;<>]++|."
+#: tokens that are scanned at once, so that joining them stays cheap however many there are
+_SCANNED = 2_048
+# lists of names, addresses in angle brackets and commas alone
+_SIMPLE = r'^[^"()\\:;]*+$'
+_PAIRED = r"(?s)^[^<>]*+(?:<[^<>]*+>[^<>]*+)*+$"
+
+
+def _address_step(state: Column, token: Column) -> Column:
+    """One move of the pushdown over the tokens of an address list.
+
+    ``mode`` is 0 in the open, 1 in a quoted string and 1 + n in the n-th comment within
+    another; ``angle`` and ``group`` say what else is open. ``out`` gets the signs that count, and
+    marks for those that part the list.
+    """
+    mode, angle, group = state["mode"], state["angle"], state["group"]
+    pair = F.startswith(token, F.lit("\\")) & (F.length(token) == 2)
+    quote = token == '"'
+    commented = (
+        F.when(token == "(", mode + 1).when((token == ")") & (mode == 2), F.lit(0)).when(token == ")", mode - 1).otherwise(mode)
+    )
+    free = mode == 0
+    out = (
+        F.when(mode >= 2, F.lit(""))
+        # a quoted local part keeps its marks
+        .when(quote, F.when(angle, token).otherwise(F.lit("")))
+        .when(pair, F.substr(token, F.lit(2)))
+        .when(~free, token)
+        .when(token == "(", F.lit(""))
+        .when(angle, F.when(token == ">", F.lit(_SHUT)).otherwise(token))
+        .when(token == "<", F.lit(_OPEN))
+        .when(token == ",", F.when(group, F.lit(_MEMBER)).otherwise(F.lit(_ENTRY)))
+        .when((token == ":") & ~group, F.lit(_GROUP))
+        .when((token == ";") & group, F.lit(_END + _ENTRY))
+        .otherwise(token)
+    )
+    return F.struct(
+        F.when(mode >= 2, commented)
+        .when(mode == 1, F.when(quote, F.lit(0)).otherwise(mode))
+        .when(quote, F.lit(1))
+        .when(token == "(", F.lit(2))
+        .otherwise(mode)
+        .alias("mode"),
+        (angle & ~(free & (token == ">")) | (free & (token == "<"))).alias("angle"),
+        F.when(~free | angle, group).when(token == ":", F.lit(True)).when(token == ";", F.lit(False)).otherwise(group).alias("group"),
+        F.concat(state["out"], out).alias("out"),
+    )
+
+
+def _scan_addresses(tokens: Column) -> Column:
+    """(mode, angle, group, parts) after all tokens."""
+
+    def begin(mode, angle, group, out, name):
+        return F.struct(mode.alias("mode"), angle.alias("angle"), group.alias("group"), out.alias(name))
+
+    def block(state: Column, at: Column) -> Column:
+        own = F.aggregate(
+            F.slice(tokens, at, _SCANNED),
+            begin(state["mode"], state["angle"], state["group"], F.lit(""), "out"),
+            _address_step,
+        )
+        return let(own, lambda r: begin(r["mode"], r["angle"], r["group"], F.concat(state["parts"], F.array(r["out"])), "parts"))
+
+    nothing = begin(F.lit(0), F.lit(False), F.lit(False), F.array().cast("array<string>"), "parts")
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(tokens), F.lit(1)), F.lit(_SCANNED)), nothing, block)
+
+
+def address_marks(header) -> Column:
+    """An address list with marks for what parts it, without comments and quotation marks.
+
+    Groups, quoted strings and quoted pairs, comments within comments and routes are taken
+    apart by one scan. A header that leaves a quotation, comment, bracket or group open is no
+    address list, and is kept as text behind a mark of its own.
+    """
+
+    def simple(h: Column) -> Column:
+        return F.when(h.rlike(_PAIRED), F.translate(h, ",<>", _ENTRY + _OPEN + _SHUT)).otherwise(F.concat(F.lit(_TEXT), h))
+
+    def scanned(h: Column) -> Column:
+        return let(
+            let(F.regexp_extract_all(h, F.lit(_ADDRESS_TOKEN), F.lit(0)), _scan_addresses),
+            lambda s: F.when((s["mode"] > 0) | s["angle"] | s["group"], F.concat(F.lit(_TEXT), h)).otherwise(
+                F.array_join(s["parts"], "")
+            ),
+        )
+
+    return let(F.translate(as_col(header), _MARKS, ""), lambda h: F.when(h.rlike(_SIMPLE), simple(h)).otherwise(scanned(h)))
+
+
+def _mailbox(entry: Column) -> Column:
+    """``name <address>``, the address alone, or what else stands there."""
+
+    def render(e: Column) -> Column:
+        name = F.trim(F.split_part(e, F.lit(_OPEN), F.lit(1)))
+        address = F.trim(F.regexp_replace(_bracketed(e), "^@[^:]*+:", ""))
+        named = F.when(name == "", address).otherwise(F.concat(name, F.lit(" <"), address, F.lit(">")))
+        return F.when(e.contains(_OPEN), named).otherwise(F.trim(e))
+
+    return let(entry, render)
+
+
+def _bracketed(entry: Column) -> Column:
+    return F.split_part(F.split_part(entry, F.lit(_OPEN), F.lit(2)), F.lit(_SHUT), F.lit(1))
+
+
+def _not_blank(entries: Column) -> Column:
+    return F.filter(entries, lambda e: F.trim(e) != "")
+
+
+def _members(entry: Column) -> Column:
+    """The mailboxes of an entry that is a group."""
+    return F.split(F.translate(F.split_part(entry, F.lit(_GROUP), F.lit(2)), _END, ""), _MEMBER)
+
+
+def sender_of(marks) -> Column:
+    """First mailbox of a From header that :func:`address_marks` has taken apart; groups count by their members."""
+
+    def members(e: Column) -> Column:
+        return F.when(e.contains(_GROUP), _members(e)).otherwise(F.array(e))
+
+    def listed(m: Column) -> Column:
+        first = F.get(_not_blank(F.flatten(F.transform(F.split(m, _ENTRY), members))), F.lit(0))
+        return F.coalesce(_mailbox(first), F.lit(""))
+
+    def text(m: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(F.translate(m, _MARKS, ""), "^<", ""), ">$", "")
+
+    return let(as_col(marks), lambda m: F.when(m.startswith(_TEXT), text(m)).otherwise(listed(m)))
+
+
+def recipients_of(marks) -> Column:
+    """Entries of a To, Cc or Bcc header that :func:`address_marks` has taken apart; an absent header has none."""
+
+    def entry(e: Column) -> Column:
+        addresses = F.transform(
+            _not_blank(_members(e)), lambda m: F.when(m.contains(_OPEN), F.trim(_bracketed(m))).otherwise(F.trim(m))
+        )
+        group = F.concat(F.trim(F.split_part(e, F.lit(_GROUP), F.lit(1))), F.lit(":"), F.array_join(F.transform(addresses, lambda a: F.concat(F.lit(" "), a)), ","), F.lit(";"))
+        return F.when(e.contains(_GROUP), group).otherwise(_mailbox(e))
+
+    def text(m: Column) -> Column:
+        return F.transform(_not_blank(F.split(F.translate(m, _MARKS, ""), ",")), lambda e: F.trim(e))
+
+    return let(
+        as_col(marks),
+        lambda m: F.when(m.startswith(_TEXT), text(m)).otherwise(F.transform(_not_blank(F.split(m, _ENTRY)), entry)),
+    )
 
 
 def from_display(header) -> Column:
@@ -71,53 +215,54 @@ def from_display(header) -> Column:
     A header that is no address list is kept as text, without one leading ``<``
     and one trailing ``>``.
     """
+    return sender_of(address_marks(header))
 
-    def render(v: Column) -> Column:
-        quoted = F.regexp_replace(F.regexp_extract(v, _QUOTED_NAME, 1), r"\\(.)", "$1")
-        named = F.when(v.rlike(_QUOTED_NAME), quoted).otherwise(F.trim(F.regexp_extract(v, _PLAIN_NAME, 1)))
-        address = F.when(v.rlike(_QUOTED_NAME), F.regexp_extract(v, _QUOTED_NAME, 2)).otherwise(
-            F.regexp_extract(v, _PLAIN_NAME, 2)
-        )
-        listed = v.rlike(_QUOTED_NAME) | v.rlike(_PLAIN_NAME)
-        return (
-            F.when(listed & (named == ""), address)
-            .when(listed, F.concat(named, F.lit(" <"), address, F.lit(">")))
-            .when(v.rlike(_ADDRESS_ONLY), F.regexp_extract(v, _ADDRESS_ONLY, 1))
-            .otherwise(F.regexp_replace(F.regexp_replace(v, "^<", ""), ">$", ""))
+
+def recipients(header) -> Column:
+    """Entries of a To/Cc/Bcc header as ``name <address>``; an absent header has none.
+
+    A group is one entry, ``name: address, address;``. A header that is no address list is
+    split at its commas.
+    """
+    return recipients_of(address_marks(header))
+
+
+def _split_creator(creator: Column) -> Column:
+    """(author, address) by the two forms, without a search that could go over the text twice.
+
+    The address begins behind the last ``<`` that has a sign, ``@`` and a sign after it.
+    """
+
+    def taken_apart(c: Column) -> Column:
+        body = F.substr(c, F.lit(1), F.length(c) - 1)
+        # place of the last @ that is not the last sign
+        at = let(F.reverse(body), lambda r: F.locate("@", r, 2))
+        at = let(at, lambda k: F.when(k > 0, F.length(c) - k))
+        bracket = let(at, lambda a: let(F.substr(c, F.lit(1), a - 2), lambda h: let(F.instr(F.reverse(h), "<"), lambda k: F.when(k > 0, F.length(h) - k + 1))))
+        return let(
+            F.when(c.endswith(">") & ~c.rlike(r"[\n\r\u0085\u2028\u2029]"), bracket),
+            lambda p: F.when(
+                p.isNotNull(),
+                F.struct(F.substr(c, F.lit(1), p - 1).alias("author"), F.substr(c, p + 1, F.length(c) - p - 1).alias("address")),
+            ),
         )
 
-    return let(as_col(header), render)
+    def plain(c: Column) -> Column:
+        bare = F.locate("@", c, 2).between(2, F.length(c) - 1) & ~c.rlike(r"[\n\r\u0085\u2028\u2029]")
+        return F.struct(F.lit("").alias("author"), F.when(bare, c).otherwise(F.lit("")).alias("address"))
+
+    return let(creator, lambda c: F.when(c.isNotNull(), F.coalesce(taken_apart(c), plain(c))))
 
 
 def author_of(creator, trim: bool = True) -> Column:
     """Name part of ``name <address>``, else empty. ``trim=False`` keeps its last blank."""
-    name = F.regexp_extract(as_col(creator), NAME_AND_ADDRESS, 1)
+    name = _split_creator(as_col(creator))["author"]
     return F.trim(name) if trim else name
 
 
 def address_of(creator) -> Column:
     """Address part of a sender; empty if there is none."""
-    creator = as_col(creator)
-    return F.when(creator.rlike(NAME_AND_ADDRESS), F.regexp_extract(creator, NAME_AND_ADDRESS, 2)).otherwise(
-        F.regexp_extract(creator, BARE_ADDRESS, 1)
-    )
-
-
-def recipients(header) -> Column:
-    """Entries of a To/Cc/Bcc header as ``name <address>``; an absent header has none.
-
-    Commas inside quoted names do not separate.
-    """
-    # odd pieces between quotation marks are quoted: hide their commas from the split
-    pieces = F.transform(
-        F.split(as_col(header), '"'),
-        lambda piece, i: F.when(i % 2 == 1, F.translate(piece, ",", "\x01")).otherwise(piece),
-    )
-    entries = F.transform(
-        F.split(F.array_join(pieces, '"'), ","), lambda e: F.trim(F.translate(e, "\x01", ","))
-    )
-    named = F.filter(entries, lambda e: e != "")
-    return F.transform(named, lambda e: F.when(e.contains("@"), from_display(e)).otherwise(e))
+    return _split_creator(as_col(creator))["address"]
 
 
 # Zone names of the mail date format that are not offsets.
@@ -128,9 +273,13 @@ _ZONES = {
 }
 
 
+LONGEST_DATE = 256  # signs
+
+
 def mail_date(header) -> Column:
-    """RFC 822 date to a timestamp; null if unreadable."""
-    text = F.regexp_replace(as_col(header), r"\([^)]*\)", " ")
+    """RFC 822 date to a timestamp; null if unreadable, or longer than dates are."""
+    text = F.when(F.length(as_col(header)) <= LONGEST_DATE, as_col(header))
+    text = F.regexp_replace(text, r"\([^)]*\)", " ")
     text = F.regexp_replace(text, r"^\s*[A-Za-z]{3,9}\s*,?\s+(?=\d)|^\s*[A-Za-z]{3,9},(?=\d)", "")
     text = F.initcap(F.trim(F.regexp_replace(text, r"\s+", " ")))
     offsets = F.map_from_arrays(F.lit(list(_ZONES)), F.lit(list(_ZONES.values())))

@@ -6,18 +6,28 @@ Python; callers pass null for every other row, so those rows cost no transfer.
 
 from __future__ import annotations
 
+import re
+
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# encoded words, and such as follow them after nothing but white space, which does not count
+_WORD = r"=\?[^?\s]+\?[bqBQ]\?[^?]*\?="
+_WORDS = re.compile(rf"{_WORD}(?:\s+{_WORD})*")
+
+
 def _decoded_header(value: str) -> str:
     from email.header import decode_header, make_header
 
-    try:
-        return str(make_header(decode_header(value)))
-    except Exception:
-        return value
+    def decode(found: re.Match) -> str:
+        try:
+            return str(make_header(decode_header(found.group())))
+        except Exception:
+            return found.group()
+
+    return _WORDS.sub(decode, value)
 
 
 def _text_parts(message: str, coding: str) -> list[dict[str, str]] | None:
@@ -47,13 +57,17 @@ def _text_parts(message: str, coding: str) -> list[dict[str, str]] | None:
 
 
 def decode_words(header) -> Column:
-    """RFC 2047 encoded words to text; null in, null out."""
+    """RFC 2047 encoded words to text; null in, null out.
+
+    Declared not to be deterministic, so that no optimizer rule moves it into a generator or
+    filter, where Python cannot be called.
+    """
 
     @F.arrow_udf("string")
     def decode(arr: pa.Array) -> pa.Array:
         return pa.array([None if v is None else _decoded_header(v) for v in arr.to_pylist()], pa.string())
 
-    return decode(header)
+    return decode.asNondeterministic()(header)
 
 
 def text_parts(message, coding: str = "utf-8") -> Column:

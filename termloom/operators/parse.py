@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import mail
 from ..schemas import EMAIL_FIELDS
 
+ADDRESS_HEADERS = ["From", "To", "Cc", "Bcc"]
 PLACE = ["path", "block_start", "seq"]
 
 
@@ -49,14 +50,16 @@ def parse_messages(raw: DataFrame, max_line_len: int | None = None, trim_author:
         "*",
         *[
             mail.header_value("_text_head", name).alias(f"_{name}")
-            for name in ("Message-ID", "In-Reply-To", "From", "Subject")
+            for name in ("Message-ID", "In-Reply-To", "Subject")
         ],
+        *[mail.address_marks(mail.header_value("_text_head", name)).alias(f"_{name}") for name in ADDRESS_HEADERS],
         (~F.col("_mime") & ~F.col("_long") & mail.is_text_body("_text_head")).alias("_plain"),
     )
     # the only projection that calls Python, for all values at once
     decoded = headers.select(
         "*",
-        mail.decoded("_From").alias("_sender"),
+        # names are decoded after the lists are taken apart: what they spell out parts nothing
+        *[mail.decoded(f"_{name}").alias(f"_{name}_names") for name in ADDRESS_HEADERS],
         mail.decoded("_Subject").alias("subject"),
         mail.mime_body(F.when(F.col("_mime"), F.col("_mail")), coding).alias("_decoded"),
         (
@@ -68,12 +71,12 @@ def parse_messages(raw: DataFrame, max_line_len: int | None = None, trim_author:
     bodies = decoded.select(
         "*",
         F.col("_Message-ID").alias("id"),
-        mail.from_display("_sender").alias("_creator"),
+        mail.sender_of("_From_names").alias("_creator"),
         mail.mail_date(mail.last_header_value("_text_head", "Date")).alias("date"),
         F.col("_In-Reply-To").alias("replyid"),
-        mail.recipients(mail.header_value("_text_head", "To")).alias("to"),
-        mail.recipients(mail.header_value("_text_head", "Cc")).alias("cc"),
-        mail.recipients(mail.header_value("_text_head", "Bcc")).alias("bcc"),
+        mail.recipients_of("_To_names").alias("to"),
+        mail.recipients_of("_Cc_names").alias("cc"),
+        mail.recipients_of("_Bcc_names").alias("bcc"),
     )
     error = F.when(F.col("_long"), F.lit("line too long")).when(
         F.col("_mime") & F.col("_decoded").isNull(), F.lit("undecodable body")

@@ -1,5 +1,7 @@
 import datetime as dt
 import html
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -67,9 +69,84 @@ def test_from_display(one, header, display):
     assert one(mail.from_display("t"), t=header) == display
 
 
-def test_recipients(one):
-    assert one(mail.recipients("t"), t='"B, C" <b@x.org>, d@x.org ,, list') == ["B, C <b@x.org>", "d@x.org", "list"]
-    assert one(mail.recipients("t"), t="") == []
+LISTS = [
+    ('"B, C" <b@x.org>, d@x.org ,, list', ["B, C <b@x.org>", "d@x.org", "list"]),
+    ("", []),
+    ("friends: a@b.c, Dee <d@e.f>;, z@z.z", ["friends: a@b.c, d@e.f;", "z@z.z"]),
+    ("nobody:;", ["nobody:;"]),
+    (r'"A \" , B" <a@b.c>', ['A " , B <a@b.c>']),
+    ("Ann (the (real), one) <a@b.c>, b@c.d (x, y)", ["Ann <a@b.c>", "b@c.d"]),
+    (r"Ann (a \) b) <a@b.c>", ["Ann <a@b.c>"]),
+    ('(don"t) <a@b.c>, e@f.g', ["a@b.c", "e@f.g"]),
+    ("<@h.i,@j.k:a@b.c>", ["a@b.c"]),
+    ('<"a, >b"@c.d>', ['"a, >b"@c.d']),
+    # no lists: open quotation, comment, bracket, group
+    ('"A, <a@b.c>, d@e.f', ['"A', "<a@b.c>", "d@e.f"]),
+    ("(A, a@b.c", ["(A", "a@b.c"]),
+    ("A <a@b.c, d@e.f", ["A <a@b.c", "d@e.f"]),
+    ("friends: a@b.c, d@e.f", ["friends: a@b.c", "d@e.f"]),
+]
+
+
+@pytest.mark.parametrize("header,entries", LISTS)
+def test_recipients(one, header, entries):
+    assert one(mail.recipients("t"), t=header) == entries
+
+
+@pytest.mark.parametrize(
+    "header,display",
+    [
+        ("team: Ann <a@b.c>, d@e.f;", "Ann <a@b.c>"),
+        (r'"Ann \"A\" B" <a@b.c>', 'Ann "A" B <a@b.c>'),
+        ("Ann (a (b)) <a@b.c>", "Ann <a@b.c>"),
+        (", ,b@c.d", "b@c.d"),
+        ("none:;", ""),
+    ],
+)
+def test_from_grammar(one, header, display):
+    assert one(mail.from_display("t"), t=header) == display
+
+
+def test_creators_are_split_as_by_the_patterns(spark):
+    """The forms are ``(.*)<(.+@.+)>`` and ``(.+@.+)``, over the whole text."""
+    rng = random.Random(3)
+    creators = ["".join(rng.choice("<>@a b") for _ in range(rng.randrange(12))) for _ in range(3_000)]
+    df = spark.createDataFrame([(c,) for c in creators], "t string")
+    for r in df.select("t", mail.author_of("t", trim=False).alias("author"), mail.address_of("t").alias("address")).collect():
+        full, bare = re.fullmatch("(.*)<(.+@.+)>", r.t), re.fullmatch(".+@.+", r.t)
+        assert (r.author, r.address) == (full.groups() if full else ("", r.t if bare else "")), r.t
+
+
+@pytest.mark.parametrize("sign", ["x", "x ", '\\"', "<@", "@<", "(", '"', "a@b.c,", "a:b;", "\\\\"])
+def test_headers_of_a_million_signs(one, sign):
+    long = sign * (1_000_000 // len(sign))
+    quoted = long.replace("\\", "").replace('"', "").strip()
+    mailbox = f'"{quoted}" <a@b.c>'
+    assert one(mail.from_display("t"), t=mailbox) == (f"{quoted} <a@b.c>" if quoted else "a@b.c")
+    assert one(mail.address_of("t"), t=mailbox) == "a@b.c"
+    one(mail.author_of("t"), t=long + ">")
+    one(F.size(mail.recipients("t")), t=long)
+    one(mail.from_display("t"), t=long)
+    one(mail.mail_date("t"), t=long)
+
+
+def test_messages_with_long_headers(spark):
+    long = '"' + 'very \\" long, ' * 80_000 + '"'
+    message = f"From x\nFrom: {long} <a@b.c>\nTo: {long} <t@o.x>, u@o.x\nSubject: {long}\nDate: {long}\n\nbody\n"
+    row = parse.parse_messages(spark.createDataFrame([(message,)], "message string")).first()
+    name = long[1:-1].replace("\\", "")
+    assert (row.author, row.email) == (name.strip(), "a@b.c")
+    assert row.to == [f"{name.strip()} <t@o.x>", "u@o.x"] and row.content == "body\n"
+
+
+def test_names_are_decoded_after_lists_are_taken_apart(spark):
+    message = (
+        "From x\nFrom: =?utf-8?q?Doe=2C_Jan=C3=A9?= <j@x.org>\n"
+        "To: =?utf-8?b?w4Us?= <a@x.org>, team: =?utf-8?q?B?= <b@x.org>;\n\nbody\n"
+    )
+    row = parse.parse_messages(spark.createDataFrame([(message,)], "message string")).first()
+    assert (row.author, row.email) == ("Doe, Jané", "j@x.org")
+    assert row.to == ["Å, <a@x.org>", "team: b@x.org;"]
 
 
 @pytest.mark.parametrize(
