@@ -832,9 +832,7 @@ for _name, _sign in REFERENCES.items():
     DECODED = f"replace({DECODED}, '&{_name};', {sql.quote(_sign)})"
 
 
-@query(
-    "html_paragraphs",
-    f"""
+PARAGRAPHS = f"""
     with cut as (select page_id, unnest(string_split(html, '<')) as piece,
                         generate_subscripts(string_split(html, '<'), 1) as i from pages),
     tagged as (
@@ -857,12 +855,37 @@ for _name, _sign in REFERENCES.items():
       from events window w as (partition by page_id order by i rows unbounded preceding)),
     paragraphs as (select page_id, p, {DECODED} || ' ' || chr(10) as t from states where inside group by page_id, p)
     select page_id, coalesce(string_agg(t, '' order by p), '') as text
-    from pages left join paragraphs using (page_id) group by page_id""",
-)
+    from pages left join paragraphs using (page_id) group by page_id"""
+
+
+@query("html_paragraphs", PARAGRAPHS)
 def html_paragraphs(spark, sf_dir):
     return fx.table(spark, sf_dir, "pages").select("page_id", html_paragraph_text("html").alias("text"))
 
 
+# Every page with markup that only a tokenizer reads rightly: ">" and tags in values, "<" as text,
+# comments that hold tags, raw text up to its own end tag and to the end. SQL reads pages that
+# say the same plainly.
+HARD_START = """<p data-x="1 > 0" title='</p><script>' class=it's>"""
+HARD_END = " 1 < 2 <3 a<- b<!-- > </p> <q> --> c<script>'<p>no</p>' < 3</scripts></SCRIPT ></p >"
+PLAIN_END = " 1 &lt; 2 &lt;3 a&lt;- b c</p>"
+HARD_TAIL = "<p>last &lt;p&gt;<style>q > p</style> one</p><script>if (a<b) '<p>never</p>'"
+PLAIN_TAIL = "<p>last &lt;p&gt; one</p>"
+
+
+@query(
+    "html_paragraphs_hard",
+    PARAGRAPHS.replace("from pages)", f"""from (
+      select page_id, replace(html, '</p>', {sql.quote(PLAIN_END)}) || {sql.quote(PLAIN_TAIL)} as html from pages))""", 1),
+)
+def html_paragraphs_hard(spark, sf_dir):
+    markup = F.replace(F.replace(F.col("html"), F.lit("<p>"), F.lit(HARD_START)), F.lit("</p>"), F.lit(HARD_END))
+    # the attribute that has just been written holds an end tag, too
+    markup = F.replace(markup, F.lit(HARD_START.replace("</p>", HARD_END)), F.lit(HARD_START))
+    pages = fx.table(spark, sf_dir, "pages").select("page_id", F.concat(markup, F.lit(HARD_TAIL)).alias("html"))
+    return pages.select("page_id", html_paragraph_text("html").alias("text"))
+
+
 # the limit is lowered to what some of the lines pass
 LINE_CAP = 400
 

@@ -303,6 +303,36 @@ def test_paragraphs(one, markup, page, part):
     assert one(html_paragraph_text(F.col("h"), part=True), h=markup) == part
 
 
+@pytest.mark.parametrize(
+    ("markup", "page"),
+    [
+        ("<p>x < 5 and y > 3 fine", "x < 5 and y > 3 fine \n"),
+        ("<p>one \x01two \x02three</p>", "one \x01two \x02three \n"),
+        ('<p>see <a title="a>b" href=x>here</a></p>', "see here \n"),
+        ("<p title='</p>'>in</p>", "in \n"),
+        ("<p title=it's>one</p> no <p>two's", "one \ntwo's \n"),
+        ("<p>a</p><script>if (a<b) '<p>no</p>'", "a \n"),
+        ("<p>a<script>'</p>'; x</scripty></SCRIPT >b</p>", "ab \n"),
+        ("<p>a<style>p > b { }</style>b<iframe><p>no</iframe>c", "abc \n"),
+        ("<p>a<!-- <p>no > --> b<!-->c<!DOCTYPE x><?php 1 ?>d</p>", "a bcd \n"),
+        ("<p>a</ b>c</>d<3 &lt;p&gt; &am<b></b>p;", "acd<3 <p> &amp; \n"),
+        ("<p>end<b", "end \n"),
+        ("<p>end</p", "end \n"),
+        ("<p>a<q>b<p>c</q>d", "a \nd \n"),
+        ("<p>a<q>b<q>c</q>d</q>e<br/>f<BR>g", "ade\nf\ng \n"),
+        ("<p>a<q>to the end", "a \n"),
+        ("<pre>no</pre><P\n>yes</P\n>", "yes \n"),
+    ],
+)
+def test_tokens_of_markup(one, markup, page):
+    assert one(html_paragraph_text(F.col("h")), h=markup) == page
+
+
+@pytest.mark.parametrize("sign", ["<", "<p>", "<!--", "<a b='", '="', "&", "</", "<q>", "<script>", "-", "x"])
+def test_long_markup(one, sign):
+    one(html_paragraph_text(F.col("h")), h="<p>" + sign * (300_000 // len(sign)))
+
+
 def test_character_references(one):
     for text in ("&amp;amp;", "&copy &copy;x &copy", "&#0; &#128; &#xD800; &#x110000; &#x1F600;", "a & b && &;"):
         assert one(unescape(F.col("t")), t=text) == html.unescape(text)
