@@ -16,6 +16,7 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
+_REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 # folder of the job that is running, if one has been begun
 _job: ContextVar[str | None] = ContextVar("termloom_job", default=None)
@@ -62,9 +63,25 @@ def job_folder(spark: SparkSession, name: str) -> Iterator[str]:
         hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is executed inside are removed as soon as it has ended.
+
+    For results that are written: nobody reads those shuffles again, and on local disks they
+    would add up until the driver happens to collect its garbage.
+    """
+    before = spark.conf.get(_REMOVE_SHUFFLES, "false")
+    spark.conf.set(_REMOVE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_REMOVE_SHUFFLES, before)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and return a scan of the written table."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    with shuffles_removed(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
