@@ -539,6 +539,44 @@ def top_terms(spark, sf_dir):
     return rounded(top_terms_of(user_docs(spark, sf_dir), stem=False))
 
 
+@query("top_terms_pruned", rounded_sql(sql.top(CLEAN_TERMS), "email", "term"))
+def top_terms_pruned(spark, sf_dir):
+    return rounded(top_terms_of(user_docs(spark, sf_dir), stem=False, prune=True))
+
+
+# pairs that cannot reach a score whoever their user is: G2 at both extremes of the users' totals
+PRUNE_AT = 12.0
+
+
+def _at_end(end: str) -> str:
+    return f"(select {sql.G2} from (select e.k11 as k11, e.r as r, cast({end} as double) as c, e.n as n))"
+
+
+PRUNED_SHARE = f"""
+  with e as (select s.*, min(c) over () as least, max(c) over () as most from ({sql.scores(TERMS)}) s),
+  bounds as (select score, greatest({_at_end("greatest(e.k11, e.least)")},
+                                    {_at_end("greatest(greatest(e.k11, e.least), least(e.most, e.n - e.r + e.k11))")}) as bound
+             from e)
+  select count(*) as n_pairs, count(*) filter (bound * (1 + 1e-6) + 1e-6 < {PRUNE_AT}) as n_pruned,
+         count(*) filter (score >= {PRUNE_AT}) as n_reach from bounds"""
+
+
+@query("llr_pruned_share", PRUNED_SHARE)
+def llr_pruned_share(spark, sf_dir):
+    """How many pairs never meet their users' totals if only scores from 12 on are asked for."""
+    counts = stage(llr.term_counts(plain_terms(spark, sf_dir)), "counts")
+    kept = llr.llr_scores(counts, staged=True, prune_below=PRUNE_AT)
+    found = kept.agg(F.count("*").alias("n"), F.count_if(F.col("score") >= PRUNE_AT).alias("n_reach"))
+    pairs = counts.agg(F.count("*").alias("n_pairs"))
+    return pairs.crossJoin(found).select("n_pairs", (F.col("n_pairs") - F.col("n")).alias("n_pruned"), "n_reach")
+
+
+@query("top_terms_bucketed", rounded_sql(sql.top(CLEAN_TERMS), "email", "term"))
+def top_terms_bucketed(spark, sf_dir):
+    """Counts in buckets by term, which their totals meet without moving again."""
+    return rounded(top_terms_of(user_docs(spark, sf_dir), stem=False, buckets=16))
+
+
 @query("top_terms_bigrams", rounded_sql(sql.top(sql_terms(CLEAN_DOCS, 2)), "email", "term"))
 def top_terms_bigrams(spark, sf_dir):
     return rounded(top_terms_of(user_docs(spark, sf_dir), shingle_size=2, stem=False))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.tokens import num_words
-from ..staging import stage
+from ..staging import stage, stage_bucketed
 from .rank import top_n_per_group
 
 MIN_SCORE = 1.0
@@ -96,6 +96,26 @@ def g2(k11: Column, term_total: Column, user_total: Column, grand_total: Column)
     )
 
 
+def g2_bound(k11: Column, term_total: Column, least: Column, most: Column, grand_total: Column) -> Column:
+    """The largest G2 that a user of ``least`` to ``most`` terms can have with this count and term.
+
+    With the count and both other totals fixed, G2 falls while the user's total rises to
+    where the term is as frequent as with all users, and rises from there on. So it is largest
+    at one of the ends; what the table allows cuts them off.
+    """
+    fewest = F.greatest(k11, least)
+    ends = fewest, F.greatest(fewest, F.least(most, grand_total - term_total + k11))
+    return F.greatest(*(g2(k11, term_total, end, grand_total) for end in ends))
+
+
+# for rounding: bounds that come this close to a score are taken to reach it
+SLACK = 1e-6
+
+
+def can_reach(score: float, bound: Column) -> Column:
+    return bound * (1 + SLACK) + SLACK >= score
+
+
 def llr_scores(
     counts: DataFrame,
     per_length: bool = False,
@@ -103,28 +123,47 @@ def llr_scores(
     staged: bool = False,
     share: int = SHARE,
     piece_rows: int = PIECE_ROWS,
+    buckets: int | None = None,
+    prune_below: float | None = None,
 ) -> DataFrame:
     """Score of every (user, term): columns email, term, k11, score.
 
     ``counts`` is read several times; unless the caller says that it is a stored
     table already (``staged=True``) it is written to the shared folder first.
     ``share`` and ``piece_rows`` say which keys are cut; see :func:`attach_totals`.
+
+    ``buckets`` writes the counts in that many buckets by term: they meet their term totals
+    where they lie, and only move for the totals of the users. ``prune_below`` leaves out rows
+    that cannot reach this score whoever their user is, before they move.
     """
     if direction not in ("both", "over"):
         raise ValueError(f"unknown direction {direction!r}")
-    if not staged:
+    if buckets:
+        counts = stage_bucketed(counts, "term-counts", ["term"], buckets)
+    elif not staged:
         counts = stage(counts, "term-counts")
     universe = []
     if per_length:
         counts = counts.withColumn("n_words", num_words("term"))
         universe = ["n_words"]
-    term_totals = stage(key_totals(counts, ["term"], "term_total"), "term-totals")
+    term_totals = key_totals(counts, ["term"], "term_total")
+    if not buckets:
+        term_totals = stage(term_totals, "term-totals")
     user_totals = stage(key_totals(counts, ["email", *universe], "user_total"), "user-totals")
-    # broadcast: one row, or one per term length
-    grand = user_totals.groupBy(*universe).agg(F.sum("user_total").alias("grand_total"))
     rows = attach_totals(counts, term_totals, ["term"], "term_total", "email", share, piece_rows)
+    of_users = F.sum("user_total").alias("grand_total"), F.min("user_total").alias("least"), F.max("user_total").alias("most")
+    if universe:
+        # broadcast: one row per term length
+        grand = user_totals.groupBy(*universe).agg(*of_users)
+        rows = rows.join(F.broadcast(grand), universe)
+    else:
+        # one row of a stored table: as constants it needs no join, and no condition of one
+        whole = user_totals.agg(*of_users).first()
+        rows = rows.select("*", *(F.lit(whole[c] or 0).cast("long").alias(c) for c in ("grand_total", "least", "most")))
+    if prune_below is not None:
+        bound = g2_bound(*(F.col(c) for c in ("k11", "term_total", "least", "most", "grand_total")))
+        rows = rows.filter(can_reach(prune_below, bound))
     rows = attach_totals(rows, user_totals, ["email", *universe], "user_total", "term", share, piece_rows)
-    rows = rows.join(F.broadcast(grand), universe) if universe else rows.crossJoin(F.broadcast(grand))
     if direction == "over":
         expected = F.col("term_total").cast("double") * F.col("user_total").cast("double")
         rows = rows.filter(F.col("k11").cast("double") * F.col("grand_total").cast("double") > expected)
@@ -138,16 +177,20 @@ def top_terms_by_llr(
     min_score: float = MIN_SCORE,
     predicate: Column | None = None,
     limit_in_tasks: int | None = None,
+    prune: bool = False,
     **options,
 ) -> DataFrame:
     """The best terms of every user: email, term, score.
 
     ``predicate`` is an extra condition on ``term`` and ``score``. ``limit_in_tasks`` is for
-    long lists; see :func:`top_n_per_group`.
+    long lists; see :func:`top_n_per_group`. ``prune`` drops rows that cannot reach
+    ``min_score`` before they are joined with their users; it pays for high scores.
     """
-    scores = llr_scores(counts, **options).filter(F.col("score") >= min_score)
+    scores = llr_scores(counts, prune_below=min_score if prune else None, **options).select("email", "term", "score")
     if predicate is not None:
         scores = scores.filter(predicate)
     best_first = [F.desc("score"), F.asc("term")]
-    scores = scores.select("email", "term", "score")
-    return top_n_per_group(scores, ["email"], best_first, max_terms, "term", limit_in_tasks)
+    # the limit comes first: the best are the same, and a condition on the score would be pushed
+    # below its projection and compute it twice
+    best = top_n_per_group(scores, ["email"], best_first, max_terms, "term", limit_in_tasks)
+    return best.filter(F.col("score") >= min_score)

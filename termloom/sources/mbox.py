@@ -14,6 +14,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.let import let
 from ..functions.mail import byte_view, view_bytes
 from ..functions.tokens import as_col
 from .spread import spread
@@ -26,7 +27,7 @@ _BLOCK = ["path", "block_start"]
 
 
 def _normal_lines(c: Column) -> Column:
-    return F.regexp_replace(c, "\r\n?", "\n")
+    return let(c, lambda v: F.when(v.contains("\r"), F.regexp_replace(v, "\r\n?", "\n")).otherwise(v))
 
 
 def _one_final_newline(c: Column) -> Column:
@@ -105,14 +106,21 @@ def scan_mbox(
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("seq"),
         F.col("value").cast("binary").alias("value"),
+        # told from the bytes: a test of what they become would be pushed down, and make that twice
+        (F.trim(F.regexp_replace("value", r"\r\z", "")) == "").alias("blank"),
     )
     # only a file's first record can have its divider, or none at all; all others lost theirs to the separator
     marked = scanned.mapInArrow(
-        _mark_first, "path string, block_start long, seq long, value binary, first boolean"
-    ).withColumn("value", _normal_lines(F.regexp_replace(byte_view("value"), r"\r\z", "")))
+        _mark_first, "path string, block_start long, seq long, value binary, blank boolean, first boolean"
+    )
+    if not strict:
+        marked = marked.filter("not blank")
+    marked = marked.withColumn("value", _normal_lines(F.regexp_replace(byte_view("value"), r"\r\z", "")))
     records = _joined_at_blank_lines(marked) if strict else marked
     whole = F.when(F.col("first"), F.col("value")).otherwise(F.concat(F.lit(DIVIDER), F.col("value")))
-    messages = records.filter(F.length(F.trim(F.col("value"))) > 0).select(
+    if strict:
+        records = records.filter(F.length(F.trim(F.col("value"))) > 0)
+    messages = records.select(
         *_BLOCK, "seq", view_bytes(_one_final_newline(whole)).alias("message")
     )
     if not raw:

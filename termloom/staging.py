@@ -18,8 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 _CONF = "spark.checkpoint.dir"
 _REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-# folder of the job that is running, if one has been begun
+# folder of the job that is running, if one has been begun, and the tables it has in the catalog
 _job: ContextVar[str | None] = ContextVar("termloom_job", default=None)
+_tables: ContextVar[list[str] | None] = ContextVar("termloom_tables", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -54,10 +55,13 @@ def job_folder(spark: SparkSession, name: str) -> Iterator[str]:
         yield _job.get()
         return
     path = new_path(spark, name)
-    token = _job.set(path)
+    token, listed = _job.set(path), _tables.set([])
     try:
         yield path
     finally:
+        for table in _tables.get():
+            spark.sql(f"drop table if exists {table}")
+        _tables.reset(listed)
         _job.reset(token)
         hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
         hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
@@ -85,3 +89,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     with shuffles_removed(spark):
         df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int) -> DataFrame:
+    """Write ``df`` once in sorted buckets by ``keys`` and return the table.
+
+    Joins and groupings by these keys read the buckets where they lie. The table has a name in
+    the session's catalog, which a job drops at its end.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    table = "termloom_" + path.rsplit("/", 1)[1].replace("-", "_")
+    with shuffles_removed(spark):
+        in_buckets = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+        in_buckets.option("path", path).option("compression", "zstd").saveAsTable(table)
+    if _tables.get() is not None:
+        _tables.get().append(table)
+    return spark.table(table)

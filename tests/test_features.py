@@ -13,7 +13,7 @@ from termloom.plans.mine_stopwords import mine_stopwords, mine_stopwords_of
 from termloom.plans.parse_archives import parse_archives
 from termloom.plans.top_terms import top_terms, top_terms_of
 from termloom.sources import wordlists
-from termloom.staging import new_path, shared_dir, stage
+from termloom.staging import job_folder, new_path, shared_dir, stage
 from termloom.streaming.emails import stream_emails_tsv
 
 
@@ -323,3 +323,47 @@ def test_stop_words_with_an_own_analyzer(spark):
     by_table = top_terms_of(docs, stopwords=listed, analyzer=own, min_score=0.0).collect()
     by_list = top_terms_of(docs, stopwords=["red"], analyzer=own, min_score=0.0).collect()
     assert by_table == by_list and {r.term for r in by_table} == {"apples", "fall", "pears"}
+
+
+def random_counts(spark, n=4_000):
+    rng = random.Random(5)
+    rows = {(f"u{rng.randrange(12)}", f"t{int(rng.paretovariate(0.7)) % 300}"): int(rng.paretovariate(0.6)) for _ in range(n)}
+    return spark.createDataFrame([(u, t, k) for (u, t), k in rows.items()], "email string, term string, k11 long")
+
+
+def test_bounds_hold_and_prune_nothing_that_counts(spark):
+    counts = random_counts(spark)
+    whole = {(r.email, r.term): r.score for r in llr.llr_scores(counts).collect()}
+    for score in (1.0, 30.0, 1000.0):
+        kept = {(r.email, r.term): r.score for r in llr.llr_scores(counts, prune_below=score).collect()}
+        assert kept.items() <= whole.items() and (score < 1000 or len(kept) < len(whole))
+        assert all(whole[key] < score for key in whole.keys() - kept.keys())
+        plain, pruned = (llr.top_terms_by_llr(counts, min_score=score, prune=p).collect() for p in (False, True))
+        assert sorted(plain) == sorted(pruned)
+
+
+def test_scores_are_computed_once(spark):
+    top = llr.top_terms_by_llr(random_counts(spark))
+    plan = top._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.upper().count("LOG1P(") == 4
+
+
+def test_bucketed_counts_do_not_move_for_their_term_totals(spark):
+    counts = random_counts(spark)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scores = llr.llr_scores(counts, buckets=4)
+        plan = scores._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(term" not in plan and "hashpartitioning(email" in plan
+        assert sorted(scores.collect()) == sorted(llr.llr_scores(counts).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_jobs_drop_their_tables(spark):
+    known = len(spark.catalog.listTables())
+    with job_folder(spark, "buckets"):
+        llr.llr_scores(random_counts(spark, 50), buckets=2).collect()
+        assert len(spark.catalog.listTables()) == known + 1
+    assert len(spark.catalog.listTables()) == known
