@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.llr import attach_totals
 from ..staging import stage
 from .batches import small_batches
 from .grouping import sorted_groups
@@ -33,6 +34,8 @@ ROWS = K**LEVELS
 SCALE = 1_000_000_000
 #: columns that are aimed at for a tile; hashing deals them, so tiles differ a little
 COLUMNS = 8_192
+#: terms of a language beyond which its rows are dealt over several tasks
+PIECE_ROWS = 20_000
 TOP_TERMS = 200
 LEAST_DOCUMENTS = 3
 #: counted terms that a task holds before it passes them on
@@ -265,6 +268,7 @@ def divergence(
     per_lang = counts.filter("term <> X''").groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("d"))
     kept = stage(per_lang.filter(F.col("d") >= least_documents).select("lang", "term", "lang_n"), "kept-terms")
     sizes = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total"))
+    sizes = stage(sizes.withColumn("n_rows", F.col("v")), "languages")
     entries = stage(counts.join(kept, ["lang", "term"]).select("lang", "source", "term", "n", "lang_n"), "kept-counts")
 
     totals = entries.groupBy("lang", "source").agg(F.sum("n").alias("total"))
@@ -273,7 +277,7 @@ def divergence(
         counts.select("lang", "source")
         .distinct()
         .join(totals, ["lang", "source"], "left")
-        .join(sizes, "lang", "left")
+        .join(sizes.drop("n_rows"), "lang", "left")
         .select(
             "lang",
             "source",
@@ -306,8 +310,9 @@ def divergence(
 def _pairs(entries: DataFrame, kept: DataFrame, sizes: DataFrame, groups: DataFrame, columns: int) -> DataFrame:
     block = F.pmod(F.xxhash64("term"), F.greatest(F.ceil(F.col("v") / columns), F.lit(1)).cast("long"))
     in_block = Window.partitionBy("lang", "block").orderBy("term")
-    places = kept.join(sizes.select("lang", "v"), "lang").select("lang", "term", block.alias("block"))
-    places = places.withColumn("c", (F.row_number().over(in_block) - 1).cast("long"))
+    # the largest language may hold most terms
+    sized = attach_totals(kept, sizes.select("lang", "v", "n_rows"), ["lang"], "v", "term", piece_rows=PIECE_ROWS)
+    places = sized.select("lang", "term", block.alias("block")).repartition("lang", "block").withColumn("c", (F.row_number().over(in_block) - 1).cast("long"))
     cells = (
         entries.filter("n > 0")
         .join(places, ["lang", "term"])
