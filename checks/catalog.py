@@ -186,6 +186,27 @@ def fold_texts(spark, sf_dir):
 LONG_WORDS = "replace(replace(replace(text, '. ', 'y'), ', ', 'z'), ' ', 'x')"
 
 
+# every text followed by words of many scripts, which the word rules part
+SCRIPTS = (
+    "צה\"ל ג'ירפה テレビabc カタ_b 日本ひ ﾊﾞﾅﾅ ภาษาไทย ພາສາ 한국어 हिन्दी العربية a\u2018b \u2018a 1\u066c2 3\uff1a4"
+    " c\u00add e\u200bf x\U0001f1e9\U0001f1eay \U0001f44d a\u203fb 1\u202f000"
+)
+SCRIPT_WORDS = [
+    'צה"ל', "ג'ירפה", "テレビ", "abc", "カタ_b", "日", "本", "ひ", "ﾊﾞﾅﾅ", "ภาษาไทย", "ພາສາ", "한국어", "हिन्दी", "العربية",
+    "a\u2018b", "a", "1\u066c2", "3", "4", "c\u00add", "e", "f", "x", "y", "a\u203fb", "1\u202f000",
+]
+
+
+@query(
+    "tokenize_scripts",
+    f"select doc_id, array_to_string({sql.tokens('text')} || [{', '.join(map(sql.quote, SCRIPT_WORDS))}], '|') as tokens"
+    " from documents",
+)
+def tokenize_scripts(spark, sf_dir):
+    text = F.concat("text", F.lit(" " + SCRIPTS))
+    return docs(spark, sf_dir).select("doc_id", F.array_join(tokenize(text), "|").alias("tokens"))
+
+
 @query(
     "tokenize_long_words",
     f"""select doc_id, len(w) as n_tokens, list_max({sql.each('w', 'length(x)')}) as longest

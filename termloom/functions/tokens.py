@@ -30,6 +30,42 @@ _SEPARATOR = rf"[^\p{{L}}\p{{M}}\p{{N}}_](?<!{_JOINED})[^\p{{L}}\p{{M}}\p{{N}}_'
 _SINGLE_SIGN = r"([\p{IsHan}\p{IsHiragana}])"
 
 
+# The word rules of Unicode text segmentation, for texts with signs that the separators above do
+# not tell apart. The signs of the rules' classes, beyond the scripts' own.
+_EXTEND = r"[\p{M}\p{Cf}\uFF9E\uFF9F\x{1F3FB}-\x{1F3FF}&&[^\u200B]]"
+_MID_LETTER = r":\u00B7\u0387\u055F\u05F4\u2027\uFE13\uFE55\uFF1A"
+_MID_NUMBER = r",;\u037E\u0589\u060C\u060D\u066C\u07F8\u2044\uFE10\uFE14\uFE50\uFE54\uFF0C\uFF1B"
+_MID_BOTH = r"'.\u2018\u2019\u2024\uFE52\uFF07\uFF0E"
+_KATAKANA = r"\p{IsKatakana}\u3031-\u3035\u309B\u309C\u30A0\u30FC\uFF70&&[^\uFF9E\uFF9F]"
+_NO_BLANKS = r"\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+_CONNECTOR = r"\p{Pc}\u202F"
+_SINGLE = r"\p{IsHan}\p{IsHiragana}"
+_HEBREW = r"[\p{IsHebrew}&&\p{L}]"
+_LETTER = rf"[\p{{IsAlphabetic}}&&[^\p{{M}}\p{{N}}{_SINGLE}{_NO_BLANKS}]&&[^{_KATAKANA.split('&&')[0]}]]"
+_NUMBER = r"[\p{N}\u066B]"
+
+
+def _word_rules() -> str:
+    """One word, as a pattern without repetitions that recurse or go back."""
+    e = f"{_EXTEND}*+"
+    # a letter and what joins it to the next one; quotes inside and after Hebrew words
+    hebrew = rf"""{_HEBREW}{e}(?:"{e}(?={_HEBREW})|[{_MID_LETTER}{_MID_BOTH}]{e}(?={_LETTER}))?+"""
+    letter = rf"{_LETTER}{e}(?:[{_MID_LETTER}{_MID_BOTH}]{e}(?={_LETTER}))?+"
+    number = rf"{_NUMBER}{e}(?:[{_MID_NUMBER}{_MID_BOTH}]{e}(?={_NUMBER}))?+"
+    run = rf"(?:(?:{hebrew}|{letter}|{number})++(?:(?<={_HEBREW})'{e})?+|(?:[{_KATAKANA}]{e})++)"
+    connected = rf"(?:[{_CONNECTOR}]{e})"
+    word = rf"{connected}*+{run}(?:{connected}++{run})*+{connected}*+|{connected}++"
+    return rf"{word}|[{_SINGLE}]{e}|(?:[{_NO_BLANKS}]{e})++"
+
+
+_WORD_RULES = _word_rules()
+# signs whose class the separators do not know
+_RULED_SIGNS = (
+    rf"[{_KATAKANA.split('&&')[0]}{_NO_BLANKS}\p{{IsHebrew}}\p{{Cf}}\uFF9E\x{{1F3FB}}-\x{{1F3FF}}\u202F"
+    rf"\p{{Pc}}{_MID_LETTER}{_MID_NUMBER}{_MID_BOTH}\u066B&&[^_'’.:·,;]]"
+)
+
+
 def as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -43,14 +79,25 @@ def strip_blanks(c) -> Column:
 
 
 def split_words(text) -> Column:
-    """Raw split of a text; may hold empty strings (use when rows are filtered later)."""
+    """Raw split of a text; may hold empty strings (use when rows are filtered later).
+
+    Words are told by the rules of Unicode text segmentation. Most texts only hold signs for
+    which a separator pattern does the same; the others are matched word by word. Ideographs
+    and hiragana are words of their own; runs of scripts without blanks are one word. Any number
+    sign counts as a digit, and connectors alone are a word. Emoji and flags are none.
+    """
 
     def spaced(t: Column) -> Column:
         apart = F.regexp_replace(t, _SINGLE_SIGN, " $1 ")
         return F.when(is_ascii(t) | ~t.rlike(_SINGLE_SIGN), t).otherwise(apart)
 
-    # the split at a single blank needs no regular expression
-    return F.split(F.regexp_replace(let(as_col(text), spaced), _SEPARATOR, " "), " ")
+    def words(t: Column) -> Column:
+        # the split at a single blank needs no regular expression
+        simple = F.split(F.regexp_replace(spaced(t), _SEPARATOR, " "), " ")
+        ruled = ~is_ascii(t) & t.rlike(_RULED_SIGNS)
+        return F.when(ruled, F.regexp_extract_all(t, F.lit(_WORD_RULES), F.lit(0))).otherwise(simple)
+
+    return let(as_col(text), words)
 
 
 def tokenize(text, max_token_len: int | None = None) -> Column:

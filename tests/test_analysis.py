@@ -1,3 +1,4 @@
+import random
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,6 +88,48 @@ TOKENS = {
 }
 
 
+# one text for each rule of word segmentation
+WORD_RULES = {
+    # extenders and format signs stay with what they follow, also before a joining mark
+    "a\u0308b c\u00add e\u200df g\u200bh": ["a\u0308b", "c\u00add", "e\u200df", "g", "h"],
+    "can\u0301't\u00ad\u2019s 1\u0308,\u00ad2": ["can\u0301't\u00ad\u2019s", "1\u0308,\u00ad2"],
+    # letters across one mark, not across two or at an end
+    "a\u2018b a\u2024b a\u2027b a\uff1ab a\uff0eb a..b \u2018a\u2018 a\u2018": [
+        "a\u2018b", "a\u2024b", "a\u2027b", "a\uff1ab", "a\uff0eb", "a", "b", "a", "a"
+    ],
+    # numbers across one mark; a mark for letters parts numbers, and the other way round
+    "1\u066c2 3\u20444 5\uff0c6 7\uff1a8 a\u066cb 1\u066b5": ["1\u066c2", "3\u20444", "5\uff0c6", "7", "8", "a", "b", "1\u066b5"],
+    # Hebrew quotes
+    'צה"ל ג\'ירפה ג\' 5 "א" א"5': ['צה"ל', "ג'ירפה", "ג'", "5", "א", "א", "5"],
+    # katakana are runs, which letters and ideographs end and connectors do not
+    "テレビabc カタ_abc 日本カタカナひら ﾊﾞﾅﾅ": ["テレビ", "abc", "カタ_abc", "日", "本", "カタカナ", "ひ", "ら", "ﾊﾞﾅﾅ"],
+    "a\u203fb 1\u202f000 __ \u2040": ["a\u203fb", "1\u202f000", "__", "\u2040"],
+    # runs of scripts without blanks; Hangul and others are letters
+    "ภาษาไทย ພາສາ 한국어 हिन्दी العربية": ["ภาษาไทย", "ພາສາ", "한국어", "हिन्दी", "العربية"],
+    # flags and emoji are no words
+    "x\U0001f1e9\U0001f1eay \U0001f44d\U0001f3fd z": ["x", "y", "z"],
+    "\u200b": [],
+}
+
+
+@pytest.mark.parametrize("text,words", WORD_RULES.items())
+def test_word_rules(one, text, words):
+    assert one(tokenize("t"), t=text) == words
+
+
+def test_word_rules_agree_with_the_separators(one):
+    # a format sign at the end makes the rules read texts that the separators read otherwise
+    rng = random.Random(7)
+    for _ in range(25):
+        text = "".join(rng.choice("ab1_'’.,;: ·é中ひ-") for _ in range(200)) + " z"
+        assert one(tokenize("t"), t=text + "\u2060") == one(tokenize("t"), t=text)[:-1] + ["z\u2060"]
+
+
+@pytest.mark.parametrize("sign", ["a", "1,", "a\u2018", "א\"", "カ", "_", "\u0308", "\u2060", "\u2018", "ไ"])
+def test_long_runs_under_the_rules(one, sign):
+    one(F.size(tokenize("t")), t=sign * 300_000 + "\u2060")
+
+
 @pytest.mark.parametrize("text,words", TOKENS.items())
 def test_tokens(one, text, words):
     assert one(tokenize("t"), t=text) == words
