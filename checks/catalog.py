@@ -20,7 +20,8 @@ from termloom.functions.tokens import (
     strip_possessive,
     tokenize,
 )
-from termloom.operators import frequency, llr, oversize, parse, rank
+from termloom.functions.parsers import register_parsers
+from termloom.operators import frequency, increments, llr, oversize, parse, rank, sketches
 from termloom.operators.terms import drop_stopwords, user_terms
 from termloom.plans.mine_stopwords import mine_stopwords, mine_stopwords_of, term_frequencies
 from termloom.plans.parse_archives import parse_archives
@@ -28,6 +29,8 @@ from termloom.plans.top_terms import top_terms as run_top_terms
 from termloom.plans.top_terms import top_terms_of
 from termloom.sources import emails_tsv, mbox, wordlists
 from termloom.staging import new_path, stage
+from termloom.streaming.mbox import stream_mbox, streamed
+from termloom.streaming.oversize import stream_kept_sizes
 
 from . import fixtures as fx
 from . import porter_sql, sql, stems_sql
@@ -1105,6 +1108,102 @@ def skip_oversized_running(spark, sf_dir):
     return kept.select("doc_id", F.length("text").cast("bigint").alias("n"))
 
 
+@query(
+    "skip_oversized_stream",
+    f"select doc_id, len as n from ({RUNNING}) where not (seen > 100 and len > (4 * chars) // seen)",
+)
+def skip_oversized_stream(spark, sf_dir):
+    """The running rule with the number and length of messages as state, over a stream in several batches."""
+    folder, out = new_path(spark, "arriving"), new_path(spark, "kept")
+    sized = fx.table(spark, sf_dir, "documents").select("lang", "doc_id", F.length("text").alias("n"))
+    last = sized.agg(F.max("doc_id")).first()[0] or 0
+    # files arrive in the order of their messages
+    for n in range(4):
+        here = F.floor(F.col("doc_id") * 4 / (last + 1)) == n
+        sized.filter(here).repartition(1).write.mode("append").parquet(folder)
+    arriving = spark.readStream.schema(sized.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    kept = stream_kept_sizes(arriving, "lang", "doc_id", "n")
+    checkpoint = new_path(spark, "stream-state")
+    run = kept.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+    run.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).select(F.col("place").alias("doc_id"), F.col("length").alias("n"))
+
+
+# --- mail that keeps arriving -----------------------------------------------------------------
+
+
+@query("scan_mbox_stream", f"select source, rtrim({IN_BODY}, {NL}) || {NL} as message from documents")
+def scan_mbox_stream(spark, sf_dir):
+    """Archives as a stream in batches of a few files, with strict dividers."""
+    rows = message_rows(spark, sf_dir, f"trim(trailing {NL} from {IN_BODY}) || {NL}")
+    folder, out = archive_by_source(spark, rows), new_path(spark, "streamed")
+    stream_mbox(
+        spark, f"{folder}/*", out, new_path(spark, "stream-state"), strict=True, files_per_batch=7, availableNow=True
+    ).awaitTermination()
+    source = F.regexp_extract("path", "source=([^/]*)/", 1).alias("source")
+    return streamed(spark, out).select(source, "message")
+
+
+@query("term_counts_incremental", f"select email, term, count(*) as k11 from ({TERMS}) group by email, term")
+def term_counts_incremental(spark, sf_dir):
+    """Three slices, one of which is added again, from a store of counts."""
+    store = new_path(spark, "store")
+    emails = fx.emails(spark, sf_dir)
+    for n in (0, 1, 2, 1):
+        of_slice = emails.filter(F.col("doc_id") % 3 == n).select(clean.normalize_email("email").alias("email"), "content")
+        increments.add_slice(spark, store, f"slice-{n}", user_terms(of_slice, stem=False))
+    return increments.merged_counts(spark, store)
+
+
+@query(
+    "unique_count_sketched",
+    f"""select term, count(distinct doc_id) as n_docs, true as within
+        from (select doc_id, unnest({sql.tokens('text')}) as term from documents) group by term""",
+)
+def unique_count_sketched(spark, sf_dir):
+    """Documents of every term from sketches of eight slices, next to the exact count."""
+    words = docs(spark, sf_dir).select("doc_id", (F.col("doc_id") % 8).alias("slice"), F.explode(tokenize("text")).alias("term"))
+    by_slice = stage(sketches.user_sketches(words, ["slice"], user="doc_id"), "sketches")
+    estimate = sketches.estimated_users(sketches.merge_sketches(by_slice))
+    exact = words.groupBy("term").agg(F.count_distinct("doc_id").alias("n_docs"))
+    within = sketches.within_bound(F.col("doc_count"), F.col("n_docs"))
+    return exact.join(estimate, "term", "left").select("term", "n_docs", F.coalesce(within, F.lit(False)).alias("within"))
+
+
+class Spelled:
+    """A parser with state: words of one kind of letters, which it compiles once a task."""
+
+    def __init__(self, least: int = 3) -> None:
+        import re
+
+        self.word = re.compile(rf"[a-z]{{{least},}}")
+
+    @staticmethod
+    def columns(least: int = 3):
+        from pyspark.sql.types import StringType, StructType
+
+        return StructType().add("term", StringType())
+
+    def parse(self, text: str):
+        return ((w,) for w in self.word.findall(text.lower()))
+
+
+SPELLED = "regexp_extract_all(lower(content), '[a-z]{4,}')"
+
+
+@query(
+    "top_terms_udtf",
+    rounded_sql(sql.top(f"select email, unnest({SPELLED}) as term from ({CLEAN_DOCS})"), "email", "term"),
+)
+def top_terms_udtf(spark, sf_dir):
+    """Terms by an own parser as a table function of SQL."""
+    register_parsers(spark, "terms_of", {"spelled": Spelled})
+    cleaned = user_docs(spark, sf_dir).select("email", clean.strip_quote_header("content").alias("content"))
+    cleaned.createOrReplaceTempView("cleaned_docs")
+    terms = spark.sql("""select email, t.term from cleaned_docs, lateral terms_of(content, 'spelled', '{"least": 4}') t""")
+    return rounded(llr.top_terms_by_llr(llr.term_counts(terms)))
+
+
 # --- whole jobs, from file to file ------------------------------------------------------------
 
 

@@ -5,16 +5,21 @@ from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from termloom.functions.analysis import analyze
 from termloom.functions.tokens import tokenize
-from termloom.operators import frequency, llr, oversize, rank, terms
+from termloom.functions.parsers import register_parsers
+from termloom.operators import frequency, increments, llr, oversize, rank, sketches, terms
 from termloom.plans.mine_stopwords import mine_stopwords, mine_stopwords_of
 from termloom.plans.parse_archives import parse_archives
 from termloom.plans.top_terms import top_terms, top_terms_of
 from termloom.sources import wordlists
 from termloom.staging import job_folder, new_path, shared_dir, stage
+from termloom.sources.mbox import scan_mbox
 from termloom.streaming.emails import stream_emails_tsv
+from termloom.streaming.mbox import stream_mbox, streamed
+from termloom.streaming.oversize import stream_kept_sizes
 
 
 def g2(k11, row, col, n):
@@ -367,3 +372,114 @@ def test_jobs_drop_their_tables(spark):
         llr.llr_scores(random_counts(spark, 50), buckets=2).collect()
         assert len(spark.catalog.listTables()) == known + 1
     assert len(spark.catalog.listTables()) == known
+
+
+def test_length_rule_on_a_stream(spark, tmp_path):
+    rng = random.Random(2)
+    rows = [(f"g{i % 3}", i, None if i % 50 == 0 else rng.randrange(1, 20) * (40 if i % 37 == 0 else 1)) for i in range(900)]
+    schema = "g string, i long, n long"
+    source, out, state = (str(tmp_path / name) for name in ("in", "out", "state"))
+
+    def run():
+        arriving = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        kept = stream_kept_sizes(arriving, "g", "i", "n")
+        query = kept.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
+        query.trigger(availableNow=True).start().awaitTermination()
+
+    # two files, a stop, a file that brings some messages a second time
+    for lo, hi in [(0, 300), (300, 500)]:
+        spark.createDataFrame(rows[lo:hi][::-1], schema).coalesce(1).write.mode("append").parquet(source)
+    run()
+    spark.createDataFrame(rows[450:], schema).coalesce(1).write.mode("append").parquet(source)
+    run()
+    got = sorted((r.group, r.place) for r in spark.read.parquet(out).collect())
+    whole = spark.createDataFrame(rows, schema).withColumn("chunk", F.floor(F.col("i") / 100))
+    want = oversize.skip_oversized_running(whole, F.col("n"), ["g"], ["chunk"], ["i"])
+    assert got == sorted((r.g, r.i) for r in want.collect())
+    assert len(got) < len(rows)
+
+
+def test_mbox_stream_survives_a_failure(spark, tmp_path):
+    folder, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    folder.mkdir()
+
+    def archive(name, n):
+        body = "From a\nSubject: {0} {1}\n\nbody\nFrom here on\n\n"
+        (folder / name).write_text("".join(body.format(name, i) for i in range(n)))
+
+    for k in range(5):
+        archive(f"a{k}", k + 1)
+    done = []
+
+    def fails_once(messages):
+        done.append(1)
+        if len(done) == 3:
+            raise RuntimeError("stopped in the middle")
+        return messages.select("path", "seq", "message")
+
+    def run():
+        stream_mbox(
+            spark, str(folder), out, state, strict=True, files_per_batch=2, transform=fails_once, availableNow=True
+        ).awaitTermination()
+
+    with pytest.raises(Exception, match="stopped in the middle"):
+        run()
+    archive("late", 4)
+    run()
+    run()
+    got = Counter(r.message for r in streamed(spark, out).collect())
+    want = Counter(r.message for r in scan_mbox(spark, str(folder), strict=True).collect())
+    assert got == want and sum(want.values()) == 19
+
+
+def test_slices_of_counts(spark, tmp_path):
+    store = str(tmp_path / "store")
+    assert increments.merged_counts(spark, store).count() == 0 and increments.slices(spark, store) == []
+
+    def terms(*pairs):
+        return spark.createDataFrame(list(pairs), "email string, term string")
+
+    increments.add_slice(spark, store, "a", terms(("u", "x"), ("u", "x"), ("v", "y")))
+    increments.add_slice(spark, store, "b", terms(("u", "x")))
+    increments.add_slice(spark, store, "b", terms(("u", "x"), ("w", None)))
+    increments.add_slice(spark, store, "none", terms(("u", "x")).filter("false"))
+    got = {tuple(r) for r in increments.merged_counts(spark, store).collect()}
+    assert got == {("u", "x", 3), ("v", "y", 1), ("w", None, 1)}
+    assert increments.slices(spark, store) == ["a", "b", "none"]
+    assert {tuple(r) for r in increments.merged_counts(spark, store, ["b"]).collect()} == {("u", "x", 1), ("w", None, 1)}
+
+
+def test_sketches_merge_and_forget_replays(spark):
+    rows = [(f"t{t}", f"u{u}", u % 4) for t, n in enumerate((1, 2, 50, 3_000, 20_000)) for u in range(n)]
+    df = spark.createDataFrame(rows, "term string, email string, part int")
+    by_part = sketches.user_sketches(df, ["part"])
+    merged = sketches.merge_sketches(by_part.union(by_part.filter("part < 2")))
+    got = {r.term: r.doc_count for r in sketches.estimated_users(merged).collect()}
+    assert (got["t0"], got["t1"], got["t2"]) == (1, 2, 50)
+    for term, n in (("t3", 3_000), ("t4", 20_000)):
+        assert abs(got[term] / n - 1) < 6 * sketches.relative_error()
+
+
+class Counted:
+    """Numbers the words that one task has seen."""
+
+    def __init__(self, upper=False):
+        self.seen, self.upper = 0, upper
+
+    @staticmethod
+    def columns(upper=False):
+        return StructType().add("word", "string").add("nth", "long")
+
+    def parse(self, text):
+        for w in text.split():
+            self.seen += 1
+            yield (w.upper() if self.upper else w), self.seen
+
+
+def test_parsers_as_table_functions(spark):
+    register_parsers(spark, "parsed_words", {"counted": Counted})
+    spark.createDataFrame([(1, "a b"), (2, None), (3, "c")], "i int, t string").coalesce(1).createOrReplaceTempView("texts")
+    got = spark.sql("select i, w.* from texts, lateral parsed_words(t, 'counted', '{\"upper\": true}') w").collect()
+    assert sorted(map(tuple, got)) == [(1, "A", 1), (1, "B", 2), (3, "C", 3)]
+    with pytest.raises(Exception, match="one of counted"):
+        spark.sql("select * from texts, lateral parsed_words(t, 'other')").collect()
