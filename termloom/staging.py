@@ -63,8 +63,13 @@ def job_folder(spark: SparkSession, name: str) -> Iterator[str]:
             spark.sql(f"drop table if exists {table}")
         _tables.reset(listed)
         _job.reset(token)
-        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+        discard(spark, path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a staged table that nothing reads any more: what was made of it is written, too."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
 @contextmanager
@@ -82,10 +87,13 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_REMOVE_SHUFFLES, before)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and return a scan of the written table."""
+def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` once and return a scan of the written table.
+
+    ``path`` is one of :func:`new_path`, for callers that will :func:`discard` it.
+    """
     spark = df.sparkSession
-    path = new_path(spark, name)
+    path = path or new_path(spark, name)
     with shuffles_removed(spark):
         df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
