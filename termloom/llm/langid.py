@@ -68,21 +68,22 @@ class Grams:
         self.table = table
 
     def _letters(self, text: str) -> np.ndarray:
-        """Code points of letters, one zero for each run of others and at both ends."""
+        """Code points of letters, zeros for all others."""
         cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
         out = self.table[np.minimum(cp, 0xFFFF)]
         for i in np.flatnonzero(cp > 0xFFFF):
             out[i] = cp[i] if unicodedata.category(chr(cp[i]))[0] == "L" else 0
-        out = np.concatenate([np.zeros(1, np.uint32), out, np.zeros(1, np.uint32)])
-        keep = np.ones(len(out), bool)
-        keep[1:] = (out[1:] != 0) | (out[:-1] != 0)
-        return out[keep]
+        return out
 
     def of(self, text: str | None) -> Iterator[np.ndarray]:
         """Feature numbers of all grams with a letter, in parts."""
         text = text or ""
+        # one zero stands for each run of others, and at both ends
+        tail, known = np.zeros(1, np.uint32), 0
         for at in range(0, max(1, len(text)), CHUNK):
-            c = self._letters(text[at : at + CHUNK])
+            ends = [np.zeros(1, np.uint32)] if at + CHUNK >= len(text) else []
+            c = np.concatenate([tail, self._letters(text[at : at + CHUNK]), *ends])
+            c = c[np.concatenate([[True], (c[1:] != 0) | (c[:-1] != 0)])]
             parts = []
             for n in ORDERS:
                 if len(c) < n:
@@ -94,9 +95,13 @@ class Grams:
                     h = (h ^ x) * np.uint32(0x9E3779B1)
                     h ^= h >> np.uint32(15)
                     any_letter |= x != 0
+                # those that the slice before has had
+                any_letter[: max(0, known - n + 1)] = False
                 parts.append((h * np.uint32(0x85EBCA6B) >> np.uint32(32 - BITS))[any_letter])
             if parts:
                 yield np.concatenate(parts)
+            tail = c[-(max(ORDERS) - 1) :]
+            known = len(tail)
 
 
 def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,13 +199,14 @@ def fit(
 ) -> Model | None:
     """A model of the languages in ``lang_col``; None if no row may be learned from.
 
-    Learns from rows that are not held out and have a text and a language.
+    Learns from rows that are not held out and have a text and a language, equal rows once. Ids that
+    repeat or are missing are told apart by their texts.
     """
     small_batches(docs.sparkSession)
     rows = docs.filter(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(text_col).alias("text"),
         F.col(lang_col).alias("lang"),
-        F.xxhash64(F.col(id_col), F.octet_length(text_col)).alias("place"),
+        F.xxhash64(F.col(id_col), F.col(text_col)).alias("place"),
     )
     counts = rows.select("text").mapInArrow(_document_frequencies, "feature long, df long")
     table = counts.groupBy("feature").agg(F.sum("df").alias("df")).collect()  # FEATURES + 1 rows at most
@@ -217,10 +223,13 @@ def fit(
     by_place = Window.partitionBy("lang").orderBy("place")
     chosen = (
         first.select("lang", "place")
+        .distinct()
         .withColumn("nth", F.row_number().over(by_place).cast("long"))
         .filter(F.col("nth") <= sample_per_language)
     )
-    sample = rows.join(F.broadcast(chosen), ["lang", "place"]).select("lang", "text", "nth").mapInArrow(
+    # equal rows have one place, and are learned from once
+    texts = rows.join(F.broadcast(chosen), ["lang", "place"]).groupBy("lang", "nth").agg(F.first("text").alias("text"))
+    sample = texts.select("lang", "text", "nth").mapInArrow(
         _profiles, "lang string, nth long, features binary, tf binary"
     )
     sample = sorted(sample.collect(), key=lambda r: (r.lang, r.nth, r.features))
@@ -288,11 +297,21 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     return out.withColumnRenamed("id", id_col)
 
 
+#: with four languages, a probability of 0.35
+MARGIN = 2 / 15
+
+
 def drop_unidentified(
-    docs: DataFrame, model: Model | None, text_col: str = "text", least_score: float = 0.35
+    docs: DataFrame, model: Model | None, text_col: str = "text", margin: float = MARGIN
 ) -> DataFrame:
-    """The rows of ``docs`` whose language is known with at least that probability, all columns."""
+    """The rows of ``docs`` whose language is known well enough, all columns.
+
+    A guess among n languages has a probability of 1/n; what is asked for lies above it by
+    ``margin`` of what is left to certainty. Without a model, or a letter, no row stays.
+    """
     small_batches(docs.sparkSession)
+    guess = 1 / len(model.languages) if model else 1.0
+    least_score = guess + margin * (1 - guess)
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

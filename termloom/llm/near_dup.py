@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..operators.llr import attach_totals
 from ..staging import stage
 from .batches import small_batches
 from .graph import components
@@ -64,35 +65,43 @@ def _signatures(sets: list[np.ndarray], coords: int) -> np.ndarray:
     return out
 
 
+def _set_key(shingles: bytes) -> bytes:
+    return hashlib.blake2b(shingles, digest_size=16).digest()
+
+
 def _prints(n: int, coords: int):
-    schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("sig", pa.binary())])
+    kinds = [("id", pa.int64()), ("h", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("sig", pa.binary())]
+    schema = pa.schema(kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
 
-        def out(ids, sets):
+        def out(ids, hs, sets):
             full = [s for s in sets if len(s)]
             sig = iter([x.tobytes() for x in _signatures(full, coords)] if full else [])
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ids, pa.int64()),
+                    ids,
+                    hs,
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]),
+                    pa.array([_set_key(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                     pa.array([next(sig) if len(s) else None for s in sets], pa.binary()),
                 ],
                 schema=schema,
             )
 
         for batch in batches:
-            ids, held, size = batch.column(0).to_pylist(), [], 0
+            ids, hs, held, size = batch.column(0), batch.column(2), [], 0
             for i, words in hasher.of_texts(batch.column(1).to_pylist()):
                 held.append(shingles(words, n))
                 size += len(held[-1])
                 if size > 200_000:
-                    yield out(ids[i + 1 - len(held) : i + 1], held)
+                    own = i + 1 - len(held), len(held)
+                    yield out(ids.slice(*own), hs.slice(*own), held)
                     held, size = [], 0
             if held:
-                yield out(ids[len(ids) - len(held) :], held)
+                own = len(ids) - len(held), len(held)
+                yield out(ids.slice(*own), hs.slice(*own), held)
 
     return run
 
@@ -172,7 +181,9 @@ def _sets(n: int, bitmap: bytes):
             batch = batch.filter(pa.array(bits[np.asarray(batch.column(2))] == 1))
             for part in (batch.slice(at, 1000) for at in range(0, batch.num_rows, 1000)):
                 sets = [shingles(w, n).tobytes() for _, w in hasher.of_texts(part.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["id", "shingles"])
+                sets = [s for s in sets if s]
+                keys = [_set_key(s) for s in sets]
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], ["set_key", "shingles"])
 
     return run
 
@@ -231,9 +242,9 @@ def _grouped(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def _member_bits(members: DataFrame) -> bytes:
-    """Bitmap of a fixed size over the hashes of the ids."""
+    """Bitmap of a fixed size over the hashes of the members' ids."""
     rows = (
-        members.select(F.pmod(F.xxhash64("id"), F.lit(MEMBER_BITS)).alias("p"))
+        members.select(F.pmod(F.xxhash64("rep"), F.lit(MEMBER_BITS)).alias("p"))
         .groupBy(F.expr("bitmap_bucket_number(p + 1)").alias("k"))
         .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(p + 1))").alias("bits"))
         .collect()  # MEMBER_BITS / 32768 rows at most
@@ -244,40 +255,37 @@ def _member_bits(members: DataFrame) -> bytes:
     return bytes(out)
 
 
-def near_duplicates(
+def _judged(
     docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    shingle_words: int = 5,
-    similarity: Fraction = Fraction(4, 5),
-    coords: int = COORDS,
-    miss: float = MISS,
-    block_rows: int = BLOCK_ROWS,
-    block_shingles: int = BLOCK_SHINGLES,
+    id_col: str,
+    text_col: str,
+    shingle_words: int,
+    similarity: Fraction,
+    coords: int,
+    miss: float,
+    block_rows: int,
+    block_shingles: int,
 ) -> DataFrame:
-    """(id_col, n_shingles, component_id, kept) for every row of ``docs``.
+    """(id, h, n_shingles, set_key, component_id, root) of every row; root: its class is the first of its component.
 
-    Two documents are linked if their shingle sets have at least that Jaccard similarity.
-    ``miss`` bounds the probability that the signatures of a linked pair agree too little
-    for the pair to be looked at.
-
-    Null and empty texts and texts without words have an empty set, are linked with
-    nothing and kept. A text of fewer words is one shingle. Repeated ids: each row is
-    judged by its own text, rows of one id and text are one document. A null id is
-    grouped by its text and smaller than none: its component is null if all ids are.
-    An empty table gives an empty table; other columns are not read.
+    Classes are numbered in the order of their smallest ids, those without one last, so that ids which
+    repeat or are missing keep nothing apart and bring nothing together.
     """
     small_batches(docs.sparkSession)
     match_at = match_threshold(coords, similarity, miss)
-    ids = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    ids = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h")
+    )
     prints = stage(
-        ids.mapInArrow(_prints(shingle_words, coords), "id long, n_shingles long, set_key binary, sig binary"), "prints"
+        ids.mapInArrow(_prints(shingle_words, coords), "id long, h long, n_shingles long, set_key binary, sig binary"),
+        "prints",
     )
     full = prints.filter("n_shingles > 0")
-    classes = stage(full.groupBy("set_key").agg(F.min("id").alias("rep")).filter("rep is not null"), "classes")
-    sigs = stage(
-        full.join(classes, "set_key").filter("id = rep").select("id", "n_shingles", "sig").distinct(), "signatures"
-    )
+    # the numbers are those that are written
+    in_order = full.groupBy("set_key").agg(F.min("id").alias("rep")).orderBy(F.asc_nulls_last("rep"), "set_key")
+    classes = stage(in_order.withColumn("node", F.monotonically_increasing_id()), "classes")
+    own = full.join(classes, "set_key").filter(F.col("id").eqNullSafe(F.col("rep")))
+    sigs = stage(own.select(F.col("node").alias("id"), "n_shingles", "sig").distinct(), "signatures")
 
     posts = sigs.select("id", "sig").mapInArrow(_posts(coords), "id long, key long")
     shared = posts.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
@@ -296,41 +304,93 @@ def near_duplicates(
 
     members = families.join(sigs.select("id", "n_shingles").distinct(), "id")
     weights = members.groupBy("family").agg(F.sum("n_shingles").alias("weight"))
-    members = stage(
-        _block_pairs(members.join(weights, "family"), F.ceil(F.col("weight") / block_shingles)).select(
-            "id", "family", "i", "j"
-        ),
-        "families",
-    )
-    texts = ids.withColumn("p", F.pmod(F.xxhash64("id"), F.lit(MEMBER_BITS))).filter("id is not null")
-    sets = texts.mapInArrow(_sets(shingle_words, _member_bits(members)), "id long, shingles binary").distinct()
-    links = _grouped(members.join(sets, "id"), "family", "i", "j").mapInArrow(
+    blocks = _block_pairs(members.join(weights, "family"), F.ceil(F.col("weight") / block_shingles))
+    named = classes.select(F.col("node").alias("id"), "set_key", "rep")
+    members = stage(blocks.select("id", "family", "i", "j").join(named, "id"), "families")
+    texts = ids.select("id", "text", F.pmod(F.xxhash64("id"), F.lit(MEMBER_BITS)).alias("p"))
+    sets = texts.mapInArrow(_sets(shingle_words, _member_bits(members)), "set_key binary, shingles binary")
+    links = _grouped(members.join(sets.dropDuplicates(["set_key"]), "set_key"), "family", "i", "j").mapInArrow(
         _confirm(similarity.numerator, similarity.denominator), "a long, b long"
     )
-    linked = components(links).select(F.col("node").alias("rep"), F.col("component"))
-    found = classes.join(linked, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id"))
-    out = prints.select("id", "n_shingles", "set_key").join(found, "set_key", "left")
-    component = F.coalesce("component_id", "id")
-    return out.select(
+    linked = components(links)
+    # a component's name is the smallest id of its first class
+    sizes = linked.groupBy("component").agg(F.count("*").alias("n_rows"))
+    first = classes.select(F.col("node").alias("component"), F.struct("rep").alias("first"))
+    named = attach_totals(linked, stage(sizes.join(first, "component"), "component-names"), ["component"], "first", "node")
+    found = classes.join(named, "node", "left").select(
+        "set_key",
+        F.when(F.col("first").isNotNull(), F.col("first.rep")).otherwise(F.col("rep")).alias("component_id"),
+        F.coalesce(F.col("node") == F.col("component"), F.lit(True)).alias("root"),
+    )
+    rows = prints.select("id", "h", "n_shingles", "set_key").join(found, "set_key", "left")
+    alone = F.col("set_key").isNull()
+    return rows.select(
+        "id",
+        "h",
+        "n_shingles",
+        "set_key",
+        F.when(alone, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
+        (alone | F.col("root")).alias("root"),
+    )
+
+
+def near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle_words: int = 5,
+    similarity: Fraction = Fraction(4, 5),
+    coords: int = COORDS,
+    miss: float = MISS,
+    block_rows: int = BLOCK_ROWS,
+    block_shingles: int = BLOCK_SHINGLES,
+) -> DataFrame:
+    """(id_col, n_shingles, component_id, kept) for every row of ``docs``.
+
+    Two documents are linked if their shingle sets have at least that Jaccard similarity.
+    ``miss`` bounds the probability that the signatures of a linked pair agree too little
+    for the pair to be looked at.
+
+    Null and empty texts and texts without words have an empty set, are linked with
+    nothing and kept. A text of fewer words is one shingle. Repeated ids: each row is
+    judged by its own text, rows of one id and text are one document. A row without an id is
+    compared like any other; its id is smaller than none, so a component is only
+    null if all its ids are. An empty table gives an empty table; other columns are not read.
+    """
+    rows = _judged(docs, id_col, text_col, shingle_words, similarity, coords, miss, block_rows, block_shingles)
+    return rows.select(
         F.col("id").alias(id_col),
         "n_shingles",
-        component.alias("component_id"),
-        F.col("id").eqNullSafe(component).alias("kept"),
+        "component_id",
+        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def drop_near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle_words: int = 5,
+    similarity: Fraction = Fraction(4, 5),
+    coords: int = COORDS,
+    miss: float = MISS,
+    block_rows: int = BLOCK_ROWS,
+    block_shingles: int = BLOCK_SHINGLES,
+) -> DataFrame:
     """The rows of ``docs`` with one document of each group of near-duplicates, all columns.
 
-    Rows that repeat a kept id and its text count as copies: one of them stays. Edge cases as above.
+    Of a group stays one row with its smallest id and a text of the class that this id
+    stands for; of equal sets under one id the text with the smaller hash, and of equal rows one. So no
+    text is lost of which nothing similar stays. Other edge cases as above.
     """
-    kept = (
-        near_duplicates(docs, id_col, text_col, **options)
-        .filter("kept")
-        .groupBy(F.col(id_col).alias("_kept_id"))
-        .agg(F.count("*").alias("_kept_rows"))
-    )
-    rows = docs.join(kept, docs[id_col].eqNullSafe(F.col("_kept_id")))
-    once = rows.filter("_kept_rows = 1").drop("_kept_id", "_kept_rows")
-    again = rows.filter("_kept_rows > 1").drop("_kept_id", "_kept_rows")
+    rows = _judged(docs, id_col, text_col, shingle_words, similarity, coords, miss, block_rows, block_shingles)
+    stays = rows.filter(F.col("root") & F.col("id").eqNullSafe(F.col("component_id")))
+    # texts without words are no copies of each other
+    alike = stays.groupBy("id", "h", F.coalesce(F.hex("set_key"), F.col("h").cast("string")).alias("alike"))
+    kept = alike.agg(F.count("*").alias("n")).groupBy("id", "alike").agg(F.min(F.struct("h", "n")).alias("one"))
+    kept = kept.select(F.col("id").alias("_kept_id"), F.col("one.h").alias("_kept_h"), F.col("one.n").alias("_kept_rows"))
+    own = F.xxhash64(docs[text_col])
+    rows = docs.join(kept, docs[id_col].cast("long").eqNullSafe(F.col("_kept_id")) & (own == F.col("_kept_h")))
+    once = rows.filter("_kept_rows = 1").drop(*kept.columns)
+    again = rows.filter("_kept_rows > 1").drop(*kept.columns)
     return once.unionByName(again.dropDuplicates([id_col, text_col]))

@@ -1,5 +1,6 @@
 """Language identification, page texts and exact top-k."""
 
+import math
 import zlib
 
 import numpy as np
@@ -47,6 +48,98 @@ def test_languages_of_odd_rows(odd, none):
     assert langid.predict(none, None).collect() == [] and langid.drop_unidentified(none, None).collect() == []
 
 
+def test_fit_is_bounded_whatever_the_ids(spark):
+    texts = [(None, "xx", f"some words {i:03d}") for i in range(300)] + [(None, "yy", "other text")] * 300
+    df = spark.createDataFrame(texts, "doc_id long, lang string, text string").repartition(4)
+    seen = []
+    fit_weights = langid._fit_weights
+    try:
+        langid._fit_weights = lambda train, n, how: seen.append(len(train)) or fit_weights(train, n, how)
+        model = langid.fit(df, sample_per_language=40)
+    finally:
+        langid._fit_weights = fit_weights
+    assert model.languages == ["xx", "yy"]
+    # one part of the rows is for calibration
+    assert seen[0] <= 41
+
+
+def test_threshold_follows_the_number_of_languages(spark):
+    df = spark.createDataFrame([(1, "abc abc"), (2, "q")], "doc_id long, text string")
+    weights = np.zeros((langid.FEATURES, 2))
+    unsure = langid.Model(["xx", "yy"], weights, np.array([0.1, 0.0]), 1.0)
+    sure = langid.Model(["xx", "yy"], weights, np.array([1.0, 0.0]), 1.0)
+    assert langid.drop_unidentified(df, unsure).count() == 0
+    assert langid.drop_unidentified(df, sure).count() == 2
+
+
+def test_slices_have_the_grams_of_whole_texts(monkeypatch):
+    grams = langid.Grams()
+    for text in ("Ab 1c, é中\U00020000 xy " * 9, "a", "", "no end", "  two  gaps ", "x1"):
+        whole = sorted(np.concatenate([np.zeros(0, np.uint32), *grams.of(text)]).tolist())
+        for size in (1, 2, 3, 7):
+            monkeypatch.setattr(langid, "CHUNK", size)
+            assert sorted(np.concatenate([np.zeros(0, np.uint32), *grams.of(text)]).tolist()) == whole
+        monkeypatch.undo()
+
+
+def test_steps_of_the_leader_against_a_plain_version():
+    """Every coordinate by itself, from the published update; in the order that the fit takes."""
+    rng = np.random.default_rng(4)
+    how = langid.Ftrl(passes=2)
+    rows = [(rng.choice(50, 6, replace=False), rng.uniform(0.1, 3, 6), int(rng.integers(0, 3))) for _ in range(25)]
+    z, n = {}, {}
+
+    def weight(i, k):
+        lead = z.get((i, k), 0.0)
+        if abs(lead) <= how.l1:
+            return 0.0
+        return -(lead - math.copysign(how.l1, lead)) / ((how.beta + math.sqrt(n[i, k])) / how.alpha + how.l2)
+
+    order = np.random.default_rng(11)
+    for _ in range(how.passes):
+        for r in order.permutation(len(rows)):
+            at, x, y = rows[r]
+            pairs = [*zip(at.tolist(), x.tolist()), (langid.FEATURES, 1.0)]
+            score = [sum(v * weight(i, k) for i, v in pairs) for k in range(3)]
+            total = sum(math.exp(s) for s in score)
+            step = {(i, k): v * (math.exp(score[k]) / total - (k == y)) for i, v in pairs for k in range(3)}
+            for (i, k), g in step.items():
+                w, old = weight(i, k), n.get((i, k), 0.0)
+                n[i, k] = old + g * g
+                z[i, k] = z.get((i, k), 0.0) + g - (math.sqrt(n[i, k]) - math.sqrt(old)) / how.alpha * w
+    weights, bias = langid._fit_weights(rows, 3, how)
+    for i in range(50):
+        np.testing.assert_allclose(weights[i], [weight(i, k) for k in range(3)], atol=1e-12)
+    np.testing.assert_allclose(bias, [weight(langid.FEATURES, k) for k in range(3)], atol=1e-12)
+    assert np.count_nonzero(weights) == sum(weight(i, k) != 0 for i in range(50) for k in range(3))
+
+
+def test_idf_and_temperature_against_plain_versions(spark):
+    rows = [(i, "xx" if i % 2 else "yy", t) for i, t in enumerate(["ab ab", "ab cd", "cd", "ef ab", "ab", "zz cd ef", "ab ef"] * 3)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    learned = [(lang, t) for i, lang, t in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    grams = langid.Grams()
+    found = df.filter(~langid.held_out(F.col("doc_id"))).select("text").mapInArrow(langid._document_frequencies, "feature long, df long")
+    got = {r.feature: r.df for r in found.groupBy("feature").agg(F.sum("df").alias("df")).collect()}
+    want = {}
+    for _, t in learned:
+        for f in {int(f) for part in grams.of(t) for f in part}:
+            want[f] = want.get(f, 0) + 1
+    assert got.pop(langid.FEATURES) == len(learned) and got == want
+    # the temperature has the least loss of all on a fine grid
+    rng = np.random.default_rng(1)
+    scores, right = rng.normal(0, 3, (200, 3)), rng.integers(0, 3, 200)
+    scores[np.arange(200), right] += 2.0
+
+    def loss(t):
+        x = scores / t
+        x = x - x.max(1, keepdims=True)
+        return -(x[np.arange(200), right] - np.log(np.exp(x).sum(1))).mean()
+
+    t = langid._fit_temperature(scores, right)
+    assert loss(t) <= min(loss(x) for x in np.geomspace(0.05, 20, 400)) + 1e-4
+
+
 def test_long_texts_have_the_same_grams():
     grams = langid.Grams()
     whole = np.concatenate(list(grams.of("Ab 1c, é中\U00020000 " * 10)))

@@ -81,6 +81,25 @@ def test_one_of_each_group_stays(odd, none):
     assert drop_near_duplicates(none).columns == odd.columns
 
 
+A, B = ("alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau " * 3, " ".join(f"w{i}" for i in range(99)))
+
+
+def test_repeated_and_missing_ids_lose_no_text(spark):
+    c, d = " ".join(f"c{i}" for i in range(99)), " ".join(f"d{i}" for i in range(99))
+    rows = [(7, A), (8, A + "tail"), (8, B), (9, B + " more"), (None, c), (None, c + " end"), (None, d), (3, d + " and"), (3, "x y"), (3, "X  y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in near_duplicates(df).collect()), key=str)
+    want = [(7, 7, True), (8, 7, False), (8, 8, True), (9, 8, False)]
+    want += [(None, None, True)] * 2 + [(None, 3, False), (3, 3, True), (3, 3, True), (3, 3, True)]
+    assert got == sorted(want, key=str)
+    kept = [(r.doc_id, r.text) for r in drop_near_duplicates(df).collect()]
+    assert sorted(k for k in kept if k[0] in (7, 8, 9)) == [(7, A), (8, B)]
+    # the rows without an id: one of the near copies stays, the copy of a row with an id goes
+    assert [t for i, t in kept if i is None and t.startswith("d")] == [] and (3, d + " and") in kept
+    assert len([t for i, t in kept if i is None]) == 1
+    assert len([t for i, t in kept if i == 3]) == 2
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (5, 5), (None, 3)]
     got = components(spark.createDataFrame(chain, "a long, b long")).collect()
