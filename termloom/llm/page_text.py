@@ -35,6 +35,8 @@ NEVER = set(
     "script style noscript template head title nav footer aside form button select textarea iframe object svg math"
     " canvas audio video menu dialog".split()
 )
+#: of those, what may stand within a line of text, which goes on behind it
+MUTED = set("script style noscript template button select textarea iframe object svg math canvas audio video".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 CONTAINERS = set("article main section div body td th blockquote center".split())
 BOILERPLATE_ROLES = set(
@@ -49,6 +51,10 @@ BOILERPLATE_NAMES = COMMENT_NAMES | set(
     " sharing social related recommended recommendations pagination pager search toolbar copyright legal"
     " disclaimer skip".split()
 )
+#: words that make a name one of a state, not of a part
+STATES = set("has is no not with without open opened closed enabled disabled allowed".split())
+#: an element that holds more than this share of a page's text is not dropped for its name
+MOST_BY_NAME, MOST_COMMENTS = 2 / 3, 9 / 10
 # an element that a start of one of the others ends
 CLOSED_BY = {
     "p": CONTAINERS | set("p ul ol dl table h1 h2 h3 h4 h5 h6 pre hr form nav aside header footer figure".split()),
@@ -75,6 +81,9 @@ class _Element:
     region: int
     dropped: str = ""  # why what is inside is no content
     article: bool = False
+    named: tuple[int, ...] = ()  # the elements around that names say to be no content
+    why: str = ""  # the outermost reason of both kinds
+    muted: bool = False  # stands within a line
 
 
 @dataclass
@@ -82,6 +91,7 @@ class _Line:
     region: int
     dropped: bool
     article: bool
+    named: tuple[int, ...] = ()
     parts: list[str] = field(default_factory=list)
     tags: int = 0
     linked: int = 0
@@ -99,12 +109,13 @@ class _Lines(HTMLParser):
         self.stack = [_Element("", 0)]
         self.regions = 0
         self.lines: list[_Line] = []
-        self.links = 0
+        self.links = self.muted = 0
+        self.named: list[str] = []  # why each of the named elements is none
         self._new_line()
 
     def _new_line(self) -> None:
         top = self.stack[-1]
-        self.line = _Line(top.region, bool(top.dropped), top.article)
+        self.line = _Line(top.region, bool(top.dropped), top.article, top.named)
         self.lines.append(self.line)
 
     def _id_names(self, tag: str, values: dict[str, str | None]) -> set[str]:
@@ -135,11 +146,11 @@ class _Lines(HTMLParser):
             return "role"
         if tag in ("html", "body", "main"):
             return ""
-        names = _names(values.get("class")) | self._id_names(tag, values)
+        tokens = [_names(c) for c in (values.get("class") or "").split()]
+        names = set().union(*(n for n in tokens if not n & STATES)) | self._id_names(tag, values)
         if inside.article and tag != "article":
             # a name of several words, as of a topic, decides only if all of them say no content
-            whole = [_names(c) for c in (values.get("class") or "").split()]
-            names = set().union(*(n for n in whole if n <= BOILERPLATE_NAMES)) | self._id_names(tag, values)
+            names = set().union(*(n for n in tokens if n <= BOILERPLATE_NAMES)) | self._id_names(tag, values)
         if names & COMMENT_NAMES:
             return "comment"
         if tag == "article":
@@ -148,7 +159,15 @@ class _Lines(HTMLParser):
             return "name"
         return ""
 
+    def _pop(self) -> _Element:
+        self.muted -= self.stack[-1].muted
+        return self.stack.pop()
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        starts = tag in ("article", "main")
+        if not starts and tag not in VOID and (self.muted or tag in MUTED and not self.stack[-1].dropped):
+            self._open(tag, attrs, muted=True)
+            return
         if tag in INLINE:
             self.line.tags += 1
             if tag == "br":
@@ -156,28 +175,39 @@ class _Lines(HTMLParser):
             elif tag == "a":
                 self.links += 1
             elif tag not in VOID and self._why_dropped(tag, attrs, self.stack[-1]) and not self.stack[-1].dropped:
-                self._open(tag, attrs)  # a dropped part within a line is a part of its own
+                self._open(tag, attrs, muted=True)
             return
         while self.stack[-1].tag in CLOSED_BY and tag in CLOSED_BY[self.stack[-1].tag]:
-            self.stack.pop()
-        if tag in ("article", "main"):
+            self._pop()
+        if starts:
             # what was left open before the content does not swallow it; comments may hold articles
-            while self.stack[-1].dropped not in ("", "comment"):
-                self.stack.pop()
+            while self.stack[-1].why not in ("", "comment"):
+                self._pop()
         if tag in VOID:
             self._new_line()
             self.line.tags += 1
             return
         self._open(tag, attrs)
 
-    def _open(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+    def _open(self, tag: str, attrs: list[tuple[str, str | None]], muted: bool = False) -> None:
         inside = self.stack[-1]
-        region, dropped = inside.region, self._why_dropped(tag, attrs, inside)
+        if muted:
+            self.muted += 1
+            self.stack.append(_Element(tag, inside.region, "muted", inside.article, inside.named, inside.why or "muted", True))
+            return
+        region, named, dropped = inside.region, inside.named, inside.dropped
+        why = self._why_dropped(tag, attrs, inside)
+        if why in ("name", "comment"):
+            named = (*named, len(self.named))
+            self.named.append(why)
+        else:
+            dropped = why
         if tag in CONTAINERS and not inside.article:
             self.regions += 1
             region = self.regions
         self.links = 0
-        self.stack.append(_Element(tag, region, dropped, inside.article or tag in ("article", "main") and not dropped))
+        article = inside.article or tag in ("article", "main") and not dropped and not named
+        self.stack.append(_Element(tag, region, dropped, article, named, inside.why or why))
         self._new_line()
         self.line.tags += 1
 
@@ -188,13 +218,19 @@ class _Lines(HTMLParser):
         open_tags = [e.tag for e in self.stack]
         if tag in open_tags[1:]:
             # an end tag inside an article does not reach what is around it, except from its parents
-            while self.stack.pop().tag != tag:
-                pass
-            self._new_line()
+            closed = [self._pop()]
+            while closed[-1].tag != tag:
+                closed.append(self._pop())
+            if not all(e.muted for e in closed):
+                self._new_line()
+        elif self.muted:
+            return
         elif tag not in INLINE:
             self._new_line()
 
     def handle_data(self, data: str) -> None:
+        if self.muted:
+            return
         self.line.parts.append(data)
         if self.links:
             self.line.linked += len(data.strip())
@@ -206,6 +242,28 @@ def smoothed(ratios: np.ndarray, radius: int = RADIUS, sigma: float = SIGMA) ->
     return np.convolve(np.pad(ratios, radius, mode="edge"), kernel / kernel.sum(), mode="valid")
 
 
+def _not_dropped(parser: _Lines, texts: list[str], lines: list[_Line]) -> list[str]:
+    """Texts of lines that no element drops, names only if what they drop is not most of a page without an article."""
+    sizes = [0 if line.dropped else len(text) for line, text in zip(lines, texts, strict=True)]
+    held = [0] * len(parser.named)
+    for line, size in zip(lines, sizes, strict=True):
+        for k in line.named:
+            held[k] += size
+    most = {"name": MOST_BY_NAME * sum(sizes), "comment": MOST_COMMENTS * sum(sizes)}
+    articles = any(size for line, size in zip(lines, sizes, strict=True) if line.article and not line.named)
+    drops = [articles or size <= most[why] for size, why in zip(held, parser.named, strict=True)]
+    return [
+        "" if line.dropped or any(drops[k] for k in line.named) else text for line, text in zip(lines, texts, strict=True)
+    ]
+
+
+def _content(lines: list[_Line], texts: list[str]) -> np.ndarray:
+    """Which lines have smoothed ratios above the threshold."""
+    ratios = np.array([len(text) / max(1, line.tags) for line, text in zip(lines, texts, strict=True)])
+    smooth = smoothed(ratios)
+    return (smooth > smooth.std()) & (ratios > 0)
+
+
 def main_text(html: str | None) -> str:
     """The main text of a page: its blocks, white space as single spaces, joined by line ends.
 
@@ -217,21 +275,23 @@ def main_text(html: str | None) -> str:
     parser = _Lines()
     parser.feed(_OPEN_TAG_AT_END.sub("", html))
     parser.close()
-    kept = [(line, line.text) for line in parser.lines if line.tags or line.parts]
-    if not kept:
+    lines = [line for line in parser.lines if line.tags or line.parts]
+    if not lines:
         return ""
+    texts = _not_dropped(parser, [line.text for line in lines], lines)
     # lists of links are menus, unless they are in an article
     texts = [
-        "" if line.dropped or (not line.article and line.linked * 10 >= 9 * len(text.replace(" ", ""))) else text
-        for line, text in kept
+        "" if not line.article and line.linked * 10 >= 9 * len(text.replace(" ", "")) else text
+        for line, text in zip(lines, texts, strict=True)
     ]
-    if any(text and line.article for (line, _), text in zip(kept, texts, strict=True)):
-        texts = [text if line.article else "" for (line, _), text in zip(kept, texts, strict=True)]
-    ratios = np.array([len(text) / max(1, line.tags) for (line, _), text in zip(kept, texts, strict=True)])
-    smooth = smoothed(ratios)
-    content = (smooth > smooth.std()) & (ratios > 0)
-    regions = {line.region for (line, _), is_content in zip(kept, content, strict=True) if is_content}
-    return "\n".join(text for (line, _), text in zip(kept, texts, strict=True) if text and line.region in regions)
+    content = _content(lines, texts)
+    # articles count alone if they hold most of the content; else they may be teasers below it
+    sizes = np.array([len(t) for t in texts]) * content
+    if 2 * sizes[[line.article for line in lines]].sum() >= sizes.sum() > 0:
+        texts = [text if line.article else "" for line, text in zip(lines, texts, strict=True)]
+        content = _content(lines, texts)
+    regions = {line.region for line, is_content in zip(lines, content, strict=True) if is_content}
+    return "\n".join(text for line, text in zip(lines, texts, strict=True) if text and line.region in regions)
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from termloom.llm import langid
+from termloom.llm import langid, page_text
 from termloom.llm.page_text import extract_pages, main_text, smoothed
 from termloom.llm.top_products import top_products
 
@@ -188,6 +188,86 @@ def test_names_of_topics_are_content():
     assert main_text(page(f"<main><article>{ARTICLE}</article><section id=comments>{other}section></main>")) == TEXT
 
 
+STORY = "".join(f"<p>Paragraph {i} of a story that has some length, and words enough to be read.</p>" for i in range(6))
+STORY_TEXT = "\n".join(f"Paragraph {i} of a story that has some length, and words enough to be read." for i in range(6))
+
+
+def test_names_around_everything_drop_nothing():
+    for start in ("div class='post comments-open'", "div class='layout has-sidebar'", "div id='legal'", "div class='widget'"):
+        assert main_text(page(f"<{start}>{STORY}</div>")) == STORY_TEXT
+        assert main_text(page(f"<{start}>{STORY}</div><div class=ad>Buy this, it is very good!</div>")) == STORY_TEXT
+    # short articles with many comments keep none of them
+    comments = f"<div id=comments>{STORY.replace('story', 'comment')}</div>"
+    assert main_text(page(f"<div>{STORY}</div>{comments * 3}")) == STORY_TEXT
+
+
+def test_articles_count_alone_only_with_most_of_the_text():
+    cards = "".join(f"<article><h3>Teaser {i}</h3><p>Another story, in short.</p></article>" for i in range(3))
+    got = main_text(page(f"<div id=content>{STORY}</div><section>{cards}</section>"))
+    assert got.startswith(STORY_TEXT)
+    assert main_text(page(f"<div>{ARTICLE}</div><article>{STORY}</article>")) == STORY_TEXT
+
+
+def test_dropped_parts_within_a_line_do_not_end_it():
+    line = "<p>Use the <button>Go <b>on</b></button> key <span class=share>Share <i>it</i></span>or not<script>x='<p>'</script>, as you like.</p>"
+    want = "Use the key or not, as you like."
+    assert main_text(page(f"<article>{line}{STORY}</article>")) == f"{want}\n{STORY_TEXT}"
+    assert main_text(page(f"<div>{line}{STORY}</div>")) == f"{want}\n{STORY_TEXT}"
+
+
+def plain_selection(html):
+    """Ratios, kernel, threshold and regions number by number, over the lines of the parser."""
+    if not html:
+        return ""
+    parser = page_text._Lines()
+    parser.feed(page_text._OPEN_TAG_AT_END.sub("", html))
+    parser.close()
+    lines = [line for line in parser.lines if line.tags or line.parts]
+    total = sum(len(line.text) for line in lines if not line.dropped)
+    texts = []
+    articles = any(line.article and not line.dropped and not line.named and line.text for line in lines)
+    for line in lines:
+        gone = line.dropped or articles and bool(line.named)
+        for k in line.named:
+            held = sum(len(x.text) for x in lines if not x.dropped and k in x.named)
+            share = {"name": 2 / 3, "comment": 9 / 10}[parser.named[k]]
+            gone = gone or held <= share * total
+        signs = len(line.text.replace(" ", ""))
+        menu = not line.article and (0 if gone else line.linked) * 10 >= 9 * (0 if gone else signs)
+        texts.append("" if gone or menu else line.text)
+    weights = [math.exp(-d * d / 2) for d in (-2, -1, 0, 1, 2)]
+
+    def chosen():
+        ratios = [len(t) / max(1, line.tags) for line, t in zip(lines, texts)]
+        smooth = []
+        for i in range(len(ratios)):
+            near = [ratios[min(max(i + d, 0), len(ratios) - 1)] for d in (-2, -1, 0, 1, 2)]
+            smooth.append(sum(w * r for w, r in zip(weights, near)) / sum(weights))
+        mean = sum(smooth) / len(smooth)
+        threshold = math.sqrt(sum((x - mean) ** 2 for x in smooth) / len(smooth))
+        return [x > threshold and r > 0 for x, r in zip(smooth, ratios)]
+
+    if not lines:
+        return ""
+    picked = chosen()
+    size = sum(len(t) for t, c in zip(texts, picked) if c)
+    if size and 2 * sum(len(t) for t, c, line in zip(texts, picked, lines) if c and line.article) >= size:
+        texts = [t if line.article else "" for t, line in zip(texts, lines)]
+        picked = chosen()
+    regions = {line.region for line, c in zip(lines, picked) if c}
+    return "\n".join(t for t, line in zip(texts, lines) if t and line.region in regions)
+
+
+def test_every_page_as_by_the_plain_version(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {r.page_id: r.text for r in extract_pages(pages).collect()}
+    assert got == {r.page_id: plain_selection(r.html) for r in pages.collect()}
+    clashing = pages.withColumns({"n_chars": F.lit("odd"), "region": F.lit("odd"), "text": F.lit("odd"), "id": F.lit("odd")})
+    assert {r.page_id: r.text for r in extract_pages(clashing).collect()} == got
+    long = "<div>" + STORY * 2_000 + "</div>"
+    assert len(main_text(long)) > 400_000
+
+
 def test_pages_table(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     rows = {r.page_id: r for r in extract_pages(pages).collect()}
