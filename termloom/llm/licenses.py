@@ -118,15 +118,27 @@ def _template_column(templates: list[tuple[str, dict[str, int]]]) -> Column:
     )
 
 
-def _template_grams(spark: SparkSession, templates: dict[str, list[str]]) -> list[tuple[str, dict[str, int]]]:
+class Grams(dict):
+    """Bigrams of a template and their hashes; the first and the last few as they follow each other."""
+
+    def __init__(self, grams: list[str], hashes: list[int], lead: list[str], tail: list[str]) -> None:
+        super().__init__(zip(grams, hashes, strict=True))
+        self.lead, self.tail = lead, tail
+
+
+EDGE = 3  # bigrams
+
+
+def _template_grams(spark: SparkSession, templates: dict[str, list[str]]) -> list[tuple[str, Grams]]:
     """(name, bigrams and their hashes) of every template."""
     flat = [(name, text) for name, texts in templates.items() for text in texts]
     if not flat:
         return []
     rows = spark.createDataFrame(flat, "name string, text string")
-    rows = rows.select("name", bigrams(F.split(normal(F.col("text")), " ")).alias("grams"))
-    rows = rows.select("name", "grams", F.transform("grams", lambda g: F.hash(g)).alias("hashes"))
-    return [(r.name, dict(zip(r.grams, r.hashes, strict=True))) for r in rows.collect()]
+    words = F.split(normal(F.col("text")), " ")
+    rows = rows.select("name", bigrams(words).alias("grams"), _pairs(words).alias("pairs"))
+    rows = rows.select("name", "grams", F.transform("grams", lambda g: F.hash(g)).alias("hashes"), "pairs")
+    return [(r.name, Grams(r.grams, r.hashes, r.pairs[:EDGE], r.pairs[-EDGE:])) for r in rows.collect()]
 
 
 def _one_of(gram: Column, grams: dict[str, int]) -> Column:
@@ -210,21 +222,40 @@ def _segments(places: Column, least: Column, drop: Column, threshold: float) ->
     return F.aggregate(places, start, step, ended)
 
 
-def _windows(notices: list[tuple[str, dict[str, int]]], texts: list[tuple[str, dict[str, int]]], threshold: float) -> Column:
+def _in_a_row(places: Column, grams: list[str], end: int) -> Column:
+    """Where these bigrams follow each other; the place of the first, or with ``end`` of one further on."""
+
+    def here(p: Column, i: Column) -> Column:
+        follows = p["gram"] == grams[0]
+        for k, gram in enumerate(grams[1:], 1):
+            q = F.get(places, i + k)
+            follows = follows & (q["gram"] == gram) & (q["at"] == p["at"] + k)
+        return follows
+
+    return F.transform(F.filter(places, here), lambda p: p["at"] + end)
+
+
+def _windows(notices: list[tuple[str, Grams]], texts: list[tuple[str, Grams]], threshold: float) -> Column:
     """Hits of the templates among the windows of a text's words, those of notices only over a line's end.
 
-    No gap in a window at the threshold is longer than (2 / threshold - 2) of the template's
+    Windows are runs of the template's bigrams, and what lies from where it begins to where it next
+    ends: so licences that follow each other are told apart, also the same one twice. No gap in a window at the threshold is longer than (2 / threshold - 2) of the template's
     bigrams; runs that also end at shorter gaps tell copies apart that are close together.
     """
 
     def places_of(name: str, known: dict[str, int], in_a_line: bool) -> Column:
         some = F.exists("scarce", lambda g: _one_of(g, _scarce(known, threshold)))
         own = F.filter("places", lambda p: _one_of(p["gram"], known))
-        return F.struct(
-            F.lit(name).alias("name"),
-            F.lit(len(known)).alias("n"),
-            F.lit(in_a_line).alias("in_a_line"),
-            F.when(some, own).alias("own"),
+        return let(
+            F.when(some, own),
+            lambda o: F.struct(
+                F.lit(name).alias("name"),
+                F.lit(len(known)).alias("n"),
+                F.lit(in_a_line).alias("in_a_line"),
+                o.alias("own"),
+                _in_a_row(o, known.lead, 0).alias("opens"),
+                _in_a_row(o, known.tail, len(known.tail) - 1).alias("closes"),
+            ),
         )
 
     def hit(t: Column, run: Column) -> Column:
@@ -249,6 +280,11 @@ def _windows(notices: list[tuple[str, dict[str, int]]], texts: list[tuple[str, d
             F.transform(t["own"], lambda p: p["at"]),
             lambda at: F.array_union(_segments(at, least, drop, threshold), _segments(at, least, drop / 4, threshold)),
         )
+        from_end_to_end = F.transform(
+            t["opens"],
+            lambda s: F.struct(s.alias("first"), F.array_min(F.filter(t["closes"], lambda e: e > s)).alias("last")),
+        )
+        runs = F.array_union(runs, F.filter(from_end_to_end, lambda r: r["last"] - r["first"] + 1 >= least))
         over = lambda r: t["in_a_line"] | (F.get("line_of", r["first"]) < F.get("line_of", r["last"] + 1))
         return F.filter(F.transform(F.filter(runs, over), lambda r: hit(t, r)), lambda h: h["less"] <= -threshold)
 

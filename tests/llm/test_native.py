@@ -167,6 +167,22 @@ def test_wrapped_and_whole_licenses(spark):
     assert rows[2].line == 3 and rows[1].dice == rows[3].dice == rows[5].dice == 1.0 > rows[13].dice
 
 
+def test_licenses_that_follow_each_other(spark):
+    whole = whole_texts()
+    mit, isc, bsd = (whole[name][0] for name in ("MIT", "ISC", "BSD-3-Clause"))
+    apache = max(whole["Apache-2.0"], key=len)
+    texts = [mit + "\n" + mit, mit + "\n\n" + apache, apache + "\n" + mit, isc + "\n" + bsd + "\n" + isc, mit.replace("\n", " ") * 3]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [h.license for h in r.hits] for r in scan_licenses(df, all_hits=True).collect()}
+    assert got == {
+        0: ["MIT", "MIT"],
+        1: ["MIT", "Apache-2.0"],
+        2: ["Apache-2.0", "MIT"],
+        3: ["ISC", "BSD-3-Clause", "ISC"],
+        4: ["MIT"] * 3,
+    }
+
+
 def test_all_licenses_of_a_text(spark):
     text = "x\nReleased under the MIT License.\ny\n" + whole_texts()["ISC"][0]
     row = scan_licenses(spark.createDataFrame([(1, text), (2, "x")], "doc_id long, text string"), all_hits=True).collect()
