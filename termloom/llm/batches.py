@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 ROWS = 1_000
@@ -13,3 +16,14 @@ def small_batches(spark: SparkSession, rows: int = ROWS) -> None:
     now = int(spark.conf.get(_CONF, "10000"))
     if now <= 0 or now > rows:
         spark.conf.set(_CONF, str(rows))
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most that many rows for what is executed inside."""
+    before = spark.conf.get(_CONF, "10000")
+    spark.conf.set(_CONF, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(_CONF, before)

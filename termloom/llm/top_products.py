@@ -4,11 +4,12 @@ Vectors are ordered by length, the longest first, and cut into chunks. The longe
 every query k scores, the least of which is its threshold: a lower bound of its k-th best. By
 the Cauchy-Schwarz inequality a vector x can reach a query's threshold t only if
 |x| >= t / |q|, so whole chunks of shorter vectors are passed over for all queries of a block
-at once. In the other chunks the local threshold, t / (|q| * longest in the chunk), is the
-least cosine that a vector needs. Where it is high, vectors are first sieved by the few
-largest coordinates of the query: a unit vector of at least that cosine lies in a known
-interval in each of them. Where it is low, vectors are sieved by their lengths alone. What is
-left is verified by its product, in whole numbers.
+at once. Groups of blocks meet groups of chunks in tiles, which visit their chunks from the
+longest on and raise the thresholds by what they find. In a chunk the local threshold,
+t / (|q| * longest in the chunk), is the least cosine that a vector needs. Where it is high,
+vectors are first sieved by the few largest coordinates of the query: a unit vector of at least
+that cosine lies in a known interval in each of them. Where it is low, vectors are sieved by
+their lengths alone. What is left is verified by its product, in whole numbers.
 """
 
 from __future__ import annotations
@@ -23,11 +24,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..staging import stage
+from .batches import batches_of
 from .offsets import shifts
 
 CHUNK = 2_048
 BLOCK = 256
+#: the longest chunks that travel with the job: so many, within so many bytes, but one at least
 SEED_CHUNKS = 4
+SEED_BYTES = 1 << 24
+#: blocks and chunks on each side of what a task searches; a matrix moves once for each tile that it is in
+TILE = 16
 #: local cosine thresholds from which coordinates are looked at, and how many
 HIGH_COSINE = 0.6
 FOCUS = 4
@@ -185,6 +191,39 @@ class _Chunk:
                 yield i, ids[best], scores[best]
 
 
+class _Asked:
+    """A block of queries and the best that has been found for each."""
+
+    def __init__(self, row: dict, k: int) -> None:
+        self.ids, self.rows = _unpacked(row)
+        self.k, n = k, len(self.ids)
+        self.best = [np.zeros(0, np.int64)] * n
+        self.scores = [np.zeros(0, np.int64)] * n
+        if row.get("thresholds") is None:
+            self.thresholds, self.ties = np.full(n, -np.inf), np.full(n, 2**63 - 1)
+        else:
+            self.thresholds, self.ties = np.frombuffer(row["thresholds"]).copy(), np.frombuffer(row["ties"], "<i8").copy()
+        self.lengths = np.sqrt((self.rows.astype(float) ** 2).sum(1))
+
+    def need(self) -> float:
+        """The least length that a vector needs to reach one of the thresholds."""
+        known = (self.thresholds > 0) & (self.lengths > 0)
+        return float(np.where(known, self.thresholds / np.maximum(self.lengths, 1e-300), 0.0).min(initial=np.inf))
+
+    def take(self, chunk: _Chunk) -> None:
+        for i, more, s in chunk.search(self.ids, self.rows, self.thresholds, self.ties, self.k):
+            ids, scores = np.append(self.best[i], more), np.append(self.scores[i], s)
+            best = _best(ids, scores, self.k)
+            self.best[i], self.scores[i] = ids[best], scores[best]
+            if len(best) == self.k:
+                self.thresholds[i], self.ties[i] = scores[best][-1], ids[best][-1]
+
+    def found(self) -> pa.RecordBatch:
+        queries = np.repeat(self.ids, [len(x) for x in self.best])
+        columns = [queries, np.concatenate([np.zeros(0, np.int64), *self.best]), np.concatenate([np.zeros(0, np.int64), *self.scores])]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "id", "score"])
+
+
 def _seeded(seeds: list[dict], k: int):
     """Blocks of queries with what the longest chunks give: thresholds and ties, the length they need, best ids and scores."""
 
@@ -192,26 +231,17 @@ def _seeded(seeds: list[dict], k: int):
         chunks = [_Chunk(*_unpacked(s)) for s in seeds]
         for batch in batches:
             for row in batch.to_pylist():
-                q_ids, q = _unpacked(row)
-                ids, scores = [np.zeros(0, np.int64)] * len(q), [np.zeros(0, np.int64)] * len(q)
-                thresholds, ties = np.full(len(q), -np.inf), np.full(len(q), 2**63 - 1)
+                asked = _Asked(row, k)
                 for chunk in chunks:
-                    for i, more, s in chunk.search(q_ids, q, thresholds, ties, k):
-                        ids[i], scores[i] = np.append(ids[i], more), np.append(scores[i], s)
-                        best = _best(ids[i], scores[i], k)
-                        ids[i], scores[i] = ids[i][best], scores[i][best]
-                        if len(best) == k:
-                            thresholds[i], ties[i] = scores[i][-1], ids[i][-1]
-                lengths = np.sqrt((q.astype(float) ** 2).sum(1))
-                need = np.where((thresholds > 0) & (lengths > 0), thresholds / np.maximum(lengths, 1e-300), 0.0)
+                    asked.take(chunk)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *[pa.array([row[c]]) for c in ("block", "dim", "ids", "rows")],
-                        pa.array([thresholds.tobytes()]),
-                        pa.array([ties.astype("<i8").tobytes()]),
-                        pa.array([float(need.min(initial=np.inf))]),
-                        pa.array([[x.tolist() for x in ids]], pa.list_(pa.list_(pa.int64()))),
-                        pa.array([[x.tolist() for x in scores]], pa.list_(pa.list_(pa.int64()))),
+                        pa.array([asked.thresholds.tobytes()]),
+                        pa.array([asked.ties.astype("<i8").tobytes()]),
+                        pa.array([asked.need()]),
+                        pa.array([[x.tolist() for x in asked.best]], pa.list_(pa.list_(pa.int64()))),
+                        pa.array([[x.tolist() for x in asked.scores]], pa.list_(pa.list_(pa.int64()))),
                     ],
                     ["block", "dim", "ids", "rows", "thresholds", "ties", "need", "best_ids", "best_scores"],
                 )
@@ -219,23 +249,27 @@ def _seeded(seeds: list[dict], k: int):
     return run
 
 
-def _searched(k: int):
+def _tiles(k: int):
+    """Rows of tiles: first their blocks of queries, then their chunks, from the longest on."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, asked = None, []
         for batch in batches:
-            for row in batch.to_pylist():
-                q_ids, q = _unpacked(row)
-                chunk = _Chunk(*_unpacked({"ids": row["x_ids"], "rows": row["x_rows"], "dim": row["x_dim"]}))
-                thresholds, ties = np.frombuffer(row["thresholds"]), np.frombuffer(row["ties"], "<i8")
-                found = list(chunk.search(q_ids, q, thresholds, ties, k))
-                queries = np.concatenate([np.zeros(0, np.int64), *[np.full(len(x), q_ids[i]) for i, x, _ in found]])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(queries),
-                        pa.array(np.concatenate([np.zeros(0, np.int64), *[x for _, x, _ in found]])),
-                        pa.array(np.concatenate([np.zeros(0, np.int64), *[s for _, _, s in found]])),
-                    ],
-                    ["query_id", "id", "score"],
-                )
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                if (row["bg"], row["cg"]) != tile:
+                    yield from (a.found() for a in asked)
+                    tile, asked = (row["bg"], row["cg"]), []
+                if row["longest"] is None:
+                    asked.append(_Asked(row, k))
+                    continue
+                # thresholds rise within the tile
+                reached = [a for a in asked if row["longest"] >= a.need() * (1 - SLACK)]
+                if reached:
+                    chunk = _Chunk(*_unpacked(row))
+                    for a in reached:
+                        a.take(chunk)
+        yield from (a.found() for a in asked)
 
     return run
 
@@ -264,6 +298,7 @@ def top_products(
     vector_col: str = "embedding",
     chunk: int = CHUNK,
     block: int = BLOCK,
+    tile: int = TILE,
 ) -> DataFrame:
     """(query_id, rank, id_col, score): the k highest products of each query with other vectors.
 
@@ -279,7 +314,10 @@ def top_products(
     whole = stage(whole_vectors(vectors, id_col, vector_col, scale), "vectors")
     chunks = stage(_numbered(whole, chunk, "chunks-parts"), "chunks")
     blocks = _numbered(whole.filter(queries), block, "queries-parts").withColumnRenamed("number", "block")
-    seeds = [r.asDict() for r in chunks.filter(F.col("number") < SEED_CHUNKS).orderBy("number").collect()]
+    first = chunks.filter(F.col("number") < SEED_CHUNKS).orderBy("number")
+    sizes = first.select((F.length("rows") + F.length("ids")).alias("size")).collect()
+    n_seeds = sum(1 for i in range(len(sizes)) if i == 0 or sum(r.size for r in sizes[: i + 1]) <= SEED_BYTES)
+    seeds = [r.asDict() for r in first.filter(F.col("number") < n_seeds).collect()]
     blocks = stage(
         blocks.select("block", "dim", "ids", "rows").mapInArrow(
             _seeded(seeds, k),
@@ -288,20 +326,29 @@ def top_products(
         ),
         "queries",
     )
-    # the grid of blocks and chunks: numbers alone first, so that only pairs in reach are joined
-    n = chunks.count()
-    grid = blocks.select("block", "need", F.explode(F.sequence(F.lit(0), F.lit(max(0, n - 1)))).alias("number"))
-    lengths = chunks.select(F.col("number").cast("int").alias("number"), "longest")
-    grid = grid.filter(F.col("number") >= SEED_CHUNKS).join(lengths, "number")
-    grid = grid.filter(F.col("longest") >= F.col("need") * (1 - SLACK)).select("number", "block")
-    asked = grid.join(blocks.select("block", "dim", "ids", "rows", "thresholds", "ties"), "block")
-    stored = chunks.select(
-        F.col("number").cast("int").alias("number"),
-        F.col("dim").alias("x_dim"),
-        F.col("ids").alias("x_ids"),
-        F.col("rows").alias("x_rows"),
+    # the grid of groups of blocks and groups of chunks: numbers alone first, so that only tiles in reach are made
+    blocks_in, chunks_in = F.floor(F.col("block") / tile).alias("bg"), F.floor(F.col("number") / tile).alias("cg")
+    rest = chunks.filter(F.col("number") >= n_seeds)
+    last = rest.agg(F.max("number")).first()[0]
+    grid = blocks.groupBy(blocks_in).agg(F.min("need").alias("need")).select(
+        "bg", "need", F.explode(F.sequence(F.lit(0), F.lit((last or 0) // tile)).cast("array<long>")).alias("cg")
+    )
+    lengths = rest.groupBy(chunks_in).agg(F.max("longest").alias("longest"))
+    grid = stage(grid.join(lengths, "cg").filter(F.col("longest") >= F.col("need") * (1 - SLACK)).select("bg", "cg"), "tiles")
+    parts = ["dim", "ids", "rows"]
+    asked = blocks.withColumn("bg", blocks_in).join(grid, "bg").select(
+        "bg", "cg", F.lit(None).cast("double").alias("longest"), F.col("block").alias("number"), *parts, "thresholds", "ties"
+    )
+    no_bytes = F.lit(None).cast("binary")
+    stored = rest.withColumn("cg", chunks_in).join(grid, "cg").select(
+        "bg", "cg", "longest", "number", *parts, no_bytes.alias("thresholds"), no_bytes.alias("ties")
     )
-    searched = asked.join(stored, "number").mapInArrow(_searched(k), "query_id long, id long, score long")
+    met = asked.union(stored).repartition("bg", "cg")
+    # nulls first: the queries come before the chunks
+    met = met.sortWithinPartitions("bg", "cg", F.col("longest").isNotNull(), "number")
+    # a row is a whole matrix
+    with batches_of(vectors.sparkSession, 4):
+        searched = stage(met.mapInArrow(_tiles(k), "query_id long, id long, score long"), "found")
     own = blocks.mapInArrow(_own_best, "query_id long, id long, score long")
     by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     ranked = searched.union(own).withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k)

@@ -318,7 +318,7 @@ def test_top_products(spark):
         rows = rows.astype(np.float32)
         df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "vec_id long, embedding array<float>")
         whole = {i: np.floor(r.astype(float) * 64).astype(int).tolist() for i, r in enumerate(rows)}
-        got = found(top_products(df, F.col("id") % 20 == 0, k=5, chunk=40, block=7))
+        got = found(top_products(df, F.col("id") % 20 == 0, k=5, chunk=40, block=7, tile=2))
         assert got == brute(whole, lambda q: q % 20 == 0, 5)
 
 
