@@ -34,3 +34,22 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
     if held:
         table = pa.Table.from_batches(held)
         yield table, _bounds(table, keys)
+
+
+def large_groups(
+    batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 50_000
+) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """The same, for lean rows in small batches: some ten thousand rows at a time."""
+
+    def joined() -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= rows:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, n = [], 0
+        if n:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    yield from sorted_groups(joined(), keys)

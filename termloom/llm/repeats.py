@@ -4,9 +4,10 @@
    leftmost with the smallest hash. Equal windows have equal anchors, so windows are only
    compared within the bucket of their anchor. Neighbouring windows with one anchor are one
    piece, a string of ``least`` to ``PIECE`` bytes.
-2. Anchors that only one document has are dropped before any text moves. A task posts what it
-   has met in one document; what it has met in several is known to be shared, needs no meeting
-   and leaves a single witness for the others. So frequent anchors cost one row a task.
+2. Anchors that only one document has are dropped before any text moves: pieces meet by their
+   anchors' hashes. What a task has itself met often and in several documents is known to be
+   shared, needs no meeting and leaves a single witness for the others. So frequent anchors cost
+   one row a task.
 3. Equal pieces of a bucket are counted together, with the smallest id that has them. The
    pieces that are left in a bucket are joined to one text, whose suffixes, from those places
    where a window begins, are sorted: with their common prefixes an enhanced suffix array. One
@@ -29,9 +30,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.llr import attach_totals
-from ..staging import stage
+from ..staging import discard, new_path, stage
 from .batches import small_batches
-from .grouping import sorted_groups
+from .grouping import large_groups
 from .hashing import mix, powers
 
 LEAST = 50
@@ -45,7 +46,9 @@ SLICE = 1 << SLICE_BITS
 #: pieces that a task looks through for shared anchors before it posts them
 HELD = 1_000_000
 #: different pieces of an anchor beyond which it is dealt by windows
-BUCKET = 10_000
+BUCKET = 4_000
+#: occurrences in a task from which an anchor is looked at for being shared there
+OFTEN = 16
 
 _BASE = 0x9E3779B97F4A7C15
 _BYTE = np.random.default_rng(1_847).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -111,7 +114,7 @@ def _salt(ids: np.ndarray, places: np.ndarray) -> np.ndarray:
     return mix(mix(ids.view(np.uint64)) + places.view(np.uint64)).view(np.int64)
 
 
-_POSTS = "key long, id long, h long, place long"
+_POSTS = "key long, id long, place long"
 
 
 def _posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,28 +124,27 @@ def _posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = 0
 
     def out() -> pa.RecordBatch:
-        ids, hs, start, n, key = (np.concatenate(c) for c in zip(*held, strict=True))
+        ids, start, n, key = (np.concatenate(c) for c in zip(*held, strict=True))
         order = np.argsort(key, kind="stable")
-        ids, hs, start, n, key = (c[order] for c in (ids, hs, start, n, key))
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        several = np.minimum.reduceat(ids, first) != np.maximum.reduceat(ids, first)
-        known = np.repeat(several, np.diff(np.concatenate([first, [len(key)]])))
+        sorted_keys, sorted_ids = key[order], ids[order]
+        first = np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]]))
+        sizes = np.diff(np.concatenate([first, [len(key)]]))
+        often = (sizes >= OFTEN) & (np.minimum.reduceat(sorted_ids, first) != np.maximum.reduceat(sorted_ids, first))
+        known = np.empty(len(key), bool)
+        known[order] = np.repeat(often, sizes)
         place = start << 8 | n << 2 | np.where(known, _KNOWN, _ORDINARY)
-        # what needs no meeting is dealt evenly
-        to = np.where(known, key ^ _salt(ids, start), key)
-        witness = first[several]
+        # rows stay in the order of documents, which packs well; what needs no meeting is dealt evenly
         columns = [
-            np.concatenate([to, key[witness]]),
-            np.concatenate([ids, ids[witness]]),
-            np.concatenate([hs, hs[witness]]),
-            np.concatenate([place, np.full(len(witness), _WITNESS)]),
+            np.concatenate([np.where(known, key ^ _salt(ids, start), key), sorted_keys[first[often]]]),
+            np.concatenate([ids, sorted_ids[first[often]]]),
+            np.concatenate([place, np.full(int(often.sum()), _WITNESS)]),
         ]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["key", "id", "h", "place"])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["key", "id", "place"])
 
     for batch in batches:
-        ids, hs = (np.asarray(batch.column(k)) for k in (0, 1))
-        for text, start, n, key in anchors.pieces(batch.column(2).to_pylist()):
-            held.append((ids[text], hs[text], start, n, key))
+        ids = np.asarray(batch.column(0))
+        for text, start, n, key in anchors.pieces(batch.column(1).to_pylist()):
+            held.append((ids[text], start, n, key))
             size += len(key)
             if size > HELD:
                 yield out()
@@ -152,36 +154,43 @@ def _posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-_PLACES = "a long, id long, h long, start long, n long"
-
-
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for table, bounds in sorted_groups(batches, ["key"]):
-        key, ids, hs, place = (table.column(k).to_numpy() for k in ("key", "id", "h", "place"))
+    """(id, place) of the pieces whose anchors several documents have; place without the kind."""
+    for table, bounds in large_groups(batches, ["key"], 20_000):
+        ids, place = (table.column(k).to_numpy() for k in ("id", "place"))
         kind, first = place & 3, bounds[:-1]
         meets = kind != _KNOWN
         least = np.minimum.reduceat(np.where(meets, ids, np.iinfo(np.int64).max), first)
         most = np.maximum.reduceat(np.where(meets, ids, np.iinfo(np.int64).min), first)
         several = (least < most) | np.logical_or.reduceat(kind == _WITNESS, first)
         keep = (kind == _KNOWN) | ((kind == _ORDINARY) & np.repeat(several, np.diff(bounds)))
-        key, ids, hs, place, kind = (c[keep] for c in (key, ids, hs, place, kind))
-        a = np.where(kind == _KNOWN, key ^ _salt(ids, place >> 8), key)
-        columns = [a, ids, hs, place >> 8, place >> 2 & 63]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "id", "h", "start", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids[keep]), pa.array(place[keep] >> 2)], ["id", "place"])
+
+
+#: bits of a place: the start of a piece, in bytes, and its windows
+_PLACE_BITS = 48
+_PIECES = "a long, id long, h long, start long, n long, piece binary"
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["a", "id", "h", "start", "n", "piece"]
+    """The pieces of each text at the places of its id; other texts of that id only give more of their own."""
+    names = [f.split()[0] for f in _PIECES.split(", ")]
+    anchors = Anchors()
     for batch in batches:
-        for row in range(batch.num_rows):
-            text = batch.column(2)[row].as_py()
-            places = batch.column(3)[row].values
-            a, start, n = (np.asarray(places.field(k)) for k in ("a", "start", "n"))
-            pieces = [text[s : s + k + LEAST - 1] for s, k in zip(start.tolist(), n.tolist(), strict=True)]
-            same = [pa.array(np.full(len(a), batch.column(k)[row].as_py(), np.int64)) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a), *same, pa.array(start), pa.array(n), pa.array(pieces, pa.binary())], names
-            )
+        same = [np.asarray(batch.column(k)) for k in (0, 1)]
+        texts = batch.column(2).to_pylist()
+        places = batch.column(3)
+        owner = np.repeat(np.arange(batch.num_rows), np.diff(places.offsets.to_numpy()))
+        wanted = np.sort(owner << _PLACE_BITS | np.asarray(places.flatten()))
+        for text, start, n, a in anchors.pieces(texts):
+            key = text << _PLACE_BITS | start << 6 | n
+            at = np.searchsorted(wanted, key)
+            keep = (at < len(wanted)) & (wanted[np.minimum(at, len(wanted) - 1)] == key)
+            text, start, n, a = (x[keep] for x in (text, start, n, a))
+            ends = (start + n + LEAST - 1).tolist()
+            pieces = [texts[i][s:e] for i, s, e in zip(text.tolist(), start.tolist(), ends, strict=True)]
+            columns = [a, *(v[text] for v in same), start, n]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(pieces, pa.binary())], names)
 
 
 # -- the enhanced suffix array -----------------------------------------------------------------
@@ -245,23 +254,33 @@ def repeats(pieces: list[bytes], group: np.ndarray, least: int = LEAST) -> Itera
 
 
 _GROUPS = "a long, pid long, at long, length long, least long, string binary"
+_VERDICTS = "a long, own long, n_rows long, mask long, piece binary"
+
+
+def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, list[bytes]]]:
+    """Pieces of some anchors, each anchor's together, with the anchor's number for each, and their bytes."""
+    for table, bounds in large_groups(batches, ["a"], 2_000):
+        sizes = np.diff(bounds)
+        yield table, np.repeat(np.arange(len(sizes)), sizes), table.column("piece").to_pylist()
+
+
+def _several(group: np.ndarray) -> np.ndarray:
+    """Places of what is not alone in its group."""
+    return np.flatnonzero(np.bincount(group)[group] > 1)
 
 
 def _intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The repeats within each anchor's pieces, one row for each piece and offset."""
     names = [f.split()[0] for f in _GROUPS.split(", ")]
-    for table, bounds in sorted_groups(batches, ["a"]):
-        sizes = np.diff(bounds)
-        rows = np.flatnonzero(np.repeat(sizes > 1, sizes))
+    for table, group, pieces in _meeting(batches):
+        rows = _several(group)
         if not len(rows):
             continue
-        table = table.take(pa.array(rows))
-        pieces = table.column("piece").to_pylist()
-        a, pid, least = (table.column(k).to_numpy() for k in ("a", "pid", "least"))
-        group = np.repeat(np.arange(int((sizes > 1).sum())), sizes[sizes > 1])
+        a, pid, least = (table.column(k).to_numpy()[rows] for k in ("a", "pid", "least"))
+        own = [pieces[k] for k in rows]
         found: list[list] = [[] for _ in names]
-        for length, which, offset in repeats(pieces, group):
-            n, string = len(which), pieces[which[0]][offset[0] : offset[0] + length]
+        for length, which, offset in repeats(own, group[rows]):
+            n, string = len(which), own[which[0]][offset[0] : offset[0] + length]
             smallest = int(least[which].min())
             for column, values in zip(
                 found, (a[which], pid[which], offset, [length] * n, [smallest] * n, [string] * n), strict=True
@@ -272,6 +291,26 @@ def _intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _masks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each piece the windows that start in a document with a smaller id than any that has the piece."""
+    names = [f.split()[0] for f in _VERDICTS.split(", ")]
+    for table, group, pieces in _meeting(batches):
+        least = table.column("least").to_numpy()
+        mask = np.zeros(len(least), np.int64)
+        rows = _several(group)
+        if len(rows):
+            for length, which, offset in repeats([pieces[k] for k in rows], group[rows]):
+                places = rows[which]
+                later = least[places] > least[places].min()
+                places, offset = places[later], offset[later]
+                np.bitwise_or.at(mask, places, ((1 << (length - LEAST + 1)) - 1) << offset)
+        n_rows = table.column("n_rows").to_numpy()
+        keep = (mask != 0) | (n_rows > 1)
+        columns = [table.column("a").to_numpy(), least, n_rows, mask]
+        kept = table.column("piece").filter(pa.array(keep)).combine_chunks()
+        yield pa.RecordBatch.from_arrays([*(pa.array(c[keep]) for c in columns), kept], names)
+
+
 # -- on tables ---------------------------------------------------------------------------------
 
 
@@ -281,39 +320,49 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), text.cast("binary").alias("text"))
 
 
-def _pieces(rows: DataFrame) -> DataFrame:
-    """(a, pid, id, h, start, n, piece) of all pieces whose anchors several documents have; a written table."""
+def _pieces(rows: DataFrame, path: str) -> DataFrame:
+    """(a, id, h, start, n, piece, pid) of all pieces whose anchors several documents have; a table at the path."""
+    spark = rows.sparkSession
     rows = rows.filter(F.col("id").isNotNull() & (F.length("text") >= LEAST))
-    posts = rows.mapInArrow(_posted, _POSTS)
-    places = posts.repartition("key").sortWithinPartitions("key").mapInArrow(_shared, _PLACES)
-    by_text = places.groupBy("id", "h").agg(F.collect_set(F.struct("a", "start", "n")).alias("places"))
-    cut = rows.join(by_text, ["id", "h"]).select("id", "h", "text", "places").mapInArrow(_cut, _PLACES + ", piece binary")
-    return stage(cut.select("*", F.xxhash64("piece").alias("pid")), "pieces")
+    posts = rows.select("id", "text").mapInArrow(_posted, _POSTS)
+    places = posts.repartition("key").sortWithinPartitions("key").mapInArrow(_shared, "id long, place long")
+    met = new_path(spark, "places")
+    by_id = stage(places, "places", met).groupBy("id").agg(F.collect_list("place").alias("places"))
+    cut = rows.join(by_id, "id").select("id", "h", "text", "places").mapInArrow(_cut, _PIECES)
+    found = stage(cut, "pieces", path).withColumn("pid", F.xxhash64("piece"))
+    discard(spark, met)
+    return found
+
+
+def _hot(pieces: DataFrame, bucket: int) -> DataFrame:
+    """(a) of the anchors that more than ``bucket`` pieces have; a written table."""
+    return stage(pieces.groupBy("a").count().filter(F.col("count") > bucket).select("a"), "hot-anchors")
 
 
 def _different(pieces: DataFrame) -> DataFrame:
-    """(a, pid, piece, least, n_rows): different pieces of each anchor; a written table."""
-    found = pieces.groupBy("a", "pid", "piece").agg(F.min("id").alias("least"), F.count("*").alias("n_rows"))
-    return stage(found, "different-pieces")
-
-
-def _repeats(different: DataFrame, bucket: int) -> DataFrame:
-    """(a, pid, at, length, least, string): the repeats in which the pieces of an anchor meet."""
-    sizes = different.groupBy("a").count()
-    hot = stage(sizes.filter(F.col("count") > bucket).select("a"), "hot-anchors")
-    several = different.join(hot, "a", "left_anti").select("a", "pid", "piece", "least")
-    found = several.repartition("a").sortWithinPartitions("a").mapInArrow(_intervals, _GROUPS)
-    # buckets of any size, by whole windows
-    windows = different.join(hot, "a").select(
+    """(a, pid, piece, least, n_rows): different pieces of each anchor."""
+    found = pieces.groupBy("a", "piece").agg(F.min("id").alias("least"), F.count("*").alias("n_rows"))
+    return found.withColumn("pid", F.xxhash64("piece"))
+
+
+def _by_anchor(pieces: DataFrame, hot: DataFrame) -> DataFrame:
+    """Different pieces of all but the hot anchors, each anchor's together."""
+    different = _different(pieces.join(hot, "a", "left_anti"))
+    return different.repartition("a").sortWithinPartitions("a")
+
+
+def _hot_windows(pieces: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Different pieces of hot anchors, and (a, pid, at, length, least, string) of their windows that meet."""
+    different = stage(_different(pieces.join(hot, "a", "left_semi")), "hot-pieces")
+    windows = different.select(
         "a", "pid", "piece", "least", F.explode(F.sequence(F.lit(0), F.length("piece") - LEAST)).alias("at")
     )
     windows = windows.select("a", "pid", "least", "at", F.substr("piece", F.col("at") + 1, F.lit(LEAST)).alias("string"))
     totals = windows.groupBy("a", "string").agg(F.min("least").alias("smallest"), F.count("*").alias("n_rows"))
     totals = stage(totals.filter("n_rows > 1"), "hot-windows")
     dealt = attach_totals(windows, totals, ["a", "string"], "smallest", "pid")
-    return found.union(
-        dealt.select("a", "pid", F.col("at").cast("long"), F.lit(LEAST).cast("long"), F.col("smallest").alias("least"), "string")
-    )
+    long = [F.col("at").cast("long"), F.lit(LEAST).cast("long").alias("length"), F.col("smallest").alias("least")]
+    return different, dealt.select("a", "pid", *long, "string")
 
 
 def repeat_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET) -> DataFrame:
@@ -323,13 +372,16 @@ def repeat_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     pieces that they lie in (see the module); strings of one document alone are no repeats.
     Texts without an id, null or short texts have none. No documents: an empty table.
     """
-    small_batches(docs.sparkSession)
-    pieces = _pieces(_rows(docs, id_col, text_col))
+    spark = docs.sparkSession
+    small_batches(spark)
+    pieces = _pieces(_rows(docs, id_col, text_col), new_path(spark, "pieces"))
+    hot = _hot(pieces, bucket)
+    found = _by_anchor(pieces, hot).mapInArrow(_intervals, _GROUPS).union(_hot_windows(pieces, hot)[1])
     different = _different(pieces)
     whole = different.filter("n_rows > 1").select(
         "a", "pid", F.lit(0).cast("long").alias("at"), F.length("piece").cast("long").alias("length"), "least", "piece"
     )
-    groups = stage(_repeats(different, bucket).union(whole), "repeats")
+    groups = stage(found.union(whole), "repeats")
     by_piece = groups.groupBy("a", "pid").agg(
         F.collect_set(F.struct("at", "length", "string")).alias("repeats"), F.count("*").alias("n_groups")
     )
@@ -387,19 +439,27 @@ def drop_repeats(
     text is empty. Rows of one id take nothing from each other; rows without an id lose
     nothing and take nothing. An empty table gives an empty table; other columns are not read.
     """
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     rows = _rows(docs, id_col, text_col)
-    pieces = _pieces(rows)
-    different = _different(pieces)
+    cut, judged_path = new_path(spark, "pieces"), new_path(spark, "verdicts")
+    pieces = _pieces(rows, cut)
+    hot = _hot(pieces, bucket)
+    # a hash of the piece is made again on the other side: it does not move
+    cold = _by_anchor(pieces, hot).drop("pid").mapInArrow(_masks, _VERDICTS)
+    cold = cold.select("a", F.xxhash64("piece").alias("pid"), "own", "n_rows", "mask")
+    different, windows = _hot_windows(pieces, hot)
     own = different.select("a", "pid", F.col("least").alias("own"), "n_rows")
-    earlier = _repeats(different, bucket).join(own, ["a", "pid"]).filter("least < own")
-    masks = earlier.groupBy("a", "pid").agg(F.bit_or(_bits(F.col("at"), F.col("length") - (LEAST - 1))).alias("mask"))
-    verdicts = own.join(masks, ["a", "pid"], "left").filter("n_rows > 1 or mask is not null")
-    verdicts = verdicts.select("a", "pid", F.struct("own", F.coalesce("mask", F.lit(0).cast("long")).alias("mask")).alias("v"), "n_rows")
-    judged = attach_totals(pieces.select("a", "pid", "id", "h", "start", "n"), stage(verdicts, "verdicts"), ["a", "pid"], "v", "start")
+    masks = windows.join(own, ["a", "pid"]).filter("least < own").groupBy("a", "pid").agg(F.bit_or(_bits(F.col("at"), F.lit(1))).alias("mask"))
+    hot_verdicts = own.join(masks, ["a", "pid"], "left").select("a", "pid", "own", "n_rows", F.coalesce("mask", F.lit(0).cast("long")).alias("mask"))
+    verdicts = cold.union(hot_verdicts.filter("n_rows > 1 or mask <> 0"))
+    verdicts = stage(verdicts.select("a", "pid", F.struct("own", "mask").alias("v"), "n_rows"), "verdicts", judged_path)
+    judged = attach_totals(pieces.select("a", "pid", "id", "h", "start", "n"), verdicts, ["a", "pid"], "v", "start")
     bits = F.when(F.col("id") > F.col("v.own"), _bits(F.lit(0), F.col("n"))).otherwise(F.col("v.mask"))
     spans = judged.select("id", "h", "start", bits.alias("bits")).filter("bits <> 0")
-    spans = spans.groupBy("id", "h").agg(F.collect_set(F.struct("start", "bits")).alias("spans"))
+    spans = stage(spans.groupBy("id", "h").agg(F.collect_set(F.struct("start", "bits")).alias("spans")), "spans")
+    for path in (cut, judged_path):
+        discard(spark, path)
     found = rows.join(spans, ["id", "h"], "left").select("id", "text", "spans").mapInArrow(_removed(with_text), _DIGEST)
     found = found.withColumnRenamed("id", id_col)
     return found if with_text else found.drop("kept")
