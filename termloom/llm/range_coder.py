@@ -4,7 +4,8 @@ Every block is coded from a fresh model, so blocks can be read alone. One step c
 each block (a lane), with numpy over the lanes:
 
 * order 2 and order 1: tables from hashed contexts to the id that followed last, with a
-  confidence; order 0: how often ids of each size class have occurred;
+  confidence; order 0: how often each of a block's frequent ids has occurred, and how often
+  ids of each size class, which the others are told by;
 * mixing: by both confidences, and whether the predictions are equal, an adaptive share of
   the range goes to each order's id, and the rest to order 0;
 * a carry-less range coder of 64 bits, which puts out 32 bits at a time.
@@ -27,6 +28,11 @@ REBUILD = 32  # steps after which the order-0 shares follow their counts
 # classes: ids below 4096 by bit length, others by their upper 4 of 16 bits
 _CLASS = np.array([i.bit_length() if i < 4096 else 12 + (i >> 12) for i in range(1 << 16)], np.int64)
 CLASSES = 28
+#: places for frequent ids of a block, which order 0 predicts one by one
+FREQUENT_BITS = 5
+FREQUENT = 1 << FREQUENT_BITS
+SYMBOLS = CLASSES + FREQUENT
+WIDTH = -(-SYMBOLS // 8)
 _FIRST = np.array([0, *[1 << b for b in range(12)], *[k << 12 for k in range(1, 16)]])  # smallest id of a class
 _BITS = np.array([0, *range(12), *[12] * 15], np.uint64)  # bits that tell its ids apart
 
@@ -35,16 +41,19 @@ class _Model:
     """Predictions for ``lanes`` blocks; lanes beyond the first ``m`` have ended."""
 
     def __init__(self, lanes: int) -> None:
-        self.one = np.full(lanes << SLOT_BITS, -4, np.int64)  # id and confidence 0 to 3 in the low bits
-        self.two = np.full(lanes << SLOT_BITS, -4, np.int64)
-        first = np.empty((32, 2), np.int64)
+        self.one = np.full(lanes << SLOT_BITS, -4, np.int32)  # id and confidence 0 to 3 in the low bits
+        self.two = np.full(lanes << SLOT_BITS, -4, np.int32)
+        self.hot = np.full(lanes << FREQUENT_BITS, -4, np.int32)  # likewise
+        first = np.empty((32, 2), np.int32)
         for s in range(32):
             first[s] = (64 + 900 * (s >> 3), 64 + 900 * (s >> 1 & 3))
         self.two_share, self.one_share = np.tile(first[:, 0], lanes), np.tile(first[:, 1], lanes)
-        self.counts = np.tile(np.maximum(1, 1 << np.maximum(0, _BITS.astype(np.int64) - 8)), (lanes, 1))
+        begun = np.ones(SYMBOLS, np.int64)
+        begun[:CLASSES] = 1 << np.maximum(0, _BITS.astype(np.int64) - 8)
+        self.counts = np.tile(begun, (lanes, 1))
         self.table = np.arange(lanes, dtype=np.int64) << SLOT_BITS
         self.state = np.arange(lanes, dtype=np.int64) << 5
-        self.class_row = np.arange(lanes, dtype=np.int64) * CLASSES
+        self.count_row = np.arange(lanes, dtype=np.int64) * SYMBOLS
         self.seen: list[np.ndarray] = []  # places in the counts since they were last added up
         self.last = np.zeros(lanes, np.int64)
         self.before = np.zeros(lanes, np.int64)
@@ -58,12 +67,16 @@ class _Model:
                 self.counts += 4 * found.reshape(self.counts.shape)
                 self.seen.clear()
             c = self.counts[:m]
-            f = c * ((1 << CLASS_BITS) - CLASSES) // c.sum(1, keepdims=True) + 1
-            self.cum = np.zeros((m, CLASSES + 1), np.int64)
+            f = c * ((1 << CLASS_BITS) - SYMBOLS) // c.sum(1, keepdims=True) + 1
+            self.cum = np.zeros((m, SYMBOLS + 1), np.int64)
             np.cumsum(f, 1, out=self.cum[:, 1:])
-            self.cum[:, CLASSES] = 1 << CLASS_BITS
-            self.ends = self.cum[:, 1:].astype(np.int16)
-            self.cum_row = np.arange(m, dtype=np.int64) * (CLASSES + 1)
+            self.cum[:, SYMBOLS] = 1 << CLASS_BITS
+            # ends of the symbols by eights, and of every eighth, for a search in two steps
+            self.ends = np.full((m, WIDTH * 8), 1 << CLASS_BITS, np.int16)
+            self.ends[:, :SYMBOLS] = self.cum[:, 1:]
+            self.eighths = np.ascontiguousarray(self.ends[:, 7::8])
+            self.ends = self.ends.reshape(-1, 8)
+            self.cum_row = np.arange(m, dtype=np.int64) * (SYMBOLS + 1)
         self.steps += 1
         last, before = self.last[:m], self.before[:m]
         self.slot1 = self.table[:m] + ((last * 40_503 >> 4) & ((1 << SLOT_BITS) - 1))
@@ -77,17 +90,28 @@ class _Model:
         left = (1 << MIX_BITS) - LEAST_MISS - 1 - self.end2
         self.end1 = self.end2 + 1 + (left * self.s1 >> SHARE_BITS)
 
+    def hot_places(self, missed: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Where the ids of the missed lanes would be among the frequent ones."""
+        return (missed << FREQUENT_BITS) + (y * 40_503 >> 6 & FREQUENT - 1)
+
     def update(
-        self, m: int, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, missed: np.ndarray, classes: np.ndarray
+        self, m: int, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, missed: np.ndarray, symbols: np.ndarray
     ) -> None:
-        """``hit1``: only order 1 was right; classes: those of the missed lanes."""
+        """``hit1``: only order 1 was right; symbols: those of the missed lanes."""
         self.two_share[self.at] = self.s2 + ((np.where(hit2, 3968, 32) - self.s2) >> 5)
         self.one_share[self.at] = self.s1 + ((np.where(hit1, 3968, 32) - self.s1) * ~hit2 >> 5)
         new = x << 2 | 1
         self.two[self.slot2] = np.where(hit2, self.e2 + (self.c2 < 3), np.where(self.c2 > 0, self.e2 - 1, new))
         right1 = self.p1 == x
         self.one[self.slot1] = np.where(right1, self.e1 + (self.c1 < 3), np.where(self.c1 > 0, self.e1 - 1, new))
-        self.seen.append(self.class_row.take(missed) + classes)
+        self.seen.append(self.count_row.take(missed) + symbols)
+        # an id that comes again stays; one that is in the way for long gives way
+        y = x.take(missed)
+        place = self.hot_places(missed, y)
+        held = self.hot.take(place)
+        confidence = held & 3
+        known = symbols >= CLASSES
+        self.hot[place] = np.where(known, held + (confidence < 3), np.where(confidence > 0, held - 1, y << 2 | 1))
         self.before[:m] = self.last[:m]
         self.last[:m] = x
 
@@ -124,18 +148,21 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
         start = np.where(hit2, 0, np.where(hit1, model.end2, model.end1))
         size = np.where(hit2, model.end2, np.where(hit1, model.end1, 1 << MIX_BITS)) - start
         l, r = low[:m], rng[:m] >> U(MIX_BITS)
-        l = l + r * start.view(U)
-        r = r * size.view(U)
+        l = l + r * start.astype(U)
+        r = r * size.astype(U)
         missed = np.flatnonzero(~(hit2 | hit1))
         y = x.take(missed)
         c = _CLASS.take(y)
-        cell = model.cum_row.take(missed) + c
+        place = model.hot_places(missed, y)
+        known = model.hot.take(place) >> 2 == y
+        symbol = np.where(known, CLASSES + (place & FREQUENT - 1), c)
+        cell = model.cum_row.take(missed) + symbol
         cum = model.cum.reshape(-1)
         lo = cum.take(cell)
         rm = r.take(missed) >> U(CLASS_BITS)
         lm = l.take(missed) + rm * lo.view(U)
-        rm = (rm * (cum.take(cell + 1) - lo).view(U)) >> _BITS.take(c)
-        l[missed] = lm + rm * (y - _FIRST.take(c)).view(U)
+        rm = (rm * (cum.take(cell + 1) - lo).view(U)) >> np.where(known, U(0), _BITS.take(c))
+        l[missed] = lm + rm * np.where(known, 0, y - _FIRST.take(c)).view(U)
         r[missed] = rm
         short = np.flatnonzero(r < BOT)
         if len(short):
@@ -148,7 +175,7 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
             end[short] = e + 1
             l[short] = ls << WORD
         low[:m], rng[:m] = l, r
-        model.update(m, x, hit2, hit1, missed, c)
+        model.update(m, x, hit2, hit1, missed, symbol)
     tail = np.stack([low >> WORD, low & REST], 1).astype(np.uint32)
     found = [b""] * lanes
     for lane, b in enumerate(order):
@@ -178,21 +205,25 @@ def decode(codes: list[bytes], lengths: list[int]) -> list[np.ndarray]:
         hit1 = ~hit2 & (share < model.end1)
         start = np.where(hit2, 0, np.where(hit1, model.end2, model.end1))
         size = np.where(hit2, model.end2, np.where(hit1, model.end1, 1 << MIX_BITS)) - start
-        l = l + r * start.view(U)
-        r = r * size.view(U)
-        x = np.where(hit2, model.p2, model.p1)
+        l = l + r * start.astype(U)
+        r = r * size.astype(U)
+        x = np.where(hit2, model.p2, model.p1).astype(np.int64)
         missed = np.flatnonzero(~(hit2 | hit1))
         rm, lm, vm = r.take(missed) >> U(CLASS_BITS), l.take(missed), v.take(missed)
         share = np.minimum((vm - lm) // rm, U((1 << CLASS_BITS) - 1)).astype(np.int16)
-        c = np.add.reduce(model.ends.take(missed, 0) <= share[:, None], 1, dtype=np.int64)
-        cell = model.cum_row.take(missed) + c
+        eighth = (model.eighths.take(missed, 0) <= share[:, None]).sum(1)
+        symbol = 8 * eighth + (model.ends.take(missed * WIDTH + eighth, 0) <= share[:, None]).sum(1)
+        known = symbol >= CLASSES
+        c = np.where(known, 0, symbol)
+        cell = model.cum_row.take(missed) + symbol
         cum = model.cum.reshape(-1)
         lo = cum.take(cell)
         lm = lm + rm * lo.view(U)
-        bits = _BITS.take(c)
+        bits = np.where(known, U(0), _BITS.take(c))
         rm = (rm * (cum.take(cell + 1) - lo).view(U)) >> bits
         off = np.minimum((vm - lm) // rm, (U(1) << bits) - U(1))
-        x[missed] = _FIRST.take(c) + off.view(np.int64)
+        frequent = model.hot.take((missed << FREQUENT_BITS) + np.where(known, symbol - CLASSES, 0)) >> 2
+        x[missed] = np.where(known, frequent, _FIRST.take(c) + off.view(np.int64))
         l[missed], r[missed] = lm + rm * off, rm
         short = np.flatnonzero(r < BOT)
         if len(short):
@@ -204,7 +235,7 @@ def decode(codes: list[bytes], lengths: list[int]) -> list[np.ndarray]:
             l[short] = ls << WORD
         low[:m], rng[:m] = l, r
         ids[t, :m] = x
-        model.update(m, x, hit2, hit1, missed, c)
+        model.update(m, x, hit2, hit1, missed, symbol)
     found: list[np.ndarray] = [np.zeros(0, np.uint16)] * lanes
     for lane, b in enumerate(order):
         found[b] = ids[: lengths[b], lane].copy()

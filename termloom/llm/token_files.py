@@ -20,14 +20,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..staging import discard, new_path, shuffles_removed, stage
 from . import range_coder
 from .batches import small_batches
-from .encoders import PieceEncoder, Pieces
+from .encoders import Pieces, kept_encoder
 from .offsets import shifts
 
-BLOCK_IDS = 4_096
+BLOCK_IDS = 2_048
 #: blocks coded together
-LANES = 1_024
+LANES = 2_048
 
 FORMAT = (
     "segment long, block long, n_ids long, crc32 long, payload binary, "
@@ -42,18 +43,29 @@ _ARROW = pa.schema(
 )
 
 
-def _coded(path: str, pieces: Pieces, end_id: int, block_ids: int, lanes: int):
+def _encoded(path: str, pieces: Pieces, end_id: int):
+    """(id, h, ids): ids in little-endian 16 bits, with the end id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, end = kept_encoder(path, pieces), np.array([end_id], "<u2")
+        for batch in batches:
+            ids = [np.concatenate([encoder.ids(t), end], dtype="<u2").tobytes() for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(ids, pa.binary())], ["id", "h", "ids"])
+
+    return run
+
+
+def _coded(block_ids: int, lanes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segment = TaskContext.get().partitionId()
-        encoder, end = PieceEncoder(path, pieces, added_tokens=True), np.array([end_id], "<u4").tobytes()
         # ids not yet in a block; (id, nth, start, length) of their documents; blocks not yet coded
         held, docs, entries = bytearray(), deque(), []
         block = nth = total = 0
 
         def cut(n: int) -> tuple[int, np.ndarray, list]:
             """Checksum of the first n ids of those held, the ids, and their documents."""
-            ids, own, left = bytes(held[: 4 * n]), [], n
-            del held[: 4 * n]
+            ids, own, left = np.frombuffer(bytes(held[: 2 * n]), "<u2"), [], n
+            del held[: 2 * n]
             while left:
                 doc, k, start, length = docs[0]
                 own.append((doc, k, start, min(left, length)))
@@ -62,7 +74,7 @@ def _coded(path: str, pieces: Pieces, end_id: int, block_ids: int, lanes: int):
                 else:
                     docs[0] = (doc, k, start, length - left)
                 left -= own[-1][3]
-            return zlib.crc32(ids), np.frombuffer(ids, "<u4").astype(np.uint16), own
+            return zlib.crc32(ids.astype("<u4")), ids, own
 
         def out() -> pa.RecordBatch:
             nonlocal block
@@ -82,17 +94,17 @@ def _coded(path: str, pieces: Pieces, end_id: int, block_ids: int, lanes: int):
             )
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = encoder.encode(text) + end
+            for doc, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids = ids.as_buffer()
                 held += ids
-                docs.append((doc, nth, total, len(ids) // 4))
-                nth, total = nth + 1, total + len(ids) // 4
-                while len(held) >= 4 * block_ids:
+                docs.append((doc, nth, total, len(ids) // 2))
+                nth, total = nth + 1, total + len(ids) // 2
+                while len(held) >= 2 * block_ids:
                     entries.append(cut(block_ids))
                     if len(entries) == lanes:
                         yield out()
         if held:
-            entries.append(cut(len(held) // 4))
+            entries.append(cut(len(held) // 2))
         if entries:
             yield out()
 
@@ -112,13 +124,24 @@ def write_token_files(
 ) -> None:
     """Writes the ids of every document with ``end_id`` behind them, in ascending order of ids.
 
-    Null ids come first, and rows of one id in the order of their texts; a null text is
-    empty. Tokenizers of up to 65,536 ids. An empty table makes a folder without blocks.
+    Null ids come first, and rows of one id in the order of a hash of their texts; a null text is
+    empty. An empty table makes a folder without blocks. Ids have 16 bits: a tokenizer that has
+    larger ones is refused. Texts are encoded where they are read; only their ids move.
     """
-    small_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange("id").sortWithinPartitions("id", F.xxhash64("text"), "text")
-    ordered.mapInArrow(_coded(tokenizer_path, pieces, end_id, block_ids, lanes), FORMAT).write.parquet(path)
+    from tokenizers import Tokenizer
+
+    if max(end_id, *Tokenizer.from_file(tokenizer_path).get_vocab().values()) >= 1 << 16:
+        raise ValueError("token files hold ids below 65,536")
+    spark = docs.sparkSession
+    small_batches(spark)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), text.cast("binary").alias("text"))
+    at = new_path(spark, "token-ids")
+    encoded = stage(rows.mapInArrow(_encoded(tokenizer_path, pieces, end_id), "id long, h long, ids binary"), "token-ids", at)
+    ordered = encoded.repartitionByRange("id").sortWithinPartitions("id", "h", "ids").select("id", "ids")
+    with shuffles_removed(spark):
+        ordered.mapInArrow(_coded(block_ids, lanes), FORMAT).write.parquet(path)
+    discard(spark, at)
 
 
 def _in_lanes(batches: Iterator[pa.RecordBatch], lanes: int) -> Iterator[pa.Table]:
