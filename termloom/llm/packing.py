@@ -151,8 +151,8 @@ def pack(
         "pieces",
     )
     parts = max(1, -(-found.filter(F.col("start") + F.col("length") == F.col("doc_tokens")).count() // group_rows))
-    # the rest alone tells repeated ids apart: whole sequences follow their document
-    part = F.pmod(F.xxhash64("id", "doc_tokens"), F.lit(parts))
+    # by the piece's checksum, too: ids may be missing or repeat, and whole sequences are packed by themselves
+    part = F.pmod(F.xxhash64("id", "doc_tokens", "ids_crc32"), F.lit(parts))
     order = ["part", "id", "start", "ids_crc32"]
     grouped = found.withColumn("part", part).repartition("part").sortWithinPartitions(*order)
     schema = "id long, start long, length long, ids_crc32 long, doc_tokens long, part long, window long, offset long"
