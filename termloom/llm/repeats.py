@@ -334,9 +334,15 @@ def _pieces(rows: DataFrame, path: str) -> DataFrame:
     return found
 
 
-def _hot(pieces: DataFrame, bucket: int) -> DataFrame:
-    """(a) of the anchors that more than ``bucket`` pieces have; a written table."""
-    return stage(pieces.groupBy("a").count().filter(F.col("count") > bucket).select("a"), "hot-anchors")
+def _flagged(pieces: DataFrame, bucket: int, path: str) -> DataFrame:
+    """The pieces, with ``hot`` for those of anchors that more than ``bucket`` pieces have; a table at the path.
+
+    Every piece is written once more: both ways read it by its flag, and nothing is joined for one of them.
+    """
+    sizes = pieces.groupBy("a").count()
+    hot = stage(sizes.filter(F.col("count") > bucket).select("a", F.lit(True).alias("hot")), "hot-anchors")
+    flagged = pieces.drop("pid").join(hot, "a", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    return stage(flagged, "flagged-pieces", path).withColumn("pid", F.xxhash64("piece"))
 
 
 def _different(pieces: DataFrame) -> DataFrame:
@@ -345,15 +351,15 @@ def _different(pieces: DataFrame) -> DataFrame:
     return found.withColumn("pid", F.xxhash64("piece"))
 
 
-def _by_anchor(pieces: DataFrame, hot: DataFrame) -> DataFrame:
+def _by_anchor(pieces: DataFrame) -> DataFrame:
     """Different pieces of all but the hot anchors, each anchor's together."""
-    different = _different(pieces.join(hot, "a", "left_anti"))
+    different = _different(pieces.filter("not hot"))
     return different.repartition("a").sortWithinPartitions("a")
 
 
-def _hot_windows(pieces: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _hot_windows(pieces: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Different pieces of hot anchors, and (a, pid, at, length, least, string) of their windows that meet."""
-    different = stage(_different(pieces.join(hot, "a", "left_semi")), "hot-pieces")
+    different = stage(_different(pieces.filter("hot")), "hot-pieces")
     windows = different.select(
         "a", "pid", "piece", "least", F.explode(F.sequence(F.lit(0), F.length("piece") - LEAST)).alias("at")
     )
@@ -374,9 +380,10 @@ def repeat_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     spark = docs.sparkSession
     small_batches(spark)
-    pieces = _pieces(_rows(docs, id_col, text_col), new_path(spark, "pieces"))
-    hot = _hot(pieces, bucket)
-    found = _by_anchor(pieces, hot).mapInArrow(_intervals, _GROUPS).union(_hot_windows(pieces, hot)[1])
+    cut = new_path(spark, "pieces")
+    pieces = _flagged(_pieces(_rows(docs, id_col, text_col), cut), bucket, new_path(spark, "flagged"))
+    discard(spark, cut)
+    found = _by_anchor(pieces).mapInArrow(_intervals, _GROUPS).union(_hot_windows(pieces)[1])
     different = _different(pieces)
     whole = different.filter("n_rows > 1").select(
         "a", "pid", F.lit(0).cast("long").alias("at"), F.length("piece").cast("long").alias("length"), "least", "piece"
@@ -442,13 +449,13 @@ def drop_repeats(
     spark = docs.sparkSession
     small_batches(spark)
     rows = _rows(docs, id_col, text_col)
-    cut, judged_path = new_path(spark, "pieces"), new_path(spark, "verdicts")
-    pieces = _pieces(rows, cut)
-    hot = _hot(pieces, bucket)
+    cut, flagged, judged_path = (new_path(spark, name) for name in ("pieces", "flagged", "verdicts"))
+    pieces = _flagged(_pieces(rows, cut), bucket, flagged)
+    discard(spark, cut)
     # a hash of the piece is made again on the other side: it does not move
-    cold = _by_anchor(pieces, hot).drop("pid").mapInArrow(_masks, _VERDICTS)
+    cold = _by_anchor(pieces).drop("pid").mapInArrow(_masks, _VERDICTS)
     cold = cold.select("a", F.xxhash64("piece").alias("pid"), "own", "n_rows", "mask")
-    different, windows = _hot_windows(pieces, hot)
+    different, windows = _hot_windows(pieces)
     own = different.select("a", "pid", F.col("least").alias("own"), "n_rows")
     masks = windows.join(own, ["a", "pid"]).filter("least < own").groupBy("a", "pid").agg(F.bit_or(_bits(F.col("at"), F.lit(1))).alias("mask"))
     hot_verdicts = own.join(masks, ["a", "pid"], "left").select("a", "pid", "own", "n_rows", F.coalesce("mask", F.lit(0).cast("long")).alias("mask"))
@@ -458,7 +465,7 @@ def drop_repeats(
     bits = F.when(F.col("id") > F.col("v.own"), _bits(F.lit(0), F.col("n"))).otherwise(F.col("v.mask"))
     spans = judged.select("id", "h", "start", bits.alias("bits")).filter("bits <> 0")
     spans = stage(spans.groupBy("id", "h").agg(F.collect_set(F.struct("start", "bits")).alias("spans")), "spans")
-    for path in (cut, judged_path):
+    for path in (flagged, judged_path):
         discard(spark, path)
     found = rows.join(spans, ["id", "h"], "left").select("id", "text", "spans").mapInArrow(_removed(with_text), _DIGEST)
     found = found.withColumnRenamed("id", id_col)
