@@ -540,7 +540,9 @@ def llr_scaled(spark, sf_dir):
     by_user = llr.key_totals(counts, ["email"], "c").drop("n_rows")
     total = by_user.agg(F.sum("c").alias("n"))
     rows = counts.join(by_term, "term").join(by_user, "email").crossJoin(F.broadcast(total))
-    score = llr.g2(F.col("k11"), F.col("r") * SCALE, F.col("c") * SCALE, F.col("n") * SCALE * SCALE)
+    # beyond 64 bits from ten million words on
+    r, c, n = (F.col(x).cast("decimal(38,0)") for x in ("r", "c", "n"))
+    score = llr.g2(F.col("k11"), r * SCALE, c * SCALE, n * SCALE * SCALE)
     return rows.select("email", "term", F.round(score, 6).alias("score"))
 
 

@@ -74,19 +74,32 @@ def attach_totals(
     return in_pieces.join(repeated, [*keys, "_piece"]).drop("_piece", "_pieces")
 
 
+# for g2: products below this are whole numbers of 64 bits, with room for the rounding of a double
+MOST_IN_LONGS = 9e18
+
+
 def g2(k11: Column, term_total: Column, user_total: Column, grand_total: Column) -> Column:
-    """G2 of the 2x2 table of one term and one user; operands are whole numbers below 10**18.
+    """G2 of the 2x2 table of one term and one user; operands are whole numbers whose products have 38 digits at most.
 
     Each cell's ``k * ln(k * n / (row * column))`` is ``k * log1p(+-d / (row * column))`` with
     the same ``d = k11 * n - row * column``, which is made exactly. The plain form subtracts
     numbers that agree in most digits once the table is large.
     """
-    whole = [c.cast("decimal(18,0)") for c in (k11, term_total, user_total, grand_total)]
-    d = (whole[0] * whole[3] - whole[1] * whole[2]).cast("double")
-    k11, row, col, n = (c.cast("double") for c in (k11, term_total, user_total, grand_total))
+    totals = k11, term_total, user_total, grand_total
+
+    def deviation_as(kind: str) -> Column:
+        k, r, c, n = (x.cast(kind) for x in totals)
+        return (k * n - r * c).cast("double")
+
+    k11, row, col, n = (c.cast("double") for c in totals)
+    # decimals cost many times as much as longs, which hold most products
+    in_longs = F.greatest(k11 * n, row * col) < MOST_IN_LONGS
+    d = F.when(in_longs, deviation_as("long")).otherwise(deviation_as("decimal(38,0)"))
 
     def part(k: Column, deviation: Column, row_sum: Column, col_sum: Column) -> Column:
-        return F.when(k > 0, k * F.log1p(deviation / (row_sum * col_sum))).otherwise(F.lit(0.0))
+        # an empty cell adds nothing, and may have no sums to divide by. Without a condition
+        # around it the deviation is made once for all four cells
+        return F.coalesce(k * F.log1p(F.try_divide(deviation, row_sum * col_sum)), F.lit(0.0))
 
     return F.lit(2.0) * (
         part(k11, d, row, col)

@@ -483,3 +483,14 @@ def test_parsers_as_table_functions(spark):
     assert sorted(map(tuple, got)) == [(1, "A", 1), (1, "B", 2), (3, "C", 3)]
     with pytest.raises(Exception, match="one of counted"):
         spark.sql("select * from texts, lateral parsed_words(t, 'other')").collect()
+
+
+def test_scores_of_totals_beyond_64_bits(spark):
+    # products of 38 digits are made as whole numbers, products of 64 bits as longs, with one result
+    n, row, col = 3 * 10**19, 6 * 10**15, 5 * 10**14
+    table = spark.range(1).select(*(F.lit(str(x)).cast("decimal(38,0)").alias(k) for k, x in (("n", n), ("r", row), ("c", col))))
+    score = table.select(llr.g2(F.lit(150000), F.col("r"), F.col("c"), F.col("n"))).first()[0]
+    assert score == pytest.approx(g2(150000, row, col, n), rel=1e-3)
+    small = spark.createDataFrame([(3, 5, 7, 100), (5, 5, 7, 100), (7, 7, 7, 7)], "k long, r long, c long, n long")
+    found = [x[0] for x in small.select(llr.g2(F.col("k"), F.col("r"), F.col("c"), F.col("n"))).collect()]
+    assert found == pytest.approx([g2(3, 5, 7, 100), g2(5, 5, 7, 100), 0.0])
