@@ -2,7 +2,7 @@
 
 from pyspark import cloudpickle
 
-from . import mime, stem_en
+from . import light_stem, mime, stem_en
 
-for _module in (mime, stem_en):
+for _module in (light_stem, mime, stem_en):
     cloudpickle.register_pickle_by_value(_module)
