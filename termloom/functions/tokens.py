@@ -151,12 +151,18 @@ def shingles(words, size: int) -> Column:
     if size == 1:
         return F.array_compact(as_col(words))
 
+def ngrams_at(words, at, size: int) -> list[Column]:
+    """The n-grams of 1..size words that end at one place (from 0), each null if a word is missing."""
+    words, at = as_col(words), as_col(at)
+    # an index before the first word gives null
+    before = [F.get(words, at - back) for back in range(size)]
+    return [F.concat(*[x for w in before[k::-1] for x in (F.lit(" "), w)][1:]) for k in range(size)]
+
+
     def in_order(w: Column) -> Column:
-        per_word = F.transform(w, lambda x: F.array(x))
-        for gram in ngrams_by_end(w, size)[1:]:
-            per_word = F.zip_with(per_word, gram, lambda seen, g: F.concat(seen, F.array(g)))
-        # the shifted arrays are longer than the text by their pad: those entries are null
-        return F.array_compact(F.flatten(F.filter(per_word, lambda a: a.isNotNull())))
+        # longer terms are only looked for where a word was kept
+        per_word = F.transform(w, lambda x, i: F.when(x.isNotNull(), F.array(*ngrams_at(w, i, size))))
+        return F.array_compact(F.flatten(F.array_compact(per_word)))
 
     return let(as_col(words), in_order)
 

@@ -14,6 +14,7 @@ from ..functions.let import let
 from ..functions.tokens import (
     filter_words,
     is_noise_word,
+    ngrams_at,
     ngrams_by_end,
     possessive_base,
     tokenize,
@@ -112,14 +113,24 @@ def user_terms(
     else:
         # a projection of its own, so that the stemmer runs once however often it is used
         stemmed = pieces.select(*keep, "mark", "context", normal.alias("words"))
-        grams = let(
-            filter_words("words", stopwords, min_len),
-            lambda w: F.concat(
-                *[F.slice(g, F.col("context") + 1, F.size(w)) for g in ngrams_by_end(w, shingle_size)]
-            ),
-        )
-        terms = F.when(F.col("mark"), F.col("words")).otherwise(F.array_distinct(grams) if once else grams)
-        rows = stemmed.select(*keep, "mark", F.explode(terms).alias("term"))
+        filtered = stemmed.withColumn("words", filter_words("words", stopwords, min_len))
+        if once:
+            grams = let(
+                F.col("words"),
+                lambda w: F.concat(
+                    *[F.slice(g, F.col("context") + 1, F.size(w)) for g in ngrams_by_end(w, shingle_size)]
+                ),
+            )
+            terms = F.when(F.col("mark"), F.col("words")).otherwise(F.array_distinct(grams))
+            rows = filtered.select(*keep, "mark", F.explode(terms).alias("term"))
+        else:
+            # one row per word, then one per term that ends with it, in generated code: no array of
+            # all terms is made, and a dropped word has none. With the plain explode Spark would ask for
+            # texts with words first, and filter the words twice for it
+            places = filtered.select(*keep, "mark", "context", "words", F.posexplode_outer("words").alias("at", "word"))
+            ends = places.filter(F.col("mark") | (F.col("word").isNotNull() & (F.col("at") >= F.col("context"))))
+            terms = F.when(F.col("mark"), F.array("word")).otherwise(F.array(*ngrams_at("words", "at", shingle_size)))
+            rows = ends.select(*keep, "mark", F.explode(terms).alias("term"))
     return rows.filter(wanted | F.col("mark") if mark_docs else wanted).drop("mark")
 
 
