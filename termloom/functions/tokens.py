@@ -27,12 +27,14 @@ _JOINED = (
 )
 _SEPARATOR = rf"[^\p{{L}}\p{{M}}\p{{N}}_](?<!{_JOINED})[^\p{{L}}\p{{M}}\p{{N}}_'’.:·,;]*"
 # Scripts written without blanks: every ideograph / hiragana sign is a word.
-_SINGLE_SIGN = r"([\p{IsHan}\p{IsHiragana}])"
+# A class of scripts looks every sign up in a table. The intersections, here and below, let all signs
+# before its first one fail after a comparison; they leave none out.
+_SINGLE_SIGN = r"([\u2E80-\x{10FFFF}&&[\p{IsHan}\p{IsHiragana}]])"
 
 
 # The word rules of Unicode text segmentation, for texts with signs that the separators above do
 # not tell apart. The signs of the rules' classes, beyond the scripts' own.
-_EXTEND = r"[\p{M}\p{Cf}\uFF9E\uFF9F\x{1F3FB}-\x{1F3FF}&&[^\u200B]]"
+_EXTEND = r"[\u00AD\u0300-\x{10FFFF}&&[\p{M}\p{Cf}\uFF9E\uFF9F\x{1F3FB}-\x{1F3FF}]&&[^\u200B]]"
 _MID_LETTER = r":\u00B7\u0387\u055F\u05F4\u2027\uFE13\uFE55\uFF1A"
 _MID_NUMBER = r",;\u037E\u0589\u060C\u060D\u066C\u07F8\u2044\uFE10\uFE14\uFE50\uFE54\uFF0C\uFF1B"
 _MID_BOTH = r"'.\u2018\u2019\u2024\uFE52\uFF07\uFF0E"
@@ -40,8 +42,12 @@ _KATAKANA = r"\p{IsKatakana}\u3031-\u3035\u309B\u309C\u30A0\u30FC\uFF70&&[^\uFF9
 _NO_BLANKS = r"\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
 _CONNECTOR = r"\p{Pc}\u202F"
 _SINGLE = r"\p{IsHan}\p{IsHiragana}"
-_HEBREW = r"[\p{IsHebrew}&&\p{L}]"
-_LETTER = rf"[\p{{IsAlphabetic}}&&[^\p{{M}}\p{{N}}{_SINGLE}{_NO_BLANKS}]&&[^{_KATAKANA.split('&&')[0]}]]"
+_HEBREW = r"[\u0591-\uFB4F&&[\p{IsHebrew}&&\p{L}]]"
+# the letters of everyday Latin texts come first
+_LETTER = (
+    rf"[a-zA-Z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F[\p{{IsAlphabetic}}"
+    rf"&&[^\p{{M}}\p{{N}}{_SINGLE}{_NO_BLANKS}]&&[^{_KATAKANA.split('&&')[0]}]]]"
+)
 _NUMBER = r"[\p{N}\u066B]"
 
 
@@ -61,8 +67,9 @@ def _word_rules() -> str:
 _WORD_RULES = _word_rules()
 # signs whose class the separators do not know
 _RULED_SIGNS = (
-    rf"[{_KATAKANA.split('&&')[0]}{_NO_BLANKS}\p{{IsHebrew}}\p{{Cf}}\uFF9E\x{{1F3FB}}-\x{{1F3FF}}\u202F"
-    rf"\p{{Pc}}{_MID_LETTER}{_MID_NUMBER}{_MID_BOTH}\u066B&&[^_'’.:·,;]]"
+    rf"[\u00AD\u037E-\x{{10FFFF}}"
+    rf"&&[{_KATAKANA.split('&&')[0]}{_NO_BLANKS}\p{{IsHebrew}}\p{{Cf}}\uFF9E\x{{1F3FB}}-\x{{1F3FF}}\u202F"
+    rf"\p{{Pc}}{_MID_LETTER}{_MID_NUMBER}{_MID_BOTH}\u066B]&&[^_'’.:·,;]]"
 )
 
 
@@ -144,13 +151,6 @@ def ngrams_by_end(words: Column, size: int) -> list[Column]:
     return grams
 
 
-def shingles(words, size: int) -> Column:
-    """N-grams of 1..size words, by end position and short first, nulls removed."""
-    if size < 1:
-        raise ValueError("shingle size must be at least 1")
-    if size == 1:
-        return F.array_compact(as_col(words))
-
 def ngrams_at(words, at, size: int) -> list[Column]:
     """The n-grams of 1..size words that end at one place (from 0), each null if a word is missing."""
     words, at = as_col(words), as_col(at)
@@ -159,6 +159,13 @@ def ngrams_at(words, at, size: int) -> list[Column]:
     return [F.concat(*[x for w in before[k::-1] for x in (F.lit(" "), w)][1:]) for k in range(size)]
 
 
+def shingles(words, size: int) -> Column:
+    """N-grams of 1..size words, by end position and short first, nulls removed."""
+    if size < 1:
+        raise ValueError("shingle size must be at least 1")
+    if size == 1:
+        return F.array_compact(as_col(words))
+
     def in_order(w: Column) -> Column:
         # longer terms are only looked for where a word was kept
         per_word = F.transform(w, lambda x, i: F.when(x.isNotNull(), F.array(*ngrams_at(w, i, size))))
@@ -175,4 +182,10 @@ def num_words(term) -> Column:
 def elision(tokens, articles: Iterable[str]) -> Column:
     """Remove a leading elided article (l', dell', ...) from every token, any case."""
     pattern = f"^(?i:{'|'.join(sorted(set(articles)))})['’]"
-    return F.transform(as_col(tokens), lambda t: F.regexp_replace(t, pattern, ""))
+
+    def bare(t: Column) -> Column:
+        # most words hold no mark: a search for it is cheaper than the pattern
+        marked = F.contains(t, F.lit("'")) | F.contains(t, F.lit("’"))
+        return F.when(marked, F.regexp_replace(t, pattern, "")).otherwise(t)
+
+    return F.transform(as_col(tokens), bare)
