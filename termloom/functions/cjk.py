@@ -16,7 +16,14 @@ _NARROW = {chr(c): unicodedata.normalize("NFKC", chr(c)) for c in range(0xFF65,
 # voiced sound marks follow their sign as a separate half-width character
 _VOICED = ["ﾞ", "ﾟ"]
 
-_RUN = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}]"
+# signs before the first of these scripts fail after a comparison
+_RUN = r"[\u1100-\x{10FFFF}&&[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}]]"
+_OTHER = r"[[^\s\u1100-\x{10FFFF}][\u1100-\x{10FFFF}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}]]]"
+# In one pass: overlapping pairs of a run, a run of one sign, and what stands between runs and blanks.
+# Of a pair only its first sign is used up; the last sign of a run begins none.
+_PARTS = rf"(?=({_RUN}{{2}}|(?<!{_RUN}){_RUN}|{_OTHER}++))(?:{_RUN}|{_OTHER}++)"
+# parts that are terms as they are: of runs, or without a sign that separates
+_WHOLE = rf"^(?:{_RUN}{{1,2}}|[a-zA-Z0-9_]+)$"
 
 
 def cjk_width(c) -> Column:
@@ -35,22 +42,8 @@ def cjk_width(c) -> Column:
     return F.translate(prepared, "".join(table), "".join(table.values()))
 
 
-def run_bigrams(run) -> Column:
-    """Overlapping two-character terms of one ideograph run; a lone sign stays."""
-
-    def pairs(r: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.length(r) - 1, F.lit(1)))
-        return F.transform(starts, lambda i: F.substr(r, i, F.lit(2)))
-
-    return let(as_col(run), pairs)
-
-
 def cjk_bigrams(text) -> Column:
     """Terms of a Chinese text: bigrams of ideograph runs, other words as they are."""
-    lowered = F.lower(cjk_width(text))
-    parts = F.split(F.regexp_replace(lowered, f"({_RUN}+)", " $1 "), r"\s+")
-    per_part = F.transform(
-        parts,
-        lambda p: F.when(p.rlike(f"^{_RUN}"), run_bigrams(p)).otherwise(tokenize(p)),
-    )
+    parts = F.regexp_extract_all(F.lower(cjk_width(text)), F.lit(_PARTS), F.lit(1))
+    per_part = F.transform(parts, lambda p: F.when(p.rlike(_WHOLE), F.array(p)).otherwise(tokenize(p)))
     return F.flatten(per_part)
