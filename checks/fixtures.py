@@ -74,9 +74,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# bytes of stored texts that one task analyses: what it holds does not grow with the table
+PIECE_BYTES = 16 << 20
+
+
+def pieces(stored: int, cores: int) -> int:
+    """Pieces of a table of so many bytes: as many as there are cores, more if it is large."""
+    return max(cores, -(-stored // PIECE_BYTES))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # test files have one row group each: as many pieces as there are cores
-    return spread(table(spark, sf_dir, "documents"), spark.sparkContext.defaultParallelism)
+    # test files have one row group each, so their splits say little
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/documents.parquet")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stored = found.getContentSummary(path).getLength()
+    return spread(table(spark, sf_dir, "documents"), pieces(stored, spark.sparkContext.defaultParallelism))
 
 
 def emails(spark: SparkSession, sf_dir: str) -> DataFrame:
