@@ -484,7 +484,8 @@ def df_bad_words_float32(spark, sf_dir):
 )
 def stopword_exclusion(spark, sf_dir):
     listed = mine_stopwords_of(user_docs(spark, sf_dir), stem=False)
-    return drop_stopwords(frequency.count_by(plain_terms(spark, sf_dir), "term"), listed)
+    # read twice: without a table of its own, every text is taken apart twice
+    return drop_stopwords(stage(frequency.count_by(plain_terms(spark, sf_dir), "term"), "counts"), listed)
 
 
 @query(
@@ -1164,7 +1165,9 @@ def term_counts_incremental(spark, sf_dir):
 )
 def unique_count_sketched(spark, sf_dir):
     """Documents of every term from sketches of eight slices, next to the exact count."""
-    words = docs(spark, sf_dir).select("doc_id", (F.col("doc_id") % 8).alias("slice"), F.explode(tokenize("text")).alias("term"))
+    # each text is taken apart once, and has a word once
+    of_text = F.explode(F.array_distinct(tokenize("text"))).alias("term")
+    words = stage(docs(spark, sf_dir).select("doc_id", (F.col("doc_id") % 8).alias("slice"), of_text), "words")
     by_slice = stage(sketches.user_sketches(words, ["slice"], user="doc_id"), "sketches")
     estimate = sketches.estimated_users(sketches.merge_sketches(by_slice))
     exact = words.groupBy("term").agg(F.count_distinct("doc_id").alias("n_docs"))
