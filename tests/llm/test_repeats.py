@@ -1,9 +1,24 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from termloom.llm.repeats import GRAM, LEAST, PIECE, SLICE, Anchors, drop_repeats, intervals, repeat_groups, repeats
+from termloom.llm.repeats import (
+    GRAM,
+    LEAST,
+    PIECE,
+    SLICE,
+    WIDTHS,
+    Anchors,
+    _in_parts,
+    _packed,
+    _unpacked,
+    drop_repeats,
+    intervals,
+    repeat_groups,
+    repeats,
+)
 
 
 def brute(rows):
@@ -143,3 +158,49 @@ def test_equal_windows_have_equal_anchors():
             at = np.flatnonzero((start <= pad) & (pad < start + n))
             found.add(int(key[at[0]]))
     assert len(found) == 1 and GRAM < LEAST
+
+
+def test_windows_of_crowded_groups_are_all_found(spark):
+    rows = some_texts()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = {i: t.encode() for i, t in rows}
+    where, covered = {}, set()
+    for i, t in texts.items():
+        for at in range(len(t) - LEAST + 1):
+            where.setdefault(t[at : at + LEAST], []).append((i, at))
+    shared = {p for places in where.values() if len({i for i, _ in places}) > 1 for p in places}
+    for r in repeat_groups(df, bucket=3).collect():
+        assert texts[r.doc_id][r.start : r.start + r.length] == bytes(r.string)
+        covered |= {(r.doc_id, at) for at in range(r.start, r.start + r.length - LEAST + 1)}
+    assert covered == shared
+
+
+def test_crowded_pieces_have_two_parts_at_most():
+    rng = np.random.default_rng(5)
+    gram = bytes(rng.integers(0, 256, GRAM).astype(np.uint8))
+    noise = lambda n: bytes(rng.integers(97, 99, n).astype(np.uint8))
+    texts = [noise(30) + gram + noise(30) for _ in range(300)]
+    anchors, pieces = Anchors(), []
+    for text, start, n, _ in anchors.pieces(texts):
+        pieces += [texts[i][s : s + k + LEAST - 1] for i, s, k in zip(text.tolist(), start.tolist(), n.tolist(), strict=True)]
+    numbers = pa.array(range(len(pieces)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([numbers, numbers, numbers, pa.array(pieces, pa.binary())], ["a", "pid", "least", "piece"])
+    for width in WIDTHS:
+        met, windows = {}, [0] * len(pieces)
+        for out in _in_parts(width)(iter([batch])):
+            for r in out.to_pylist():
+                assert r["piece"] == pieces[r["owner"]][r["at"] : r["at"] + r["n"] + LEAST - 1]
+                windows[r["owner"]] += r["n"]
+                for k in range(r["n"]):
+                    met.setdefault(r["piece"][k : k + LEAST], set()).add(r["a"])
+            if width == WIDTHS[0]:
+                assert out.num_rows <= 2 * len(pieces)
+        assert windows == [len(p) - LEAST + 1 for p in pieces]  # every window is in one part
+        assert all(len(keys) == 1 for keys in met.values())  # and equal windows are in parts that meet
+
+
+def test_posts_are_packed_whole():
+    rng = np.random.default_rng(6)
+    tables = [[rng.integers(-(2**63), 2**63 - 1, n) for _ in range(3)] for n in (1, 7, 300)]
+    for got, want in zip(_unpacked([_packed(t) for t in tables], 3), zip(*tables, strict=True), strict=True):
+        assert np.array_equal(got, np.concatenate(want))
