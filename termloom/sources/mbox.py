@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from ..functions.let import let
 from ..functions.mail import byte_view, view_bytes
@@ -34,15 +35,16 @@ def _one_final_newline(c: Column) -> Column:
     return F.concat(F.regexp_replace(c, r"\n+$", ""), F.lit("\n"))
 
 
-def _mark_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds whether a row is the first record of its file: the first of a task with block 0 of that file."""
+@F.arrow_udf(BooleanType())
+def _is_first(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Whether a row is the first record of its file: the first of a task with block 0 of that file."""
     before = None
-    for batch in batches:
+    for paths, starts in batches:
         first = []
-        for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for path, start in zip(paths.to_pylist(), starts.to_pylist(), strict=True):
             first.append(start == 0 and path != before)
             before = path
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(first, pa.bool_())], [*batch.schema.names, "first"])
+        yield pa.array(first, pa.bool_())
 
 
 def _joined_at_blank_lines(records: DataFrame) -> DataFrame:
@@ -106,13 +108,15 @@ def scan_mbox(
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("seq"),
         F.col("value").cast("binary").alias("value"),
-        # told from the bytes: a test of what they become would be pushed down, and make that twice
-        (F.trim(F.regexp_replace("value", r"\r\z", "")) == "").alias("blank"),
-    )
-    # only a file's first record can have its divider, or none at all; all others lost theirs to the separator
-    marked = scanned.mapInArrow(
-        _mark_first, "path string, block_start long, seq long, value binary, blank boolean, first boolean"
+        # told from the bytes: a test of what they become would be pushed down, and make that twice.
+        # Only what begins like a blank record is looked through
+        F.when(
+            F.substring("value", 1, 1).isin("", " ", "\r"), F.trim(F.regexp_replace("value", r"\r\z", "")) == ""
+        ).otherwise(False).alias("blank"),
     )
+    # only a file's first record can have its divider, or none at all; all others lost theirs to the separator.
+    # It looks back, so no row may be filtered before it is asked; the messages themselves stay in the JVM
+    marked = scanned.withColumn("first", _is_first.asNondeterministic()(*_BLOCK))
     if not strict:
         marked = marked.filter("not blank")
     marked = marked.withColumn("value", _normal_lines(F.regexp_replace(byte_view("value"), r"\r\z", "")))

@@ -373,3 +373,15 @@ def test_lines_need_seven_fields(spark):
 def test_missing_input_fails_before_it_runs(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         emails_tsv.read_emails_tsv(spark, str(tmp_path / "absent"))
+
+
+def test_messages_stay_in_the_jvm_while_they_are_scanned(spark, tmp_path):
+    (tmp_path / "a.mbox").write_text("\nFrom b\n\none\nFrom c\n\ntwo\n")
+    (tmp_path / "b.mbox").write_text("From From d\n\none\nFrom From e\n\ntwo\n")
+    scanned = mbox.scan_mbox(spark, str(tmp_path))
+    # a blank first record is looked at before it is left out
+    assert {r.message for r in scanned.collect()} == {
+        "From b\n\none\n", "From c\n\ntwo\n", "From From d\n\none\n", "From From e\n\ntwo\n",
+    }
+    plan = scanned._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "_is_first(path" in plan

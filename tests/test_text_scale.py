@@ -11,6 +11,7 @@ from checks import fixtures
 from termloom.functions import tokens
 from termloom.functions.cjk import cjk_bigrams
 from termloom.functions.light_stem import KEEP, LIGHT_STEMMERS, DOUBLED, _function
+from termloom.functions.stem_en import known_stems, stem_tokens_en
 from termloom.functions.tokens import elision, shingles
 from termloom.operators.terms import PIECE_WORDS, user_terms
 
@@ -129,3 +130,12 @@ def test_doubled_letters_become_single():
 def test_texts_are_not_taken_apart_again(spark, name):
     # what is read several times is a staged table: the result's plan holds no scan of the texts
     assert "documents.parquet" not in plan(driver.queries()[name](spark, SF_DIR))
+
+
+def test_stems_are_kept_from_task_to_task(spark):
+    known_stems("some")["walking"] = "walk"
+    assert known_stems("some") == {"walking": "walk"} and known_stems("other") == {}
+    # workers that have stemmed by other rules give no stems of theirs
+    words = spark.createDataFrame([(["walking", "heading"],)] * 40, "w array<string>").repartition(8)
+    for protected, want in (([], ["walk", "head"]), (["heading"], ["walk", "heading"]), (["walking"], ["walking", "head"])):
+        assert [r.s for r in words.select(stem_tokens_en("w", protected).alias("s")).collect()] == [want] * 40
