@@ -9,13 +9,16 @@ each block (a lane), with numpy over the lanes:
 * mixing: by both confidences, and whether the predictions are equal, an adaptive share of
   the range goes to each order's id, and the rest to order 0;
 * a carry-less range coder of 64 bits, which puts out 32 bits at a time.
+
+The calls are most of the cost, so values that do not need 64 bits are kept in 32, and hashes, of
+which only low bits count, in 16.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-U = np.uint64
+U, I, H = np.uint64, np.int32, np.uint16
 WORD = U(32)
 #: one id takes less than 32 bits of the range; below that, a word is put out
 BOT = U(1 << 32)
@@ -40,7 +43,8 @@ _BITS = np.array([0, *range(12), *[12] * 15], np.uint64)  # bits that tell its i
 class _Model:
     """Predictions for ``lanes`` blocks; lanes beyond the first ``m`` have ended."""
 
-    def __init__(self, lanes: int) -> None:
+    def __init__(self, lanes: int, searched: bool) -> None:
+        self.searched = searched  # symbols will be looked for by their place in the range
         self.one = np.full(lanes << SLOT_BITS, -4, np.int32)  # id and confidence 0 to 3 in the low bits
         self.two = np.full(lanes << SLOT_BITS, -4, np.int32)
         self.hot = np.full(lanes << FREQUENT_BITS, -4, np.int32)  # likewise
@@ -55,65 +59,88 @@ class _Model:
         self.state = np.arange(lanes, dtype=np.int64) << 5
         self.count_row = np.arange(lanes, dtype=np.int64) * SYMBOLS
         self.seen: list[np.ndarray] = []  # places in the counts since they were last added up
-        self.last = np.zeros(lanes, np.int64)
-        self.before = np.zeros(lanes, np.int64)
+        self.hash2 = np.zeros(lanes, H)  # of the last two ids
+        self.hash1 = np.zeros(lanes, H)  # of the last one
         self.steps = 0
 
-    def predict(self, m: int) -> None:
-        """Sets both predictions and the upper ends of their shares of the range."""
-        if self.steps % REBUILD == 0:
-            if self.seen:
-                found = np.bincount(np.concatenate(self.seen), minlength=self.counts.size)
-                self.counts += 4 * found.reshape(self.counts.shape)
-                self.seen.clear()
-            c = self.counts[:m]
-            f = c * ((1 << CLASS_BITS) - SYMBOLS) // c.sum(1, keepdims=True) + 1
-            self.cum = np.zeros((m, SYMBOLS + 1), np.int64)
-            np.cumsum(f, 1, out=self.cum[:, 1:])
-            self.cum[:, SYMBOLS] = 1 << CLASS_BITS
+    def rebuild(self, m: int) -> None:
+        if self.seen:
+            found = np.bincount(np.concatenate(self.seen), minlength=self.counts.size)
+            self.counts += 4 * found.reshape(self.counts.shape)
+            self.seen.clear()
+        c = self.counts[:m]
+        # whole numbers this small have a quotient whose whole part is exact
+        f = (c * float((1 << CLASS_BITS) - SYMBOLS) / c.sum(1, keepdims=True)).astype(np.int64) + 1
+        self.cum = np.zeros((m, SYMBOLS + 1), np.int64)
+        np.cumsum(f, 1, out=self.cum[:, 1:])
+        self.cum[:, SYMBOLS] = 1 << CLASS_BITS
+        self.cum_row = np.arange(m, dtype=np.int64) * (SYMBOLS + 1)
+        if self.searched:
             # ends of the symbols by eights, and of every eighth, for a search in two steps
             self.ends = np.full((m, WIDTH * 8), 1 << CLASS_BITS, np.int16)
             self.ends[:, :SYMBOLS] = self.cum[:, 1:]
             self.eighths = np.ascontiguousarray(self.ends[:, 7::8])
             self.ends = self.ends.reshape(-1, 8)
-            self.cum_row = np.arange(m, dtype=np.int64) * (SYMBOLS + 1)
+
+    def predict(self, m: int, rng: np.ndarray) -> None:
+        """Sets both predictions and where their shares end in a range of that many 2**MIX_BITS."""
+        if self.steps % REBUILD == 0:
+            self.rebuild(m)
         self.steps += 1
-        last, before = self.last[:m], self.before[:m]
-        self.slot1 = self.table[:m] + ((last * 40_503 >> 4) & ((1 << SLOT_BITS) - 1))
-        self.slot2 = self.table[:m] + (((last * 2_654_435 + before * 40_503) >> 5) & ((1 << SLOT_BITS) - 1))
+        self.slot1 = self.table[:m] + (self.hash1[:m] >> 4 & H((1 << SLOT_BITS) - 1))
+        self.slot2 = self.table[:m] + (self.hash2[:m] >> 5 & H((1 << SLOT_BITS) - 1))
         self.e1, self.e2 = self.one.take(self.slot1), self.two.take(self.slot2)
         self.p1, self.p2 = self.e1 >> 2, self.e2 >> 2
         self.c1, self.c2 = self.e1 & 3, self.e2 & 3
         self.at = self.state[:m] + (self.c2 << 3 | self.c1 << 1 | (self.p1 == self.p2))
         self.s2, self.s1 = self.two_share.take(self.at), self.one_share.take(self.at)
-        self.end2 = self.s2 >> (SHARE_BITS - MIX_BITS)
-        left = (1 << MIX_BITS) - LEAST_MISS - 1 - self.end2
-        self.end1 = self.end2 + 1 + (left * self.s1 >> SHARE_BITS)
+        end2 = self.s2 >> (SHARE_BITS - MIX_BITS)
+        left = (1 << MIX_BITS) - LEAST_MISS - 1 - end2
+        end1 = end2 + 1 + (left * self.s1 >> SHARE_BITS)
+        self.end2, self.end1 = rng * end2.astype(U), rng * end1.astype(U)
+
+    def narrowed(self, low: np.ndarray, rng: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The range of what was right: order 2, order 1, or neither."""
+        start = np.where(hit1, self.end2, self.end1)
+        end = np.where(hit1, self.end1, rng << U(MIX_BITS))
+        return np.where(hit2, low, low + start), np.where(hit2, self.end2, end - start)
 
     def hot_places(self, missed: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Where the ids of the missed lanes would be among the frequent ones."""
-        return (missed << FREQUENT_BITS) + (y * 40_503 >> 6 & FREQUENT - 1)
+        return (missed << FREQUENT_BITS) + (y.astype(H) * H(40_503) >> 6 & H(FREQUENT - 1))
 
     def update(
-        self, m: int, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, missed: np.ndarray, symbols: np.ndarray
+        self,
+        x: np.ndarray,
+        hit2: np.ndarray,
+        hit1: np.ndarray,
+        missed: np.ndarray,
+        y: np.ndarray,
+        place: np.ndarray,
+        held: np.ndarray,
+        symbols: np.ndarray,
     ) -> None:
-        """``hit1``: only order 1 was right; symbols: those of the missed lanes."""
-        self.two_share[self.at] = self.s2 + ((np.where(hit2, 3968, 32) - self.s2) >> 5)
-        self.one_share[self.at] = self.s1 + ((np.where(hit1, 3968, 32) - self.s1) * ~hit2 >> 5)
+        """``hit1``: only order 1 was right. Of the missed lanes: ids, place among the frequent ones, what is held there, symbols."""
+        self.two_share[self.at] = self.s2 + ((np.where(hit2, I(3968), I(32)) - self.s2) >> 5)
+        self.one_share[self.at] = self.s1 + ((np.where(hit1, I(3968), I(32)) - self.s1) * ~hit2 >> 5)
         new = x << 2 | 1
         self.two[self.slot2] = np.where(hit2, self.e2 + (self.c2 < 3), np.where(self.c2 > 0, self.e2 - 1, new))
         right1 = self.p1 == x
         self.one[self.slot1] = np.where(right1, self.e1 + (self.c1 < 3), np.where(self.c1 > 0, self.e1 - 1, new))
         self.seen.append(self.count_row.take(missed) + symbols)
         # an id that comes again stays; one that is in the way for long gives way
-        y = x.take(missed)
-        place = self.hot_places(missed, y)
-        held = self.hot.take(place)
         confidence = held & 3
         known = symbols >= CLASSES
         self.hot[place] = np.where(known, held + (confidence < 3), np.where(confidence > 0, held - 1, y << 2 | 1))
-        self.before[:m] = self.last[:m]
-        self.last[:m] = x
+        h = x.astype(H)
+        h1 = h * H(40_503)
+        self.hash2[: len(x)] = h * H(2_654_435 & 0xFFFF) + self.hash1[: len(x)]
+        self.hash1[: len(x)] = h1
+
+
+def _ends_below(ends: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """How many of eight ends each share has reached; the eight answers are bytes of one word."""
+    return np.bitwise_count((ends <= share[:, None]).view(U)[:, 0]).astype(np.int64)
 
 
 def _by_length(lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -138,23 +165,21 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
     for lane, b in enumerate(order):
         ids[: len(blocks[b]), lane] = blocks[b]
     lanes = len(blocks)
-    model, low, rng = _Model(lanes), np.zeros(lanes, U), np.full(lanes, 2**64 - 1, U)
+    model, low, rng = _Model(lanes, False), np.zeros(lanes, U), np.full(lanes, 2**64 - 1, U)
     out, end = np.zeros((lanes, 256), np.uint32), np.zeros(lanes, np.int64)
     for t, m in enumerate(active):
-        x = ids[t, :m].astype(np.int64)
-        model.predict(m)
+        x = ids[t, :m].astype(I)
+        r = rng[:m] >> U(MIX_BITS)
+        model.predict(m, r)
         hit2 = model.p2 == x
         hit1 = (model.p1 == x) & ~hit2
-        start = np.where(hit2, 0, np.where(hit1, model.end2, model.end1))
-        size = np.where(hit2, model.end2, np.where(hit1, model.end1, 1 << MIX_BITS)) - start
-        l, r = low[:m], rng[:m] >> U(MIX_BITS)
-        l = l + r * start.astype(U)
-        r = r * size.astype(U)
+        l, r = model.narrowed(low[:m], r, hit2, hit1)
         missed = np.flatnonzero(~(hit2 | hit1))
         y = x.take(missed)
         c = _CLASS.take(y)
         place = model.hot_places(missed, y)
-        known = model.hot.take(place) >> 2 == y
+        held = model.hot.take(place)
+        known = held >> 2 == y
         symbol = np.where(known, CLASSES + (place & FREQUENT - 1), c)
         cell = model.cum_row.take(missed) + symbol
         cum = model.cum.reshape(-1)
@@ -175,7 +200,7 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
             end[short] = e + 1
             l[short] = ls << WORD
         low[:m], rng[:m] = l, r
-        model.update(m, x, hit2, hit1, missed, symbol)
+        model.update(x, hit2, hit1, missed, y, place, held, symbol)
     tail = np.stack([low >> WORD, low & REST], 1).astype(np.uint32)
     found = [b""] * lanes
     for lane, b in enumerate(order):
@@ -194,25 +219,22 @@ def decode(codes: list[bytes], lengths: list[int]) -> list[np.ndarray]:
     for lane, w in enumerate(words):
         held[lane, : len(w)] = w
     ids = np.zeros((len(active), lanes), np.uint16)
-    model, low, rng = _Model(lanes), np.zeros(lanes, U), np.full(lanes, 2**64 - 1, U)
+    model, low, rng = _Model(lanes, True), np.zeros(lanes, U), np.full(lanes, 2**64 - 1, U)
     code, place = held[:, 0].astype(U) << WORD | held[:, 1], np.full(lanes, 2)
     last = held.shape[1] - 1
     for t, m in enumerate(active):
-        model.predict(m)
         l, r, v = low[:m], rng[:m] >> U(MIX_BITS), code[:m]
-        share = np.minimum((v - l) // r, U((1 << MIX_BITS) - 1)).view(np.int64)
-        hit2 = share < model.end2
-        hit1 = ~hit2 & (share < model.end1)
-        start = np.where(hit2, 0, np.where(hit1, model.end2, model.end1))
-        size = np.where(hit2, model.end2, np.where(hit1, model.end1, 1 << MIX_BITS)) - start
-        l = l + r * start.astype(U)
-        r = r * size.astype(U)
-        x = np.where(hit2, model.p2, model.p1).astype(np.int64)
+        model.predict(m, r)
+        above = v - l
+        hit2 = above < model.end2
+        hit1 = ~hit2 & (above < model.end1)
+        l, r = model.narrowed(l, r, hit2, hit1)
+        x = np.where(hit2, model.p2, model.p1)
         missed = np.flatnonzero(~(hit2 | hit1))
         rm, lm, vm = r.take(missed) >> U(CLASS_BITS), l.take(missed), v.take(missed)
         share = np.minimum((vm - lm) // rm, U((1 << CLASS_BITS) - 1)).astype(np.int16)
-        eighth = (model.eighths.take(missed, 0) <= share[:, None]).sum(1)
-        symbol = 8 * eighth + (model.ends.take(missed * WIDTH + eighth, 0) <= share[:, None]).sum(1)
+        eighth = _ends_below(model.eighths.take(missed, 0), share)
+        symbol = 8 * eighth + _ends_below(model.ends.take(missed * WIDTH + eighth, 0), share)
         known = symbol >= CLASSES
         c = np.where(known, 0, symbol)
         cell = model.cum_row.take(missed) + symbol
@@ -223,7 +245,8 @@ def decode(codes: list[bytes], lengths: list[int]) -> list[np.ndarray]:
         rm = (rm * (cum.take(cell + 1) - lo).view(U)) >> bits
         off = np.minimum((vm - lm) // rm, (U(1) << bits) - U(1))
         frequent = model.hot.take((missed << FREQUENT_BITS) + np.where(known, symbol - CLASSES, 0)) >> 2
-        x[missed] = np.where(known, frequent, _FIRST.take(c) + off.view(np.int64))
+        y = np.where(known, frequent, (_FIRST.take(c) + off.view(np.int64)).astype(I))
+        x[missed] = y
         l[missed], r[missed] = lm + rm * off, rm
         short = np.flatnonzero(r < BOT)
         if len(short):
@@ -235,7 +258,8 @@ def decode(codes: list[bytes], lengths: list[int]) -> list[np.ndarray]:
             l[short] = ls << WORD
         low[:m], rng[:m] = l, r
         ids[t, :m] = x
-        model.update(m, x, hit2, hit1, missed, symbol)
+        hot = model.hot_places(missed, y)
+        model.update(x, hit2, hit1, missed, y, hot, model.hot.take(hot), symbol)
     found: list[np.ndarray] = [np.zeros(0, np.uint16)] * lanes
     for lane, b in enumerate(order):
         found[b] = ids[: lengths[b], lane].copy()

@@ -27,8 +27,8 @@ from .encoders import Pieces, kept_encoder
 from .offsets import shifts
 
 BLOCK_IDS = 2_048
-#: blocks coded together
-LANES = 2_048
+#: blocks coded together at most: the more, the less a numpy call costs; a block's code does not depend on it
+LANES = 4_096
 
 FORMAT = (
     "segment long, block long, n_ids long, crc32 long, payload binary, "

@@ -91,6 +91,20 @@ def test_range_coder_round_trip():
     assert range_coder.encode([]) == [] and range_coder.decode([], []) == []
 
 
+def test_range_coder_keeps_its_code():
+    """Files that were written before are read, and any number of blocks side by side gives the same code."""
+    n = np.arange(3_000)
+    blocks = [n * n % k % 65_536 for k in (7, 211, 50_021, 65_536)] + [n // 40, n[:1], n[:0], 65_535 - n]
+    codes = range_coder.encode(blocks * 20)
+    assert codes == range_coder.encode(blocks) * 20
+    assert [(len(c), zlib.crc32(c)) for c in codes[: len(blocks)]] == [
+        (44, 1890222341), (464, 1047950108), (6012, 835621172), (6112, 2692672095),
+        (260, 2986193503), (8, 1366983497), (8, 1696784233), (4648, 3270755912),
+    ]
+    decoded = range_coder.decode(codes, [len(b) for b in blocks] * 20)
+    assert all(np.array_equal(a, b) for a, b in zip(blocks * 20, decoded, strict=True))
+
+
 def test_joined_checksums():
     for a, b in [(b"", b""), (b"abc", b""), (b"", b"xyz"), (b"12345", b"abcdefgh" * 1000)]:
         assert joined_crc32(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
