@@ -38,6 +38,10 @@ SYMBOLS = CLASSES + FREQUENT
 WIDTH = -(-SYMBOLS // 8)
 _FIRST = np.array([0, *[1 << b for b in range(12)], *[k << 12 for k in range(1, 16)]])  # smallest id of a class
 _BITS = np.array([0, *range(12), *[12] * 15], np.uint64)  # bits that tell its ids apart
+# the same of all symbols: a frequent id has no bits of its own; and the bits that tell ids apart, set
+_SYMBOL_FIRST = np.append(_FIRST, np.zeros(FREQUENT, _FIRST.dtype)).astype(np.int32)
+_SYMBOL_BITS = np.append(_BITS, np.zeros(FREQUENT, U))
+_SYMBOL_REST = (U(1) << _SYMBOL_BITS) - U(1)
 
 
 class _Model:
@@ -48,13 +52,16 @@ class _Model:
         self.one = np.full(lanes << SLOT_BITS, -4, np.int32)  # id and confidence 0 to 3 in the low bits
         self.two = np.full(lanes << SLOT_BITS, -4, np.int32)
         self.hot = np.full(lanes << FREQUENT_BITS, -4, np.int32)  # likewise
-        first = np.empty((32, 2), np.int32)
-        for s in range(32):
-            first[s] = (64 + 900 * (s >> 3), 64 + 900 * (s >> 1 & 3))
-        self.two_share, self.one_share = np.tile(first[:, 0], lanes), np.tile(first[:, 1], lanes)
-        begun = np.ones(SYMBOLS, np.int64)
+        # the share of order 2 above 16 bits, that of order 1 in them
+        first = [(64 + 900 * (s >> 3)) << 16 | 64 + 900 * (s >> 1 & 3) for s in range(32)]
+        self.shares = np.tile(np.array(first, np.int32), lanes)
+        # whole numbers, as floats: their shares are quotients
+        begun = np.ones(SYMBOLS)
         begun[:CLASSES] = 1 << np.maximum(0, _BITS.astype(np.int64) - 8)
         self.counts = np.tile(begun, (lanes, 1))
+        self.quotients, self.sizes = np.empty((lanes, SYMBOLS)), np.empty((lanes, SYMBOLS), np.int64)
+        self.cum = np.zeros((lanes, SYMBOLS + 1), np.int64)
+        self.cum_row = np.arange(lanes, dtype=np.int64) * (SYMBOLS + 1)
         self.table = np.arange(lanes, dtype=np.int64) << SLOT_BITS
         self.state = np.arange(lanes, dtype=np.int64) << 5
         self.count_row = np.arange(lanes, dtype=np.int64) * SYMBOLS
@@ -66,19 +73,21 @@ class _Model:
     def rebuild(self, m: int) -> None:
         if self.seen:
             found = np.bincount(np.concatenate(self.seen), minlength=self.counts.size)
-            self.counts += 4 * found.reshape(self.counts.shape)
+            found <<= 2
+            self.counts += found.reshape(self.counts.shape)
             self.seen.clear()
-        c = self.counts[:m]
         # whole numbers this small have a quotient whose whole part is exact
-        f = (c * float((1 << CLASS_BITS) - SYMBOLS) / c.sum(1, keepdims=True)).astype(np.int64) + 1
-        self.cum = np.zeros((m, SYMBOLS + 1), np.int64)
-        np.cumsum(f, 1, out=self.cum[:, 1:])
-        self.cum[:, SYMBOLS] = 1 << CLASS_BITS
-        self.cum_row = np.arange(m, dtype=np.int64) * (SYMBOLS + 1)
+        c, q, f = self.counts[:m], self.quotients[:m], self.sizes[:m]
+        np.multiply(c, float((1 << CLASS_BITS) - SYMBOLS), out=q)
+        q /= c.sum(1, keepdims=True)
+        np.copyto(f, q, casting="unsafe")
+        f += 1
+        np.cumsum(f, 1, out=self.cum[:m, 1:])
+        self.cum[:m, SYMBOLS] = 1 << CLASS_BITS
         if self.searched:
             # ends of the symbols by eights, and of every eighth, for a search in two steps
             self.ends = np.full((m, WIDTH * 8), 1 << CLASS_BITS, np.int16)
-            self.ends[:, :SYMBOLS] = self.cum[:, 1:]
+            self.ends[:, :SYMBOLS] = self.cum[:m, 1:]
             self.eighths = np.ascontiguousarray(self.ends[:, 7::8])
             self.ends = self.ends.reshape(-1, 8)
 
@@ -89,11 +98,13 @@ class _Model:
         self.steps += 1
         self.slot1 = self.table[:m] + (self.hash1[:m] >> 4 & H((1 << SLOT_BITS) - 1))
         self.slot2 = self.table[:m] + (self.hash2[:m] >> 5 & H((1 << SLOT_BITS) - 1))
-        self.e1, self.e2 = self.one.take(self.slot1), self.two.take(self.slot2)
+        # all places are in the tables; to clip them is less than to check them
+        self.e1, self.e2 = self.one.take(self.slot1, mode="clip"), self.two.take(self.slot2, mode="clip")
         self.p1, self.p2 = self.e1 >> 2, self.e2 >> 2
         self.c1, self.c2 = self.e1 & 3, self.e2 & 3
         self.at = self.state[:m] + (self.c2 << 3 | self.c1 << 1 | (self.p1 == self.p2))
-        self.s2, self.s1 = self.two_share.take(self.at), self.one_share.take(self.at)
+        share = self.shares.take(self.at, mode="clip")
+        self.s2, self.s1 = share >> 16, share & 0xFFFF
         end2 = self.s2 >> (SHARE_BITS - MIX_BITS)
         left = (1 << MIX_BITS) - LEAST_MISS - 1 - end2
         end1 = end2 + 1 + (left * self.s1 >> SHARE_BITS)
@@ -121,8 +132,9 @@ class _Model:
         symbols: np.ndarray,
     ) -> None:
         """``hit1``: only order 1 was right. Of the missed lanes: ids, place among the frequent ones, what is held there, symbols."""
-        self.two_share[self.at] = self.s2 + ((np.where(hit2, I(3968), I(32)) - self.s2) >> 5)
-        self.one_share[self.at] = self.s1 + ((np.where(hit1, I(3968), I(32)) - self.s1) * ~hit2 >> 5)
+        s2 = self.s2 + ((hit2 * I(3936) + I(32) - self.s2) >> 5)
+        s1 = self.s1 + ((hit1 * I(3936) + I(32) - self.s1) * ~hit2 >> 5)
+        self.shares[self.at] = s2 << 16 | s1
         new = x << 2 | 1
         self.two[self.slot2] = np.where(hit2, self.e2 + (self.c2 < 3), np.where(self.c2 > 0, self.e2 - 1, new))
         right1 = self.p1 == x
@@ -178,16 +190,16 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
         y = x.take(missed)
         c = _CLASS.take(y)
         place = model.hot_places(missed, y)
-        held = model.hot.take(place)
+        held = model.hot.take(place, mode="clip")
         known = held >> 2 == y
         symbol = np.where(known, CLASSES + (place & FREQUENT - 1), c)
         cell = model.cum_row.take(missed) + symbol
         cum = model.cum.reshape(-1)
-        lo = cum.take(cell)
+        lo = cum.take(cell, mode="clip")
         rm = r.take(missed) >> U(CLASS_BITS)
         lm = l.take(missed) + rm * lo.view(U)
-        rm = (rm * (cum.take(cell + 1) - lo).view(U)) >> np.where(known, U(0), _BITS.take(c))
-        l[missed] = lm + rm * np.where(known, 0, y - _FIRST.take(c)).view(U)
+        rm = (rm * (cum.take(cell + 1, mode="clip") - lo).view(U)) >> _SYMBOL_BITS.take(symbol)
+        l[missed] = lm + rm * (y.astype(U) & _SYMBOL_REST.take(symbol))
         r[missed] = rm
         short = np.flatnonzero(r < BOT)
         if len(short):
@@ -196,7 +208,7 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
             e = end[short]
             if e.max() >= out.shape[1]:
                 out = np.concatenate([out, np.zeros_like(out)], 1)
-            out[short, e] = ls >> WORD
+            out.reshape(-1)[short * out.shape[1] + e] = ls >> WORD
             end[short] = e + 1
             l[short] = ls << WORD
         low[:m], rng[:m] = l, r
@@ -221,7 +233,7 @@ def decode(codes: list[bytes], lengths: list[int]) -> list[np.ndarray]:
     ids = np.zeros((len(active), lanes), np.uint16)
     model, low, rng = _Model(lanes, True), np.zeros(lanes, U), np.full(lanes, 2**64 - 1, U)
     code, place = held[:, 0].astype(U) << WORD | held[:, 1], np.full(lanes, 2)
-    last = held.shape[1] - 1
+    width, words_held = held.shape[1], held.reshape(-1)
     for t, m in enumerate(active):
         l, r, v = low[:m], rng[:m] >> U(MIX_BITS), code[:m]
         model.predict(m, r)
@@ -235,17 +247,14 @@ def decode(codes: list[bytes], lengths: list[int]) -> list[np.ndarray]:
         share = np.minimum((vm - lm) // rm, U((1 << CLASS_BITS) - 1)).astype(np.int16)
         eighth = _ends_below(model.eighths.take(missed, 0), share)
         symbol = 8 * eighth + _ends_below(model.ends.take(missed * WIDTH + eighth, 0), share)
-        known = symbol >= CLASSES
-        c = np.where(known, 0, symbol)
         cell = model.cum_row.take(missed) + symbol
         cum = model.cum.reshape(-1)
-        lo = cum.take(cell)
+        lo = cum.take(cell, mode="clip")
         lm = lm + rm * lo.view(U)
-        bits = np.where(known, U(0), _BITS.take(c))
-        rm = (rm * (cum.take(cell + 1) - lo).view(U)) >> bits
-        off = np.minimum((vm - lm) // rm, (U(1) << bits) - U(1))
-        frequent = model.hot.take((missed << FREQUENT_BITS) + np.where(known, symbol - CLASSES, 0)) >> 2
-        y = np.where(known, frequent, (_FIRST.take(c) + off.view(np.int64)).astype(I))
+        rm = (rm * (cum.take(cell + 1, mode="clip") - lo).view(U)) >> _SYMBOL_BITS.take(symbol)
+        off = np.minimum((vm - lm) // rm, _SYMBOL_REST.take(symbol))
+        frequent = model.hot.take((missed << FREQUENT_BITS) + (symbol - CLASSES & FREQUENT - 1), mode="clip") >> 2
+        y = np.where(symbol >= CLASSES, frequent, _SYMBOL_FIRST.take(symbol) + off.astype(I))
         x[missed] = y
         l[missed], r[missed] = lm + rm * off, rm
         short = np.flatnonzero(r < BOT)
@@ -253,13 +262,13 @@ def decode(codes: list[bytes], lengths: list[int]) -> list[np.ndarray]:
             ls = l.take(short)
             r[short] = _cut(ls, r.take(short))
             p = place[short]
-            code[short] = code[short] << WORD | held[short, np.minimum(p, last)]
+            code[short] = code.take(short) << WORD | words_held.take(short * width + np.minimum(p, width - 1))
             place[short] = p + 1
             l[short] = ls << WORD
         low[:m], rng[:m] = l, r
         ids[t, :m] = x
         hot = model.hot_places(missed, y)
-        model.update(x, hit2, hit1, missed, y, hot, model.hot.take(hot), symbol)
+        model.update(x, hit2, hit1, missed, y, hot, model.hot.take(hot, mode="clip"), symbol)
     found: list[np.ndarray] = [np.zeros(0, np.uint16)] * lanes
     for lane, b in enumerate(order):
         found[b] = ids[: lengths[b], lane].copy()

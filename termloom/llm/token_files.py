@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 from ..staging import discard, new_path, shuffles_removed, stage
 from . import range_coder
 from .batches import small_batches
-from .encoders import Pieces, kept_encoder
+from .cache import kept
+from .encoders import TEXTS, Pieces, kept_encoder
 from .offsets import shifts
 
 BLOCK_IDS = 2_048
@@ -43,14 +45,29 @@ _ARROW = pa.schema(
 )
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about ``TEXTS`` bytes: the more texts, the more chunks they share."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= TEXTS:
+            rows = pa.concat_batches(held)
+            held.clear()
+            yield rows
+            del rows
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _encoded(path: str, pieces: Pieces, end_id: int):
     """(id, h, ids): ids in little-endian 16 bits, with the end id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = kept_encoder(path, pieces), np.array([end_id], "<u2")
-        for batch in batches:
-            ids = [np.concatenate([encoder.ids(t), end], dtype="<u2").tobytes() for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(ids, pa.binary())], ["id", "h", "ids"])
+        encoder, end = kept_encoder(path, pieces), np.array([end_id], "<u2").tobytes()
+        for batch in _joined(batches):
+            columns, ids = batch.columns[:2], [x + end for x in encoder.ids_of_all(batch.column(2))]
+            del batch
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(ids, pa.binary())], ["id", "h", "ids"])
 
     return run
 
@@ -232,14 +249,40 @@ def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _shift_tables() -> list[np.ndarray]:
+    """For k from 0: what each value of each of a checksum's four bytes becomes before 2**k more bytes."""
+    tables, power = [], 1 << 23
+    for _ in range(48):
+        table = np.zeros((4, 256), np.uint32)
+        for bit in range(32):
+            table[bit >> 3] ^= (np.arange(256) >> (bit & 7) & 1).astype(np.uint32) * np.uint32(_times(power, 1 << bit))
+        tables.append(table)
+        power = _times(power, power)
+    return tables
+
+
+def joined_crc32s(crc: np.ndarray, n_bytes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """crc32 of joined parts, many at once; ``first`` has the place of the first part of each."""
+    ends = np.cumsum(n_bytes)
+    last = np.append(first[1:], len(crc)) - 1
+    after = np.repeat(ends[last], np.diff(first, append=len(crc))) - ends
+    crc = crc.astype(np.uint32)
+    for k, table in enumerate(kept("crc32 shifts", _shift_tables)):
+        at = np.flatnonzero(after >> k & 1)
+        if len(at):
+            x = crc[at]
+            crc[at] = table[0][x & 255] ^ table[1][x >> 8 & 255] ^ table[2][x >> 16 & 255] ^ table[3][x >> 24]
+    return np.bitwise_xor.reduceat(crc, first)
+
+
 def _join_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        crc = []
-        for parts in batch.column(4).to_pylist():
-            total = parts[0]["crc"]
-            for p in parts[1:]:
-                total = joined_crc32(total, p["crc"], 4 * p["length"])
-            crc.append(total)
+        if not batch.num_rows:
+            continue
+        lists = batch.column(4)
+        first = lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
+        crc, length = (pc.struct_field(lists.flatten(), n).to_numpy() for n in ("crc", "length"))
+        crc = joined_crc32s(crc, 4 * length, first).astype(np.int64)
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[:4], pa.array(crc, pa.int64())], ["segment", "doc_id", "start", "n_tokens", "crc"]
         )

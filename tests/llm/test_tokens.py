@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -14,10 +15,11 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from termloom.llm import range_coder
+from termloom.llm.cache import PieceCache
 from termloom.llm.encoders import BYTE_LEVEL_PIECES, WORD_PIECES, PieceEncoder
 from termloom.llm.packing import differencing, pack, windows
 from termloom.llm.pieces import MergeEncoder, encode_and_decode
-from termloom.llm.token_files import FORMAT, joined_crc32, read_token_files, token_digest, write_token_files
+from termloom.llm.token_files import FORMAT, joined_crc32, joined_crc32s, read_token_files, token_digest, write_token_files
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -49,6 +51,44 @@ def test_pieces_encode_as_whole_texts(path, pieces, texts):
     random_texts()
 
 
+@pytest.mark.parametrize(("path", "pieces"), [(BYTES, BYTE_LEVEL_PIECES), (WORDS, WORD_PIECES)])
+def test_texts_encoded_together_are_as_alone(path, pieces, texts):
+    encoder, library = PieceEncoder(path, pieces, added_tokens=True), Tokenizer.from_file(path)
+
+    def same(some):
+        found = encoder.ids_of_all(pa.array([None if t is None else t.encode() for t in some], pa.binary()))
+        want = [np.array(library.encode(t or "", add_special_tokens=False).ids, "u2").tobytes() for t in some]
+        assert found == want
+
+    same([])
+    same([None, ""])
+    same([None, "", " ", "\n", " one", "one ", "one\n", "\none", "one\n\ntwo", "one\u3000\ntwo", "one \ntwo", "one\n two"])
+    same([None, "", *texts.values(), "x" * 500, "a b " * 300_000, "\x00", "été,\nÉté 5×5÷ ÿ'é, d'été.)"])
+    signs = [*SIGNS, *" \n\n", "word", "Mots", "été", ").", "<|endoftext|>"]
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.lists(st.lists(st.sampled_from(signs), max_size=20).map("".join), max_size=4))
+    def random_texts(some):
+        same(some)
+
+    random_texts()
+
+
+def test_a_chunk_is_looked_up_once_for_all_texts():
+    asked = []
+
+    class Counted(PieceCache):
+        def __getitem__(self, piece):
+            asked.append(piece)
+            return super().__getitem__(piece)
+
+    encoder = PieceEncoder(BYTES, BYTE_LEVEL_PIECES)
+    alone = encoder.ids(b"one two three\none two").tobytes()
+    encoder.led = Counted(encoder.led.make)
+    assert encoder.ids_of_all(pa.array([b"one two three\none two"] * 50, pa.binary())) == [alone] * 50
+    assert sorted(asked) == [b"one", b"three", b"two"]
+
+
 def test_backtracking_encodes_as_the_library(texts):
     encoder = MergeEncoder(MODEL)
     library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
@@ -110,6 +150,19 @@ def test_joined_checksums():
         assert joined_crc32(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
 
 
+def test_joined_checksums_of_many():
+    rng = np.random.default_rng(4)
+    parts = [rng.bytes(int(n)) for n in [*rng.integers(0, 3_000, 500), 0, 1, 100_000, 0, 0]]
+    first = np.unique([0, *rng.integers(1, len(parts), 100), len(parts) - 1])
+    sizes = np.array([len(p) for p in parts])
+    found = joined_crc32s(np.array([zlib.crc32(p) for p in parts]), sizes, first)
+    assert found.tolist() == [zlib.crc32(b"".join(parts[a:b])) for a, b in zip(first, [*first[1:], len(parts)], strict=True)]
+    # parts of any size: as two at a time
+    crcs, sizes = np.array([5, 7, 9]), np.array([3, 1 << 40, 4 * (2**31 - 1)])
+    want = joined_crc32(joined_crc32(5, 7, 1 << 40), 9, 4 * (2**31 - 1))
+    assert joined_crc32s(crcs, sizes, np.array([0])).tolist() == [want]
+
+
 def digest_of(rows, path):
     """(doc_id, start, n_tokens, crc) of (id, text) in order."""
     encode, out, at = whole(path), [], 0
