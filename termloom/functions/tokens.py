@@ -117,7 +117,9 @@ def tokenize(text, max_token_len: int | None = None) -> Column:
 def possessive_base(token) -> Column:
     """One token without a trailing 's."""
     token = as_col(token)
-    owned = F.lower(F.substr(token, F.lit(-2))).isin("'s", "’s", "＇s")
+    # most words end otherwise, which is seen without making strings
+    ends = F.endswith(token, F.lit("s")) | F.endswith(token, F.lit("S"))
+    owned = ends & F.lower(F.substr(token, F.lit(-2))).isin("'s", "’s", "＇s")
     return F.when(owned, F.substr(token, F.lit(1), F.length(token) - 2)).otherwise(token)
 
 
@@ -128,7 +130,9 @@ def strip_possessive(tokens) -> Column:
 def is_noise_word(token, stopwords: Iterable[str] | None = None, min_len: int = MIN_WORD_LEN) -> Column:
     """True for words too short, made only of digits and ``,`` ``.``, or listed."""
     token = as_col(token)
-    noise = (F.length(token) < min_len) | token.rlike(r"^[\p{Nd},.]+$")
+    # all signs of the pattern come before the letters of ASCII, or after ASCII
+    may_be = (token < ":") | (token >= "\u0080")
+    noise = (F.length(token) < min_len) | (may_be & token.rlike(r"^[\p{Nd},.]+$"))
     words = sorted(set(stopwords or ()))
     return noise | token.isin(words) if words else noise
 

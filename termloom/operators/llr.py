@@ -26,6 +26,11 @@ MAX_TERMS = 20
 SHARE = 500
 PIECE_ROWS = 1_000_000
 
+# terms that a user has this often are few, and most users' best terms are among them. A user
+# with fewer of them has not many rows to sort
+FREQUENT = 8
+MANY_FREQUENT = 2_000
+
 
 def term_counts(terms: DataFrame) -> DataFrame:
     """Occurrences ``k11`` per (user, term)."""
@@ -125,7 +130,7 @@ def g2_bound(k11: Column, term_total: Column, least: Column, most: Column, grand
 SLACK = 1e-6
 
 
-def can_reach(score: float, bound: Column) -> Column:
+def can_reach(score: float | Column, bound: Column) -> Column:
     return bound * (1 + SLACK) + SLACK >= score
 
 
@@ -142,7 +147,8 @@ def llr_scores(
     """Score of every (user, term): columns email, term, k11, score.
 
     ``counts`` is read several times; unless the caller says that it is a stored
-    table already (``staged=True``) it is written to the shared folder first.
+    table already (``staged=True``) it is written to the shared folder first. If it has the
+    ``term_total`` of every row, no totals of terms are made and joined.
     ``share`` and ``piece_rows`` say which keys are cut; see :func:`attach_totals`.
 
     ``buckets`` writes the counts in that many buckets by term: they meet their term totals
@@ -159,11 +165,14 @@ def llr_scores(
     if per_length:
         counts = counts.withColumn("n_words", num_words("term"))
         universe = ["n_words"]
-    term_totals = key_totals(counts, ["term"], "term_total")
-    if not buckets:
-        term_totals = stage(term_totals, "term-totals")
     user_totals = stage(key_totals(counts, ["email", *universe], "user_total"), "user-totals")
-    rows = attach_totals(counts, term_totals, ["term"], "term_total", "email", share, piece_rows)
+    if "term_total" in counts.columns:
+        rows = counts
+    else:
+        term_totals = key_totals(counts, ["term"], "term_total")
+        if not buckets:
+            term_totals = stage(term_totals, "term-totals")
+        rows = attach_totals(counts, term_totals, ["term"], "term_total", "email", share, piece_rows)
     of_users = F.sum("user_total").alias("grand_total"), F.min("user_total").alias("least"), F.max("user_total").alias("most")
     if universe:
         # broadcast: one row per term length
@@ -184,6 +193,31 @@ def llr_scores(
     return rows.select("email", "term", "k11", score.alias("score"))
 
 
+def reaching_bars(
+    scores: DataFrame,
+    counts: DataFrame,
+    best_first: list[Column],
+    n: int,
+    limit_in_tasks: int | None = None,
+    many: int = MANY_FREQUENT,
+) -> DataFrame:
+    """Scores without those that ``n`` of the same user's frequent terms surpass: they need not be sorted.
+
+    For ``counts`` that need no shuffle to be scored, as they are scored twice, the first time only
+    the few that are frequent. Only users with ``many`` of these get a bar, so the list of
+    bars is short and can be broadcast: a user with very many rows is not gathered in one task.
+    """
+    is_frequent = F.col("k11") >= FREQUENT
+    of_users = counts.filter(is_frequent).groupBy("email").agg(F.count(F.lit(1)).alias("_n"))
+    frequent = scores.filter(is_frequent).select("email", "term", "score")
+    best = top_n_per_group(frequent, ["email"], best_first, n, "term", limit_in_tasks)
+    bars = best.groupBy("email").agg(F.count(F.lit(1)).alias("_best"), F.min("score").alias("_bar"))
+    bars = bars.join(of_users.filter(F.col("_n") >= many), "email").filter(F.col("_best") >= n)
+    bars = stage(bars.select("email", "_bar"), "bars")
+    reach = F.col("_bar").isNull() | can_reach(F.col("_bar"), F.col("score"))
+    return scores.join(F.broadcast(bars), "email", "left").filter(reach).drop("_bar")
+
+
 def top_terms_by_llr(
     counts: DataFrame,
     max_terms: int = MAX_TERMS,
@@ -199,10 +233,16 @@ def top_terms_by_llr(
     long lists; see :func:`top_n_per_group`. ``prune`` drops rows that cannot reach
     ``min_score`` before they are joined with their users; it pays for high scores.
     """
-    scores = llr_scores(counts, prune_below=min_score if prune else None, **options).select("email", "term", "score")
+    with_bars = "term_total" in counts.columns and not options.get("buckets")
+    if with_bars and not options.get("staged"):
+        counts, options = stage(counts, "term-counts"), {**options, "staged": True}
+    scores = llr_scores(counts, prune_below=min_score if prune else None, **options)
     if predicate is not None:
         scores = scores.filter(predicate)
     best_first = [F.desc("score"), F.asc("term")]
+    if with_bars:
+        scores = reaching_bars(scores, counts, best_first, max_terms, limit_in_tasks)
+    scores = scores.select("email", "term", "score")
     # the limit comes first: the best are the same, and a condition on the score would be pushed
     # below its projection and compute it twice
     best = top_n_per_group(scores, ["email"], best_first, max_terms, "term", limit_in_tasks)

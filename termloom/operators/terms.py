@@ -69,6 +69,7 @@ def user_terms(
     mark_docs: bool = False,
     analyzer: Callable[[Column], Column] | None = None,
     max_token_len: int | None = None,
+    in_pieces: bool = False,
 ) -> DataFrame:
     """One row per term occurrence of every document: ``keep`` columns and ``term``.
 
@@ -82,8 +83,14 @@ def user_terms(
     pass. ``analyzer`` replaces the whole chain except ``stopwords``: its terms are
     left out if one of their words is listed. Words of any length are kept unless
     ``max_token_len`` is given.
+
+    ``in_pieces=True`` returns what longer terms are made of instead, for callers that count
+    them: ``words`` of a piece with nulls for those left out, and ``context``, the number of words at
+    its start with which no term of this piece ends.
     """
     require_language(lang)
+    if in_pieces and (shingle_size == 1 or once or mark_docs or analyzer is not None):
+        raise ValueError("pieces are only made for terms of several words, all of their occurrences, and no own analyzer")
     min_len = min_length(lang, min_len)
     keep = ["email"] if keep is None else keep
     text = F.col(content)
@@ -114,6 +121,8 @@ def user_terms(
         # a projection of its own, so that the stemmer runs once however often it is used
         stemmed = pieces.select(*keep, "mark", "context", normal.alias("words"))
         filtered = stemmed.withColumn("words", filter_words("words", stopwords, min_len))
+        if in_pieces:
+            return filtered.select(*keep, "context", "words")
         if once:
             grams = let(
                 F.col("words"),

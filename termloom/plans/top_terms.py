@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clean import strip_quote_header, strip_quoted_text
+from ..operators.counting import counted_terms
 from ..operators.llr import MAX_TERMS, MIN_SCORE, term_counts, top_terms_by_llr
 from ..operators.rank import sort_terms
 from ..operators.terms import drop_stopwords, user_terms
@@ -40,6 +41,8 @@ def top_terms_of(
         listed, stopwords = stopwords, None
     content = strip_quoted_text("content") if drop_quotes else F.col("content")
     cleaned = docs.select("email", strip_quote_header(content).alias("content"))
+    # terms of several words are mostly rare, and are counted in columns
+    in_columns = shingle_size > 1 and analyzer is None and not llr_options.get("buckets")
     terms = user_terms(
         cleaned,
         lang=lang,
@@ -48,8 +51,13 @@ def top_terms_of(
         stem=stem,
         analyzer=analyzer,
         max_token_len=max_token_len,
+        in_pieces=in_columns,
     )
-    counts = term_counts(terms)
+    if in_columns:
+        cuts = {option: llr_options[option] for option in ("share", "piece_rows") if option in llr_options}
+        counts = counted_terms(terms, shingle_size, **cuts)
+    else:
+        counts = term_counts(terms)
     if listed is not None:
         counts = drop_stopwords(stage(counts, "all-counts"), listed)
     return sort_terms(top_terms_by_llr(counts, max_terms, min_score, predicate, **llr_options))

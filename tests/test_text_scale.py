@@ -82,6 +82,19 @@ def test_elision_looks_for_a_mark_first(spark):
     assert "contains" in plan(found).lower()
 
 
+def test_words_are_told_by_their_first_and_last_signs(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abS:sſ'’＇1,.٣９\u0080_é\x7f𝟘", k=rng.randrange(6))) for _ in range(4000)] + [None]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    noise = (F.length("w") < 2) | F.col("w").rlike(r"^[\p{Nd},.]+$") | F.col("w").isin("abs", "'s")
+    owned = F.lower(F.substr("w", F.lit(-2))).isin("'s", "’s", "＇s")
+    base = F.when(owned, F.substr("w", F.lit(1), F.length("w") - 2)).otherwise(F.col("w"))
+    new = tokens.is_noise_word("w", ["abs", "'s"], 2), tokens.possessive_base("w")
+    same = [F.count_if(~a.eqNullSafe(b)) for a, b in zip(new, (noise, base), strict=True)]
+    assert list(df.agg(*same, F.count_if(noise), F.count_if(owned)).first())[:2] == [0, 0]
+    assert "endswith" in str(tokens.possessive_base("w")).lower() and "<" in str(tokens.is_noise_word("w"))
+
+
 RUN = re.compile(r"[\u4e00-\u9fff\u3041-\u309f\u30a1-\u30fa\uac00-\ud7a3]+|[^\s\u4e00-\u9fff\u3041-\u309f\u30a1-\u30fa\uac00-\ud7a3]+")
 
 
